@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.schema import LIFTED, SHELL_FIELDS
+from vigilake.schema import LIFTED, LIFTED_ARRAYS, SHELL_FIELDS
 
 Path = Sequence["str | int"]
 
@@ -100,7 +100,7 @@ def field(df: DataFrame, path: str, nested_text: bool = False) -> Column:
     if len(segs) == 2 and isinstance(segs[1], int) and root in ("tags", "plugins"):
         return F.try_element_at(F.col(str(root)), F.lit(segs[1] + 1))
     if root == "details" and len(segs) > 1:
-        lifted = LIFTED.get(str(segs[1])) if len(segs) == 2 else None
+        lifted = LIFTED.get(path_to_string(segs[1:]))
         if lifted and lifted in df.columns:
             return F.col(lifted)
         return (jtext if nested_text else jv)(F.col("details"), segs[1:])
@@ -112,11 +112,18 @@ def detail(df: DataFrame, key: str) -> Column:
     return field(df, f"details.{key}")
 
 
+def detail_array(df: DataFrame, key: str) -> Column:
+    """`details.<key>` as `array<string>`, lifted or from the VARIANT."""
+    lifted = LIFTED_ARRAYS.get(key)
+    return F.col(lifted) if lifted in df.columns else jv_array(F.col("details"), key)
+
+
 def lift(df: DataFrame) -> DataFrame:
     """Add the lifted columns a table does not have yet."""
-    return df.withColumns(
-        {name: jv(F.col("details"), [key]) for key, name in LIFTED.items() if name not in df.columns}
-    )
+    d = F.col("details")
+    cols = {name: jv(d, key) for key, name in LIFTED.items()}
+    cols.update({name: jv_array(d, key) for key, name in LIFTED_ARRAYS.items()})
+    return df.withColumns({name: c for name, c in cols.items() if name not in df.columns})
 
 
 def record_json(df: DataFrame) -> Column:

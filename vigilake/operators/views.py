@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilake.functions.jsonfn import detail, jv, jv_array
+from vigilake.functions.jsonfn import detail, detail_array
 from vigilake.sources.tables import as_datetime, ts_lit, within
 
 FIRST_SEEN_DIMENSIONS = ("source_ip", "user_agent", "project", "source")
@@ -15,7 +15,6 @@ FIRST_SEEN_DIMENSIONS = ("source_ip", "user_agent", "project", "source")
 
 def identity_events(events: DataFrame) -> DataFrame:
     """One row per event that names a user, with the usual detail fields as columns."""
-    d = F.col("details")
     user = detail(events, "user")
     return events.filter(user.isNotNull()).select(
         "utctimestamp", "eventid", "source", "category", "severity", "summary",
@@ -27,7 +26,7 @@ def identity_events(events: DataFrame) -> DataFrame:
         F.coalesce(detail(events, "servicename"), detail(events, "eventsource")).alias("service"),
         detail(events, "resourcename").alias("resource"),
         detail(events, "project").alias("project"),
-        jv(d, ["events", 0, "name"]).alias("workspace_event"),
+        detail(events, "events[0].name").alias("workspace_event"),
         "tags",
         "details",
     )
@@ -136,7 +135,6 @@ def feed_coverage(events: DataFrame, as_of: datetime | str, days: int = 7) -> Da
 
 def iam_changes(events: DataFrame) -> DataFrame:
     """Policy changes, grants, key and account creation in the cloud audit log."""
-    d = F.col("details")
     method = F.lower(detail(events, "methodname"))
     wanted = (
         F.array_contains("tags", "iam-policy-change")
@@ -150,10 +148,10 @@ def iam_changes(events: DataFrame) -> DataFrame:
         detail(events, "methodname").alias("action"),
         detail(events, "resourcename").alias("resource"),
         detail(events, "project").alias("project"),
-        jv_array(d, ["policy_members"]).alias("granted_members"),
-        jv_array(d, ["policy_roles"]).alias("granted_roles"),
-        jv(d, ["policy_member"]).alias("granted_member"),
-        jv(d, ["policy_delta"]).alias("policy_delta"),
+        detail_array(events, "policy_members").alias("granted_members"),
+        detail_array(events, "policy_roles").alias("granted_roles"),
+        detail(events, "policy_member").alias("granted_member"),
+        detail(events, "policy_delta").alias("policy_delta"),
         detail(events, "sourceipaddress").alias("source_ip"),
         "severity", "summary", "details",
     )

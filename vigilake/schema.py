@@ -37,7 +37,11 @@ LIFTED = {
     "eventsource": "eventsource",
     "resourcename": "resourcename",
     "project": "project",
+    "events[0].name": "workspace_event",
+    "policy_member": "policy_member",
+    "policy_delta": "policy_delta",
 }
+LIFTED_ARRAYS = {"policy_members": "policy_members", "policy_roles": "policy_roles"}
 
 EVENT_SCHEMA = T.StructType(
     [

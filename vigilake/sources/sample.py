@@ -139,6 +139,11 @@ def sec_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.parse_json(F.to_json(details)).alias("details"),
         "event_date",
         *_DETAIL_KEYS.values(),
+        "workspace_event",
+        F.element_at(members, 1).alias("policy_member"),
+        F.col("roles_csv").alias("policy_delta"),
+        members.alias("policy_members"),
+        roles.alias("policy_roles"),
     )
 
 
