@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.functions.jsonfn import register_sql_functions
 from vigilake.session import configure
 from vigilake.sources.sample import AS_OF, duck_events, sec_events
 
@@ -14,7 +13,6 @@ __all__ = ["AS_OF", "events", "flat", "duck", "ts"]
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    register_sql_functions(spark)
     return sec_events(spark, sf_dir)
 
 

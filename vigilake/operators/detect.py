@@ -108,8 +108,9 @@ def hits(events: DataFrame, watches: Sequence[Watch], as_of: datetime | str, clo
             cond = cond & value.isNotNull()
         found.append(F.when(cond, F.struct(F.lit(w.no).alias("watch_no"), value.alias("value"))))
     keep = [c for c in SHELL_FIELDS if c in events.columns]
-    matched = recent.select(*keep, F.array_compact(F.array(*found)).alias("_hits"))
-    return matched.select(*keep, F.explode("_hits").alias("_hit")).select(*keep, "_hit.watch_no", "_hit.value")
+    # explode_outer: a plain explode makes the optimizer infer a filter that repeats all conditions
+    matched = recent.select(*keep, F.explode_outer(F.array_compact(F.array(*found))).alias("_hit"))
+    return matched.filter(F.col("_hit").isNotNull()).select(*keep, "_hit.watch_no", "_hit.value")
 
 
 def count_hits(found: DataFrame) -> DataFrame:

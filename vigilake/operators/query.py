@@ -57,11 +57,16 @@ _SPELLING = re.compile(
     rf"|\b(?:json_value|string)\s*\(\s*details(?P<scalar>{_PATH})\s*\)"
     rf"|\bjson_value_array\s*\(\s*details(?P<array>{_PATH})\s*\)"
     rf"|(?P<item>{_LITERAL})\s+(?P<no>not\s+)?in\s+unnest\s*\(\s*(?P<list>\w+)\s*\)"
-    rf"|{_LITERAL}|\bcast\s*(?=\()|\bint64\b|\bfloat64\b",
+    rf"|{_LITERAL}|\bcast\s*(?=\()|\bint64\b|\bfloat64\b|\bstrpos\s*(?=\()|\bregexp_contains\s*(?=\()",
     re.IGNORECASE,
 )
 
 
+_WORDS = {
+    "cast": "try_cast", "int64": "BIGINT", "float64": "DOUBLE", "strpos": "instr", "regexp_contains": "regexp_like",
+}
+
+
 def adapt_spelling(criteria: str, columns: Sequence[str] = ()) -> str:
     """Accept the warehouse spellings existing rules use.
 
@@ -89,7 +94,7 @@ def adapt_spelling(criteria: str, columns: Sequence[str] = ()) -> str:
                 f"(CASE WHEN substring({got}, 1, 1) IN ('{{', '[') "
                 f"AND schema_of_variant({raw}) RLIKE '^(OBJECT|ARRAY)' THEN NULL ELSE {got} END)"
             )
-        return {"cast": "try_cast", "int64": "BIGINT", "float64": "DOUBLE"}.get(text.lower().strip(), text)
+        return _WORDS.get(text.lower().strip(), text)
 
     return _SPELLING.sub(swap, criteria)
 
