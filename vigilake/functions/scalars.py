@@ -45,12 +45,12 @@ def is_ip(s: Column) -> Column:
 
 # --- times -------------------------------------------------------------------
 
-# Text formats tried in turn after ISO 8601.
+# Text formats tried in turn after ISO 8601 (a leading weekday is dropped before).
 TIME_FORMATS = (
-    "EEE, d MMM yyyy HH:mm:ss Z",
-    "EEE, d MMM yyyy HH:mm:ss z",
-    "EEE MMM d HH:mm:ss yyyy",
-    "EEE MMM d HH:mm:ss z yyyy",
+    "d MMM yyyy HH:mm:ss Z",
+    "d MMM yyyy HH:mm:ss z",
+    "MMM d HH:mm:ss yyyy",
+    "MMM d HH:mm:ss z yyyy",
     "d/MMM/yyyy:HH:mm:ss Z",
     "MMM d, yyyy HH:mm:ss",
     "MMM d yyyy HH:mm:ss",
@@ -63,6 +63,7 @@ TIME_FORMATS = (
     "yyyyMMdd'T'HHmmssX",
     "yyyyMMdd'T'HHmmss",
 )
+_WEEKDAY = r"^(?i)(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
 _ISO = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
 _NUMBER = r"^[+-]?\d+(\.\d+)?([eE][+-]?\d+)?$"
 
@@ -93,8 +94,10 @@ def to_utc(text: Column) -> Column:
     # Spark reads +0000 only with a colon
     iso = F.regexp_replace(iso, r"([+-]\d{2})(\d{2})$", "$1:$2")
     parsed = F.when(t.rlike(_ISO), F.try_to_timestamp(iso))
-    others = [F.try_to_timestamp(t, F.lit(f)) for f in TIME_FORMATS]
-    free = F.when(~t.rlike(_ISO), F.coalesce(*others))
+    plain = F.regexp_replace(t, _WEEKDAY, "")
+    others = [F.try_to_timestamp(plain, F.lit(f)) for f in TIME_FORMATS]
+    # words without a digit cannot be a time: skip the format list for them
+    free = F.when(~t.rlike(_ISO) & t.rlike(r"\d"), F.coalesce(*others))
     return F.when(numeric, epoch_to_utc(as_number)).otherwise(F.coalesce(parsed, free))
 
 
