@@ -83,7 +83,8 @@ def _time_texts(spark, sf):
     """Order dates written in many spellings, read back by `to_utc`."""
     configure(spark)
     o = raw_table(spark, sf, "orders")
-    t = F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(secs=(F.col("o_orderkey") % 86400).cast("decimal(18,6)"))
+    # epoch digits are told apart from ten-digit seconds on, so the dates are moved past 2001
+    t = F.col("o_orderdate").cast("timestamp") + F.expr("INTERVAL 4400 DAYS") + F.make_dt_interval(secs=(F.col("o_orderkey") % 86400).cast("decimal(18,6)"))
     secs = F.unix_seconds(t)
     iso = F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss")
     forms = [
@@ -249,7 +250,7 @@ SELECT rule_id, array_to_string(problems, ',') AS problems, len(problems) = 0 AS
         _time_texts,
         """SELECT o_orderkey, CASE WHEN o_orderkey % 15 = 12 THEN NULL
   WHEN o_orderkey % 15 >= 13 THEN TIMESTAMP '1970-01-01 00:00:00'
-  ELSE o_orderdate + to_seconds(o_orderkey % 86400) END AS utc FROM orders""",
+  ELSE o_orderdate + INTERVAL 4400 DAY + to_seconds(o_orderkey % 86400) END AS utc FROM orders""",
     ),
     "is_ip": (
         _addresses,
