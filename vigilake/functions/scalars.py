@@ -18,6 +18,13 @@ _IPV4 = rf"{_OCTET}(\.{_OCTET}){{3}}"
 _IPV4_RE = rf"^{_IPV4}$"
 _IPV4_NET_RE = rf"^{_IPV4}(/(3[0-2]|[12]?[0-9]))?$"
 _IPV6_MASK_RE = r"/(12[0-8]|1[01][0-9]|[1-9]?[0-9])$"
+_H = "[0-9a-fA-F]{1,4}"
+# eight groups, or n groups before '::' and at most 7 - n after it
+_IPV6_RE = "^(" + "|".join(
+    [f"({_H}:){{7}}{_H}", f"({_H}:){{1,7}}:", f":(:{_H}){{1,7}}", "::"]
+    + [f"({_H}:){{1,{7 - n}}}(:{_H}){{1,{n}}}" for n in range(1, 7)]
+) + ")$"
+_DOTTED_TAIL_RE = rf":{_IPV4}$"
 
 
 def is_ipv4(s: Column) -> Column:
@@ -27,41 +34,35 @@ def is_ipv4(s: Column) -> Column:
 
 def is_ipv6(s: Column) -> Column:
     """IPv6 without a mask; a dotted quad may stand for the last two groups."""
-    # turn a valid dotted tail into two groups, then count groups around at most one '::'
-    text = F.regexp_replace(s, rf":{_IPV4}$", ":0:0")
-    groups = F.filter(F.split(text, ":"), lambda g: g != "")
-    well_formed = text.rlike(r"(?i)^[0-9a-f:]+$") & F.forall(groups, lambda g: F.length(g) <= 4)
-    pieces = F.size(F.split(text, "::"))
-    dense = (pieces == 1) & (F.size(groups) == 8) & ~text.rlike("^:|:$")
-    short = (pieces == 2) & (F.size(groups) <= 7) & ~text.rlike("^:[^:]|[^:]:$|:::")
-    return F.coalesce(well_formed & (dense | short), F.lit(False))
+    return F.coalesce(F.regexp_replace(s, _DOTTED_TAIL_RE, ":0:0").rlike(_IPV6_RE), F.lit(False))
 
 
 def is_ip(s: Column) -> Column:
     """An IPv4 or IPv6 address or network; plain numbers are not addresses."""
-    v6 = s.contains(":") & is_ipv6(F.regexp_replace(s, _IPV6_MASK_RE, ""))
-    return F.coalesce(s.rlike(_IPV4_NET_RE) | v6, F.lit(False))
+    v6 = F.regexp_replace(F.regexp_replace(s, _IPV6_MASK_RE, ""), _DOTTED_TAIL_RE, ":0:0")
+    return F.coalesce(s.rlike(_IPV4_NET_RE) | (s.contains(":") & v6.rlike(_IPV6_RE)), F.lit(False))
 
 
 # --- times -------------------------------------------------------------------
 
-# Text formats tried in turn after ISO 8601 (a leading weekday is dropped before).
+# Text formats tried after ISO 8601 (a leading weekday is dropped before), each with the
+# shape of the texts it can read, so a row tries one or two formats and not all of them.
 TIME_FORMATS = (
-    "d MMM yyyy HH:mm:ss Z",
-    "d MMM yyyy HH:mm:ss z",
-    "MMM d HH:mm:ss yyyy",
-    "MMM d HH:mm:ss z yyyy",
-    "d/MMM/yyyy:HH:mm:ss Z",
-    "MMM d, yyyy HH:mm:ss",
-    "MMM d yyyy HH:mm:ss",
-    "MMM d, yyyy h:mm:ss a",
-    "d MMM yyyy HH:mm:ss",
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
-    "yyyy/MM/dd HH:mm:ss",
-    "yyyy/MM/dd",
-    "yyyyMMdd'T'HHmmssX",
-    "yyyyMMdd'T'HHmmss",
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} [\d:]{8} [+-]\d{4}$", "d MMM yyyy HH:mm:ss Z"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} [\d:]{8} [A-Za-z]+$", "d MMM yyyy HH:mm:ss z"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4} [\d:]{8}$", "d MMM yyyy HH:mm:ss"),
+    (r"^[A-Za-z]{3} +\d{1,2} [\d:]{8} \d{4}$", "MMM d HH:mm:ss yyyy"),
+    (r"^[A-Za-z]{3} +\d{1,2} [\d:]{8} [A-Za-z]+ \d{4}$", "MMM d HH:mm:ss z yyyy"),
+    (r"^\d{1,2}/[A-Za-z]{3}/\d{4}:[\d:]{8} [+-]\d{4}$", "d/MMM/yyyy:HH:mm:ss Z"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4} [\d:]{8}$", "MMM d, yyyy HH:mm:ss"),
+    (r"^[A-Za-z]{3} \d{1,2} \d{4} [\d:]{8}$", "MMM d yyyy HH:mm:ss"),
+    (r"^[A-Za-z]{3} \d{1,2}, \d{4} [\d:]{7,8} [AaPp][Mm]$", "MMM d, yyyy h:mm:ss a"),
+    (r"^\d\d/\d\d/\d{4} [\d:]{8}$", "MM/dd/yyyy HH:mm:ss"),
+    (r"^\d\d/\d\d/\d{4}$", "MM/dd/yyyy"),
+    (r"^\d{4}/\d\d/\d\d [\d:]{8}$", "yyyy/MM/dd HH:mm:ss"),
+    (r"^\d{4}/\d\d/\d\d$", "yyyy/MM/dd"),
+    (r"^\d{8}T\d{6}(Z|[+-]\d\d)$", "yyyyMMdd'T'HHmmssX"),
+    (r"^\d{8}T\d{6}$", "yyyyMMdd'T'HHmmss"),
 )
 _WEEKDAY = r"^(?i)(mon|tue|wed|thu|fri|sat|sun)[a-z]*,?\s+"
 _ISO = r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"
@@ -74,31 +75,26 @@ def epoch_to_utc(value: Column) -> Column:
     Seconds have ten digits at most; every digit more is one power of ten to divide by. Zero and
     negative numbers are 1970-01-01.
     """
-    v = value.cast("decimal(38,9)")
-    extra = F.greatest(F.length(F.floor(v).cast("string")) - 10, F.lit(0))
-    micros = (v.cast("double") * F.pow(F.lit(10.0), (F.lit(6) - extra).cast("double"))).cast("long")
-    exact = F.when(extra == 0, (v * F.lit(1_000_000)).cast("long")).when(
-        extra == 3, (v * F.lit(1_000)).cast("long")
-    ).when(extra == 6, F.floor(v).cast("long")).otherwise(micros)
-    return F.when(v <= 0, F.timestamp_micros(F.lit(0).cast("long"))).otherwise(F.timestamp_micros(exact))
+    v = value.cast("double")
+    extra = F.greatest(F.coalesce(F.floor(F.log10(F.floor(v))), F.lit(0)) - 9, F.lit(0))
+    micros = F.round(v * F.pow(F.lit(10.0), F.lit(6) - extra)).cast("long")
+    return F.timestamp_micros(F.when(v <= 0, F.lit(0).cast("long")).otherwise(micros))
 
 
 def to_utc(text: Column) -> Column:
     """A timestamp out of almost anything; NULL when nothing fits. Zone-less text is UTC."""
     t = F.trim(text)
-    number = F.try_to_number(F.when(t.rlike(r"^[+-]?\d{1,20}$"), t), F.lit("S99999999999999999999"))
     numeric = t.rlike(_NUMBER)
-    as_number = F.coalesce(number.cast("decimal(38,9)"), t.try_cast("double").cast("decimal(38,9)"))
     # comma fractions and a blank before the zone are common in logs
     iso = F.regexp_replace(F.regexp_replace(t, r",(\d+)", r".$1"), r"\s+([+-]\d{2}:?\d{2}|Z|UTC)$", "$1")
     # Spark reads +0000 only with a colon
-    iso = F.regexp_replace(iso, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    iso = F.regexp_replace(iso, r"(:\d{2}(?:\.\d+)?)([+-]\d{2})(\d{2})$", "$1$2:$3")
     parsed = F.when(t.rlike(_ISO), F.try_to_timestamp(iso))
     plain = F.regexp_replace(t, _WEEKDAY, "")
-    others = [F.try_to_timestamp(plain, F.lit(f)) for f in TIME_FORMATS]
+    others = [F.when(plain.rlike(shape), F.try_to_timestamp(plain, F.lit(f))) for shape, f in TIME_FORMATS]
     # words without a digit cannot be a time: skip the format list for them
     free = F.when(~t.rlike(_ISO) & t.rlike(r"\d"), F.coalesce(*others))
-    return F.when(numeric, epoch_to_utc(as_number)).otherwise(F.coalesce(parsed, free))
+    return F.when(numeric, epoch_to_utc(t.try_cast("double"))).otherwise(F.coalesce(parsed, free))
 
 
 def is_expired(expiration: Column, as_of: datetime | str, kind: T.DataType | None = None) -> Column:

@@ -152,7 +152,7 @@ def duck_events(extra: str = "") -> str:
     cols = ",\n  ".join(f"{sql} AS {name}" for name, sql in EVENT_COLUMNS.items())
     return (
         f"SELECT ts AS utctimestamp, CAST(ts AS DATE) AS event_date, {cols},\n"
-        "  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_id, user_id, value,\n"
+        "  CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, event_id, user_id, value, event_type,\n"
         "  string_split(CASE WHEN event_id % 3 = 0 AND event_type = 'purchase' THEN 'gcp_audit,iam-policy-change' "
         "WHEN event_id % 3 = 0 THEN 'gcp_audit,gcp' WHEN event_id % 3 = 1 THEN 'google_workspace' "
         "WHEN event_type = 'click' THEN 'cloudtrail,aws,login' ELSE 'cloudtrail,aws' END, ',') AS tags\n"
