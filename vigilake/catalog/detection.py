@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vigilake.catalog.base import AS_OF, duck, events, flat, ts
 from vigilake.operators import detect as d
+from vigilake.operators import sequence as sq
 from vigilake.sources.rules import Rule
 
 DAY = 1440
@@ -164,7 +165,100 @@ def _rolling(spark, sf):
     return flat(d.rolling_rule_counts(e, d.watches_of([ROLL])[0]).select("eventid", "utctimestamp", "value", "n"))
 
 
+T1, T2 = "2024-01-20 00:00:00", "2024-01-24 00:00:00"
+_SLOT0 = Rule(alert_name="key", criteria="JSON_VALUE(details.methodname) LIKE '%CreateServiceAccountKey'",
+              aggregation_key="details.user", lookback_minutes=5 * DAY, summary="{{metadata.count}} keys")
+KEY_THEN_ERRORS = Rule(
+    alert_name="key_then_errors", alert_type="sequence", severity="HIGH", category="iam", lifespan="7 days",
+    summary="{{metadata.count}} events by {{slots.0.events.0.details.user}}: {{slots.0.metadata.count}} keys",
+    slots=(_SLOT0, Rule(alert_name="errors", aggregation_key="details.user", threshold=2, lookback_minutes=4 * DAY,
+                        criteria="category = 'error' AND JSON_VALUE(details.user) = '{{slots.0.events.0.details.user}}'")),
+)
+KEY_THEN_QUIET = Rule(
+    alert_name="key_then_quiet", alert_type="sequence", severity="LOW", lifespan="7 days", summary="quiet {{slots.0.metadata.value}}",
+    slots=(_SLOT0, Rule(alert_name="no_purchase", alert_type="deadman", threshold=0, lookback_minutes=4 * DAY,
+                        criteria="category = 'purchase' AND JSON_VALUE(details.user) = '{{slots.0.events.0.details.user}}'")),
+)
+KEY_THEN_ANY = Rule(
+    alert_name="key_then_any", alert_type="sequence", severity="LOW", lifespan="2 hours", summary="x",
+    slots=(_SLOT0, Rule(alert_name="clicks", aggregation_key="source", threshold=1, lookback_minutes=4 * DAY, criteria="category = 'click'")),
+)
+
+
+def _sequence(spark, sf, rule):
+    e = events(spark, sf)
+    begun = sq.sequence_start(e, [rule], T1, closed=True)
+    return sq.sequence_advance(e, sq.expire_inflight(begun.inflight, T2), [rule], T2, begun.claimed, closed=True)
+
+
+def _started(spark, sf):
+    e = events(spark, sf)
+    begun = sq.sequence_start(e, [KEY_THEN_ERRORS], T1, closed=True).inflight
+    slot = F.get("slots", F.lit(0))
+    return flat(begun.select("alert_name", slot["value"].alias("value"), slot["event_count"].alias("n"),
+                             slot["summary"].alias("slot_summary"), "expiration", F.size("slots").cast("long").alias("filled")))
+
+
+def _finished(rule):
+    return lambda s, p: flat(_sequence(s, p, rule).alerts.select("alert_name", "value", "event_count", "summary", "created_at"))
+
+
+def _rank_matched(spark, sf):
+    """Slot without references: the i-th sequence takes the i-th trigger; the others keep waiting."""
+    e = events(spark, sf)
+    rule = KEY_THEN_ANY.with_slots(KEY_THEN_ANY.slots)
+    begun = sq.sequence_start(e, [rule], T1, closed=True)
+    out = sq.sequence_advance(e, begun.inflight, [rule], T2, begun.claimed, closed=True)
+    first = F.get("events", F.lit(0))["record"]
+    return out.alerts.agg(F.count(F.lit(1)).alias("done"), F.count(first).alias("with_first")).select(
+        "done", "with_first", out.inflight.agg(F.count(F.lit(1)).alias("c")).scalar().alias("waiting"))
+
+
+def _all_expired(spark, sf):
+    e = events(spark, sf)
+    begun = sq.sequence_start(e, [KEY_THEN_ANY, KEY_THEN_ERRORS], T1, scope="rule", closed=True).inflight
+    return sq.expire_inflight(begun, T2).groupBy("alert_name").agg(F.count(F.lit(1)).alias("alive"))
+
+
+_SEQ = f"""s0 AS (SELECT identity, count(*) AS n0 FROM ev WHERE methodname LIKE '%CreateServiceAccountKey' AND identity IS NOT NULL
+    AND utctimestamp BETWEEN {ts(T1)} - INTERVAL {5 * DAY} MINUTE AND {ts(T1)} GROUP BY identity),
+  win AS (SELECT * FROM ev WHERE utctimestamp BETWEEN {ts(T2)} - INTERVAL {4 * DAY} MINUTE AND {ts(T2)})"""
+
 QUERIES = {
+    "sequence_start": (
+        _started,
+        duck(_SEQ + f"""
+---
+SELECT 'key_then_errors' AS alert_name, identity AS value, n0 AS n, n0 || ' keys' AS slot_summary,
+  {ts(T1)} + INTERVAL 7 DAY AS expiration, CAST(1 AS BIGINT) AS filled FROM s0"""),
+    ),
+    "sequence_two_slot": (
+        _finished(KEY_THEN_ERRORS),
+        duck(_SEQ + f""", s1 AS (SELECT identity, count(*) AS n1 FROM win WHERE category = 'error' GROUP BY identity HAVING count(*) >= 2)
+---
+SELECT 'key_then_errors' AS alert_name, identity AS value, n0 + n1 AS event_count,
+  (n0 + n1) || ' events by ' || identity || ': ' || n0 || ' keys' AS summary, {ts(T2)} AS created_at FROM s0 JOIN s1 USING (identity)"""),
+    ),
+    "sequence_deadman_slot": (
+        _finished(KEY_THEN_QUIET),
+        duck(_SEQ + f"""
+---
+SELECT 'key_then_quiet' AS alert_name, identity AS value, n0 AS event_count, 'quiet ' || identity AS summary, {ts(T2)} AS created_at
+FROM s0 WHERE identity NOT IN (SELECT identity FROM win WHERE category = 'purchase' AND identity IS NOT NULL)"""),
+    ),
+    "sequence_rank_matched": (
+        _rank_matched,
+        duck(_SEQ + f""", t AS (SELECT source, count(*) AS c, row_number() OVER (ORDER BY count(*) DESC) AS rn FROM win
+    WHERE category = 'click' GROUP BY source)
+---
+SELECT least((SELECT count(*) FROM t), (SELECT count(*) FROM s0)) AS done,
+  least((SELECT count(*) FROM t), (SELECT count(*) FROM s0)) AS with_first,
+  (SELECT count(*) FROM s0) - (SELECT count(*) FROM t) AS waiting"""),
+    ),
+    "expire_inflight": (
+        _all_expired,
+        duck(_SEQ + "\n---\nSELECT 'key_then_errors' AS alert_name, count(*) AS alive FROM s0"),
+    ),
     "count_by_key": (
         lambda s, p: d.count_by_key(events(s, p), "details.user"),
         duck("SELECT identity AS value, count(*) AS event_count FROM ev WHERE identity IS NOT NULL GROUP BY identity"),

@@ -41,6 +41,7 @@ class Evaluation:
     alerts: DataFrame
     claimed: DataFrame  # (alert_id, watch_no, eventid, utctimestamp): every event of every alert
     failed: list[tuple[str, str]] = dc_field(default_factory=list)
+    watches: list[Watch] = dc_field(default_factory=list)  # what `watch_no` refers to
 
 
 def watches_of(rules: Sequence[Rule], first_slots: bool = True) -> list[Watch]:
@@ -315,7 +316,7 @@ def threshold(
     claimed = mine.join(alerts.select("alert_id", "watch_no", "value"), ["watch_no", "value"]).select(
         "alert_id", "watch_no", "eventid", "utctimestamp"
     )
-    return Evaluation(alerts, claimed)
+    return Evaluation(alerts, claimed, watches=renumbered)
 
 
 def deadman(
