@@ -14,16 +14,17 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
+import pandas as pd  # noqa: E402
 
 from vigilake.catalog import registry  # noqa: E402
 from vigilake.session import build_session  # noqa: E402
 
 
 def norm(value):
-    if value is None or value != value:
-        return None
     if hasattr(value, "tolist"):
         value = value.tolist()
+    if value is None or (not isinstance(value, list) and pd.isna(value)):
+        return None
     if isinstance(value, float):
         return round(value, 6)
     if hasattr(value, "isoformat"):

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import functions as F
 
 from vigilake.catalog.base import AS_OF, duck, events, flat, ts
 from vigilake.operators import detect as d
 from vigilake.operators import sequence as sq
+from vigilake.session import materialise
 from vigilake.sources.rules import Rule
 
 DAY = 1440
@@ -99,7 +98,7 @@ def _new_events(spark, sf):
 def _second_tick(spark, sf):
     """The rules again when events of earlier alerts are spent already."""
     e = events(spark, sf)
-    spent = e.filter(F.col("k_mod") == 0) if "k_mod" in e.columns else e.filter(F.col("eventid").endswith("5"))
+    spent = e.filter(F.col("eventid").endswith("5"))
     ev = d.threshold(e, d.watches_of(RULES), AS_OF, spent.select("eventid"))
     return flat(ev.alerts.select("alert_name", "value", "event_count", "new_count"))
 
@@ -188,6 +187,8 @@ KEY_THEN_ANY = Rule(
 def _sequence(spark, sf, rule):
     e = events(spark, sf)
     begun = sq.sequence_start(e, [rule], T1, closed=True)
+    # state lives in tables between ticks
+    begun.inflight, begun.claimed = materialise(begun.inflight, "inflight"), materialise(begun.claimed, "claimed")
     return sq.sequence_advance(e, sq.expire_inflight(begun.inflight, T2), [rule], T2, begun.claimed, closed=True)
 
 
@@ -206,8 +207,9 @@ def _finished(rule):
 def _rank_matched(spark, sf):
     """Slot without references: the i-th sequence takes the i-th trigger; the others keep waiting."""
     e = events(spark, sf)
-    rule = KEY_THEN_ANY.with_slots(KEY_THEN_ANY.slots)
+    rule = KEY_THEN_ANY
     begun = sq.sequence_start(e, [rule], T1, closed=True)
+    begun.inflight, begun.claimed = materialise(begun.inflight, "inflight"), materialise(begun.claimed, "claimed")
     out = sq.sequence_advance(e, begun.inflight, [rule], T2, begun.claimed, closed=True)
     first = F.get("events", F.lit(0))["record"]
     return out.alerts.agg(F.count(F.lit(1)).alias("done"), F.count(first).alias("with_first")).select(

@@ -1 +1,138 @@
-QUERIES = {}
+"""Streams run to their end over the test tables, and detection cycles on state tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vigilake.catalog import normalise as n
+from vigilake.catalog.base import duck, events, flat, ts
+from vigilake.catalog.detection import FEEDS, KEY_THEN_ERRORS, LOGIN
+from vigilake.functions.jsonfn import jv
+from vigilake.operators.tick import StateFolder, run_tick
+from vigilake.session import run_dir
+from vigilake.sources import sample
+from vigilake.sources.outbox import notification_outbox
+from vigilake.sources.rules import Rule
+from vigilake.streaming.detect import sliding_alerts
+from vigilake.streaming.ingest import drop_repeats, ingest
+
+DAY = 1440
+ONCE = {"availableNow": True}
+BURST = Rule(alert_name="burst", criteria="severity = 'INFO'", aggregation_key="source", threshold=2, lookback_minutes=5)
+TICKS = ("2024-01-12 00:00:00", "2024-01-17 00:00:00", "2024-01-22 00:00:00")
+
+
+def _stream(spark, sf, build):
+    """Run a builder over the events table as a file stream instead of a batch read."""
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return build(source)
+
+
+def _to_table(df, spark, name):
+    path = run_dir(spark, name)
+    q = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", path + "-cp").trigger(**ONCE).start()
+    q.awaitTermination()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _ingested(spark, sf):
+    """Raw messages through the streaming ingest into a day-partitioned table, read back."""
+    n.configure(spark)
+    raw = _stream(spark, sf, lambda src: n.generic_messages(n.with_columns(src)))
+    path = run_dir(spark, "ingest")
+    ingest(raw, f"{path}/events", f"{path}/cp", f"{path}/bad", trigger=ONCE, now=n.now()).awaitTermination()
+    back = spark.read.parquet(f"{path}/events")
+    d = F.col("details")
+    return flat(back.select(
+        "eventid", "utctimestamp", "source", "category", "severity", "summary", F.col("source_ip").alias("src"),
+        jv(d, "destinationipaddress").alias("dst"), F.col("event_date").cast("string").alias("event_date"),
+    ))
+
+
+def _deduplicated(spark, sf):
+    """Every message delivered twice; one event of each stays."""
+    events(spark, sf)
+    twice = _stream(spark, sf, lambda src: src.select(
+        F.concat(F.lit("e"), "event_id").alias("eventid"), F.col("ts").cast("timestamp").alias("utctimestamp"),
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery")))
+    return flat(_to_table(drop_repeats(twice).select("eventid", "utctimestamp"), spark, "dedup"))
+
+
+def _sliding_stream(spark, sf):
+    events(spark, sf)
+    live = _stream(spark, sf, lambda src: sample.canonical(src))
+    return flat(_to_table(sliding_alerts(live, BURST), spark, "sliding"))
+
+
+_WINDOWS = """hit AS (SELECT source AS value, time_bucket(INTERVAL 1 MINUTE, utctimestamp) - i * INTERVAL 1 MINUTE AS window_start
+  FROM ev, range(0, 5) t(i) WHERE severity = 'INFO')
+---
+SELECT 'burst' AS alert_name, window_start, window_start + INTERVAL 5 MINUTE AS window_end, value, count(*) AS event_count FROM hit
+{} GROUP BY window_start, value HAVING count(*) >= 2"""
+
+
+def _cycles(spark, sf):
+    """Three detection cycles: claims carry over, deadman hits add up, sequences advance."""
+    e = events(spark, sf)
+    state = StateFolder(spark, run_dir(spark, "state"))
+    rule = LOGIN.__class__(**{**LOGIN.__dict__, "lookback_minutes": 10 * DAY})
+    for at in TICKS:
+        run_tick(e, [rule, KEY_THEN_ERRORS, FEEDS[1]], state, at)
+    return state
+
+
+def _cycle_alerts(spark, sf):
+    out = _cycles(spark, sf).alerts()
+    return flat(out.filter(F.col("alert_type") != "sequence").select("alert_name", "value", "event_count", "new_count", F.coalesce("deadman_hits", F.lit(0)).alias("deadman_hits"), "created_at"))
+
+
+_CYCLE_SQL = "login AS (SELECT identity, eventid, utctimestamp FROM ev WHERE eventname = 'ConsoleLogin' AND identity IS NOT NULL),\n" + ",\n".join(
+    f"""w{i} AS (SELECT *, count(*) OVER (PARTITION BY identity) AS n FROM login
+  WHERE utctimestamp BETWEEN {ts(t)} - INTERVAL 10 DAY AND {ts(t)}),
+c{i} AS (SELECT identity, eventid, n FROM w{i} WHERE n >= 3{''.join(f' AND eventid NOT IN (SELECT eventid FROM c{k})' for k in range(1, i))})"""
+    for i, t in enumerate(TICKS, 1)
+) + "\n---\n" + "\nUNION ALL\n".join(
+    f"""SELECT 'console_login' AS alert_name, identity AS value, n AS event_count, count(*) AS new_count, CAST(0 AS BIGINT) AS deadman_hits,
+  {ts(t)} AS created_at FROM c{i} GROUP BY identity, n""" for i, t in enumerate(TICKS, 1)
+) + f"\nUNION ALL SELECT 'dead_other', 'all', 0, 0, 3, {ts(TICKS[0])}"
+
+
+def _outbox(spark, sf):
+    """Alerts of the login rule as notifications."""
+    from vigilake.operators import detect as d
+
+    e = events(spark, sf)
+    alerts = d.threshold(e, d.watches_of([LOGIN]), "2024-01-31 00:00:00").alerts
+    sent = notification_outbox(alerts, {"enabled": True, "webhook_url": "https://hooks.invalid/x", "min_severity": "medium",
+                                        "template": '{"text": "{{alert_name}} \\"{{value}}\\"", "n": 1}'})
+    return sent.select("webhook_url", "payload")
+
+
+QUERIES = {
+    "stream_ingest": (
+        _ingested,
+        duck("""c AS (SELECT *, CASE event_id % 4 WHEN 1 THEN source_ip WHEN 3 THEN '172.16.0.' || (user_id % 200)
+    ELSE '192.168.0.' || (user_id % 200) END AS src, CASE WHEN event_id % 3 = 0 THEN '2001:db8::' || (user_id % 10) END AS dst,
+  CASE WHEN event_id % 2 = 0 THEN date_trunc('second', ev.utctimestamp) ELSE date_trunc('millisecond', ev.utctimestamp) END AS t FROM ev)
+---
+SELECT eventid, t AS utctimestamp, 'UNKNOWN' AS source, event_type AS category, 'INFO' AS severity, 'UNKNOWN' AS summary, src, dst,
+  CAST(CAST(t AS DATE) AS VARCHAR) AS event_date FROM c"""),
+    ),
+    "stream_dedup": (_deduplicated, duck("SELECT eventid, utctimestamp FROM ev")),
+    "sliding_window_alerts": (
+        lambda s, p: flat(sliding_alerts(events(s, p), BURST)),
+        duck(_WINDOWS.format("")),
+    ),
+    "sliding_window_stream": (
+        _sliding_stream,
+        duck(_WINDOWS.format("WHERE window_start + INTERVAL 5 MINUTE <= (SELECT max(utctimestamp) FROM ev) - INTERVAL 5 MINUTE")),
+    ),
+    "detection_cycles": (_cycle_alerts, duck(_CYCLE_SQL)),
+    "notification_outbox": (
+        _outbox,
+        duck("""SELECT 'https://hooks.invalid/x' AS webhook_url, '{"text":"console_login \\"' || identity || '\\"","n":1}' AS payload
+FROM ev WHERE eventname = 'ConsoleLogin' AND identity IS NOT NULL AND utctimestamp >= TIMESTAMP '2024-01-11 00:00:00'
+GROUP BY identity HAVING count(*) >= 3"""),
+    ),
+}

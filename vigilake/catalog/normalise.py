@@ -25,7 +25,12 @@ ISO = "date_format(utctimestamp, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
 
 def _base(spark, sf):
     configure(spark)
-    raw = raw_table(spark, sf, "events").withColumn("utctimestamp", F.col("ts").cast("timestamp"))
+    return with_columns(raw_table(spark, sf, "events"))
+
+
+def with_columns(raw):
+    """The events table, batch or stream, with the columns the raw messages are written from."""
+    raw = raw.withColumn("utctimestamp", F.col("ts").cast("timestamp"))
     return raw.select("*", *[F.expr(sql).alias(n) for n, sql in EVENT_COLUMNS.items()])
 
 
@@ -194,8 +199,11 @@ SELECT eventid, utctimestamp, source, 'INFO' AS severity,
 
 
 def generic_raw(spark, sf):
+    return generic_messages(_base(spark, sf))
+
+
+def generic_messages(b):
     """Events of no known vendor, with addresses and times under many names and depths."""
-    b = _base(spark, sf)
     body = _obj(
         eventId="eventid", Category="event_type",
         SrcAddr="CASE WHEN event_id % 4 = 0 THEN 'nada' WHEN event_id % 4 = 1 THEN source_ip END",

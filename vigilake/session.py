@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only (no static ones), so they can be applied to a session somebody else made.
 RUNTIME_CONF = {
@@ -56,3 +56,11 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run below the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write a result to the shared folder and go on from the file: cuts the plan and survives lost executors."""
+    spark = df.sparkSession
+    path = run_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -106,7 +106,11 @@ def sec_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     `details` is built like a writer would have stored it; column pruning drops its cost from every
     query that only needs lifted columns.
     """
-    raw = raw_table(spark, sf_dir, "events")
+    return canonical(raw_table(spark, sf_dir, "events"))
+
+
+def canonical(raw: DataFrame) -> DataFrame:
+    """Rows of the `events` table, batch or stream, in canonical shape."""
     cols = {name: F.expr(sql) for name, sql in EVENT_COLUMNS.items()}
     base = raw.select(
         F.col("ts").cast("timestamp").alias("utctimestamp"),
