@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -176,8 +176,13 @@ def sequence_advance(
     processed: DataFrame | None = None,
     scope: str = "global",
     closed: bool = False,
+    keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> SequenceTick:
-    """Try to fill the first open slot of every running sequence, one slot per tick."""
+    """Try to fill the first open slot of every running sequence, one slot per tick.
+
+    `keep` may write an intermediate result and return it read back: the claimed events and the fills
+    feed the state, the alerts and the claims alike.
+    """
     spark = events.sparkSession
     steps = [(r, k) for r in rules if r.alert_type == "sequence" for k in range(1, len(r.slots))]
     empty = SequenceTick(
@@ -198,10 +203,11 @@ def sequence_advance(
     if wanted:
         pool = reduce(lambda a, b: a.unionByName(b), wanted)
         mine = d.claim_events(pool, scope, order=("rule_no", "inflight_id"))
+        mine = keep(mine, "_advance_events")
         most = max(max(d._samples_needed(w), 1) for w in watches)
         one = F.struct("rn", "utctimestamp", "eventid", record_json(mine).alias("record"))
-        kept = first_n(mine, ["inflight_id"], [F.col("utctimestamp"), F.col("eventid")], most, most)
-        grouped = kept.groupBy("inflight_id", "rule_no", "value", "event_count").agg(F.sort_array(F.collect_list(one)).alias("_s"))
+        shown = first_n(mine, ["inflight_id"], [F.col("utctimestamp"), F.col("eventid")], most, most)
+        grouped = shown.groupBy("inflight_id", "rule_no", "value", "event_count").agg(F.sort_array(F.collect_list(one)).alias("_s"))
         filled.append(grouped.select(
             "inflight_id", "rule_no", "value", "event_count",
             F.transform("_s", lambda s: F.struct(
@@ -216,6 +222,7 @@ def sequence_advance(
         "inflight_id", slot_state(d.of_watch(watches, lambda w: w.slot_no), slot_name, as_of).alias("_slot"), F.col("events").alias("_events"),
         d.of_watch(watches, lambda w: len(w.rule.slots)).alias("_total"),
     )
+    fills = keep(fills, "_fills")
     moved = inflight.join(fills, "inflight_id").withColumn("slots", F.concat("slots", F.array("_slot")))
     done = F.size("slots") >= F.col("_total")
     complete = moved.filter(done)

@@ -130,7 +130,7 @@ def run_tick(
         born = born.unionByName(sq.start(d.deadman(events, slots, as_of, closed), again, as_of))
 
     used = processed.select("eventid").unionByName(claims.select("eventid"))
-    step = sq.sequence_advance(events, alive, good, as_of, used, scope, closed)
+    step = sq.sequence_advance(events, alive, good, as_of, used, scope, closed, lambda df, name: state.write(df, name, cycle))
     changes = changes.unionByName(step.alerts.withColumn("notify", F.lit(True)))
     changes = state.write(changes.withColumn("cycle", F.lit(cycle)), "alerts", cycle)
     state.write(step.inflight.unionByName(born), "inflight", cycle)
