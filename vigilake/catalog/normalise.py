@@ -12,7 +12,7 @@ from vigilake.catalog.base import duck, events, flat
 from vigilake.functions import walk as w
 from vigilake.functions.jsonfn import jv, jv_array
 from vigilake.operators.normalize import Change, Stage, normalize
-from vigilake.session import configure
+from vigilake.session import configure, spread
 from vigilake.sources.messages import decode_envelope
 from vigilake.sources.sample import EVENT_COLUMNS, raw_table
 
@@ -25,7 +25,7 @@ ISO = "date_format(utctimestamp, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
 
 def _base(spark, sf):
     configure(spark)
-    return with_columns(raw_table(spark, sf, "events"))
+    return with_columns(spread(raw_table(spark, sf, "events"), "event_id"))
 
 
 def with_columns(raw):

@@ -7,11 +7,10 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vigilake.sources.tables import scan_window, within
 
-REPORT_SCHEMA = T.StructType.fromDDL(
+REPORT_SCHEMA = (  # as text: usable before a session exists
     "verdict string, summary string, findings array<struct<title: string, confidence: string, "
     "entities: array<string>, narrative: string, evidence_eventids: array<string>, why_not_benign: string>>"
 )

@@ -31,6 +31,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(app: str = "vigilake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the runtime settings; cluster sizing stays with spark-submit."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    # call-site capture costs several JVM round trips per expression while a plan is put together
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in {**RUNTIME_CONF, **conf}.items():
@@ -64,3 +66,14 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = run_dir(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for input that comes in fewer partitions than there are cores, such as one small file.
+
+    Large inputs have more partitions than cores and are left as they are: no shuffle.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

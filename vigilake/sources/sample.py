@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigilake.session import spread
+
 AS_OF = "2024-01-31 00:00:00"
 
 EVENT_COLUMNS = {
@@ -106,7 +108,7 @@ def sec_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     `details` is built like a writer would have stored it; column pruning drops its cost from every
     query that only needs lifted columns.
     """
-    return canonical(raw_table(spark, sf_dir, "events"))
+    return canonical(spread(raw_table(spark, sf_dir, "events"), "event_id"))
 
 
 def canonical(raw: DataFrame) -> DataFrame:
