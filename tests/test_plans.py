@@ -76,9 +76,9 @@ def test_first_n_is_limited_before_the_shuffle(spark, rows):
 
 
 def test_many_rules_read_the_table_once(spark):
-    from vigilake.sources.sample import sec_events
+    from vigilake.sources.sample import canonical, raw_table
 
-    e = sec_events(spark, "/root/testdata/sf0.001")
+    e = canonical(raw_table(spark, "/root/testdata/sf0.001", "events"))
     rules = [Rule(f"r{i}", criteria=f"category = 'click' AND user_agent <> 'a{i}'", aggregation_key="details.user", lookback_minutes=60 + i) for i in range(50)]
     counts = d.count_hits(d.hits(e, d.watches_of(rules), "2024-01-31 00:00:00"))
     assert counts._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
