@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vigilake.catalog.base import AS_OF, duck, events, flat, ts
 from vigilake.functions import jsonfn as j
 from vigilake.functions import scalars as sc
+from vigilake.functions.walk import merge
 from vigilake.operators import query as q
 from vigilake.sources.rules import rule_quality
 from vigilake.sources.sample import raw_table
@@ -167,7 +167,41 @@ def _json_kinds(spark, sf):
     )
 
 
+def _merged(spark, sf):
+    """Details merged with a patch, nested objects included."""
+    e = events(spark, sf)
+    patch = F.to_json(F.struct(
+        F.col("category").alias("user"), F.struct(F.struct(F.lit("x").alias("extra")).alias("c-ip")).alias("nested")))
+    d = F.try_parse_json(merge(F.to_json("details"), patch))
+    return e.select("eventid", j.jv(d, "user").alias("user"), j.jv(d, "k").alias("k"),
+                    j.jv(d, "nested.c-ip.extra").alias("extra"), j.jv(d, "nested.c-ip.id").alias("id"))
+
+
+def _names_and_dates(spark, sf):
+    e = events(spark, sf)
+    parts = sc.event_date_parts(F.col("utctimestamp"))
+    return e.select(
+        "eventid", *[parts[k].alias(k) for k in ("now_hour", "now_day", "last_hour_hour", "last_hour_month", "last_hour_year")],
+        sc.service_short(F.coalesce("servicename", "eventsource")).alias("service"),
+        sc.short_id(sc.stable_id(F.col("eventid"))).alias("short"),
+        sc.display_incident_id(F.concat(F.lit("incident-"), F.md5("eventid"))).alias("shown"),
+        (F.length(sc.stable_id(F.col("eventid"), F.col("source"))) == 36).alias("long_enough"),
+    )
+
+
 QUERIES = {
+    "merge_documents": (
+        _merged,
+        duck("SELECT eventid, category AS \"user\", CAST(k AS VARCHAR) AS k, 'x' AS extra, CAST(user_id AS VARCHAR) AS id FROM ev"),
+    ),
+    "names_and_dates": (
+        _names_and_dates,
+        duck("""SELECT eventid, strftime(utctimestamp, '%H') AS now_hour, strftime(utctimestamp, '%d') AS now_day,
+  strftime(utctimestamp - INTERVAL 1 HOUR, '%H') AS last_hour_hour, strftime(utctimestamp - INTERVAL 1 HOUR, '%m') AS last_hour_month,
+  strftime(utctimestamp - INTERVAL 1 HOUR, '%Y') AS last_hour_year,
+  replace(replace(coalesce(servicename, eventsource), '.amazonaws.com', ''), '.googleapis.com', '') AS service,
+  left(md5(eventid), 8) AS short, upper(left(md5(eventid), 8)) AS shown, true AS long_enough FROM ev"""),
+    ),
     "query_events": (
         _criteria,
         duck(f"""SELECT {_BRIEF} FROM ev WHERE (source = 'gcp_audit' AND methodname = 'SetIamPolicy'

@@ -111,6 +111,31 @@ def unfold(text: Column, wanted: Iterable[str], tokens: Iterable[str] | None = N
     return run(text)
 
 
+def merged(left, right):
+    """Objects merged at every depth, the right side winning."""
+    if not (isinstance(left, dict) and isinstance(right, dict)):
+        return right
+    return {**left, **{k: merged(left[k], v) if k in left else v for k, v in right.items()}}
+
+
+def merge(left: Column, right: Column) -> Column:
+    """Deep merge of two JSON object texts; the values of `right` win. NULL or unreadable text counts as {}."""
+
+    def read(value):
+        try:
+            node = json.loads(value) if value is not None else {}
+        except (ValueError, RecursionError):
+            node = {}
+        return node if isinstance(node, dict) else {}
+
+    @F.arrow_udf(T.StringType())
+    def run(a: pa.Array, b: pa.Array) -> pa.Array:
+        pairs = zip(a.to_pylist(), b.to_pylist())
+        return pa.array([json.dumps(merged(read(x), read(y)), ensure_ascii=False) for x, y in pairs], type=pa.string())
+
+    return run(left, right)
+
+
 def split_json_blocks(df: DataFrame, col: str, out: str = "block") -> DataFrame:
     """One row per JSON object of a text that holds several, found by counting braces."""
 

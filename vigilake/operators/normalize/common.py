@@ -30,13 +30,13 @@ WANTED_KEYS = (*SOURCE_FIELDS, *DESTINATION_FIELDS, *TIME_FIELDS, "date", "state
 
 
 def _array(names: Sequence[str]) -> Column:
-    return F.array(*[F.lit(n) for n in names])
+    return F.expr("array(" + ", ".join(f"'{n}'" for n in names) + ")")
 
 
 def best_address(names: Sequence[str], first_of_list: bool) -> Column:
     """The first valid address under the most telling field name, wherever it is in the document."""
     ranked = F.transform(
-        F.filter("found", lambda x: (x["kind"] == "string") & x["key"].isin(*names)),
+        F.filter("found", lambda x: (x["kind"] == "string") & F.array_contains(_array(names), x["key"])),
         lambda x, i: F.struct(
             F.array_position(_array(names), x["key"]).alias("rank"),
             i.alias("i"),

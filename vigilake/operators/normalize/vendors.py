@@ -90,7 +90,7 @@ AUDIT_STREAMS = {
 
 
 def literal_map(pairs: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
+    return F.expr("map(" + ", ".join(f"'{x}'" for kv in pairs.items() for x in kv) + ")")
 
 
 def starts_with_any(text: Column, prefixes: tuple[str, ...]) -> Column:

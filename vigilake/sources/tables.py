@@ -90,11 +90,10 @@ def prepare_write(df: DataFrame) -> DataFrame:
 def write_events(df: DataFrame, path: str, mode: str = "append") -> None:
     """Append events, one folder per day.
 
-    Rows are spread over the day folders by (day, hash of the id), so a busy day is written by many
-    tasks and a quiet day does not leave one small file per task.
+    Rebalanced by day: adaptive execution splits a busy day over many tasks and files of the advisory
+    partition size and joins up quiet ones, so a small micro-batch does not leave many small files.
     """
-    out = prepare_write(df)
-    out = out.repartition("event_date", F.pmod(F.xxhash64("eventid", "utctimestamp"), F.lit(64)))
+    out = prepare_write(df).hint("rebalance", "event_date")
     out.sortWithinPartitions("event_date", "utctimestamp").write.mode(mode).partitionBy("event_date").parquet(path)
 
 
