@@ -102,3 +102,18 @@ def test_cycles_fold_and_replay(events, spark):
 def test_rule_documents():
     r = rule_from_dict({"alert_name": "x", "tags": None, "debug": True, "alert_type": "deadman"})
     assert (r.limit, r.samples, r.tags) == (0, 0, ())
+
+
+def test_compacted_logs_say_the_same(events, spark, monkeypatch):
+    from vigilake.operators import tick
+
+    monkeypatch.setattr(tick, "COMPACT_EVERY", 2)
+    state = StateFolder(spark, run_dir(spark, "c"))
+    rules = [Rule("dead", "deadman", criteria="source = 'x'", summary="gone"),
+             Rule("click", criteria="category = 'click'", lookback_minutes=MONTH)]
+    for minute in range(3):
+        run_tick(events, rules, state, f"2024-01-31 00:0{minute}:00")
+    assert state._cycles("base_alerts") == [2]
+    alerts = {r.alert_name: r for r in state.alerts().collect()}
+    assert alerts["dead"].deadman_hits == 3 and len(alerts) == 2
+    assert alerts["click"].new_count == state.log("processed", tick.CLAIM, 3).count()

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vigilake.functions.jsonfn import field, record_json, record_lookup, render, template_fields
 from vigilake.functions.scalars import stable_id
-from vigilake.operators.query import InvalidCriteria, criteria_column
+from vigilake.operators.query import InvalidCriteria, criteria_column, criteria_expr
 from vigilake.plans.blocked import first_n
 from vigilake.schema import ALERT_SCHEMA, SHELL_FIELDS
 from vigilake.sources.rules import Rule
@@ -57,23 +57,47 @@ def watches_of(rules: Sequence[Rule], first_slots: bool = True) -> list[Watch]:
 
 
 def check_rules(events: DataFrame, rules: Sequence[Rule]) -> tuple[list[Rule], list[tuple[str, str]]]:
-    """Split rules into usable ones and (name, reason). Only analyses expressions; no job runs."""
-    good, failed = [], []
+    """Split rules into usable ones and (name, reason). Only analyses expressions; no job runs.
+
+    All criteria are analysed together; one by one only when that fails, to find the bad ones.
+    """
+    columns = events.columns
+
+    def conditions(rule: Rule) -> list[Column]:
+        specs = rule.slots if rule.alert_type == "sequence" else (rule,)
+        if not specs:
+            raise InvalidCriteria("no slots in sequence")
+        if any(not s.criteria.strip() for s in specs):
+            raise InvalidCriteria("empty criteria")
+        return [criteria_expr(columns, s.criteria) for s in specs if not template_fields(s.criteria)]
+
+    def analyse(conds: list[Column]) -> None:
+        for f in events.select(*[c.alias(f"c{i}") for i, c in enumerate(conds)]).schema.fields:
+            if f.dataType.simpleString() != "boolean":
+                raise InvalidCriteria(f"criteria must be true or false, not {f.dataType.simpleString()}")
+
+    ready, failed = [], []
     for rule in rules:
         try:
-            specs = rule.slots if rule.alert_type == "sequence" else (rule,)
-            if not specs:
-                raise InvalidCriteria("no slots in sequence")
-            for spec in specs:
-                if not spec.criteria.strip():
-                    raise InvalidCriteria("empty criteria")
-                if not template_fields(spec.criteria):
-                    criteria_column(events, spec.criteria)
-            good.append(rule)
+            ready.append((rule, conditions(rule)))
         except Exception as e:  # noqa: BLE001 - a bad rule must not stop the others
-            log.error("rule %s failed: %s", rule.alert_name, e)
-            failed.append((rule.alert_name, str(e).splitlines()[0]))
-    return good, failed
+            failed.append((rule, e))
+    try:
+        analyse([c for _, conds in ready for c in conds])
+        good = [rule for rule, _ in ready]
+    except Exception:  # noqa: BLE001
+        good = []
+        for rule, conds in ready:
+            try:
+                analyse(conds)
+                good.append(rule)
+            except Exception as e:  # noqa: BLE001
+                failed.append((rule, e))
+    order = {id(r): i for i, r in enumerate(rules)}
+    failed.sort(key=lambda pair: order[id(pair[0])])
+    for rule, e in failed:
+        log.error("rule %s failed: %s", rule.alert_name, str(e).splitlines()[0])
+    return good, [(rule.alert_name, str(e).splitlines()[0]) for rule, e in failed]
 
 
 def lookback(events: DataFrame, minutes: object, as_of: datetime | str, closed: bool = False) -> DataFrame:
@@ -98,10 +122,10 @@ def hits(events: DataFrame, watches: Sequence[Watch], as_of: datetime | str, clo
     end = as_datetime(as_of)
     longest = max(clamp_minutes(w.spec.lookback_minutes) for w in watches)
     recent = scan_events(events, as_of, longest, closed)
-    found = []
+    columns, found = events.columns, []
     for w in watches:
         minutes = clamp_minutes(w.spec.lookback_minutes)
-        cond = criteria_column(events, w.spec.criteria)
+        cond = criteria_expr(columns, w.spec.criteria)
         if minutes < longest:
             cond = (F.col("utctimestamp") >= ts_lit(end - timedelta(minutes=minutes))) & cond
         value = key_value(events, w.spec)

@@ -99,17 +99,19 @@ def adapt_spelling(criteria: str, columns: Sequence[str] = ()) -> str:
     return _SPELLING.sub(swap, criteria)
 
 
-def criteria_column(events: DataFrame, criteria: str) -> Column:
-    """The criteria as one boolean Column, always in parentheses, so an OR cannot escape the window.
-
-    Checked against the table's schema only: no job runs.
-    """
+def criteria_expr(columns: Sequence[str], criteria: str) -> Column:
+    """The criteria in parentheses, so an OR cannot escape the window; not yet checked against a table."""
     text = validate_criteria(criteria)
     if not text:
         return F.lit(True)
     if re.search(r"\(\s*(select|with)\b", text, re.IGNORECASE):
         raise InvalidCriteria("criteria must not contain a query")
-    cond = F.expr(f"({adapt_spelling(text, events.columns)})")
+    return F.expr(f"({adapt_spelling(text, columns)})")
+
+
+def criteria_column(events: DataFrame, criteria: str) -> Column:
+    """`criteria_expr` checked to be a boolean over this table. Analysis only: no job runs."""
+    cond = criteria_expr(events.columns, criteria)
     kind = events.select(cond.alias("c")).schema["c"].dataType
     if not isinstance(kind, T.BooleanType):
         raise InvalidCriteria(f"criteria must be true or false, not {kind.simpleString()}")

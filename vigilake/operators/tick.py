@@ -1,5 +1,8 @@
 """One detection cycle over the event table, with its state in plain tables.
 
+Every `COMPACT_EVERY` cycles the logs that are read back are written together, so a cycle reads one base
+folder and few small ones however long the system runs.
+
 Layout below the state folder, one sub-folder per cycle number: `alerts` and `alert_events` and
 `processed` and `outbox` are logs of what the cycle added or changed, `inflight` is the whole (small, short-lived)
 state after it. A cycle counts only once its marker in `done` is written, so a cycle that died half-way
@@ -13,13 +16,13 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilake.operators import detect as d
 from vigilake.operators import sequence as sq
 from vigilake.plans.blocked import latest
-from vigilake.schema import ALERT_SCHEMA, INFLIGHT_SCHEMA
+from vigilake.schema import ALERT_SCHEMA, INFLIGHT_SCHEMA, RETENTION_DAYS
 from vigilake.sources.messages import heartbeat_events
 from vigilake.sources.outbox import notification_outbox
 from vigilake.sources.rules import Rule
@@ -27,6 +30,7 @@ from vigilake.sources.tables import as_datetime, clamp_minutes, ts_lit
 
 log = logging.getLogger(__name__)
 
+COMPACT_EVERY = 60
 CLAIM = "alert_id string, eventid string, utctimestamp timestamp, processed_at timestamp"
 CHANGE = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ALERT_SCHEMA) + ", notify boolean, cycle int"
 
@@ -36,14 +40,15 @@ class StateFolder:
     spark: SparkSession
     path: str
 
-    def done(self) -> int:
-        """Number of the last finished cycle, 0 when there is none."""
+    def _cycles(self, table: str) -> list[int]:
         jvm = self.spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/done")
+        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
         fs = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(where):
-            return 0
-        return max((int(s.getPath().getName()[1:]) for s in fs.listStatus(where)), default=0)
+        return [int(s.getPath().getName()[1:]) for s in fs.listStatus(where)] if fs.exists(where) else []
+
+    def done(self) -> int:
+        """Number of the last finished cycle, 0 when there is none."""
+        return max(self._cycles("done"), default=0)
 
     def _at(self, table: str, cycle: int) -> str:
         return f"{self.path}/{table}/c{cycle:09d}"
@@ -59,10 +64,18 @@ class StateFolder:
         mark.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(mark)
 
     def log(self, table: str, schema: str, upto: int) -> DataFrame:
-        """All rows cycles 1..upto wrote to a log table."""
+        """The newest base of a log table and what cycles wrote after it, up to cycle `upto`."""
         if not upto:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*[self._at(table, c) for c in range(1, upto + 1)])
+        base = max((c for c in self._cycles(f"base_{table}") if c <= upto), default=0)
+        paths = [self._at(f"base_{table}", base)] if base else []
+        paths += [self._at(table, c) for c in range(base + 1, upto + 1)]
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def compact(self, cycle: int, oldest: Column) -> None:
+        """Write alerts as they stand, and claims of events that can still exist, as new bases."""
+        self.write(latest(self.log("alerts", CHANGE, cycle), ["alert_id"], ["cycle"]).select(*ALERT_SCHEMA.names, "notify", "cycle"), "base_alerts", cycle)
+        self.write(self.log("processed", CLAIM, cycle).filter(F.col("utctimestamp") >= oldest), "base_processed", cycle)
 
     def inflight(self, upto: int) -> DataFrame:
         if not upto:
@@ -138,6 +151,8 @@ def run_tick(
     state.write(everything.withColumn("processed_at", ts_lit(as_of)), "processed", cycle)
     if notify:
         state.write(notification_outbox(changes, notify), "outbox", cycle)
+    if cycle % COMPACT_EVERY == 0:
+        state.compact(cycle, ts_lit(as_datetime(as_of) - timedelta(days=RETENTION_DAYS)))
     state.finish(cycle)
 
     metrics = d.fanout_metrics(len(good), len(failed))
