@@ -1,6 +1,6 @@
-"""The two per-document helpers Spark has no expression for, as Arrow UDFs.
+"""The per-document helpers Spark has no expression for, as Arrow UDFs.
 
-`unfold` rewrites keys and lists where wanted keys occur; `split_json_blocks` cuts concatenated JSON
+`unfold` rewrites keys and lists where wanted keys occur, `merge` merges, `split_json_blocks` cuts JSON
 objects apart. Everything decided from their output is done with Spark expressions.
 """
 
