@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.llm import bpe, planes
+from vigilake.llm import article, bpe, planes, rules
 from vigilake.session import configure, run_dir
 
 WORD_BPE = "word_bpe_49k.json"
@@ -46,7 +46,20 @@ def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op9_best_region_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = article.main_text(pages, article.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op1_bit_planes": (op1_bit_planes, None),
+    "op8_risk_controlled_rules": (op8_risk_controlled_rules, rules.sql()),
+    "op9_best_region_text": (op9_best_region_text, None),
     "op10_rank_array_bpe": (op10_rank_array_bpe, None),
 }
