@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONG = 256
-CACHE = 600_000  # chunks kept per worker; about 150 MB
+CACHE = 400_000  # chunks kept per worker; about 100 MB
 NONE = 1 << 60
 
 

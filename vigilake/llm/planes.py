@@ -217,7 +217,8 @@ def read_ids(spark: SparkSession, folder: str, derive: dict[str, tuple[str, Call
                         yield pa.RecordBatch.from_pylist(rows, schema=shape)
 
     columns = ", ".join(["doc_id long", "start long", "n_tokens long", *(f"{c} {k}" for c, (k, _) in derive.items())])
-    return placed.repartition(F.col("file")).mapInArrow(run, columns)
+    # a task per shard: a number of its own keeps adaptive execution from joining the small rows up again
+    return placed.repartition(max(1, manifest.count())).mapInArrow(run, columns)
 
 
 def crc32(ids: np.ndarray) -> int:

@@ -15,7 +15,8 @@ WORD_BPE = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")  # texts are long rows
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @lru_cache(maxsize=2)

@@ -20,43 +20,46 @@ from pyspark.sql import functions as F
 
 from vigilake.session import materialise
 
-SPACE = r"[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
-CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # rule -> (part, whole, cutoffs in percent from strict to mild)
 RULES: dict[str, tuple[str, str, tuple[int, ...]]] = {
     "symbols": ("n_symbols", "n_words", (5, 10, 20, 30, 50, 100)),
     "lines": ("n_dup_lines", "n_lines", (10, 20, 30, 50, 70)),
     "repeats": ("n_repeat_words", "n_words", (5, 8, 11, 14, 17)),
-    "capitals": ("n_capitals", "word_chars", (10, 20, 30, 50, 70)),
     "marks": ("n_marks", "n_words", (5, 10, 20, 50)),
     "length": ("word_chars", "n_words", (900, 1100, 1500, 2500)),
 }
 
 
 def count_of(text: str, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(F.col(text), chars, ""))
+    rest = F.col(text)
+    for c in chars:
+        rest = F.replace(rest, F.lit(c), F.lit(""))
+    return F.length(text) - F.length(rest)
 
 
 def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
     """The counts of each document: `keep` columns, then n_words to n_marks (long)."""
     d = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    d = d.withColumn("_w", F.expr(f"filter(split(_text, '{SPACE}'), x -> x != '')"))
-    d = d.withColumn("_lines", F.expr(f"filter(split(_text, '\\n'), x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]')"))
-    # five-word windows by hash and place; equal neighbours after sorting are the windows found twice or more
+    # white space becomes single characters first: cutting at one character needs no pattern
+    flat = F.col("_text")
+    for space in "\t\n\x0b\f\r":
+        flat = F.replace(flat, F.lit(space), F.lit(" "))
+    d = d.withColumn("_w", F.array_remove(F.split(flat, " "), ""))
+    d = d.withColumn("_lines", F.expr("filter(split(_text, '\\n'), x -> x rlike '[^\\\\x20\\\\x09-\\\\x0D]')"))
+    # 64-bit hashes of the five-word windows; only texts with equal ones look at the places
+    shifted = ", ".join(f"slice(_w, {i}, size(_w) - 4)" for i in range(1, 6))
+    d = d.withColumn("_win", F.expr(f"if(size(_w) < 5, cast(array() AS array<bigint>), transform(arrays_zip({shifted}), s -> xxhash64(s)))"))
     d = d.withColumn(
-        "_win",
-        F.expr(
-            "if(size(_w) < 5, array(), array_sort(transform(sequence(0, size(_w) - 5), "
-            "i -> struct(xxhash64(_w[i], _w[i + 1], _w[i + 2], _w[i + 3], _w[i + 4]) AS h, i AS i))))"
-        ),
+        "_pairs",
+        F.expr("if(size(array_distinct(_win)) = size(_win), NULL, sort_array(transform(_win, (x, j) -> struct(x AS h, j AS i))))"),
     )
     d = d.withColumn(
         "_again",
         F.expr(
-            "array_sort(transform(filter(_win, (x, j) -> coalesce(get(_win, j - 1).h = x.h, false) "
-            "OR coalesce(get(_win, j + 1).h = x.h, false)), x -> x.i))"
+            "if(_pairs IS NULL, cast(array() AS array<int>), sort_array(transform(filter(_pairs, (x, j) -> "
+            "coalesce(get(_pairs, j - 1).h = x.h, false) OR coalesce(get(_pairs, j + 1).h = x.h, false)), x -> x.i)))"
         ),
     )
     covered = (
@@ -67,12 +70,11 @@ def measure(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_i
     return d.select(
         *keep,
         n(F.size("_w")).alias("n_words"),
-        n(F.length(F.regexp_replace("_text", r"[\x20\x09-\x0D]+", ""))).alias("word_chars"),
+        n(F.length(F.array_join("_w", ""))).alias("word_chars"),
         n(count_of("_text", SYMBOLS)).alias("n_symbols"),
         n(F.size("_lines") - F.size(F.array_distinct("_lines"))).alias("n_dup_lines"),
         n(F.expr(covered)).alias("n_repeat_words"),
         n(F.size("_lines")).alias("n_lines"),
-        n(count_of("_text", CAPITALS)).alias("n_capitals"),
         n(count_of("_text", "!")).alias("n_marks"),
     )
 
@@ -165,7 +167,7 @@ rep AS (SELECT doc_id, sum(least(5, coalesce(i - before, 5)))::BIGINT AS n FROM
 m AS (SELECT w.doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
   (length(x) - length(translate(x, '{SYMBOLS}', '')))::BIGINT AS n_symbols,
   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
-  len(lines)::BIGINT AS n_lines, (length(x) - length(translate(x, '{CAPITALS}', '')))::BIGINT AS n_capitals,
+  len(lines)::BIGINT AS n_lines,
   (length(x) - length(translate(x, '!', '')))::BIGINT AS n_marks FROM w LEFT JOIN rep USING (doc_id)),
 j AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
 known AS (SELECT doc_id, min(quality) >= 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
