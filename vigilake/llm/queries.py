@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.llm import article, bpe, planes, rules
+from vigilake.llm import article, bpe, parity, planes, rules
 from vigilake.session import configure, run_dir
 
 WORD_BPE = "word_bpe_49k.json"
@@ -47,6 +47,10 @@ def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity.join(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 def op8_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -60,6 +64,7 @@ def op9_best_region_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bit_planes": (op1_bit_planes, None),
+    "op6_parity_sketch_join": (op6_parity_sketch_join, None),
     "op8_risk_controlled_rules": (op8_risk_controlled_rules, rules.sql()),
     "op9_best_region_text": (op9_best_region_text, None),
     "op10_rank_array_bpe": (op10_rank_array_bpe, None),

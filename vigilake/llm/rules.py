@@ -15,7 +15,7 @@ not used; an empty table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilake.session import materialise
@@ -117,8 +117,8 @@ def certify(
     ]
     share = alpha / len(rules)
     # the number of tests is that of strata with labelled rows times the grid
-    m = counts.agg((F.count(F.lit(1)) * len(fails)).alias("_m"))
-    each = counts.select("_s", "n_good", "n_bad", F.explode(F.array(*tests)).alias("t")).join(m, F.lit(True))
+    m = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1))) * len(fails)
+    each = counts.withColumn("_m", m).select("_s", "n_good", "n_bad", "_m", F.explode(F.array(*tests)).alias("t"))
     each = each.filter((F.col("t.g") <= share * F.col("n_good")) & (F.col("n_good") > 0))
     passed = each.filter(at_most(F.col("n_good"), F.col("t.g"), share) * F.col("_m") <= delta)
     gain = F.col("t.b") / F.greatest("n_bad", F.lit(1)) - F.col("t.g") / F.col("n_good")
