@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.llm import article, bpe, parity, planes, rules
+from vigilake.llm import article, bpe, cotrain, mixing, parity, planes, rules
 from vigilake.session import configure, run_dir
 
 WORD_BPE = "word_bpe_49k.json"
@@ -47,10 +47,35 @@ def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MIX_LEVELS = ["domain", "lang", "source"]
+MIX_WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2}, "lang": {"en": 5, "de": 2, "fr": 2}}
+
+
+def with_domain(docs: DataFrame) -> DataFrame:
+    """The synthetic sources have no domain; their number modulo four names one, anything else is `other`."""
+    number = F.regexp_extract("source", "^src([0-9]{1,9})$", 1).try_cast("long")
+    return docs.withColumn("domain", F.when(number.isNull(), "other").otherwise(F.concat(F.lit("domain"), (number % 4).cast("string"))))
+
+
+DOMAIN_SQL = (
+    "SELECT doc_id, lang, source, text, CASE WHEN regexp_matches(coalesce(source, ''), '^src[0-9]{1,9}$') "
+    "THEN 'domain' || (substr(source, 4)::BIGINT % 4) ELSE 'other' END AS domain FROM documents"
+)
+
+
+def op5_hierarchical_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_domain(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    return mixing.mix(docs, MIX_LEVELS, MIX_WEIGHTS, percent=60, max_epochs=2)
+
+
 def op6_parity_sketch_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity.join(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
 
 
+def op7_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotrain.classify(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rules.controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -64,7 +89,9 @@ def op9_best_region_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bit_planes": (op1_bit_planes, None),
+    "op5_hierarchical_budget": (op5_hierarchical_budget, mixing.sql(DOMAIN_SQL, MIX_LEVELS, MIX_WEIGHTS)),
     "op6_parity_sketch_join": (op6_parity_sketch_join, None),
+    "op7_cotrained_quality": (op7_cotrained_quality, None),
     "op8_risk_controlled_rules": (op8_risk_controlled_rules, rules.sql()),
     "op9_best_region_text": (op9_best_region_text, None),
     "op10_rank_array_bpe": (op10_rank_array_bpe, None),
