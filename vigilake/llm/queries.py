@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.llm import article, bpe, cotrain, mixing, parity, planes, rules
+from vigilake.llm import article, bpe, cotrain, mixing, parity, pii, planes, rules
 from vigilake.session import configure, run_dir
 
 WORD_BPE = "word_bpe_49k.json"
@@ -47,6 +47,12 @@ def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    of = [F.expr(f"size(filter(base, x -> x.kind = {i}))").cast("long").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *of, F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"), pii.spelled(F.col("spans")).alias("spans"))
+
+
 MIX_LEVELS = ["domain", "lang", "source"]
 MIX_WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2}, "lang": {"en": 5, "de": 2, "fr": 2}}
 
@@ -89,6 +95,7 @@ def op9_best_region_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_bit_planes": (op1_bit_planes, None),
+    "op2_contextual_pii": (op2_contextual_pii, None),
     "op5_hierarchical_budget": (op5_hierarchical_budget, mixing.sql(DOMAIN_SQL, MIX_LEVELS, MIX_WEIGHTS)),
     "op6_parity_sketch_join": (op6_parity_sketch_join, None),
     "op7_cotrained_quality": (op7_cotrained_quality, None),
