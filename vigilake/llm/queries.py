@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.llm import article, bpe, cotrain, mixing, parity, pii, planes, rules
+from vigilake.llm import article, bpe, collide, cotrain, mixing, parity, pii, planes, rules
 from vigilake.session import configure, run_dir
 
 WORD_BPE = "word_bpe_49k.json"
@@ -53,6 +53,10 @@ def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *of, F.sha2(pii.spelled(F.col("base")), 256).alias("base_sha256"), pii.spelled(F.col("spans")).alias("spans"))
 
 
+def op3_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collide.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0).withColumn("rank", F.col("rank").cast("int"))
+
+
 MIX_LEVELS = ["domain", "lang", "source"]
 MIX_WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2}, "lang": {"en": 5, "de": 2, "fr": 2}}
 
@@ -96,6 +100,7 @@ def op9_best_region_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bit_planes": (op1_bit_planes, None),
     "op2_contextual_pii": (op2_contextual_pii, None),
+    "op3_collision_counting": (op3_collision_counting, None),
     "op5_hierarchical_budget": (op5_hierarchical_budget, mixing.sql(DOMAIN_SQL, MIX_LEVELS, MIX_WEIGHTS)),
     "op6_parity_sketch_join": (op6_parity_sketch_join, None),
     "op7_cotrained_quality": (op7_cotrained_quality, None),
