@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.llm import article, bpe, collide, cotrain, mixing, parity, pii, planes, rules
+from vigilake.llm import article, bpe, collide, cotrain, mixing, parity, pii, planes, rules, suffixes
 from vigilake.session import configure, run_dir
 
 WORD_BPE = "word_bpe_49k.json"
@@ -57,6 +57,10 @@ def op3_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collide.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0).withColumn("rank", F.col("rank").cast("int"))
 
 
+def op4_lyndon_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeats(table(spark, sf_dir, "documents"), width=50)
+
+
 MIX_LEVELS = ["domain", "lang", "source"]
 MIX_WEIGHTS = {"domain": {"domain0": 4, "domain1": 3, "domain2": 2}, "lang": {"en": 5, "de": 2, "fr": 2}}
 
@@ -101,6 +105,7 @@ QUERIES = {
     "op1_bit_planes": (op1_bit_planes, None),
     "op2_contextual_pii": (op2_contextual_pii, None),
     "op3_collision_counting": (op3_collision_counting, None),
+    "op4_lyndon_groups": (op4_lyndon_groups, None),
     "op5_hierarchical_budget": (op5_hierarchical_budget, mixing.sql(DOMAIN_SQL, MIX_LEVELS, MIX_WEIGHTS)),
     "op6_parity_sketch_join": (op6_parity_sketch_join, None),
     "op7_cotrained_quality": (op7_cotrained_quality, None),
