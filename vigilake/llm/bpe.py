@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONG = 256
-CACHE = 400_000  # chunks kept per worker; about 100 MB
+CACHE = 250_000  # chunks kept per worker; about 100 MB with their words
 NONE = 1 << 60
 
 

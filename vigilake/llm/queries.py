@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,14 +40,18 @@ def op1_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.round_trip(docs, public_tokenizers.path(WORD_BPE))
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    path = public_tokenizers.path(WORD_BPE)
+
+    # the digests are taken where the ids and the decoded text are, so neither crosses to the JVM
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digests(texts: pa.Array) -> pa.Array:
+        ids = bpe.encoder(path).array(texts)
+        decoded = bpe.decode_array(ids, path)
+        numbers = pc.binary_join(ids.cast(pa.list_(pa.string())), " ")
+        hashed = [pa.array([hashlib.sha256(x.as_py().encode()).hexdigest() for x in column]) for column in (numbers, decoded)]
+        return pa.StructArray.from_arrays([pc.list_value_length(ids).cast(pa.int64()), *hashed], ["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return table(spark, sf_dir, "documents").select("doc_id", digests("text").alias("d")).select("doc_id", "d.*")
 
 
 def op2_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
