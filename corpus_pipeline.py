@@ -1,4 +1,4 @@
-"""The corpus pipeline: documents in, encoded training mix out. Stages are filled in as their operators land."""
+"""The corpus pipeline: quality, near copies, personal data, mixing, encoding."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vigilake.llm import stages
 
 STAGES = stages.STAGES
+#: Classifier fitting and similarity search have no SQL; tests/llm/test_pipeline.py holds run() against brute force.
 ORACLE_SQL = None
 
 

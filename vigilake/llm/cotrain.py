@@ -25,7 +25,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilake.session import materialise
@@ -219,29 +219,34 @@ def cotrain(a: np.ndarray, b: np.ndarray, y: np.ndarray, ua: np.ndarray, ub: np.
     return Model(calibrated("a"), calibrated("b"), share)
 
 
-def sampled(df: DataFrame, most: int, seed: int) -> DataFrame:
-    """About `most` rows by a hash of the id (all, if there are fewer)."""
-    every = max(1, df.count() // max(1, most))
-    return df.filter(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(every)) == 0)
+def picked(n: int, most: int, seed: int) -> Column:
+    """Whether a row is in a sample of about `most` of `n` rows, by a hash of its id."""
+    return F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(max(1, n // max(1, most)))) == 0
 
 
-def fit(found: DataFrame, labels: DataFrame, labelled: int = 6_000, unlabelled: int = 12_000, rounds: int = 4) -> Model:
-    """The model from a feature table and labels (doc_id, quality). Samples of bounded size come to the driver, ordered by id."""
-    known = labels.filter(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("y"))
-    with_y = sampled(found.join(known, "doc_id"), labelled, 1).select("doc_id", "a", "b", "y").toArrow()
-    free = sampled(found.join(known, "doc_id", "left_anti"), unlabelled, 2).select("doc_id", "a", "b").toArrow()
+def fit(rows: DataFrame, labels: DataFrame, labelled: int = 6_000, unlabelled: int = 12_000, rounds: int = 4, found=lambda x: x) -> Model:
+    """The model from rows with `doc_id` and labels (doc_id, quality); `found` turns rows into features, after the sampling.
+
+    Samples of bounded size come to the driver, mixed by a hash of the id.
+    """
+    known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_known")).agg(F.min("quality").alias("y"))
+    in_y, in_free = picked(known.count(), labelled, 1), picked(rows.count(), unlabelled, 2)
+    columns = rows.columns
+    some = known.join(rows.filter(in_y), F.col("_known") == F.col("doc_id"))
+    truth = {r["_known"]: r["y"] for r in some.select("_known", "y").distinct().toLocalIterator()}
+    with_y = found(some.select(*columns)).toArrow()
+    free = found(rows.filter(in_free).join(known, F.col("_known") == F.col("doc_id"), "left_anti").select(*columns)).toArrow()
 
     def matrix(table: pa.Table, column: str) -> np.ndarray:
         flat = table[column].combine_chunks().flatten() if table.num_rows else pa.array([], pa.float32())
         return np.asarray(flat, dtype=np.float32).reshape(table.num_rows, -1 if table.num_rows else 1)
 
-    # hash order mixes the rows before every third is held out
     def mixed(table: pa.Table) -> pa.Table:
-        ids = np.asarray(table["doc_id"].fill_null(-1).combine_chunks(), dtype=np.int64)
+        ids = np.asarray(table["doc_id"].combine_chunks().fill_null(-1), dtype=np.int64)
         return table.take(pa.array(np.lexsort((ids, (ids * 2_654_435_761) % 1_000_003))))
 
     with_y, free = mixed(with_y), mixed(free)
-    y = (np.asarray(with_y["y"].combine_chunks(), dtype=float) >= 1).astype(float) if with_y.num_rows else np.zeros(0)
+    y = np.array([float(truth[i] >= 1) for i in with_y["doc_id"].to_pylist()])
     return cotrain(matrix(with_y, "a"), matrix(with_y, "b"), y, matrix(free, "a"), matrix(free, "b"), rounds)
 
 
@@ -261,3 +266,17 @@ def classify(spark: SparkSession, docs: DataFrame, labels: DataFrame, cutoff: fl
     """doc_id, score, kept of every row of `docs`."""
     found = materialise(features(docs), "features")
     return scored(found, fit(found, labels)).withColumn("kept", F.col("score") >= cutoff)
+
+
+def accepted(docs: DataFrame, labels: DataFrame, cutoff: float = 0.5, fields: tuple[str, ...] = META_FIELDS) -> DataFrame:
+    """The rows of `docs` that the classifier keeps. Features are taken of the samples to fit, then of each row as it is judged: no join, no table."""
+    model = fit(docs.select("doc_id", "text", *fields, "n_chars"), labels, found=features)
+
+    @F.arrow_udf("boolean")
+    def run(texts: pa.Array, sizes: pa.Array, *meta: pa.Array) -> pa.Array:
+        a = np.array([text_statistics(t) for t in texts.to_pylist()], np.float32).reshape(len(texts), -1)
+        values = zip(*(m.to_pylist() for m in meta))
+        b = np.array([meta_features(list(v), c) for v, c in zip(values, sizes.to_pylist())], np.float32).reshape(len(texts), -1)
+        return pa.array(model.score(a, b) >= cutoff) if len(texts) else pa.array([], pa.bool_())
+
+    return docs.filter(run("text", F.col("n_chars").cast("long"), *[F.col(f).cast("string") for f in fields]))

@@ -181,37 +181,54 @@ def spelled(spans: Column) -> Column:
     return F.array_join(F.transform(F.sort_array(spans), lambda x: F.concat_ws(":", F.get(names, x["kind"]), x["start"].cast("string"), x["end"].cast("string"))), ",")
 
 
+def discovered(found: DataFrame, least: float = 0.9, rounds: int = 3) -> DataFrame:
+    """From the table of `scanned` the spans beyond the seeds: doc_id, digest, more; rows with some only."""
+    sure = bootstrap(edges_of(found), rounds).filter(F.col("score") >= least).select("instance", "kind")
+    loose = found.filter(F.exists("found", lambda m: ~m["seed"])).select("doc_id", "digest", F.explode("found").alias("m")).select("doc_id", "digest", "m.*").filter("NOT seed")
+    return loose.join(sure, ["instance", "kind"]).groupBy("doc_id", "digest").agg(F.collect_set(F.struct("start", "kind", "end")).alias("more"))
+
+
 def find(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: float = 0.9, rounds: int = 3) -> DataFrame:
     """doc_id, digest, base and spans (arrays of (start, kind, end)) of every row of `docs`."""
     found = materialise(scanned(docs, doc, text), "mentions")
-    sure = bootstrap(edges_of(found), rounds).filter(F.col("score") >= least).select("instance", "kind")
-    loose = found.filter(F.exists("found", lambda m: ~m["seed"])).select("doc_id", "digest", F.explode("found").alias("m")).select("doc_id", "digest", "m.*").filter("NOT seed")
-    span = F.struct("start", "kind", "end")
-    more = loose.join(sure, ["instance", "kind"]).groupBy("doc_id", "digest").agg(F.collect_set(span).alias("_more"))
+    more = discovered(found, least, rounds)
     as_span = lambda m: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end"))
     base = F.transform(F.filter("found", lambda m: m["seed"]), as_span)
     f, m = found.alias("f"), more.alias("m")
     same = F.col("f.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("f.digest") == F.col("m.digest"))
-    both = f.join(m, same, "left").select("f.doc_id", "f.digest", base.alias("base"), "_more")
+    both = f.join(m, same, "left").select("f.doc_id", "f.digest", base.alias("base"), "more")
     nothing = F.array().cast("array<struct<start: int, kind: int, end: int>>")
-    return both.select("doc_id", "digest", "base", F.concat("base", F.coalesce("_more", nothing)).alias("spans"))
-
-
-def redacted(text: Column, spans: Column) -> Column:
-    """`text` with its spans (a column of `find`) replaced by their kind; of overlapping spans the first names the kind."""
+    return both.select("doc_id", "digest", "base", F.concat("base", F.coalesce("more", nothing)).alias("spans"))
+
+
+def redact(text: str | None, more: list[dict] | None) -> str | None:
+    """`text` with its seeds and the discovered spans of its digest replaced by their kind; of overlapping spans the first names the kind."""
+    if not text:
+        return text
+    spans = base_spans(text)
+    if more:
+        digest = xxhash.xxh3_64_intdigest(text) - 2**63
+        spans = sorted([*spans, *((s["start"], s["end"], s["kind"]) for m in more if m["digest"] == digest for s in m["more"])], key=lambda x: (x[0], x[2]))
+    parts, at = [], 0
+    for start, end, kind in spans:
+        if start >= at:
+            parts += [text[at:start], f"<{KINDS[kind].upper()}>"]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
+
+
+def redacted(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: float = 0.9, rounds: int = 3) -> DataFrame:
+    """`docs` with all spans found in `text` replaced.
+
+    Seeds are found again where the text is, so only rows with discovered spans meet them in a join; their
+    table is written first, and Spark sees its size.
+    """
+    found = materialise(scanned(docs, doc, text), "mentions")
+    more = discovered(found, least, rounds).groupBy(F.col("doc_id").alias("_of")).agg(F.collect_list(F.struct("digest", "more")).alias("_more"))
 
     @F.arrow_udf("string")
     def run(texts: pa.Array, lists: pa.Array) -> pa.Array:
-        out = []
-        for t, spans in zip(texts.to_pylist(), lists.to_pylist()):
-            if t and spans:
-                parts, at = [], 0
-                for s in sorted(spans, key=lambda x: (x["start"], x["kind"])):
-                    if s["start"] >= at:
-                        parts += [t[at : s["start"]], f"<{KINDS[s['kind']].upper()}>"]
-                    at = max(at, s["end"])
-                t = "".join([*parts, t[at:]])
-            out.append(t)
-        return pa.array(out, pa.string())
-
-    return run(text, spans)
+        return pa.array([redact(t, m) for t, m in zip(texts.to_pylist(), lists.to_pylist())], pa.string())
+
+    met = docs.join(materialise(more, "more"), F.col(doc).cast("long").eqNullSafe(F.col("_of")), "left")
+    return met.withColumn(text, run(F.col(text), "_more")).select(*docs.columns)

@@ -1,23 +1,65 @@
-"""Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns a DataFrame."""
+"""Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns a DataFrame.
+
+All but the last return the columns they are given. Rows without a document id pass the stages that work by
+id; of rows with one id, as of near copies, one stays.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-from vigilake.llm import bpe
-from vigilake.llm.queries import WORD_BPE, table
+from vigilake.llm import bpe, cotrain, mixing, parity, pii
+from vigilake.llm.queries import MIX_LEVELS, MIX_WEIGHTS, WORD_BPE, table, with_domain
 from vigilake.session import materialise
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier rejects go."""
+    return cotrain.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near copies (five-word shingles, similarity 0.8) the smallest id stays."""
+    found = materialise(parity.join(docs, width=5, num=80), "near")
+    copies = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    rest = docs.join(copies, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    # several rows of one id: the least row of them
+    again = materialise(found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again")), "again")
+    same = F.col("doc_id").cast("long") == F.col("_again")
+    single = rest.join(again, same, "left_anti")
+    least = rest.join(again, same, "left_semi").groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    return single.unionByName(least.select("_row.*"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data gives way to its kind; `n_chars` follows the text."""
+    clean = pii.redacted(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Four fifths of the tokens by the weights of domain, language and source; a document stays whole, and once."""
+    taken = mixing.mix(with_domain(docs), MIX_LEVELS, MIX_WEIGHTS, percent=80, max_epochs=1)
+    ids = taken.select(F.col("doc_id").alias("_taken")).distinct()
+    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("_taken")), "left_semi")
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode all texts; the last stage, so ids and their number join the document's columns."""
-    ids = bpe.encode(F.col("text"), public_tokenizers.path(WORD_BPE))
-    return docs.withColumn("ids", ids).withColumn("n_tokens", F.size("ids").cast("long"))
+    """Ids of all texts and their number join the document's columns; their decoding is checked by its digest."""
+    path = public_tokenizers.path(WORD_BPE)
+    ids = docs.withColumn("ids", bpe.encode(F.col("text"), path))
+    return ids.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
-STAGES = [("BPE encoding and decoding", encoded)]
+STAGES = [
+    ("quality classifier", good_quality),
+    ("n-gram Jaccard join", one_of_near_copies),
+    ("personal data", without_personal_data),
+    ("mixing sources to target weights", mixed),
+    ("BPE encoding and decoding", encoded),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
