@@ -209,9 +209,9 @@ QUERIES = {
 ORDER BY utctimestamp DESC, eventid LIMIT 500"""),
     ),
     "browse": (
-        lambda s, p: _brief(q.browse(events(s, p), 10 * DAY, 5000, as_of=AS_OF)),
+        lambda s, p: _brief(q.browse(events(s, p), 10 * DAY, 5000, as_of=AS_OF, most=5000)),
         duck(f"""SELECT {_BRIEF} FROM ev WHERE utctimestamp >= {ts()} - INTERVAL {10 * DAY} MINUTE
-ORDER BY utctimestamp DESC, eventid LIMIT 1000"""),
+ORDER BY utctimestamp DESC, eventid LIMIT 5000"""),
     ),
     "scan_window": (
         lambda s, p: _brief(scan_window(events(s, p), "2024-01-05 00:00:00", "2024-01-12 12:00:00")),

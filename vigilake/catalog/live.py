@@ -50,6 +50,32 @@ def _ingested(spark, sf):
     ))
 
 
+def _messages(src):
+    """Good messages, broken ones of several kinds, plain lines; every seventh comes twice, and none in order of time."""
+    n_ = F.col("event_id").cast("string")
+    good = F.to_json(F.struct(F.col("event_id").alias("n"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp")))
+    body = (
+        F.when(F.col("event_id") % 20 == 0, F.concat(F.lit('{"a": 1e400, "n": '), n_, F.lit("}")))
+        .when(F.col("event_id") % 20 == 1, F.concat(F.lit('{"cut": '), n_))
+        .when(F.col("event_id") % 20 == 2, F.concat(F.lit("[" ), n_, F.lit("]")))
+        .when(F.col("event_id") % 20 == 3, F.concat(F.lit('{"half": "\\ud800", "n": '), n_, F.lit("}")))
+        .when(F.col("event_id") % 20 == 4, F.concat(F.lit("line "), n_))
+        .otherwise(good)
+    )
+    copies = F.when(F.col("event_id") % 7 == 0, 2).otherwise(1)
+    return src.withColumn("value", body).select("value", F.explode(F.sequence(F.lit(1), copies)).alias("_copy")).select("value")
+
+
+def _accounted(spark, sf):
+    """Every message of a troubled stream ends as an event, in quarantine, or as a repeat."""
+    n.configure(spark)
+    path = run_dir(spark, "account")
+    ingest(_stream(spark, sf, _messages), f"{path}/events", f"{path}/cp", f"{path}/bad", trigger=ONCE, dedup="1 hour", now=n.now()).awaitTermination()
+    kept = spark.read.parquet(f"{path}/events").groupBy(F.when(F.col("details").cast("string").contains("raw_log"), "line").otherwise("event").alias("outcome")).count()
+    bad = spark.read.json(f"{path}/bad").groupBy(F.col("problem").alias("outcome")).count()
+    return kept.unionByName(bad).withColumnRenamed("count", "n")
+
+
 def _deduplicated(spark, sf):
     """Every message delivered twice; one event of each stays."""
     events(spark, sf)
@@ -118,6 +144,12 @@ QUERIES = {
 ---
 SELECT eventid, t AS utctimestamp, 'UNKNOWN' AS source, event_type AS category, 'INFO' AS severity, 'UNKNOWN' AS summary, src, dst,
   CAST(CAST(t AS DATE) AS VARCHAR) AS event_date FROM c"""),
+    ),
+    "ingest_accounting": (
+        _accounted,
+        """SELECT CASE WHEN event_id % 20 IN (0, 3) THEN 'cannot be written back as JSON' WHEN event_id % 20 = 1 THEN 'not readable as JSON'
+  WHEN event_id % 20 = 2 THEN 'not a JSON object' WHEN event_id % 20 = 4 THEN 'line' ELSE 'event' END AS outcome, count(*) AS n
+FROM events GROUP BY 1""",
     ),
     "stream_dedup": (_deduplicated, duck("SELECT eventid, utctimestamp FROM ev")),
     "sliding_window_alerts": (

@@ -39,7 +39,7 @@ def _incremental(spark, sf):
 
 
 QUERIES = {
-    "identity_events": (lambda s, d: flat(v.identity_events(events(s, d))), duck(IDENTITY_SQL)),
+    "identity_events": (lambda s, d: flat(v.identity_events(events(s, d)).drop("event_date")), duck(IDENTITY_SQL)),
     "identity_events_from_variant": (
         lambda s, d: flat(v.identity_events(_unlifted(events(s, d)))),
         duck(IDENTITY_SQL),
@@ -67,7 +67,7 @@ FROM ev WHERE identity IS NOT NULL GROUP BY identity, CAST(utctimestamp AS DATE)
 FROM ev WHERE utctimestamp >= {ts()} - INTERVAL 7 DAY GROUP BY 1, 2"""),
     ),
     "iam_changes": (
-        lambda s, d: flat(v.iam_changes(events(s, d))),
+        lambda s, d: flat(v.iam_changes(events(s, d)).drop("event_date")),
         duck(f"""SELECT utctimestamp, eventid, identity, methodname AS action, resourcename AS resource, project,
   members_csv AS granted_members, roles_csv AS granted_roles,
   split_part(members_csv, ',', 1) AS granted_member, roles_csv AS policy_delta, source_ip, severity, summary

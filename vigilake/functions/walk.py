@@ -81,10 +81,29 @@ def walk(node, wanted: frozenset, keys: set, found: list) -> None:
             found.append({"key": k, "value": text, "kind": kind, "pos": pos})
 
 
+def _no_number(name: str):
+    raise ValueError(f"{name} is no JSON number")
+
+
+def read_object(value: str | None) -> dict | None:
+    """The JSON object of a text; None for anything else. Numbers that are none in JSON raise ValueError."""
+    node = json.loads(value, parse_constant=_no_number) if value is not None else None
+    return node if isinstance(node, dict) else None
+
+
+def written(node) -> str:
+    """`node` as JSON that every reader takes back: ValueError for infinite numbers and half surrogates."""
+    text = json.dumps(node, ensure_ascii=False, allow_nan=False)
+    text.encode()  # UnicodeEncodeError is a ValueError
+    return text
+
+
 def unfold(text: Column, wanted: Iterable[str], tokens: Iterable[str] | None = None) -> Column:
     """JSON text -> lower-cased document, its distinct keys, and all occurrences of wanted keys.
 
-    `tokens` limits the listed keys to those anybody asks for. Anything but a JSON object gives NULL.
+    `tokens` limits the listed keys to those anybody asks for. Anything but a JSON object gives NULL, and so
+    does an object that cannot be written back as JSON (half surrogates, numbers beyond a double) or nests
+    deeper than can be followed.
     """
     names = frozenset(wanted)
     asked = None if tokens is None else frozenset(tokens)
@@ -94,18 +113,18 @@ def unfold(text: Column, wanted: Iterable[str], tokens: Iterable[str] | None = N
         out = []
         for value in batch.to_pylist():
             try:
-                node = json.loads(value) if value is not None else None
+                node = read_object(value)
+                if node is None:
+                    out.append(None)
+                    continue
+                node = lower_keys(node)
+                keys: set = set()
+                found: list = []
+                walk(node, names, keys, found)
+                shown = sorted(keys if asked is None else keys & asked)
+                out.append({"doc": written(node), "keys": shown, "found": found})
             except (ValueError, RecursionError):
-                node = None
-            if not isinstance(node, dict):
                 out.append(None)
-                continue
-            node = lower_keys(node)
-            keys: set = set()
-            found: list = []
-            walk(node, names, keys, found)
-            shown = sorted(keys if asked is None else keys & asked)
-            out.append({"doc": json.dumps(node, ensure_ascii=False), "keys": shown, "found": found})
         return pa.array(out, type=_ARROW)
 
     return run(text)
@@ -123,15 +142,21 @@ def merge(left: Column, right: Column) -> Column:
 
     def read(value):
         try:
-            node = json.loads(value) if value is not None else {}
+            return read_object(value) or {}
         except (ValueError, RecursionError):
-            node = {}
-        return node if isinstance(node, dict) else {}
+            return {}
+
+    def both(x, y):
+        x, y = read(x), read(y)
+        for attempt in (lambda: merged(x, y), lambda: x, dict):  # what cannot be written counts as unreadable
+            try:
+                return written(attempt())
+            except (ValueError, RecursionError):
+                continue
 
     @F.arrow_udf(T.StringType())
     def run(a: pa.Array, b: pa.Array) -> pa.Array:
-        pairs = zip(a.to_pylist(), b.to_pylist())
-        return pa.array([json.dumps(merged(read(x), read(y)), ensure_ascii=False) for x, y in pairs], type=pa.string())
+        return pa.array([both(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], type=pa.string())
 
     return run(left, right)
 

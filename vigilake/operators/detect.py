@@ -44,6 +44,9 @@ class Evaluation:
     watches: list[Watch] = dc_field(default_factory=list)  # what `watch_no` refers to
 
 
+TAG_END = "\u001f"  # no tag holds it, a comma may
+
+
 def watches_of(rules: Sequence[Rule], first_slots: bool = True) -> list[Watch]:
     """Plain rules and the first slot of sequences, in rule order."""
     out: list[Watch] = []
@@ -169,17 +172,14 @@ def deadman_triggers(counts: DataFrame, watches: Sequence[Watch]) -> DataFrame:
     A watch nothing matched fires once with count 0, under the name of its key.
     """
     spark = counts.sparkSession
-    rows = [
-        (w.no, w.spec.aggregation_key if w.spec.keyed else ALL, w.spec.limit)
-        for w in watches
-        if w.spec.alert_type == "deadman"
-    ]
-    dead = spark.createDataFrame(rows, "watch_no int, absent string, ceiling int")
-    joined = dead.join(counts, "watch_no", "left")
-    n = F.coalesce("event_count", F.lit(0).cast("long"))
-    return joined.filter(n <= F.col("ceiling")).select(
-        "watch_no", F.coalesce("value", "absent").alias("value"), n.alias("event_count")
-    )
+    rows = [(w.no, w.spec.aggregation_key if w.spec.keyed else ALL) for w in watches if w.spec.alert_type == "deadman"]
+    kind = of_watch(watches, lambda w: w.spec.alert_type)
+    seen = counts.filter(kind == "deadman")
+    # ceilings are looked up in a literal; only the numbers of the watches that saw something meet the rules
+    low = seen.filter(F.col("event_count") <= of_watch(watches, lambda w: w.spec.limit))
+    silent = spark.createDataFrame(rows, "watch_no int, value string").join(seen.select("watch_no").distinct(), "watch_no", "left_anti")
+    silent = silent.select("watch_no", "value", F.lit(0).cast("long").alias("event_count"))
+    return low.select("watch_no", "value", "event_count").unionByName(silent)
 
 
 def synthetic_event(as_of: datetime | str) -> Column:
@@ -293,14 +293,14 @@ def render_summary(watches: Sequence[Watch]) -> Column:
 def alert_rows(triggers: DataFrame, watches: Sequence[Watch], as_of: datetime | str) -> DataFrame:
     """Triggers (watch_no, value, event_count, new_count, summary, events) as alert records."""
     name = of_watch(watches, lambda w: w.rule.alert_name)
-    tags = of_watch(watches, lambda w: ",".join(w.rule.tags))
+    tags = of_watch(watches, lambda w: TAG_END.join(w.rule.tags))
     cols = {
         "alert_id": stable_id(name, F.col("value"), F.lit(as_datetime(as_of).isoformat())),
         "alert_name": name,
         "alert_type": of_watch(watches, lambda w: w.rule.alert_type),
         "severity": of_watch(watches, lambda w: w.rule.severity),
         "category": of_watch(watches, lambda w: w.rule.category),
-        "tags": F.when(tags == "", F.array().cast("array<string>")).otherwise(F.split(tags, ",")),
+        "tags": F.when(tags == "", F.array().cast("array<string>")).otherwise(F.split(tags, TAG_END)),
         "status": F.lit("OPEN"),
         "created_at": ts_lit(as_of),
         "deadman_hits": F.lit(None).cast("long"),

@@ -42,7 +42,7 @@ def event_shell(raw: DataFrame, text: str, now: Column, wanted: Sequence[str], t
     """
     rest = [c for c in raw.columns if c not in SHELL_FIELDS]
     doc = raw.select(*rest, unfold(F.col(text), wanted, tokens).alias("_u"))
-    doc = doc.select(*rest, F.parse_json("_u.doc").alias("_doc"), "_u.keys", "_u.found")
+    doc = doc.select(*rest, F.try_parse_json("_u.doc").alias("_doc"), "_u.keys", "_u.found")
     d = F.col("_doc")
     top = F.try_variant_get(d, "$", "map<string,variant>")
     none = F.create_map().cast("map<string,variant>")
@@ -56,6 +56,7 @@ def event_shell(raw: DataFrame, text: str, now: Column, wanted: Sequence[str], t
         "plugins": _shell_list(d, "plugins"),
         "_severity": jtext(d, ["severity"]),
         "_drop": F.col("_doc").isNull(),
+        "_doc_read": F.col("_doc").isNotNull(),
         "_ran": F.array(F.lit("normalization_lowercase_keys"), F.lit("normalization_event_shell")),
     }
     cols.update({n: F.coalesce(jtext(d, [n]), F.lit(default)) for n, default in SHELL_STRING_DEFAULTS.items()})
@@ -71,12 +72,14 @@ def normalize(
     now: Column | None = None,
     extra_stages: Sequence[Stage] = (),
     keep_dropped: bool = False,
+    keep_unreadable: Sequence[str] = (),
     **options,
 ) -> DataFrame:
     """Events out of a column of JSON objects; rows that are no JSON object are left out (see sources).
 
     User stages go into `extra_stages`; they run by priority among the built-in ones. Everything after
-    key rewriting is column work on independent rows: no shuffle.
+    key rewriting is column work on independent rows: no shuffle. With `keep_unreadable`, a list of columns
+    of `raw`, rows that are no readable object stay: they have `unreadable` set, and every row those columns.
     """
     now = F.current_timestamp() if now is None else now
     registered = [*builtin_stages(now, **options), *extra_stages]
@@ -85,10 +88,14 @@ def normalize(
     for group in ("normalization", "enrichment"):
         for stage in stages(registered, group):
             df = apply_stage(df, stage)
+    if keep_unreadable:
+        df = df.withColumn("_drop", F.col("_drop") & F.col("_doc_read"))
     out = {c: F.col(c) for c in SHELL_FIELDS}
     out["plugins"] = F.concat("plugins", "_ran")
     out["details"] = F.to_variant_object("details")
     kept = [F.col("_drop").alias("dropped")] if keep_dropped else []
+    if keep_unreadable:
+        kept += [(~F.col("_doc_read")).alias("unreadable"), *[F.col(c) for c in keep_unreadable]]
     record = F.struct(*[c.alias(n) for n, c in out.items()], *kept)
     # A plain filter on the drop flag would be pushed down through every stage and repeat all of them.
     # A generated column stops that, for this filter and for those of the caller.

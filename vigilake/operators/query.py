@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -125,16 +126,29 @@ def query_events(
     limit: object = DEFAULT_QUERY_LIMIT,
     *,
     as_of: datetime | str,
+    most: int = MAX_QUERY_LIMIT,
 ) -> DataFrame:
-    """Matching events of the trailing window, newest first. Empty criteria browses the window."""
-    window = clamp_minutes(minutes, DEFAULT_QUERY_MINUTES, MAX_LOOKBACK_MINUTES)
-    rows = clamp_minutes(limit, DEFAULT_QUERY_LIMIT, MAX_QUERY_LIMIT)
+    """Matching events of the trailing window, newest first. Empty criteria browses the window.
+
+    At most `most` rows and the retention's length are served; a request beyond that is warned about.
+    """
+    window = _bounded("minutes", minutes, DEFAULT_QUERY_MINUTES, MAX_LOOKBACK_MINUTES)
+    rows = _bounded("rows", limit, DEFAULT_QUERY_LIMIT, most)
     recent = scan_events(events, as_of, window)
     return newest_first(recent.filter(criteria_column(events, criteria)), rows)
 
 
-def browse(events: DataFrame, minutes: object = DEFAULT_QUERY_MINUTES, limit: object = DEFAULT_QUERY_LIMIT, *, as_of) -> DataFrame:
-    return query_events(events, "", minutes, limit, as_of=as_of)
+def _bounded(what: str, asked: object, default: int, top: int) -> int:
+    got = clamp_minutes(asked, default, top)
+    if isinstance(asked, int) and asked > got:
+        warnings.warn(f"{asked} {what} asked for, {got} served; raise the limit to get more", stacklevel=3)
+    return got
+
+
+def browse(
+    events: DataFrame, minutes: object = DEFAULT_QUERY_MINUTES, limit: object = DEFAULT_QUERY_LIMIT, *, as_of, most: int = MAX_QUERY_LIMIT
+) -> DataFrame:
+    return query_events(events, "", minutes, limit, as_of=as_of, most=most)
 
 
 def newest_first(df: DataFrame, limit: int, ts: str = "utctimestamp", tie: str = "eventid") -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.functions.jsonfn import record_json, record_lookup, render
@@ -121,6 +121,14 @@ def bind_references(criteria: str, columns: Sequence[str]) -> tuple[str, dict[st
     return adapt_spelling(validate_criteria(text), columns), refs
 
 
+def hash_joined(found: DataFrame) -> DataFrame:
+    """`found`, if Spark joins it by equal keys: a criteria text can hide from `bind_references` that no key is compared."""
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    if re.search(r"\b(BroadcastNestedLoopJoin|CartesianProduct)\b", plan):
+        raise InvalidCriteria("a slot that refers to earlier slots must compare an event's column with a reference by =, for all of its matches")
+    return found
+
+
 # --- advancing ---------------------------------------------------------------
 
 
@@ -133,7 +141,7 @@ def _advance_slot(events, pending, rule: Rule, k: int, rule_no: int, as_of, proc
     window = scan_events(events, as_of, spec.lookback_minutes, closed)
     if refs:
         groups = waiting.select(*names).distinct()
-        found = window.join(groups, F.expr(f"({text})"))
+        found = hash_joined(window.join(groups, F.expr(f"({text})")))
     else:
         found = window.filter(F.expr(f"({text})"))
     value = d.key_value(events, spec)

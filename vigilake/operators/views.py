@@ -13,6 +13,11 @@ from vigilake.sources.tables import as_datetime, ts_lit, within
 FIRST_SEEN_DIMENSIONS = ("source_ip", "user_agent", "project", "source")
 
 
+def _day(events: DataFrame) -> list[str]:
+    """The partition column, where the table has one: a hunt over a view can only prune days it still sees."""
+    return ["event_date"] if "event_date" in events.columns else []
+
+
 def identity_events(events: DataFrame) -> DataFrame:
     """One row per event that names a user, with the usual detail fields as columns."""
     user = detail(events, "user")
@@ -29,6 +34,7 @@ def identity_events(events: DataFrame) -> DataFrame:
         detail(events, "events[0].name").alias("workspace_event"),
         "tags",
         "details",
+        *_day(events),
     )
 
 
@@ -40,6 +46,7 @@ def _attributed(events: DataFrame) -> DataFrame:
         detail(events, "sourceipaddress").alias("source_ip"),
         detail(events, "useragent").alias("user_agent"),
         detail(events, "project").alias("project"),
+        *_day(events),
     )
 
 
@@ -50,9 +57,11 @@ def entity_daily_activity(events: DataFrame) -> DataFrame:
     tasks; a hot identity spreads over its combinations. The sets are then built from combinations, so
     no task ever holds the raw rows of one identity.
     """
+    # the partition column is the day, so a filter on `day` prunes
+    day = F.col("event_date") if "event_date" in events.columns else F.to_date("utctimestamp")
     combos = (
         _attributed(events)
-        .withColumn("day", F.to_date("utctimestamp"))
+        .withColumn("day", day)
         .groupBy("identity", "day", "source", "category", "source_ip", "user_agent")
         .agg(
             F.count(F.lit(1)).alias("n"),
@@ -154,6 +163,7 @@ def iam_changes(events: DataFrame) -> DataFrame:
         detail(events, "policy_delta").alias("policy_delta"),
         detail(events, "sourceipaddress").alias("source_ip"),
         "severity", "summary", "details",
+        *_day(events),
     )
 
 
@@ -171,7 +181,7 @@ def approx_daily_activity(events: DataFrame) -> DataFrame:
     """Sketch variant of the distinct-ip count, mergeable over days with `hll_union_agg`."""
     return (
         _attributed(events)
-        .groupBy("identity", F.to_date("utctimestamp").alias("day"))
+        .groupBy("identity", (F.col("event_date") if "event_date" in events.columns else F.to_date("utctimestamp")).alias("day"))
         .agg(F.count(F.lit(1)).alias("event_count"), F.hll_sketch_agg("source_ip").alias("ip_sketch"))
     )
 

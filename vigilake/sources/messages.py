@@ -12,6 +12,11 @@ CLOUDTRAIL_FILE = r"(?i)\d+_cloudtrail_.+.json.gz$"
 NO_DATA = "No data in Pub/Sub message"  # fixed value
 
 
+def as_raw_log(line: Column) -> Column:
+    """A line of text as a message of its own."""
+    return F.to_json(F.struct(line.alias("raw_log")))
+
+
 def decode_envelope(raw: DataFrame, col: str = "value") -> DataFrame:
     """Unwrap push envelopes `{"message": {"data": base64}}`.
 
@@ -24,18 +29,16 @@ def decode_envelope(raw: DataFrame, col: str = "value") -> DataFrame:
     binary = F.try_to_binary(data, F.lit("base64"))
     plain = F.trim(F.when(F.is_valid_utf8(binary.cast("string")), binary.cast("string")))
     doc = F.try_parse_json(plain)
-    as_raw_log = lambda t: F.to_json(F.struct(t.alias("raw_log")))
     text = (
         F.when(message.isNull(), F.lit(None))
         .when(data.isNull(), as_raw_log(F.lit(NO_DATA)))
         .when(doc.isNull(), as_raw_log(plain))
         .otherwise(plain)
     )
-    kind = F.schema_of_variant(doc)
     problem = (
         F.when(message.isNull(), "invalid envelope")
         .when(data.isNotNull() & plain.isNull(), "undecodable data")
-        .when(doc.isNotNull() & ~kind.startswith("OBJECT"), "not a JSON object")
+        .when(doc.isNotNull() & ~plain.rlike(r"^\s*\{"), "not a JSON object")
     )
     return raw.withColumns({"text": text, "problem": problem})
 

@@ -87,18 +87,29 @@ def prepare_write(df: DataFrame) -> DataFrame:
     return lift(df).withColumn("event_date", F.to_date("utctimestamp"))
 
 
-def write_events(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Append events, one folder per day.
+def write_events(df: DataFrame, path: str, mode: str = "append", batch: str = "none") -> None:
+    """Append events, one folder per day and below it one per batch.
 
     Rebalanced by day: adaptive execution splits a busy day over many tasks and files of the advisory
     partition size and joins up quiet ones, so a small micro-batch does not leave many small files.
     """
-    out = prepare_write(df).hint("rebalance", "event_date")
-    out.sortWithinPartitions("event_date", "utctimestamp").write.mode(mode).partitionBy("event_date").parquet(path)
+    out = prepare_write(df).hint("rebalance", "event_date").withColumn("ingest_batch", F.lit(batch))
+    out.sortWithinPartitions("event_date", "utctimestamp").write.mode(mode).partitionBy("event_date", "ingest_batch").parquet(path)
+
+
+def forget_batch(spark: SparkSession, path: str, batch: str) -> int:
+    """Remove what an unfinished run of a batch has left in the table; returns the number of folders."""
+    jvm = spark.sparkContext._jvm
+    found = jvm.org.apache.hadoop.fs.Path(f"{path}/event_date=*/ingest_batch={batch}")
+    fs = found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    left = fs.globStatus(found) or []
+    for status in left:
+        fs.delete(status.getPath(), True)
+    return len(left)
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("ingest_batch")
 
 
 def live_partitions(df: DataFrame, as_of: datetime | str, days: int = RETENTION_DAYS) -> DataFrame:
@@ -142,6 +153,6 @@ def write_snapshot(df: DataFrame, folder: str, version: int) -> str:
 
 __all__ = [
     "as_datetime", "ts_lit", "clamp_minutes", "within", "scan_events", "scan_window", "read_events_jsonl",
-    "finalise_record", "prepare_write", "write_events", "read_events", "live_partitions", "expire_partitions",
+    "finalise_record", "prepare_write", "write_events", "forget_batch", "read_events", "live_partitions", "expire_partitions",
     "upsert", "delete_keys", "write_snapshot", "latest",
 ]

@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigilake.operators.normalize import normalize
-from vigilake.sources.messages import decode_envelope, split_quarantine
-from vigilake.sources.tables import finalise_record, write_events
+from vigilake.sources.messages import as_raw_log, decode_envelope
+from vigilake.sources.tables import finalise_record, forget_batch, write_events
+
+
+def drop_repeats(events: DataFrame, delay: str = "10 minutes", key: str = "eventid") -> DataFrame:
+    """Redelivered messages: one event per id among those that arrived within `delay`.
+
+    The watermark runs on the time of arrival, so an event that is late by its own time is never lost; only
+    a repeat that arrives after `delay` is taken for new.
+    """
+    arrived = events.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", delay)
+    return arrived.dropDuplicatesWithinWatermark([key]).drop("_arrived")
 
 
-def drop_repeats(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Redelivered messages: one event per id within the watermark; state older than it is forgotten."""
-    return events.withWatermark("utctimestamp", delay).dropDuplicatesWithinWatermark(["eventid"])
+def plain_messages(raw: DataFrame) -> DataFrame:
+    """Messages without an envelope: `text` and `problem`. A line that is no JSON at all is a log line of its own."""
+    value = F.trim(F.col("value").cast("string"))
+    doc = F.try_parse_json(value)
+    is_object = value.startswith("{")  # of a text that parses; the kind of a deep document is not asked for, as that recurses
+    meant = value.rlike(r"^[\[{]")  # begins like JSON but is cut or broken
+    text = F.when(doc.isNull() & ~meant & (value != ""), as_raw_log(value)).otherwise(value)
+    problem = F.when(doc.isNull() & (meant | (value == "")) | value.isNull(), "not readable as JSON").when(doc.isNotNull() & ~is_object, "not a JSON object")
+    return raw.withColumns({"text": text, "problem": problem})
 
 
 def ingest(
@@ -28,28 +46,31 @@ def ingest(
 ) -> StreamingQuery:
     """Normalise a stream of messages in `value` and append it to the event table.
 
-    A failing batch is replayed from the checkpoint; only rows that cannot be decoded go to `quarantine`.
-    Ids derive from the message and, where the source gives one, its position, so a replay repeats them.
+    Every row becomes an event, a row of `quarantine` (what cannot be decoded, read or written back as JSON),
+    or, with `dedup` (a time span), counts as a repeat. A batch that died half-way is replayed under its
+    number and first takes back what it had written. Ids derive from the message and, where the source gives
+    one, its position, so a replay repeats them.
     """
     position = [c for c in ("topic", "partition", "offset") if c in raw.columns]
-    if enveloped:
-        decoded = decode_envelope(raw)
-    else:
-        text = F.col("value").cast("string")
-        is_object = F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT")
-        decoded = raw.withColumns({"text": text, "problem": F.when(~F.coalesce(is_object, F.lit(False)), "not a JSON object")})
+    decoded = decode_envelope(raw) if enveloped else plain_messages(raw)
+    decoded = decoded.withColumn("value", F.col("value").cast("string")).withColumn("text", F.when(F.col("problem").isNull(), F.col("text")))
+    rows = normalize(decoded, "text", id_from=["text", *position], keep_unreadable=["value", "problem"], **options)
     if dedup:
-        good, _ = split_quarantine(decoded)
-        events = drop_repeats(normalize(good, "text", id_from=["text", *position], **options), dedup)
-        sink = lambda batch, _: write_events(finalise_record(batch), table)
-    else:
-        events = decoded
-
-        def sink(batch: DataFrame, _: int) -> None:
-            good, bad = split_quarantine(batch)
-            write_events(finalise_record(normalize(good, "text", id_from=["text", *position], **options)), table)
+        rows = rows.withColumn("_key", F.when(F.col("unreadable"), F.concat(F.lit("!"), F.sha2("value", 256))).otherwise(F.col("eventid")))
+        rows = drop_repeats(rows, dedup, "_key").drop("_key")
+    stream = f"{zlib.crc32(checkpoint.encode()):08x}"
+
+    def sink(batch: DataFrame, number: int) -> None:
+        name = f"{stream}-{number}"
+        batch.persist()  # decoded once, written to two places
+        try:
+            forget_batch(batch.sparkSession, table, name)
+            write_events(finalise_record(batch.filter(~F.col("unreadable"))), table, batch=name)
             if quarantine:
-                bad.select("value", "problem").write.mode("append").json(quarantine)
+                why = F.coalesce("problem", F.lit("cannot be written back as JSON")).alias("problem")
+                batch.filter("unreadable").select("value", why).write.mode("overwrite").json(f"{quarantine}/ingest_batch={name}")
+        finally:
+            batch.unpersist()
 
-    writer = events.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+    writer = rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
