@@ -143,7 +143,7 @@ class Bands:
 def block_keys(elements: np.ndarray, bands: Bands) -> np.ndarray:
     """The keys under which a set is found: one per kept block of its sketch in each of its bands."""
     out = []
-    for band in bands.of(len(elements)):
+    for band in bands.of(len(elements)) if len(elements) else ():
         d = bands.errors(band)
         if not d:
             continue  # sets this small link only when they are equal
