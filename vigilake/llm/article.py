@@ -4,7 +4,8 @@ A page is read as a sequence of tags and words. Words score by the place they st
 both weights are log-odds counted on labelled pages, that is pages whose markup itself names the article
 (`article` or `main`). One linear scan finds the contiguous region of the highest sum. Inside it, elements
 that never belong to an article (navigation, forms, notices, adverts, comments, scripts) are left out, and
-the remaining text is cut into blocks.
+the remaining text is cut into blocks. Where the markup names the article, such elements within it score
+next to nothing, so that they do not part it.
 
 Fitting counts on at most about `sample` labelled pages, picked by a hash of the page's id; every page is
 extracted. Defined cases: null and empty pages give an empty text, pages without any words too; unclosed and
@@ -26,7 +27,7 @@ TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<raw>script|style|noscript|template|textarea|svg|iframe|select|math|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|(?P<text>[^<]+|<)",
+    r"|<\Z|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
@@ -47,6 +48,7 @@ CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul li dd dt tr td th".split()
 )
 LEAST, MOST = -6.0, -0.05
+AMID = -0.5  # the least a tag scores within a named article: an advert there must not cut the region in two
 
 
 class Place:
@@ -140,8 +142,10 @@ def extract(page: str | None, learnt: dict[str, dict[str, float]]) -> str:
             if not n:
                 continue
             score = n * word.get(place.context, -1.0 if place.never else 1.0)
+            if place.never and place.inside:
+                score = 0.0
         else:
-            score = tag.get(value, -1.0)
+            score = max(tag.get(value, -1.0), AMID if place.inside else LEAST)
         if total <= 0:
             total, first = 0.0, i
         total += score

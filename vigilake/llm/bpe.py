@@ -9,7 +9,8 @@ Texts are cut at white space first. What the vocabulary's own rules do (NFC, low
 symbols) never looks across white space, so a chunk's ids are cached per worker; `CACHE` bounds that memory.
 
 Defined cases: null counts as empty, an empty text has no ids, special tokens in a text become their ids (as
-in the library the vocabulary comes from), ids outside the vocabulary are left out when decoding.
+in the library the vocabulary comes from), ids outside the vocabulary are left out when decoding. Letters and
+digits are told by this Python's Unicode tables; code points that none of them assigns may be cut differently.
 """
 
 from __future__ import annotations

@@ -192,17 +192,22 @@ def unpack(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
+def text_key(raw: bytes) -> int:
+    """64 bits that tell texts apart; together with the length they name a copy."""
+    return xxhash.xxh3_64_intdigest(raw) - 2**63
+
+
 def described(docs: DataFrame, doc: str, text: str) -> DataFrame:
     """doc_id, same (digest), n_bytes, whole_sha256 of every row."""
 
     def run(batches):
         for b in batches:
             raws = [(t or "").encode() for t in b["text"].to_pylist()]
-            columns = [pa.array([xxhash.xxh3_128_digest(r) for r in raws], pa.binary()), pa.array([len(r) for r in raws], pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raws])]
+            columns = [pa.array([text_key(r) for r in raws], pa.int64()), pa.array([len(r) for r in raws], pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raws])]
             yield pa.RecordBatch.from_arrays([b["doc_id"], *columns], names=["doc_id", "same", "n_bytes", "whole_sha256"])
 
     narrow = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, same binary, n_bytes long, whole_sha256 string")
+    return narrow.mapInArrow(run, "doc_id long, same long, n_bytes long, whole_sha256 string")
 
 
 def packed(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -211,11 +216,11 @@ def packed(docs: DataFrame, doc: str, text: str) -> DataFrame:
     def run(batches):
         for b in batches:
             raws = [(t or "").encode() for t in b["text"].to_pylist()]
-            columns = [pa.array([xxhash.xxh3_128_digest(r) for r in raws], pa.binary()), pa.array([pack(r) for r in raws], pa.binary())]
+            columns = [pa.array([text_key(r) for r in raws], pa.int64()), pa.array([pack(r) for r in raws], pa.binary())]
             yield pa.RecordBatch.from_arrays([b["doc_id"], *columns], names=["doc_id", "same", "z"])
 
     narrow = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    return narrow.mapInArrow(run, "doc_id long, same binary, z binary")
+    return narrow.mapInArrow(run, "doc_id long, same long, z binary")
 
 
 def buckets_of(docs: DataFrame, width: int, doc: str, text: str) -> DataFrame:
@@ -230,15 +235,16 @@ def buckets_of(docs: DataFrame, width: int, doc: str, text: str) -> DataFrame:
     return narrow.mapInArrow(run, "doc_id long, keys array<long>")
 
 
-SEGMENT = "bucket long, segment long, bytes binary, windows int, doc_id long, same binary, first_window int"
+SEGMENT = "bucket long, segment long, bytes binary, windows int, doc_id long, same long, first_window int"
 
 
 def segments_of(texts: DataFrame, width: int) -> DataFrame:
-    """From (doc_id, same, z, keys) the segments of the named buckets; `bytes` is there once per batch and segment."""
+    """From (doc_id, same, z, keys) the segments of the named buckets; a task gives a segment's `bytes` again only for a smaller document."""
 
     def run(batches):
+        seen: dict[int, int] = {}  # of this task's partition
         for b in batches:
-            rows, seen = [], {}
+            rows = []
             for d, same, z, keys in zip(*(b[c].to_pylist() for c in ("doc_id", "same", "z", "keys"))):
                 raw = unpack(z)
                 bucket, first, n = runs(np.frombuffer(raw, np.uint8), width)
@@ -247,7 +253,7 @@ def segments_of(texts: DataFrame, width: int) -> DataFrame:
                     a, w = int(first[i]), int(n[i])
                     part = raw[a : a + w + width - 1]
                     segment = xxhash.xxh3_64_intdigest(part) - 2**63
-                    # the smallest document of the batch stands for the segment; the others only take part in the marking
+                    # the smallest document so far stands for the segment; the others only take part in the marking
                     if seen.get(segment, d + 1) > d:
                         seen[segment] = d
                         rows.append((int(bucket[i]), segment, part, w, d, same, a))
@@ -259,7 +265,7 @@ def segments_of(texts: DataFrame, width: int) -> DataFrame:
             if rows:
                 yield batch(rows)
 
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.binary(), pa.int32()]
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
     names = ["bucket", "segment", "bytes", "windows", "doc_id", "same", "first_window"]
 
     def batch(rows):
@@ -320,18 +326,18 @@ def cut(texts: DataFrame) -> DataFrame:
                     at = max(at, s[1])
                 kept.append(raw[at:])
                 rows.append((d, same, removed, n, hashlib.sha256(b"".join(kept)).hexdigest()))
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "same", "n_removed", "n_spans", "kept_sha256"])
 
-    return texts.mapInArrow(run, "doc_id long, same binary, n_removed long, n_spans long, kept_sha256 string")
+    return texts.mapInArrow(run, "doc_id long, same long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row: bytes of windows that a smaller document has go."""
     base = materialise(described(docs, doc, text), "described")
-    firsts = base.filter("doc_id IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("rep"))
-    reps = base.filter(f"n_bytes >= {width}").select(F.col("doc_id").alias("rep"), "same").distinct().join(firsts, ["same", "rep"])
+    firsts = base.filter("doc_id IS NOT NULL").groupBy("same", "n_bytes").agg(F.min("doc_id").alias("rep"))
+    reps = base.filter(f"n_bytes >= {width}").select(F.col("doc_id").alias("rep"), "same", "n_bytes").distinct().join(firsts, ["same", "n_bytes", "rep"])
 
     # buckets that at least two texts reach
     by_key = Window.partitionBy("key")
@@ -352,7 +358,7 @@ def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "
     spans = materialise(marks.select("doc_id", "same", span.alias("s")).groupBy("doc_id", "same").agg(F.collect_list("s").alias("spans")), "spans")
     changed = cut(texts.join(spans, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]))
 
-    all_rows = base.join(firsts, "same", "left")
+    all_rows = base.join(firsts, ["same", "n_bytes"], "left")
     gone = (F.col("rep") < F.col("doc_id")) & (F.col("n_bytes") >= width)
     met = all_rows.join(changed, ["doc_id", "same"], "left")
     nothing = hashlib.sha256(b"").hexdigest()
