@@ -210,7 +210,7 @@ def generic_messages(b):
         wrap=F.array(_obj(deep=_obj(
             **{"C-IP": "CASE WHEN event_id % 4 IN (0, 2) THEN '192.168.0.' || (user_id % 200) END",
                "x-forwarded-for": "CASE WHEN event_id % 4 = 3 THEN '172.16.0.' || (user_id % 200) || ', 10.9.9.9' END"},
-            dest_ip="CASE WHEN event_id % 3 = 0 THEN '2001:db8::' || (user_id % 10) WHEN event_id % 3 = 1 THEN '1320.2555.2555.2555' END",
+            dest_ip="CASE WHEN event_id % 3 = 0 THEN '2001:db8::' || (user_id % 10) WHEN event_id % 3 = 1 THEN '900.1.2.3.4' END",
         ))),
         when=_obj(
             **{"Time": "CASE WHEN event_id % 2 = 0 THEN date_format(utctimestamp, 'HH:mm:ss') END",
