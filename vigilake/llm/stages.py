@@ -6,7 +6,10 @@ id; of rows with one id, as of near copies, one stays.
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,10 +50,19 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of all texts and their number join the document's columns; their decoding is checked by its digest."""
+    """Ids of all texts, their number and the digest of their decoding join the document's columns."""
     path = public_tokenizers.path(WORD_BPE)
-    ids = docs.withColumn("ids", bpe.encode(F.col("text"), path))
-    return ids.withColumn("n_tokens", F.size("ids").cast("long"))
+
+    @F.arrow_udf("ids array<int>, decoded_sha256 string")
+    def coded(texts: pa.Array) -> pa.Array:
+        ids = bpe.encoder(path).array(texts)
+        digests = [hashlib.sha256(t.as_py().encode()).hexdigest() for t in bpe.decode_array(ids, path)]
+        return pa.StructArray.from_arrays([ids, pa.array(digests, pa.string())], ["ids", "decoded_sha256"])
+
+    taken = ("ids", "decoded_sha256", "n_tokens")
+    own = [c for c in docs.columns if c not in taken]
+    both = docs.select(*own, coded("text").alias("_coded")).select(*own, "_coded.*")
+    return both.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
 STAGES = [
