@@ -8,9 +8,9 @@ agree in `1 + 2 s` blocks; each document leaves out its own `s` emptiest blocks
 is left to meet in. Every pair that meets is verified on the sets themselves.
 
 Equal sets are one representative (the smallest document id) from the start. In a block with many members
-each first meets the smallest only; after the verified links have been joined up, members that share a
-block but still lie in different components are compared directly, so no link between components is missed
-while a large group of near copies costs a star and not all pairs.
+each first meets the smallest only; after the verified links have been joined up, members of one star that
+still lie in different components are compared by sketches of their whole sets, whose Hamming distance bounds
+the difference from below, and only close ones go on to be verified. So no link between components is missed.
 
 Defined cases: null and empty texts, and texts of white space only, have an empty set and link with nothing;
 with fewer words than n the whole sequence is the one element; rows of one document id are separate texts
@@ -162,8 +162,23 @@ def block_keys(elements: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
 
+def sketch_bits(elements: np.ndarray) -> bytes:
+    """The whole set in one sketch of two to four bits an element; halves fold onto each other to compare sizes."""
+    size = 1 << min(17, max(7, int(2 * max(1, len(elements)) - 1).bit_length()))
+    place = (mix(elements + WIDTHS[44]) & np.uint64(size - 1)).astype(np.int64)
+    return np.packbits((np.bincount(place, minlength=size) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """A sketch of `size` bytes as 64-bit words."""
+    x = np.frombuffer(bits, np.uint64)
+    while len(x) * 8 > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
 def sketches(docs: DataFrame, width: int, bands: Bands, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n (set size), same (digest of the set, null for an empty one), keys."""
+    """doc_id, n (set size), same (digest of the set, null for an empty one), keys, bits (the whole sketch)."""
 
     def run(batches):
         for b in batches:
@@ -174,12 +189,13 @@ def sketches(docs: DataFrame, width: int, bands: Bands, doc: str = "doc_id", tex
                     pa.array([len(s) for s in found], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found], pa.binary()),
                     pa.array([block_keys(s, bands) for s in found], pa.list_(pa.int64())),
+                    pa.array([sketch_bits(s) for s in found], pa.binary()),
                 ],
-                names=["doc_id", "n", "same", "keys"],
+                names=["doc_id", "n", "same", "keys", "bits"],
             )
 
     narrow = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, n long, same binary, keys array<long>")
+    return narrow.mapInArrow(run, "doc_id long, n long, same binary, keys array<long>, bits binary")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, width: int, bands: Bands, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -210,25 +226,26 @@ def verified(pairs: DataFrame, docs: DataFrame, width: int, bands: Bands, doc: s
 
 
 def entries(own: DataFrame, doc: str = "doc_id", keys: str = "keys", chunk: int = 4_000_000) -> DataFrame:
-    """(key, doc_id, first, many): one row per document and key, combined for up to `chunk` entries at a time.
+    """(key, doc_id, others): the documents under each key, combined for up to `chunk` entries at a time.
 
-    Of the documents a chunk has under one key the smallest stands for all: it has `first` null and `many`
-    tells whether others follow; those name it in `first`. So a key that a third of all documents have is a
-    few rows per chunk wherever keys are brought together.
+    The smallest document a chunk has under a key carries the rest in `others` (null: none). So a key that a
+    third of all documents have is a few rows wherever keys are brought together.
     """
-    shape = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("first", pa.int64()), ("many", pa.bool_())])
+    shape = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("others", pa.list_(pa.int64()))])
 
     def combined(key: np.ndarray, doc_id: np.ndarray):
         order = np.lexsort((doc_id, key))
         key, doc_id = key[order], doc_id[order]
         start = np.concatenate([[True], key[1:] != key[:-1]])
         lead = np.flatnonzero(start)
-        size = np.diff(np.append(lead, len(key)))
-        first = np.repeat(doc_id[lead], size)
-        for at in range(0, len(key), 500_000):
-            to = slice(at, at + 500_000)
-            names = pa.array(first[to], mask=start[to])
-            yield pa.RecordBatch.from_arrays([pa.array(key[to]), pa.array(doc_id[to]), names, pa.array(np.repeat(size > 1, size)[to] & start[to])], schema=shape)
+        more = np.diff(np.append(lead, len(key))) - 1
+        rest = doc_id[~start]
+        ends = np.concatenate([[0], np.cumsum(more)])
+        for at in range(0, len(lead), 500_000):
+            to = slice(at, min(at + 500_000, len(lead)))
+            part = ends[at : to.stop + 1]
+            lists = pa.ListArray.from_arrays(pa.array((part - part[0]).astype(np.int32)), pa.array(rest[part[0] : part[-1]]), mask=pa.array(more[to] == 0))
+            yield pa.RecordBatch.from_arrays([pa.array(key[lead[to]]), pa.array(doc_id[lead[to]]), lists], schema=shape)
 
     def run(batches):
         held, n = [], 0
@@ -243,7 +260,94 @@ def entries(own: DataFrame, doc: str = "doc_id", keys: str = "keys", chunk: int
         if n:
             yield from combined(*map(np.concatenate, zip(*held)))
 
-    return own.select(F.col(doc).alias("doc_id"), F.col(keys).alias("keys")).mapInArrow(run, "key long, doc_id long, first long, many boolean")
+    return own.select(F.col(doc).alias("doc_id"), F.col(keys).alias("keys")).mapInArrow(run, "key long, doc_id long, others array<long>")
+
+
+def shared_keys(rows: DataFrame) -> DataFrame:
+    """(key, doc_id, least) of every document under a key that several have, from the rows of `entries`.
+
+    One row per key and chunk meets, so no group grows with the number of documents under a key.
+    """
+    by_key = Window.partitionBy("key")
+    leads = rows.withColumn("least", F.min("doc_id").over(by_key)).withColumn("_n", F.count(F.lit(1)).over(by_key))
+    leads = leads.filter("_n > 1 OR others IS NOT NULL")
+    members = F.concat(F.array("doc_id"), F.coalesce("others", F.array().cast("array<long>")))
+    return leads.select("key", "least", F.explode(members).alias("doc_id"))
+
+
+def close(pairs: DataFrame, whole: DataFrame, bands: Bands) -> DataFrame:
+    """Of the pairs (a, b) those whose whole sketches differ in no more bits than linked sets may."""
+    num, den = bands.num, bands.den
+
+    @F.arrow_udf("boolean")
+    def near(x: pa.Array, y: pa.Array, m: pa.Array, n: pa.Array) -> pa.Array:
+        out = []
+        for p, q, i, j in zip(x.to_pylist(), y.to_pylist(), m.to_pylist(), n.to_pylist()):
+            size = min(len(p), len(q))
+            out.append(int(np.bitwise_count(folded(p, size) ^ folded(q, size)).sum()) <= (i + j) * (den - num) // (den + num))
+        return pa.array(out, pa.bool_())
+
+    x = whole.select(F.col("doc_id").alias("a"), F.col("n").alias("_m"), F.col("bits").alias("_x"))
+    y = whole.select(F.col("doc_id").alias("b"), F.col("n").alias("_n"), F.col("bits").alias("_y"))
+    return pairs.join(x, "a").join(y, "b").filter(near("_x", "_y", "_m", "_n")).select("a", "b").distinct()
+
+
+def apart(stars: DataFrame, grouped: DataFrame, whole: DataFrame, bands: Bands, tile: int = 4_096) -> DataFrame:
+    """Pairs (a, b) of one star that lie in different components and whose whole sketches are close.
+
+    Two documents that meet in a block have the same smallest document there, so they are members of its
+    star. Members are compared by their sketches, tile by tile; only close pairs leave a task.
+    """
+    num, den = bands.num, bands.den
+    member = stars.select(F.col("a").alias("star"), F.col("b").alias("doc_id"))
+    member = member.join(grouped.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).drop("component")
+    mixed = member.groupBy("star").agg(F.count(F.lit(1)).alias("_m"), F.min("c").alias("_l"), F.max("c").alias("_h")).filter("_l < _h")
+    tiles = F.ceil(F.col("_m") / tile).cast("int")
+    row = member.join(mixed.select("star", tiles.alias("_t")), "star").join(whole, "doc_id").withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("_t")).cast("int"))
+    row = row.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("_t") - 1)))
+    row = row.select("star", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "doc_id", "c", "n", "bits")
+
+    def run(batches):
+        held, now = [], None
+
+        def solve():
+            own = sorted(held)
+            size = min((len(r[4]) for r in own), default=0)
+            if len(own) < 2:
+                return
+            sketch = np.stack([folded(r[4], size) for r in own])
+            tile_of, ids, comp, n = (np.array([r[k] for r in own], np.int64) for k in range(4))
+            across = now[1] != now[2]
+            for k in range(len(own) - 1):
+                if across and tile_of[k] != now[1]:
+                    break  # rows are sorted by tile: what follows meets its own tile elsewhere
+                differ = np.bitwise_count(sketch[k + 1 :] ^ sketch[k]).sum(axis=1)
+                ok = (differ <= (n[k + 1 :] + n[k]) * (den - num) // (den + num)) & (comp[k + 1 :] != comp[k])
+                if across:
+                    ok &= tile_of[k + 1 :] != tile_of[k]
+                for other in ids[k + 1 :][ok].tolist():
+                    found.append((min(int(ids[k]), other), max(int(ids[k]), other)))
+
+        def batch():
+            out = pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
+            found.clear()
+            return out
+
+        found: list[tuple[int, int]] = []
+        for b in batches:
+            columns = [b[c].to_pylist() for c in ("star", "lo", "hi", "i", "doc_id", "c", "n", "bits")]
+            for star, lo, hi, *rest in zip(*columns):
+                if (star, lo, hi) != now:
+                    solve()
+                    held, now = [], (star, lo, hi)
+                    if len(found) > 100_000:
+                        yield batch()
+                held.append(tuple(rest))
+        solve()
+        yield batch()
+
+    keys = ["star", "lo", "hi"]
+    return row.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -253,26 +357,14 @@ def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, doc: st
     alone = sketched.filter("same IS NOT NULL AND doc_id IS NOT NULL")
     firsts = alone.groupBy("same").agg(F.min("doc_id").alias("rep"))
     own = alone.filter(F.size("keys") > 0).join(firsts.select(F.col("rep").alias("doc_id"), "same"), ["doc_id", "same"], "left_semi")
-    rows = entries(own)
-    # at most one row per key and chunk meets here, so no group grows with the number of documents under a key
-    by_key = Window.partitionBy("key")
-    leads = rows.filter("first IS NULL").select("key", "doc_id", "many").withColumn("least", F.min("doc_id").over(by_key)).withColumn("_n", F.count(F.lit(1)).over(by_key))
-    leads = leads.filter("_n > 1 OR many").select("key", "doc_id", "least")
-    others = rows.filter("first IS NOT NULL").select("key", "doc_id", F.col("first").alias("least"))
-    met = materialise(leads.unionByName(others), "met")
-    stars = materialise(met.filter("doc_id > least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
-    links = materialise(verified(stars, docs, width, bands, doc, text), "links")
+    met = shared_keys(entries(own)).filter("doc_id > least")
+    stars = met.select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
+    stars = materialise(stars, "stars")
+    # rows of one id with different sets: every one of their sketches is tried
+    whole = sketched.filter("n > 0").select("doc_id", "n", "bits")
+    links = materialise(verified(close(stars, whole, bands), docs, width, bands, doc, text), "links")
     grouped = components(links)
-
-    # members of one block that are still apart meet each other directly
-    at = met.select("key", "doc_id").join(grouped.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    at = at.select("key", "doc_id", F.coalesce("component", "doc_id").alias("c"))
-    apart = at.groupBy("key").agg(F.min("c").alias("_l"), F.max("c").alias("_h"), F.count(F.lit(1)).alias("_n")).filter("_l < _h AND _n > 2")
-    still = materialise(at.join(apart.select("key"), "key", "left_semi"), "still")
-    x = still.select("key", F.col("doc_id").alias("a"), F.col("c").alias("ca"))
-    y = still.select("key", F.col("doc_id").alias("b"), F.col("c").alias("cb"))
-    rest = x.join(y, "key").filter("a < b AND ca <> cb").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    rest = materialise(rest, "rest")
+    rest = materialise(apart(stars, grouped, whole, bands).join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         grouped = components(links.unionByName(materialise(verified(rest, docs, width, bands, doc, text), "links")))
 

@@ -26,10 +26,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilake.llm.parity import BYTE, PIECE, R, R_INV, entries, mix, powers
+from vigilake.llm.parity import BYTE, PIECE, R, R_INV, entries, mix, powers, shared_keys
 from vigilake.session import materialise
 
 GRAM = 16
@@ -340,10 +340,7 @@ def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "
     reps = base.filter(f"n_bytes >= {width}").select(F.col("doc_id").alias("rep"), "same", "n_bytes").distinct().join(firsts, ["same", "n_bytes", "rep"])
 
     # buckets that at least two texts reach
-    by_key = Window.partitionBy("key")
-    rows = entries(buckets_of(docs, width, doc, text))
-    leads = rows.filter("first IS NULL").withColumn("_n", F.count(F.lit(1)).over(by_key)).filter("_n > 1 OR many")
-    reached = leads.select("key", "doc_id").unionByName(rows.filter("first IS NOT NULL").select("key", "doc_id"))
+    reached = shared_keys(entries(buckets_of(docs, width, doc, text))).select("key", "doc_id")
     reached = materialise(reached.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "reached")
     shared = reached.groupBy("key").agg(F.min("doc_id").alias("_l"), F.max("doc_id").alias("_h")).filter("_l < _h").select("key")
     keys = reached.join(shared, "key", "left_semi").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
