@@ -154,3 +154,20 @@ def test_other_pages(spark):
     rows = spark.createDataFrame([(1, None, "u", "t"), (1, "<p>x y</p>", "u", "t"), (None, "", None, None)], "page_id long, html string, url string, text string")
     assert sorted(r.text for r in article.main_text(rows, learnt).collect()) == ["", "", "x y"]
     assert article.main_text(rows.limit(0), article.fit(rows.limit(0))).count() == 0
+
+
+def test_hints_do_not_empty_pages(spark):
+    learnt = article.fit(spark.read.parquet(f"{SF}/pages.parquet"))
+    nav, body = '<nav><a href="/">Home</a></nav>', "<h1>A title</h1><p>First words of it.</p><p>And some more words.</p>"
+    want = "A title\nFirst words of it.\nAnd some more words."
+    for page in (
+        f'<body class="has-sidebar">{nav}<article>{body}</article></body>', f'<body class="sidebar">{nav}<article>{body}</article></body>',
+        f'<html class="form"><body>{nav}<article class="post comment-open">{body}</article></body></html>', f'{nav}<main class="no-sidebar search">{body}</main>',
+        f'{nav}<div class="widget"><form id="form"><article class="related">{body}</article></form></div>', f'{nav}<div class="social widget">{body}</div>',
+        f'{nav}<form action="x">{body}</form><footer>foot</footer>', f'{nav}<article data-id="x" data-class="ad">{body}</article>',
+        f'<article>{body}<section id="comments"><article class="comment"><p>I say no</p></article></section></article>',
+        f'<main><article>{body}</article><aside><article><p>Read this too</p></article></aside></main>',
+    ):
+        assert article.extract(page, learnt) == want, page
+    page = '<main><h2 id="related-work">Related work</h2><p class="notice-period">Notice period.</p><p id="form">Forms.</p><div class="comment-open">Open.</div><div class="ad">Buy</div><p class="notice">By the way</p></main>'
+    assert article.extract(page, learnt) == "Related work\nNotice period.\nForms.\nOpen."

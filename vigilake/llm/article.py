@@ -7,6 +7,12 @@ that never belong to an article (navigation, forms, notices, adverts, comments,
 the remaining text is cut into blocks. Where the markup names the article, such elements within it score
 next to nothing, so that they do not part it.
 
+Which elements never belong is told by their name or by a whole class, id or role (`sidebar`, but not
+`has-sidebar`; ids of headings and paragraphs do not count). It holds for no element that is or encloses the
+html, body, main or article; articles that stand in such an element themselves (comments, teasers) do not
+count while another one is free of it. On pages that name no article, it holds for no marked element or form
+with more than half of the page's words.
+
 Fitting counts on at most about `sample` labelled pages, picked by a hash of the page's id; every page is
 extracted. Defined cases: null and empty pages give an empty text, pages without any words too; unclosed and
 stray tags are allowed; an empty table gives no rows; equal pages give equal texts.
@@ -30,7 +36,7 @@ TOKEN = re.compile(
     r"|<\Z|(?P<text>[^<]+|<)",
     re.S | re.I,
 )
-ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 PART = re.compile(r"[a-z]+")
 
 # Element names of the HTML standard and usual names of page parts.
@@ -47,6 +53,8 @@ HINTS = frozenset(
 CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul li dd dt tr td th".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())  # their ids are made from their words
+WHOLE = frozenset("html body main".split())
 LEAST, MOST = -6.0, -0.05
 AMID = -0.5  # the least a tag scores within a named article: an advert there must not cut the region in two
 
@@ -54,26 +62,55 @@ AMID = -0.5  # the least a tag scores within a named article: an advert there mu
 class Place:
     """Where a word stands: the nearest block's key, and whether some ancestor is never part of an article."""
 
-    __slots__ = ("name", "key", "block", "never", "inside")
+    __slots__ = ("name", "key", "up", "block", "marked", "hinted", "never", "inside", "words", "holds")
 
-    def __init__(self, name: str, key: str, up: Place | None):
-        self.name, self.key = name, key
-        hinted = name in NEVER or name == "header" and not (up and up.inside) or bool(HINTS & set(key.split(" ")[1:]))
-        self.never = (up.never if up else "") or (key if hinted else "")
+    def __init__(self, name: str, key: str, up: Place | None, marked: bool = False):
+        self.name, self.key, self.up, self.marked = name, key, up, marked
+        self.hinted = marked or name in NEVER or name == "header" and not (up and up.inside)
         self.block = up.block if up and name in INLINE else key
         self.inside = bool(up and up.inside) or name in ("article", "main")
+        self.never, self.words, self.holds = "", 0, False
 
     @property
     def context(self) -> str:
         return self.never or self.block
 
 
-def tokens(page: str):
+def settle(places: list[Place]) -> None:
+    """Decide `never` of every place of a page; they come in the order of their start tags, with their own words."""
+    for p in reversed(places):
+        if p.up:
+            p.up.words += p.words
+    articles = [p for p in places if p.name == "article"]
+    for p in places:  # for now: whether a hinted element is around
+        p.never = (p.up.never if p.up else "") or ("x" if p.hinted and p.name not in WHOLE else "")
+    hold = [p for p in places if p.name == "main"]
+    if articles:
+        hold += [p for p in articles if not p.never] or articles
+        hold.append(max(articles, key=lambda p: p.words))
+    if not hold:
+        hold = [p for p in places if (p.marked and p.name not in NEVER or p.name == "form") and p.words * 2 > places[0].words]
+    for p in hold:
+        while p and not p.holds:
+            p.holds = True
+            p = p.up
+    for p in places:
+        p.never = (p.up.never if p.up else "") or (p.key if p.hinted and not p.holds and p.name not in WHOLE else "")
+
+
+def tokens(page: str) -> list[tuple[str, str, Place]]:
     """(kind, value, place): kind "tag" with the tag's key and whether it breaks blocks, or "text" with its raw text."""
-    root = Place("body", "body", None)
-    stack = [root]
+    places = [Place("body", "body", None)]
+    out = list(read(page, places))
+    settle(places)
+    return out
+
+
+def read(page: str, places: list[Place]):
+    stack = places[:]
     for m in TOKEN.finditer(page):
         if m["text"]:
+            stack[-1].words += len(m["text"].split())
             yield "text", m["text"], stack[-1]
             continue
         if m["name"] is None:
@@ -91,8 +128,9 @@ def tokens(page: str):
             else:
                 yield "tag", "/" + name, stack[-1]
             continue
-        parts = sorted({p for _, v in ATTRIBUTE.findall(m["attrs"]) for p in PART.findall(v.lower())}) if m["attrs"] else []
-        key = " ".join([name, *parts])
+        named = [v.lower().strip("\"'") for a, v in ATTRIBUTE.findall(m["attrs"]) if name not in HEADINGS or a.lower() != "id"] if m["attrs"] else []
+        key = " ".join([name, *sorted({p for v in named for p in PART.findall(v)})])
+        marked = any(x in HINTS for v in named for x in v.split())
         if name in CLOSES_P:
             at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == "p"), 0)
             if at and all(p.name in INLINE or p.name == "p" for p in stack[at:]):
@@ -100,7 +138,8 @@ def tokens(page: str):
         if name in VOID or m["attrs"].endswith("/"):
             yield "tag", key, stack[-1]
             continue
-        stack.append(Place(name, key, stack[-1]))
+        stack.append(Place(name, key, stack[-1], marked))
+        places.append(stack[-1])
         yield "tag", key, stack[-1]
 
 
@@ -134,7 +173,7 @@ def extract(page: str | None, learnt: dict[str, dict[str, float]]) -> str:
     if not page:
         return ""
     word, tag = learnt["word"], learnt["tag"]
-    seen = list(tokens(page))
+    seen = tokens(page)
     best, total, first, span = 0.0, 0.0, 0, (0, 0)
     for i, (kind, value, place) in enumerate(seen):
         if kind == "text":
