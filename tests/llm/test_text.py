@@ -171,3 +171,19 @@ def test_hints_do_not_empty_pages(spark):
         assert article.extract(page, learnt) == want, page
     page = '<main><h2 id="related-work">Related work</h2><p class="notice-period">Notice period.</p><p id="form">Forms.</p><div class="comment-open">Open.</div><div class="ad">Buy</div><p class="notice">By the way</p></main>'
     assert article.extract(page, learnt) == "Related work\nNotice period.\nForms.\nOpen."
+
+
+def test_blocks_commoner_in_chrome_stay():
+    menu = "<ul>" + "<li><a>Some other page</a></li>" * 40 + "</ul>" + "<div>Imprint and terms</div>" * 20 + "<table>" + "<tr><td>x y</td></tr>" * 40 + "</table>"
+    learnt = article.weights(article.counts_of(f"<body>{menu}<article><h1>T</h1><p>{'word ' * 60}</p></article></body>"))
+    assert all(learnt["word"][k] < 0 for k in ("li", "div", "td"))
+    prose = " ".join(f"word{i}" for i in range(25))
+    cells = "".join(f"<tr><td>{i}</td><td>{i * i}</td></tr>" for i in range(100))
+    table = "\n".join(f"{i}\n{i * i}" for i in range(100))
+    page = f"<body><nav>{menu}</nav><article><p>First {prose}</p><ul><li>one</li><li>two</li></ul><table>{cells}</table><div>Last {prose}</div></article></body>"
+    assert article.extract(page, learnt) == f"First {prose}\none\ntwo\n{table}\nLast {prose}"
+    # the markup names no article
+    divs = "".join(f"<div>Part {i} {prose}</div>" for i in range(5)) + f"<ul><li>{prose}</li><li>{prose}</li></ul>"
+    page = f"<body>{menu.replace('<div>Imprint and terms</div>', '')}<div>{divs}</div><footer>Foot words</footer></body>"
+    assert article.extract(page, learnt).split("\n")[-7:] == [*(f"Part {i} {prose}" for i in range(5)), prose, prose]
+    assert "Some other page" not in article.extract(page, learnt)

@@ -4,8 +4,10 @@ A page is read as a sequence of tags and words. Words score by the place they st
 both weights are log-odds counted on labelled pages, that is pages whose markup itself names the article
 (`article` or `main`). One linear scan finds the contiguous region of the highest sum. Inside it, elements
 that never belong to an article (navigation, forms, notices, adverts, comments, scripts) are left out, and
-the remaining text is cut into blocks. Where the markup names the article, such elements within it score
-next to nothing, so that they do not part it.
+all the remaining text is cut into blocks; the weights only find the region. Where the markup names the
+article, its words score one each and its tags and such elements within it nothing, so that nothing parts it.
+Elsewhere words outside links in plain elements (no class, id or role) score at least PLAIN each and their
+tags at least -1: that lists, cells and divs are commoner in menus does not speak against long ones.
 
 Which elements never belong is told by their name or by a whole class, id or role (`sidebar`, but not
 `has-sidebar`; ids of headings and paragraphs do not count). It holds for no element that is or encloses the
@@ -56,19 +58,20 @@ CLOSES_P = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 p".split())  # their ids are made from their words
 WHOLE = frozenset("html body main".split())
 LEAST, MOST = -6.0, -0.05
-AMID = -0.5  # the least a tag scores within a named article: an advert there must not cut the region in two
+PLAIN = 0.5
 
 
 class Place:
     """Where a word stands: the nearest block's key, and whether some ancestor is never part of an article."""
 
-    __slots__ = ("name", "key", "up", "block", "marked", "hinted", "never", "inside", "words", "holds")
+    __slots__ = ("name", "key", "up", "block", "marked", "hinted", "never", "inside", "link", "words", "holds")
 
     def __init__(self, name: str, key: str, up: Place | None, marked: bool = False):
         self.name, self.key, self.up, self.marked = name, key, up, marked
         self.hinted = marked or name in NEVER or name == "header" and not (up and up.inside)
         self.block = up.block if up and name in INLINE else key
         self.inside = bool(up and up.inside) or name in ("article", "main")
+        self.link = bool(up and up.link) or name == "a"
         self.never, self.words, self.holds = "", 0, False
 
     @property
@@ -174,17 +177,25 @@ def extract(page: str | None, learnt: dict[str, dict[str, float]]) -> str:
         return ""
     word, tag = learnt["word"], learnt["tag"]
     seen = tokens(page)
+    named = any(place.inside for _, _, place in seen)
     best, total, first, span = 0.0, 0.0, 0, (0, 0)
     for i, (kind, value, place) in enumerate(seen):
         if kind == "text":
             n = len(value.split())
             if not n:
                 continue
-            score = n * word.get(place.context, -1.0 if place.never else 1.0)
-            if place.never and place.inside:
-                score = 0.0
+            if place.never:
+                score = 0.0 if place.inside else n * word.get(place.never, -1.0)
+            elif place.inside:
+                score = float(n)
+            else:
+                score = word.get(place.block, 1.0)
+                score = n * (score if named or place.link or " " in place.block else max(score, PLAIN))
+        elif place.inside:
+            score = 0.0
         else:
-            score = max(tag.get(value, -1.0), AMID if place.inside else LEAST)
+            score = tag.get(value, -1.0)
+            score = score if named or place.never or " " in value else max(score, -1.0)
         if total <= 0:
             total, first = 0.0, i
         total += score
@@ -199,7 +210,7 @@ def extract(page: str | None, learnt: dict[str, dict[str, float]]) -> str:
 
     for kind, value, place in seen[slice(*span)]:
         if kind == "text":
-            if not place.never and word.get(place.context, 1.0) > 0:
+            if not place.never:
                 now.append(value)
         elif value.lstrip("/").split(" ")[0] not in INLINE:
             close()
