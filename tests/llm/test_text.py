@@ -187,3 +187,18 @@ def test_blocks_commoner_in_chrome_stay():
     page = f"<body>{menu.replace('<div>Imprint and terms</div>', '')}<div>{divs}</div><footer>Foot words</footer></body>"
     assert article.extract(page, learnt).split("\n")[-7:] == [*(f"Part {i} {prose}" for i in range(5)), prose, prose]
     assert "Some other page" not in article.extract(page, learnt)
+
+
+def test_contexts_decide_and_grow(spark):
+    rows = [(i, f"server 10.0.{i}.7 answered") for i in range(20)] + [(20 + i, f"call +1 (300) 555-{1000 + i} now") for i in range(40)]
+    odd = ["555 1234567", "0044 20 7946 0958", "5551234567"]
+    rows += [(100, "server 10[.]0[.]0[.]5 answered"), (101, "server 10 dot 9 dot 8 dot 7 answered"), *((102 + i, f"call {x} now") for i, x in enumerate(odd))]
+    rows += [(110, "server 10[.]0[.]0[.]999 answered"), (111, "in 10[.]0[.]0[.]6 steps"), (112, "of 5551234568 grains")]
+    # numbers sure by "call" and "now" make "fax" known, which alone tells the last one
+    rows += [(200 + i, f"call 555 20{i:05d} now") for i in range(25)] + [(300 + i, f"fax 555 20{i:05d}") for i in range(25)] + [(400, "fax 777 1234567")]
+    got = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    named = {d: [(pii.KINDS[x.kind], text[d][x.start : x.end]) for x in r.spans] for d, r in got.items() if d >= 100 and r.spans}
+    want = {100: "10[.]0[.]0[.]5", 101: "10 dot 9 dot 8 dot 7", **{102 + i: x for i, x in enumerate(odd)}, 400: "777 1234567"}
+    assert {d: x for d, x in named.items() if d < 200 or d == 400} == {d: [("ip" if d < 102 else "phone", x)] for d, x in want.items()}
+    assert all(d in named for d in [*range(200, 225), *range(300, 325)])

@@ -1,11 +1,16 @@
 """Personal data by bootstrapped contextual extraction.
 
 Exact patterns find the seeds (email, ip, card, phone). Each mention of a seed, and each mention of something
-that only looks like one (obfuscated mail address, digit groups of the right length without the telling
-sign), is tied to two lexical patterns: the word before and the word after it. On that graph of patterns and
-instances Spark scores both sides in turns: a pattern is as trustworthy as the share of its instances that
-are trusted, an instance as sure as its patterns together make it (noisy or). Patterns need the support of
-several different seeds. After the last round the sure look-alikes are spans too; seeds always stay.
+that may be one (spelled-out or bracketed mail address, four short numbers with dotted or bracketed points,
+run of digits in any grouping), is tied to two lexical patterns: the word before and the word after it. On
+that graph of patterns and instances Spark scores both sides in turns: a pattern is as trustworthy as the
+share of its instances that are trusted, an instance as sure as its patterns together make it (noisy or).
+Patterns need the support of several different seeds or instances that the round before made sure; those
+count as much as seeds, so a discovered identifier brings in new patterns. After the last round the sure
+candidates are spans too, of the kind that scores best; seeds always stay.
+
+What cannot be of a kind is no candidate: a run of fewer than 5 or more than 15 digits is no phone number,
+one of other than 12 to 19 digits or with a wrong check digit no card, one with a part over 255 no address.
 
 Edges are counted per pattern and instance before anything is joined, so a context that a third of all
 mentions share is one sum. Texts are scanned once, whole.
@@ -35,13 +40,16 @@ CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile("[0-9]")
 
-# an address spelled out needs a bracketed sign or a spelled-out dot: a plain "at" is a word
-SIGN, POINT = r"(?:\(at\)|\[at\]|\{at\})", r"(?:\(dot\)|\[dot\]|\{dot\})"
+# what may stand for the sign and the points of an address
+SIGN, POINT = r"(?:[(\[{<] ?(?:at|@) ?[)\]}>])", r"(?:[(\[{<] ?(?:dot|\.) ?[)\]}>])"
 ALIKE_EMAIL = re.compile(
-    rf"\b[A-Za-z0-9._%+-]{{1,64}} ?(?:{SIGN} ?[A-Za-z0-9-]{{1,63}}(?: ?(?:{POINT}| dot |\.) ?[A-Za-z0-9-]{{1,63}}){{1,4}}"
-    rf"| at [A-Za-z0-9-]{{1,63}}(?: ?(?:{POINT}| dot ) ?[A-Za-z0-9-]{{1,63}}){{1,4}})", re.I,
+    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}} ?(?:{SIGN} ?[A-Za-z0-9-]{{1,63}}(?: ?(?:{POINT}| dot |\.) ?[A-Za-z0-9-]{{1,63}}){{1,4}}"
+    rf"| (?:at|@) [A-Za-z0-9-]{{1,63}}(?: ?(?:{POINT}| dot |(?<! )\.(?! )) ?[A-Za-z0-9-]{{1,63}}){{1,4}}"
+    rf"|@ ?[A-Za-z0-9-]{{1,63}}(?: ?(?:{POINT}| dot ) ?[A-Za-z0-9-]{{1,63}}){{1,4}})", re.I,
 )
-ALIKE_NUMBER = re.compile(r"(?<![0-9A-Za-z.,+-])\(?[0-9](?:[ ()./-]{0,2}[0-9]){8,18}(?![0-9A-Za-z])")
+SIGNS = re.compile(r"\bat\b|@", re.I)
+ALIKE_IP = re.compile(rf"(?<![0-9A-Za-z.])[0-9]{{1,3}}(?: ?(?:{POINT}| dot |\.) ?[0-9]{{1,3}}){{3}}(?![0-9A-Za-z])", re.I)
+ALIKE_NUMBER = re.compile(r"(?<![0-9A-Za-z.,+-])[(\[]?[0-9](?:[ ()\[\]./-]{0,3}[0-9]){4,18}(?![0-9A-Za-z])")
 BEFORE = re.compile(r"(\S{1,40})\s{1,3}\Z")
 AFTER = re.compile(r"[,.;:!?)]{0,2}\s{1,3}(\S{1,40})")
 
@@ -91,18 +99,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def alike(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """What only looks like a seed and touches none: (start, end, kind number)."""
+    """What may be one of a kind and touches no seed: (start, end, kind number); a run of digits may be of two kinds."""
     found = []
-    if " at " in text or "at)" in text or "at]" in text or "at}" in text:
+    if SIGNS.search(text):
         found += [(m.start(), m.end(), 0) for m in ALIKE_EMAIL.finditer(text)]
     if DIGIT.search(text):
+        for m in ALIKE_IP.finditer(text):
+            if all(int(g) < 256 for g in re.findall("[0-9]+", m[0])):
+                found.append((m.start(), m.end(), 1))
         for m in ALIKE_NUMBER.finditer(text):
-            groups = [g for g in re.split("[^0-9]+", m[0]) if g]
-            digits = "".join(groups)
-            # a failed check digit or a plain number says it is something else
+            digits = "".join(c for c in m[0] if c in "0123456789")
             if len(digits) >= 12 and luhn(digits):
                 found.append((m.start(), m.end(), 2))
-            elif len(digits) < 12 and len(groups) > 2:
+            if len(digits) <= 15:
                 found.append((m.start(), m.end(), 3))
     out, k, spans = [], 0, sorted((s, e) for s, e, _ in taken)
     for s, e, kind in sorted(found):
@@ -125,7 +134,7 @@ def mentions(text: str) -> list[dict]:
             out.append(
                 {
                     "start": s, "end": e, "kind": kind, "seed": seed,
-                    "instance": surface if kind == 0 else "".join(c for c in surface if c.isdigit()),
+                    "instance": surface if kind == 0 else ("." if kind == 1 else "").join(re.findall("[0-9]+", surface)),
                     "before": before[1].lower().strip(".,;:!?()\"'") or None if before else None,
                     "after": after[1].lower().strip(".,;:!?()\"'") or None if after else None,
                 }
@@ -158,18 +167,23 @@ def edges_of(found: DataFrame) -> DataFrame:
     return rows.groupBy("pattern", "kind", "instance").agg(F.max("seed").alias("seed"))
 
 
-def bootstrap(edges: DataFrame, rounds: int = 3, support: int = 3, surest: float = 0.95) -> DataFrame:
-    """(instance, kind, score) of the look-alikes after scoring patterns and instances in turns."""
+def bootstrap(edges: DataFrame, rounds: int = 3, support: int = 3, surest: float = 0.95, least: float = 0.9) -> DataFrame:
+    """(instance, kind, score) of the candidates after scoring patterns and instances in turns.
+
+    Candidates that reach `least` count as seeds do in the next round.
+    """
     edges = materialise(edges, "edges")
     scores = None
     for _ in range(rounds):
         now = edges.withColumn("score", F.col("seed").cast("double"))
         if scores is not None:
-            now = edges.join(scores, ["instance", "kind"], "left").withColumn("score", F.when(F.col("seed"), 1.0).otherwise(F.coalesce("score", F.lit(0.0))))
-        patterns = now.groupBy("pattern", "kind").agg((F.sum("score") / (F.count(F.lit(1)) + 1)).alias("trust"), F.count_if("seed").alias("_n"))
+            known = F.when(F.col("seed") | (F.col("score") >= least), 1.0).otherwise(F.coalesce("score", F.lit(0.0)))
+            now = edges.join(scores, ["instance", "kind"], "left").withColumn("score", known)
+        # decimals add up to the same sum in any order
+        total = F.sum(F.col("score").cast("decimal(20, 12)")).cast("double")
+        patterns = now.groupBy("pattern", "kind").agg((total / (F.count(F.lit(1)) + 1)).alias("trust"), F.count_if(F.col("score") >= 1.0).alias("_n"))
         patterns = patterns.filter(F.col("_n") >= support).select("pattern", "kind", F.least("trust", F.lit(surest)).alias("trust"))
         told = edges.filter(~F.col("seed")).join(patterns, ["pattern", "kind"])
-        # decimals add up to the same sum in any order
         doubt = F.sum(F.log1p(-F.col("trust")).cast("decimal(20, 12)")).cast("double")
         scores = materialise(told.groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("score")), "scores")
     return scores
@@ -183,9 +197,13 @@ def spelled(spans: Column) -> Column:
 
 def discovered(found: DataFrame, least: float = 0.9, rounds: int = 3) -> DataFrame:
     """From the table of `scanned` the spans beyond the seeds: doc_id, digest, more; rows with some only."""
-    sure = bootstrap(edges_of(found), rounds).filter(F.col("score") >= least).select("instance", "kind")
+    sure = bootstrap(edges_of(found), rounds, least=least).filter(F.col("score") >= least)
     loose = found.filter(F.exists("found", lambda m: ~m["seed"])).select("doc_id", "digest", F.explode("found").alias("m")).select("doc_id", "digest", "m.*").filter("NOT seed")
-    return loose.join(sure, ["instance", "kind"]).groupBy("doc_id", "digest").agg(F.collect_set(F.struct("start", "kind", "end")).alias("more"))
+    met = loose.join(sure, ["instance", "kind"]).select("doc_id", "digest", "start", "end", (-F.col("score")).alias("doubt"), "kind")
+    told = met.groupBy("doc_id", "digest").agg(F.array_sort(F.collect_set(F.struct("start", "end", "doubt", "kind"))).alias("all"))
+    # the best kind of each span
+    best = F.filter("all", lambda x, i: (i == 0) | (F.get("all", i - 1)["start"] != x["start"]) | (F.get("all", i - 1)["end"] != x["end"]))
+    return told.select("doc_id", "digest", F.transform(best, lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"))).alias("more"))
 
 
 def find(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: float = 0.9, rounds: int = 3) -> DataFrame:
