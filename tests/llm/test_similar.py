@@ -145,3 +145,21 @@ def test_repeats_of_documents(spark, documents):
 def test_odd_repeats(odd_docs, no_docs):
     assert sorted(map(tuple, suffixes.repeats(odd_docs).collect()), key=repr) == removed(TEXTS)
     assert suffixes.repeats(no_docs).count() == 0
+
+
+def test_large_buckets_are_dealt_anew(spark, odd_docs, monkeypatch):
+    phrase = "the same sixteen bytes and more of them in every single one of these texts"
+    rows = [(i, f"{i * 7919 % 1009} unlike {i % 13} {phrase} and {i % 11} other words of number {i * 31 % 97} to end it") for i in range(300)]
+    rows += [(300 + i, "x" * (60 + 40 * i)) for i in range(8)] + [(310 + i, "ab" * (50 + 30 * i) + f" {i}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    levels = []
+    deal = suffixes.pieces_of
+    monkeypatch.setattr(suffixes, "pieces_of", lambda large, width, last: levels.append(last) or deal(large, width, last))
+    assert sorted(map(tuple, suffixes.repeats(docs, most=600).collect()), key=repr) == removed(rows)
+    assert levels == [False, True]  # by the next-smallest hash, then by whole windows
+    assert sorted(map(tuple, suffixes.repeats(odd_docs, most=200).collect()), key=repr) == removed(TEXTS)
+    # no task orders more than `most` bytes
+    parts = [f"{i:04d} {phrase} {i:04d}".encode() for i in range(100)]
+    shape = "bucket long, segment long, bytes binary, windows int, doc_id long"
+    table = spark.createDataFrame([(1, i, p, len(p) - 49, i) for i, p in enumerate(parts)], shape)
+    assert suffixes.owned(table, 50, 5000).filter("owners IS NULL").count() == len(parts) and suffixes.owned(table, 50, 50_000).filter("owners IS NULL").count() == 0

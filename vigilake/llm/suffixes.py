@@ -13,6 +13,11 @@ documents reach are gathered; equal segments are combined before and after the s
 suffix array of its segments brings equal windows together, and each learns the smallest document that has
 it. A bucket of a single segment has one owner and nothing to order.
 
+A bucket whose distinct segments have more than MOST bytes together is not ordered in one task: the task
+hands its segments on, their windows are dealt anew by their next-smallest hash as well, which equal windows
+share too, and each of those buckets is ordered for itself. What is still above MOST is dealt by the whole
+window; there a bucket is one window. What is learnt of the pieces goes back to the segments they come from.
+
 Defined cases: null and empty texts have no bytes and lose nothing; whole copies of a text with a smaller id
 are known by digest (all their windows start there) and take no part; rows of one id never remove each other;
 rows with a null id neither lose nor take; an empty table gives no rows.
@@ -33,6 +38,7 @@ from vigilake.llm.parity import BYTE, PIECE, R, R_INV, entries, mix, powers, sha
 from vigilake.session import materialise
 
 GRAM = 16
+MOST = 1 << 20  # bytes ordered at once; the lists of the suffix array take a few hundred bytes for each
 
 
 def suffix_array(text: bytes | list[int]) -> list[int]:
@@ -164,24 +170,44 @@ def gram_hashes(raw: np.ndarray) -> np.ndarray:
     return mix((total[GRAM:] - total[:-GRAM]) * powers("down", R_INV, len(raw) + 1)[: len(raw) - GRAM + 1])
 
 
+def least(h: np.ndarray, span: int) -> np.ndarray:
+    """The smallest of each `span` neighbours."""
+    step, low = 1, h
+    while step * 2 <= span:
+        low = np.minimum(low[:-step], low[step:])
+        step *= 2
+    return np.minimum(low[: len(low) - (span - step)], low[span - step :]) if span > step else low
+
+
 def runs(raw: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket, first window, number of windows) of the runs of windows of one bucket, a piece of the text at a time."""
     n = len(raw) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     parts = []
+    for a in range(0, n, PIECE):
+        parts.append(least(gram_hashes(raw[a : min(a + PIECE, n) + width - 1]), width - GRAM + 1))
+    return same_runs(np.concatenate(parts))
+
+
+def same_runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], first, np.diff(np.append(first, len(keys)))
+
+
+def next_keys(part: bytes, width: int) -> np.ndarray:
+    """For each window of a segment a key of its smallest and its next-smallest hash."""
+    raw, span, out = np.frombuffer(part, np.uint8), width - GRAM + 1, []
+    n = len(raw) - width + 1
     for a in range(0, n, PIECE):
         h = gram_hashes(raw[a : min(a + PIECE, n) + width - 1])
-        span = width - GRAM + 1
-        step, low = 1, h
-        while step * 2 <= span:
-            low = np.minimum(low[:-step], low[step:])
-            step *= 2
-        low = np.minimum(low[: len(low) - (span - step)], low[span - step :]) if span > step else low
-        parts.append(low)
-    low = np.concatenate(parts)
-    first = np.flatnonzero(np.concatenate([[True], low[1:] != low[:-1]]))
-    return low[first], first, np.diff(np.append(first, len(low)))
+        low = least(h, span)  # the same for all windows of a segment
+        out.append(mix(low ^ mix(least(np.where(h == low[0], ~np.uint64(0), h), span))))
+    return np.concatenate(out)
+
+
+def window_keys(part: bytes, width: int) -> np.ndarray:
+    return np.array([xxhash.xxh3_64_intdigest(part[a : a + width]) for a in range(len(part) - width + 1)], np.uint64)
 
 
 def pack(raw: bytes) -> bytes:
@@ -274,40 +300,100 @@ def segments_of(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(run, SEGMENT)
 
 
-def owned(segments: DataFrame, width: int) -> DataFrame:
-    """(segment, owners) with owners as runs (first, last window, smallest document), bucket by bucket in sorted partitions."""
+def owned(segments: DataFrame, width: int, most: int | None) -> DataFrame:
+    """(segment, owners) with owners as runs (first, last window, smallest document), bucket by bucket in sorted partitions.
+
+    Segments of a bucket with more than `most` bytes are handed on instead: bytes and doc_id, no owners.
+    """
     spans = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("doc", pa.int64())]))
 
     def run(batches):
-        held, now, out = {}, None, []
+        held, now, size, out, on = {}, None, 0, [], []
 
         def solve():
             keys = sorted(held)
             parts = [held[k] for k in keys]
             for k, own in zip(keys, owners([p[0] for p in parts], [p[1] for p in parts], [p[2] for p in parts], width)):
                 cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])).tolist()
-                out.append((k, [{"a": a, "b": b - 1, "doc": int(own[a])} for a, b in zip(cut, [*cut[1:], len(own)])]))
+                out.append((k, [{"a": a, "b": b - 1, "doc": int(own[a])} for a, b in zip(cut, [*cut[1:], len(own)])], None, None))
 
-        def batch():
-            rows = pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], spans)], names=["segment", "owners"])
-            out.clear()
-            return rows
+        def batch(rows):
+            kinds = [pa.int64(), spans, pa.binary(), pa.int64()]
+            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["segment", "owners", "bytes", "doc_id"])
+            rows.clear()
+            return made
 
         for b in batches:
             for bucket, segment, raw, windows, doc in zip(*(b[c].to_pylist() for c in ("bucket", "segment", "bytes", "windows", "doc_id"))):
                 if bucket != now:
                     solve()
-                    held, now = {}, bucket
+                    held, now, size = {}, bucket, 0
                     if len(out) > 20_000:
-                        yield batch()
+                        yield batch(out)
                 known = held.get(segment)
-                held[segment] = (raw, windows, doc if known is None else min(doc, known[2]))
+                if size >= 0:
+                    held[segment] = (raw, windows, doc if known is None else min(doc, known[2]))
+                    size += len(raw) + 1 if known is None else 0
+                    if most is not None and size > most and len(held) > 1:
+                        on += [(k, None, raw, doc) for k, (raw, _, doc) in held.items()]
+                        held, size = {}, -1
+                else:  # too large a bucket
+                    on.append((segment, None, raw, doc))
+                if len(on) > 20_000:
+                    yield batch(on)
         solve()
-        if out:
-            yield batch()
+        for rows in (out, on):
+            if rows:
+                yield batch(rows)
 
     whole = segments.filter("bytes IS NOT NULL").select("bucket", "segment", "bytes", "windows", "doc_id")
-    return whole.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "segment long, owners array<struct<a: int, b: int, doc: long>>")
+    shape = "segment long, owners array<struct<a: int, b: int, doc: long>>, bytes binary, doc_id long"
+    return whole.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, shape)
+
+
+def pieces_of(large: DataFrame, width: int, last: bool) -> DataFrame:
+    """The segments handed on, dealt anew: `segment` is a piece of `root` from window `start` on; of the last ones each stands for `times` windows."""
+
+    def run(batches):
+        seen: dict[int, int] = {}
+        for b in batches:
+            rows = []
+            for root, raw, d in zip(*(b[c].to_pylist() for c in ("segment", "bytes", "doc_id"))):
+                bucket, first, n = same_runs((window_keys if last else next_keys)(raw, width))
+                for k, a, w in zip(bucket.view(np.int64).tolist(), first.tolist(), n.tolist()):
+                    times, w = (w, 1) if last else (1, w)
+                    part = raw[a : a + w + width - 1]
+                    segment = xxhash.xxh3_64_intdigest(part) - 2**63
+                    fresh = seen.get(segment, d + 1) > d
+                    if fresh:
+                        seen[segment] = d
+                    rows.append((root, a, times, k, segment, part if fresh else None, w, d))
+                if len(rows) > 50_000:
+                    yield batch(rows)
+                    rows = []
+            if rows:
+                yield batch(rows)
+
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
+    names = ["root", "start", "times", "bucket", "segment", "bytes", "windows", "doc_id"]
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    return large.repartition("segment").mapInArrow(run, "root long, start int, times int, bucket long, segment long, bytes binary, windows int, doc_id long")
+
+
+def all_owned(segments: DataFrame, width: int, most: int = MOST, level: int = 0) -> DataFrame:
+    """(segment, owners) of all segments, in buckets of at most `most` bytes; a segment may have several rows."""
+    table = materialise(owned(segments, width, most if level < 2 else None), "owners")
+    known, large = table.filter("owners IS NOT NULL").select("segment", "owners"), table.filter("owners IS NULL")
+    if level == 2 or large.isEmpty():
+        return known
+    pieces = materialise(pieces_of(large.select("segment", "bytes", "doc_id"), width, level == 1), "pieces")
+    below = all_owned(pieces, width, most, level + 1).select("segment", F.explode("owners").alias("o"))
+    back = pieces.select("root", "start", "times", "segment").distinct().join(below, "segment")
+    span = F.struct((F.col("start") + F.col("o.a")).alias("a"), (F.col("start") + F.col("o.b") + F.col("times") - 1).alias("b"), F.col("o.doc").alias("doc"))
+    return known.unionByName(back.select(F.col("root").alias("segment"), F.array(span).alias("owners")))
 
 
 def cut(texts: DataFrame) -> DataFrame:
@@ -333,7 +419,7 @@ def cut(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, same long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "text", most: int = MOST) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row: bytes of windows that a smaller document has go."""
     base = materialise(described(docs, doc, text), "described")
     firsts = base.filter("doc_id IS NOT NULL").groupBy("same", "n_bytes").agg(F.min("doc_id").alias("rep"))
@@ -348,7 +434,7 @@ def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "
     texts = packed(docs, doc, text)
     chosen = reps.select(F.col("rep").alias("doc_id"), "same").join(keys, "doc_id")
     segments = materialise(segments_of(texts.join(chosen, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]), width), "segments")
-    known = materialise(owned(segments, width), "owners")
+    known = all_owned(segments, width, most)
     marks = segments.select("segment", "doc_id", "same", "first_window").join(known.select("segment", F.explode("owners").alias("o")), "segment").filter("o.doc < doc_id")
     # windows a to b cover the bytes a to b + width - 1
     span = F.struct((F.col("first_window") + F.col("o.a")).alias("a"), (F.col("first_window") + F.col("o.b") + width).alias("b"))
