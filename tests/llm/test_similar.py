@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from vigilake.llm import collide, components, parity, queries, suffixes
+from vigilake.session import materialise
 
 from .conftest import SF, TEXTS
 
@@ -163,3 +164,19 @@ def test_large_buckets_are_dealt_anew(spark, odd_docs, monkeypatch):
     shape = "bucket long, segment long, bytes binary, windows int, doc_id long"
     table = spark.createDataFrame([(1, i, p, len(p) - 49, i) for i, p in enumerate(parts)], shape)
     assert suffixes.owned(table, 50, 5000).filter("owners IS NULL").count() == len(parts) and suffixes.owned(table, 50, 50_000).filter("owners IS NULL").count() == 0
+
+
+def test_a_stray_member_moves_few_rows(spark):
+    bands = parity.Bands(90, 100)
+    texts = [(i, " ".join(f"w{j}" for j in range(100)) + f" tail{i}") for i in range(200)] + [(900, "other words of another text altogether"), (901, "w0 w1 w2 w3 w4 w5")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    whole = materialise(parity.sketches(docs, 3, bands, "doc_id", "text").filter("n > 0").select("doc_id", "n", "bits"), "whole")
+    stars = spark.createDataFrame([(0, i) for i, _ in texts if i], "a long, b long")
+    one = spark.createDataFrame([(i, 0) for i in range(200)], "node long, component long")
+    moved = parity.dealt(stars, one, whole, 8)
+    assert moved.count() == 199 + 2 * 25 + 2 and moved.filter("lo <> hi AND doc_id < 900").count() == 199  # 25 tiles, and one of the two others
+    assert parity.apart(stars, one, whole, bands, 8).count() == 0
+    # two halves and a stray one: all pairs across, each once
+    two = spark.createDataFrame([(i, i % 2) for i in range(200)], "node long, component long")
+    got = {tuple(r) for r in parity.apart(stars, two, whole, bands, 8).collect()}
+    assert got == {(i, j) for i in range(1, 200) for j in range(i + 1, 200) if (i + j) % 2}

@@ -292,6 +292,25 @@ def close(pairs: DataFrame, whole: DataFrame, bands: Bands) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").filter(near("_x", "_y", "_m", "_n")).select("a", "b").distinct()
 
 
+def dealt(stars: DataFrame, grouped: DataFrame, whole: DataFrame, tile: int) -> DataFrame:
+    """The members of stars with several components, once for each pair of tiles (lo, hi) they are compared in.
+
+    The tiles of a star's largest component come first and meet only the tiles of the remaining members, so
+    of m members with r outside the largest component about m + 2 r m / tile rows are made.
+    """
+    member = stars.select(F.col("a").alias("star"), F.col("b").alias("doc_id"))
+    member = member.join(grouped.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).drop("component")
+    by_component = member.groupBy("star", "c").agg(F.count(F.lit(1)).alias("_n"))
+    mixed = by_component.groupBy("star").agg(F.sum("_n").alias("_m"), F.max(F.struct("_n", "c")).alias("_top"), F.count(F.lit(1)).alias("_k")).filter("_k > 1")
+    tiles = lambda n: F.ceil(n / tile).cast("int")
+    mixed = mixed.select("star", F.col("_top.c").alias("_c"), tiles(F.col("_top._n")).alias("_t"), tiles(F.col("_m") - F.col("_top._n")).alias("_u"))
+    row = member.join(mixed, "star").join(whole, "doc_id")
+    top, h = F.col("c") == F.col("_c"), F.xxhash64("doc_id")
+    row = row.withColumn("i", F.when(top, F.pmod(h, F.col("_t"))).otherwise(F.col("_t") + F.pmod(h, F.col("_u"))).cast("int"))
+    row = row.withColumn("j", F.explode(F.sequence(F.when(top, F.col("_t")).otherwise(0), F.col("_t") + F.col("_u") - 1)))
+    return row.select("star", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "doc_id", "c", "n", "bits")
+
+
 def apart(stars: DataFrame, grouped: DataFrame, whole: DataFrame, bands: Bands, tile: int = 4_096) -> DataFrame:
     """Pairs (a, b) of one star that lie in different components and whose whole sketches are close.
 
@@ -299,13 +318,7 @@ def apart(stars: DataFrame, grouped: DataFrame, whole: DataFrame, bands: Bands,
     star. Members are compared by their sketches, tile by tile; only close pairs leave a task.
     """
     num, den = bands.num, bands.den
-    member = stars.select(F.col("a").alias("star"), F.col("b").alias("doc_id"))
-    member = member.join(grouped.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("c", F.coalesce("component", "doc_id")).drop("component")
-    mixed = member.groupBy("star").agg(F.count(F.lit(1)).alias("_m"), F.min("c").alias("_l"), F.max("c").alias("_h")).filter("_l < _h")
-    tiles = F.ceil(F.col("_m") / tile).cast("int")
-    row = member.join(mixed.select("star", tiles.alias("_t")), "star").join(whole, "doc_id").withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("_t")).cast("int"))
-    row = row.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("_t") - 1)))
-    row = row.select("star", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "doc_id", "c", "n", "bits")
+    row = dealt(stars, grouped, whole, tile)
 
     def run(batches):
         held, now = [], None
@@ -317,16 +330,17 @@ def apart(stars: DataFrame, grouped: DataFrame, whole: DataFrame, bands: Bands,
                 return
             sketch = np.stack([folded(r[4], size) for r in own])
             tile_of, ids, comp, n = (np.array([r[k] for r in own], np.int64) for k in range(4))
-            across = now[1] != now[2]
-            for k in range(len(own) - 1):
-                if across and tile_of[k] != now[1]:
-                    break  # rows are sorted by tile: what follows meets its own tile elsewhere
-                differ = np.bitwise_count(sketch[k + 1 :] ^ sketch[k]).sum(axis=1)
-                ok = (differ <= (n[k + 1 :] + n[k]) * (den - num) // (den + num)) & (comp[k + 1 :] != comp[k])
-                if across:
-                    ok &= tile_of[k + 1 :] != tile_of[k]
-                for other in ids[k + 1 :][ok].tolist():
-                    found.append((min(int(ids[k]), other), max(int(ids[k]), other)))
+            if now[1] != now[2]:
+                split = int(np.searchsorted(tile_of, now[1], side="right"))  # members of two tiles: each meets the other tile
+                one, other = sorted((slice(0, split), slice(split, len(own))), key=lambda x: x.stop - x.start)
+                each = [(k, other) for k in range(one.start, one.stop)]
+            else:
+                each = [(k, slice(k + 1, len(own))) for k in range(len(own) - 1)]
+            for k, to in each:
+                differ = np.bitwise_count(sketch[to] ^ sketch[k]).sum(axis=1)
+                ok = (differ <= (n[to] + n[k]) * (den - num) // (den + num)) & (comp[to] != comp[k])
+                for other_id in ids[to][ok].tolist():
+                    found.append((min(int(ids[k]), other_id), max(int(ids[k]), other_id)))
 
         def batch():
             out = pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=["a", "b"])
