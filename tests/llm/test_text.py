@@ -202,3 +202,13 @@ def test_contexts_decide_and_grow(spark):
     want = {100: "10[.]0[.]0[.]5", 101: "10 dot 9 dot 8 dot 7", **{102 + i: x for i, x in enumerate(odd)}, 400: "777 1234567"}
     assert {d: x for d, x in named.items() if d < 200 or d == 400} == {d: [("ip" if d < 102 else "phone", x)] for d, x in want.items()}
     assert all(d in named for d in [*range(200, 225), *range(300, 325)])
+
+
+def test_rows_of_one_id_do_not_come_together(spark):
+    rows = spark.range(12_000).select(F.when(F.col("id") < 6000, F.lit(None)).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") < 3000, "same").otherwise(F.col("id").cast("string")).alias("text"))
+    for seed in range(8):
+        some = cotrain.picked(rows, 12_000, 500, seed).collect()
+        assert 300 <= len(some) <= 1000 and 50 < sum(r.doc_id is None for r in some) < 250 and sum(r.text == "same" for r in some) <= 1
+    mail = [(None, f"please write to user{i}@mail.example.org today") for i in range(20)] + [(None, f"please write to x{i} (at) mail (dot) example (dot) org today") for i in range(5)]
+    docs = spark.createDataFrame([*mail, (None, None)], "doc_id long, text string")
+    assert sorted((r.text or "") for r in pii.redacted(docs).collect()) == ["", *["please write to <EMAIL> today"] * 25]

@@ -25,7 +25,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilake.session import materialise
@@ -219,23 +219,27 @@ def cotrain(a: np.ndarray, b: np.ndarray, y: np.ndarray, ua: np.ndarray, ub: np.
     return Model(calibrated("a"), calibrated("b"), share)
 
 
-def picked(n: int, most: int, seed: int) -> Column:
-    """Whether a row is in a sample of about `most` of `n` rows, by a hash of its id."""
-    return F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(max(1, n // max(1, most)))) == 0
+def picked(rows: DataFrame, n: int, most: int, seed: int, met=lambda x: x) -> DataFrame:
+    """Of `rows` a sample by a hash of the whole row, about `most` (at most twice as many) of the `n` that `met` leaves; equal rows are taken once."""
+    every = max(1, n // max(1, most))
+    hashed = rows.withColumn("_h", F.xxhash64(*rows.columns, F.lit(seed)))
+    return met(hashed.filter(F.pmod("_h", F.lit(every)) == 0)).dropDuplicates(["_h"]).drop("_h")
 
 
 def fit(rows: DataFrame, labels: DataFrame, labelled: int = 6_000, unlabelled: int = 12_000, rounds: int = 4, found=lambda x: x) -> Model:
     """The model from rows with `doc_id` and labels (doc_id, quality); `found` turns rows into features, after the sampling.
 
-    Samples of bounded size come to the driver, mixed by a hash of the id.
+    Samples of bounded size come to the driver, mixed by a hash of the id. They are picked by whole rows, so
+    that many rows of one id do not come together.
     """
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_known")).agg(F.min("quality").alias("y"))
-    in_y, in_free = picked(known.count(), labelled, 1), picked(rows.count(), unlabelled, 2)
-    columns = rows.columns
-    some = known.join(rows.filter(in_y), F.col("_known") == F.col("doc_id"))
+    columns, same = rows.columns, F.col("_known") == F.col("doc_id")
+    n = rows.select("doc_id").join(known, same, "left_semi").count()
+    # twice in use, and dealt out by the hash: written once
+    some = materialise(picked(rows, n, labelled, 1, lambda x: known.join(x, same)), "labelled")
     truth = {r["_known"]: r["y"] for r in some.select("_known", "y").distinct().toLocalIterator()}
     with_y = found(some.select(*columns)).toArrow()
-    free = found(rows.filter(in_free).join(known, F.col("_known") == F.col("doc_id"), "left_anti").select(*columns)).toArrow()
+    free = found(picked(rows, rows.count(), unlabelled, 2, lambda x: x.join(known, same, "left_anti")).select(*columns)).toArrow()
 
     def matrix(table: pa.Table, column: str) -> np.ndarray:
         flat = table[column].combine_chunks().flatten() if table.num_rows else pa.array([], pa.float32())

@@ -24,7 +24,6 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -152,10 +151,9 @@ def scanned(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFra
     def run(batches):
         for b in batches:
             texts = [t or "" for t in b["text"].to_pylist()]
-            digests = pa.array([xxhash.xxh3_64_intdigest(t) - 2**63 for t in texts], pa.int64())
-            yield pa.RecordBatch.from_arrays([b["doc_id"], digests, pa.array(list(map(mentions, texts)), kind)], names=["doc_id", "digest", "found"])
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["digest"], pa.array(list(map(mentions, texts)), kind)], names=["doc_id", "digest", "found"])
 
-    narrow = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    narrow = docs.select(F.col(doc).cast("long").alias("doc_id"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
     return narrow.mapInArrow(run, f"doc_id long, digest long, found array<{MENTION}>")
 
 
@@ -220,13 +218,12 @@ def find(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: float
 
 
 def redact(text: str | None, more: list[dict] | None) -> str | None:
-    """`text` with its seeds and the discovered spans of its digest replaced by their kind; of overlapping spans the first names the kind."""
+    """`text` with its seeds and the discovered spans replaced by their kind; of overlapping spans the first names the kind."""
     if not text:
         return text
     spans = base_spans(text)
     if more:
-        digest = xxhash.xxh3_64_intdigest(text) - 2**63
-        spans = sorted([*spans, *((s["start"], s["end"], s["kind"]) for m in more if m["digest"] == digest for s in m["more"])], key=lambda x: (x[0], x[2]))
+        spans = sorted([*spans, *((s["start"], s["end"], s["kind"]) for s in more)], key=lambda x: (x[0], x[2]))
     parts, at = [], 0
     for start, end, kind in spans:
         if start >= at:
@@ -242,11 +239,11 @@ def redacted(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: fl
     table is written first, and Spark sees its size.
     """
     found = materialise(scanned(docs, doc, text), "mentions")
-    more = discovered(found, least, rounds).groupBy(F.col("doc_id").alias("_of")).agg(F.collect_list(F.struct("digest", "more")).alias("_more"))
+    more = discovered(found, least, rounds).toDF("_of", "_digest", "_more")
 
     @F.arrow_udf("string")
     def run(texts: pa.Array, lists: pa.Array) -> pa.Array:
         return pa.array([redact(t, m) for t, m in zip(texts.to_pylist(), lists.to_pylist())], pa.string())
 
-    met = docs.join(materialise(more, "more"), F.col(doc).cast("long").eqNullSafe(F.col("_of")), "left")
+    met = docs.join(materialise(more, "more"), F.col(doc).cast("long").eqNullSafe(F.col("_of")) & (F.xxhash64(text) == F.col("_digest")), "left")
     return met.withColumn(text, run(F.col(text), "_more")).select(*docs.columns)
