@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.llm import article, bpe, collide, cotrain, mixing, parity, pii, planes, rules, suffixes
+from vigilake.llm import article, bpe, collide, cotrain, merkle, mixing, parity, pii, planes, rules, suffixes
 from vigilake.session import configure, run_dir
 
 WORD_BPE = "word_bpe_49k.json"
@@ -108,6 +108,19 @@ def op9_best_region_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+MANIFEST_COLUMNS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op13_nested_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    altered = F.when(merkle.picked(), merkle.leaf_of(MANIFEST_COLUMNS, {"text": merkle.lowered()}))
+    found = merkle.manifest(docs, MANIFEST_COLUMNS, altered=altered)
+    tested = found.withColumn("folded_root", merkle.folded(F.coalesce("altered", "leaf")))
+    return tested.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof(), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
 QUERIES = {
     "op1_bit_planes": (op1_bit_planes, None),
     "op2_contextual_pii": (op2_contextual_pii, None),
@@ -119,4 +132,5 @@ QUERIES = {
     "op8_risk_controlled_rules": (op8_risk_controlled_rules, rules.sql()),
     "op9_best_region_text": (op9_best_region_text, None),
     "op10_rank_array_bpe": (op10_rank_array_bpe, None),
+    "op13_nested_rollup": (op13_nested_rollup, merkle.sql(MANIFEST_COLUMNS)),
 }
