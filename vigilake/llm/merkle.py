@@ -117,6 +117,7 @@ def manifest(
     # '' sorts before all names, so a null source is the first
     tree = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit(""))
     leaves = docs.select(tree.alias("tree"), F.col(doc).alias("doc_id"), leaf_of(columns).alias("h"), extra.alias("altered"))
+    leaves = materialise(leaves, "leaves")  # sorting in ranges reads its input twice
     item = F.struct("doc_id", "altered")
     nodes = ranked(leaves.select("tree", "h", item.alias("item"), F.col("doc_id").alias("first"), F.col("h").alias("second")), ["first", "second"])
     blocks = climbed(nodes, "blocks")

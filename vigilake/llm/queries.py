@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigilake.llm import article, bpe, collide, cotrain, divergence, merkle, mixing, parity, pii, planes, rules, suffixes
+from vigilake.llm import article, bpe, collide, cotrain, divergence, merkle, mixing, parity, passages, pii, planes, rules, suffixes
 from vigilake.session import configure, run_dir
 
 WORD_BPE = "word_bpe_49k.json"
@@ -108,6 +108,10 @@ def op9_best_region_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_seed_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeats(table(spark, sf_dir, "documents"), width=50)
+
+
 def op12_perfect_hash_recount(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"), least=3, top=200)
 
@@ -136,6 +140,7 @@ QUERIES = {
     "op8_risk_controlled_rules": (op8_risk_controlled_rules, rules.sql()),
     "op9_best_region_text": (op9_best_region_text, None),
     "op10_rank_array_bpe": (op10_rank_array_bpe, None),
+    "op11_seed_extend": (op11_seed_extend, None),
     "op12_perfect_hash_recount": (op12_perfect_hash_recount, divergence.sql(3, 200)),
     "op13_nested_rollup": (op13_nested_rollup, merkle.sql(MANIFEST_COLUMNS)),
 }
