@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vigilake.catalog.base import AS_OF, duck, events, flat, ts
 from vigilake.operators import detect as d
+from vigilake.operators import ruleindex as ri
 from vigilake.operators import sequence as sq
 from vigilake.session import materialise
 from vigilake.sources.rules import Rule
@@ -226,7 +227,57 @@ _SEQ = f"""s0 AS (SELECT identity, count(*) AS n0 FROM ev WHERE methodname LIKE
     AND utctimestamp BETWEEN {ts(T1)} - INTERVAL {5 * DAY} MINUTE AND {ts(T1)} GROUP BY identity),
   win AS (SELECT * FROM ev WHERE utctimestamp BETWEEN {ts(T2)} - INTERVAL {4 * DAY} MINUTE AND {ts(T2)})"""
 
+# a thousand rules, two for each of 500 users, of four kinds
+_KINDS = (
+    "source = 'cloudtrail' AND JSON_VALUE(details.user) = '{who}'",
+    "category IN ('click', 'view', 'error') AND STRING(details.user) = '{who}' AND CAST(JSON_VALUE(details.k) AS INT64) > {k}",
+    "'gcp' IN UNNEST(tags) AND JSON_VALUE(details.user) = '{who}'",
+    "(severity = 'WARNING' OR severity = 'CRITICAL') AND JSON_VALUE(details.user) = '{who}'",
+)
+MANY = [
+    Rule(alert_name=f"many_{i}", criteria=_KINDS[i % 4].format(who=f"user{i % 500}@example.com", k=i % 90), severity="LOW",
+         aggregation_key=("category", "", "details.project")[i % 3], threshold=1 + i % 2, lookback_minutes=(20 + i % 10) * DAY,
+         summary=f"{i}: {{{{metadata.value}}}} {{{{metadata.count}}}} {{{{events.0.eventid}}}}", event_snippet="{{category}}", event_sample_count=i % 2)
+    for i in range(1000)
+]
+_MANY_SQL = f"""rule AS (SELECT i, 'user' || (i % 500) || '@example.com' AS who, i % 90 AS least_k, 1 + i % 2 AS threshold, 20 + i % 10 AS days FROM range(1000) t(i)),
+hit AS (SELECT i AS rule_no, threshold, eventid, utctimestamp, category, CASE i % 3 WHEN 0 THEN category WHEN 1 THEN 'all' ELSE project END AS val
+  FROM ev JOIN rule ON identity = who AND CASE i % 4 WHEN 0 THEN source = 'cloudtrail' WHEN 1 THEN category IN ('click', 'view', 'error') AND k > least_k
+    WHEN 2 THEN list_contains(tags, 'gcp') ELSE severity IN ('WARNING', 'CRITICAL') END AND utctimestamp >= {ts()} - days * INTERVAL 1 DAY),
+fired AS (SELECT rule_no, val, count(*) AS n FROM hit WHERE val IS NOT NULL GROUP BY rule_no, val, threshold HAVING count(*) >= threshold),
+member AS (SELECT h.*, f.n, row_number() OVER (PARTITION BY eventid ORDER BY h.rule_no, h.val) AS claim_no,
+  row_number() OVER (PARTITION BY h.rule_no, h.val ORDER BY utctimestamp, eventid) AS pos FROM hit h JOIN fired f ON f.rule_no = h.rule_no AND f.val = h.val)"""
+
+
+def _many(spark, sf):
+    """A thousand rules through the predicate index."""
+    return flat(ri.evaluate(events(spark, sf), MANY, AS_OF).alerts.select("alert_name", "value", "event_count", "new_count", "summary"))
+
+
+def _many_claims(spark, sf):
+    """The events each of a thousand rules' alerts has claimed."""
+    ev = ri.evaluate(events(spark, sf), MANY, AS_OF)
+    return flat(ev.claimed.join(ev.alerts.select("alert_id", "alert_name", "value"), "alert_id").select("alert_name", "value", "eventid"))
+
+
+def _indexed_deadman(spark, sf):
+    return flat(ri.evaluate(events(spark, sf), FEEDS, AS_OF).alerts.select("alert_name", "value", "event_count", "summary"))
+
+
 QUERIES = {
+    "rule_index": (
+        _many,
+        duck(_MANY_SQL + """
+---
+SELECT 'many_' || rule_no AS alert_name, val AS value, n AS event_count, count(*) FILTER (claim_no = 1) AS new_count,
+  rule_no || ': ' || val || ' ' || n || ' ' || min(eventid) FILTER (pos = 1) || CASE WHEN rule_no % 2 = 1 THEN ' ' || min(category) FILTER (pos = 1) ELSE '' END AS summary
+FROM member GROUP BY rule_no, val, n HAVING count(*) FILTER (claim_no = 1) > 0"""),
+    ),
+    "rule_index_claims": (
+        _many_claims,
+        duck(_MANY_SQL + "\n---\nSELECT 'many_' || rule_no AS alert_name, val AS value, eventid FROM member WHERE claim_no = 1"),
+    ),
+    "rule_index_deadman": (_indexed_deadman, duck(_DEAD_SQL + "---\nSELECT * FROM dead")),
     "sequence_start": (
         _started,
         duck(_SEQ + f"""

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilake.operators import detect as d
+from vigilake.operators import ruleindex as ri
 from vigilake.operators import sequence as sq
 from vigilake.plans.blocked import latest
 from vigilake.schema import ALERT_SCHEMA, INFLIGHT_SCHEMA, RETENTION_DAYS
@@ -120,7 +121,7 @@ def run_tick(
     born = spark.createDataFrame([], INFLIGHT_SCHEMA)
     watches = d.watches_of(good)
     if any(w.spec.alert_type != "deadman" for w in watches):
-        ev = d.threshold(events, watches, as_of, processed if last else None, scope, closed)
+        ev = ri.threshold(events, watches, as_of, processed if last else None, scope, closed)
         rows = state.write(ev.alerts, "_threshold", cycle)
         claims = claims.unionByName(ev.claimed.select("alert_id", "eventid", "utctimestamp"))
         is_seq = d.of_watch(ev.watches, lambda w: w.rule.alert_type == "sequence")
@@ -135,12 +136,12 @@ def run_tick(
         if statuses is not None:
             current = current.drop("status").join(statuses, "alert_id", "left").withColumn("status", F.coalesce("status", F.lit("OPEN")))
         caps = {w.rule.alert_name: max(1, w.rule.event_sample_count if w.rule.event_sample_count is not None else 3) for w in plain}
-        folded = d.fold_deadman(current.select(*ALERT_SCHEMA.names), d.deadman(events, plain, as_of, closed), caps, as_of)
+        folded = d.fold_deadman(current.select(*ALERT_SCHEMA.names), ri.deadman(events, plain, as_of, closed).drop("watch_no"), caps, as_of)
         changes = changes.unionByName(folded.withColumnRenamed("first_hit", "notify"))
     slots = [w for w in dead if w.rule.alert_type == "sequence"]
     if slots:
         again = [d.Watch(i, w.rule, w.spec, w.slot_no) for i, w in enumerate(slots)]
-        born = born.unionByName(sq.start(d.deadman(events, slots, as_of, closed), again, as_of))
+        born = born.unionByName(sq.start(ri.deadman(events, slots, as_of, closed), again, as_of))
 
     used = processed.select("eventid").unionByName(claims.select("eventid"))
     step = sq.sequence_advance(events, alive, good, as_of, used, scope, closed, lambda df, name: state.write(df, name, cycle))
