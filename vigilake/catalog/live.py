@@ -13,6 +13,7 @@ from vigilake.session import run_dir
 from vigilake.sources import sample
 from vigilake.sources.outbox import notification_outbox
 from vigilake.sources.rules import Rule
+from vigilake.sources.tables import read_events
 from vigilake.streaming.detect import sliding_alerts
 from vigilake.streaming.ingest import drop_repeats, ingest
 
@@ -42,7 +43,7 @@ def _ingested(spark, sf):
     raw = _stream(spark, sf, lambda src: n.generic_messages(n.with_columns(src)))
     path = run_dir(spark, "ingest")
     ingest(raw, f"{path}/events", f"{path}/cp", f"{path}/bad", trigger=ONCE, now=n.now()).awaitTermination()
-    back = spark.read.parquet(f"{path}/events")
+    back = read_events(spark, f"{path}/events")
     d = F.col("details")
     return flat(back.select(
         "eventid", "utctimestamp", "source", "category", "severity", "summary", F.col("source_ip").alias("src"),
@@ -71,7 +72,7 @@ def _accounted(spark, sf):
     n.configure(spark)
     path = run_dir(spark, "account")
     ingest(_stream(spark, sf, _messages), f"{path}/events", f"{path}/cp", f"{path}/bad", trigger=ONCE, dedup="1 hour", now=n.now()).awaitTermination()
-    kept = spark.read.parquet(f"{path}/events").groupBy(F.when(F.col("details").cast("string").contains("raw_log"), "line").otherwise("event").alias("outcome")).count()
+    kept = read_events(spark, f"{path}/events").groupBy(F.when(F.col("details").cast("string").contains("raw_log"), "line").otherwise("event").alias("outcome")).count()
     bad = spark.read.json(f"{path}/bad").groupBy(F.col("problem").alias("outcome")).count()
     return kept.unionByName(bad).withColumnRenamed("count", "n")
 

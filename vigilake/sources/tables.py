@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vigilake.functions.jsonfn import lift
 from vigilake.plans.blocked import latest
+from vigilake.sources.manifest import ORIGIN, Manifest
 from vigilake.schema import (
     DEFAULT_LOOKBACK_MINUTES, EVENT_SCHEMA, MAX_LOOKBACK_MINUTES, RETENTION_DAYS, SHELL_STRING_DEFAULTS,
 )
@@ -88,11 +90,15 @@ def prepare_write(df: DataFrame) -> DataFrame:
 
 
 def write_events(df: DataFrame, path: str, mode: str = "append", batch: str = "none") -> None:
-    """Append events, one folder per day and below it one per batch.
+    """Append events, one folder per day and below it one per batch; a table with a log gets a commit.
 
     Rebalanced by day: adaptive execution splits a busy day over many tasks and files of the advisory
     partition size and joins up quiet ones, so a small micro-batch does not leave many small files.
     """
+    log = Manifest(df.sparkSession, path)
+    if mode == "append" and log.exists():
+        log.write_batch(prepare_write(df), f"write-{uuid.uuid4().hex}", 0)
+        return
     out = prepare_write(df).hint("rebalance", "event_date").withColumn("ingest_batch", F.lit(batch))
     out.sortWithinPartitions("event_date", "utctimestamp").write.mode(mode).partitionBy("event_date", "ingest_batch").parquet(path)
 
@@ -109,7 +115,14 @@ def forget_batch(spark: SparkSession, path: str, batch: str) -> int:
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("ingest_batch")
+    """The event table as it stands: what its log of commits names, or all folders where it has none."""
+    log = Manifest(spark, path)
+    if not log.exists():
+        return spark.read.parquet(path).drop("ingest_batch")
+    found = log.read()
+    if found is None:
+        return prepare_write(spark.createDataFrame([], EVENT_SCHEMA))
+    return found.drop("ingest_batch", ORIGIN)
 
 
 def live_partitions(df: DataFrame, as_of: datetime | str, days: int = RETENTION_DAYS) -> DataFrame:
@@ -122,6 +135,9 @@ def live_partitions(df: DataFrame, as_of: datetime | str, days: int = RETENTION_
 def expire_partitions(spark: SparkSession, path: str, as_of: datetime | str, days: int = RETENTION_DAYS) -> list[str]:
     """Delete day folders that left retention; returns their names. Only folder names are listed."""
     oldest = (as_datetime(as_of) - timedelta(days=days)).date().isoformat()
+    log = Manifest(spark, path)
+    if log.exists():
+        log.expire(oldest)
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

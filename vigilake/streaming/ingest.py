@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import zlib
+import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigilake.operators.normalize import normalize
 from vigilake.sources.messages import as_raw_log, decode_envelope
-from vigilake.sources.tables import finalise_record, forget_batch, write_events
+from vigilake.sources.manifest import FAN, Manifest
+from vigilake.sources.tables import finalise_record, prepare_write
 
 
 def drop_repeats(events: DataFrame, delay: str = "10 minutes", key: str = "eventid") -> DataFrame:
@@ -42,14 +43,16 @@ def ingest(
     enveloped: bool = False,
     trigger: dict | None = None,
     dedup: str | None = None,
+    compact: int | None = FAN,
     **options,
 ) -> StreamingQuery:
     """Normalise a stream of messages in `value` and append it to the event table.
 
     Every row becomes an event, a row of `quarantine` (what cannot be decoded, read or written back as JSON),
-    or, with `dedup` (a time span), counts as a repeat. A batch that died half-way is replayed under its
-    number and first takes back what it had written. Ids derive from the message and, where the source gives
-    one, its position, so a replay repeats them.
+    or, with `dedup` (a time span), counts as a repeat. A batch counts once the table's log names it: what one
+    that died half-way has left is never read, and a batch that is replayed after its commit is not written
+    again. Small folders of a day are joined up as they gather (`compact` of a tier; None: never). Ids derive
+    from the message and, where the source gives one, its position, so a replay repeats them.
     """
     position = [c for c in ("topic", "partition", "offset") if c in raw.columns]
     decoded = decode_envelope(raw) if enveloped else plain_messages(raw)
@@ -58,17 +61,25 @@ def ingest(
     if dedup:
         rows = rows.withColumn("_key", F.when(F.col("unreadable"), F.concat(F.lit("!"), F.sha2("value", 256))).otherwise(F.col("eventid")))
         rows = drop_repeats(rows, dedup, "_key").drop("_key")
-    stream = f"{zlib.crc32(checkpoint.encode()):08x}"
+    log = Manifest(raw.sparkSession, table)
+    named: list[str] = []
+
+    def stream(session: SparkSession) -> str:
+        """The id Spark has given the checkpoint: another one, even at the same place, has another id."""
+        if not named:
+            named.append(json.loads(session.read.text(f"{checkpoint}/metadata").first()[0])["id"])
+        return named[0]
 
     def sink(batch: DataFrame, number: int) -> None:
-        name = f"{stream}-{number}"
+        name = stream(batch.sparkSession)
         batch.persist()  # decoded once, written to two places
         try:
-            forget_batch(batch.sparkSession, table, name)
-            write_events(finalise_record(batch.filter(~F.col("unreadable"))), table, batch=name)
             if quarantine:
                 why = F.coalesce("problem", F.lit("cannot be written back as JSON")).alias("problem")
-                batch.filter("unreadable").select("value", why).write.mode("overwrite").json(f"{quarantine}/ingest_batch={name}")
+                batch.filter("unreadable").select("value", why).write.mode("overwrite").json(f"{quarantine}/ingest_batch={name}-{number}")
+            log.write_batch(prepare_write(finalise_record(batch.filter(~F.col("unreadable")))), name, number)
+            if compact:
+                log.compact(compact)
         finally:
             batch.unpersist()
 
