@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.functions.jsonfn import detail, detail_array
@@ -38,7 +39,7 @@ def identity_events(events: DataFrame) -> DataFrame:
     )
 
 
-def _attributed(events: DataFrame) -> DataFrame:
+def _attributed(events: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     user = detail(events, "user")
     return events.filter(user.isNotNull()).select(
         user.alias("identity"),
@@ -47,6 +48,30 @@ def _attributed(events: DataFrame) -> DataFrame:
         detail(events, "useragent").alias("user_agent"),
         detail(events, "project").alias("project"),
         *_day(events),
+        *more,
+    )
+
+
+def combination_counts() -> dict[str, Column]:
+    return {
+        "n": F.count(F.lit(1)), "warn": F.count_if(F.col("severity").isin("WARNING", "CRITICAL")),
+        "lo": F.min("utctimestamp"), "hi": F.max("utctimestamp"),
+    }
+
+
+def activity_of_combinations(combos: DataFrame) -> DataFrame:
+    """Sets and sums per (identity, day) from counts per combination."""
+    ips = F.collect_set("source_ip")
+    return combos.groupBy("identity", "day").agg(
+        F.sum("n").alias("event_count"),
+        F.array_sort(F.collect_set("source")).alias("sources"),
+        F.array_sort(F.collect_set("category")).alias("categories"),
+        F.size(ips).cast("long").alias("distinct_ips"),
+        F.array_sort(ips).alias("ips"),
+        F.array_sort(F.collect_set("user_agent")).alias("user_agents"),
+        F.sum("warn").alias("warning_events"),
+        F.min("lo").alias("first_event_at"),
+        F.max("hi").alias("last_event_at"),
     )
 
 
@@ -63,25 +88,9 @@ def entity_daily_activity(events: DataFrame) -> DataFrame:
         _attributed(events)
         .withColumn("day", day)
         .groupBy("identity", "day", "source", "category", "source_ip", "user_agent")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("severity").isin("WARNING", "CRITICAL")).alias("warn"),
-            F.min("utctimestamp").alias("lo"),
-            F.max("utctimestamp").alias("hi"),
-        )
-    )
-    ips = F.collect_set("source_ip")
-    return combos.groupBy("identity", "day").agg(
-        F.sum("n").alias("event_count"),
-        F.array_sort(F.collect_set("source")).alias("sources"),
-        F.array_sort(F.collect_set("category")).alias("categories"),
-        F.size(ips).cast("long").alias("distinct_ips"),
-        F.array_sort(ips).alias("ips"),
-        F.array_sort(F.collect_set("user_agent")).alias("user_agents"),
-        F.sum("warn").alias("warning_events"),
-        F.min("lo").alias("first_event_at"),
-        F.max("hi").alias("last_event_at"),
+        .agg(*[c.alias(n) for n, c in combination_counts().items()])
     )
+    return activity_of_combinations(combos)
 
 
 def first_seens(events: DataFrame) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vigilake.operators.kept import KeptView
 from vigilake.operators.normalize import normalize
 from vigilake.sources.messages import as_raw_log, decode_envelope
 from vigilake.sources.manifest import FAN, Manifest
@@ -44,6 +46,7 @@ def ingest(
     trigger: dict | None = None,
     dedup: str | None = None,
     compact: int | None = FAN,
+    kept: Sequence[KeptView] = (),
     **options,
 ) -> StreamingQuery:
     """Normalise a stream of messages in `value` and append it to the event table.
@@ -51,7 +54,8 @@ def ingest(
     Every row becomes an event, a row of `quarantine` (what cannot be decoded, read or written back as JSON),
     or, with `dedup` (a time span), counts as a repeat. A batch counts once the table's log names it: what one
     that died half-way has left is never read, and a batch that is replayed after its commit is not written
-    again. Small folders of a day are joined up as they gather (`compact` of a tier; None: never). Ids derive
+    again. Small folders of a day are joined up as they gather (`compact` of a tier; None: never), and the views in
+    `kept` follow after each batch. Ids derive
     from the message and, where the source gives one, its position, so a replay repeats them.
     """
     position = [c for c in ("topic", "partition", "offset") if c in raw.columns]
@@ -80,6 +84,8 @@ def ingest(
             log.write_batch(prepare_write(finalise_record(batch.filter(~F.col("unreadable")))), name, number)
             if compact:
                 log.compact(compact)
+            for view in kept:
+                view.refresh()
         finally:
             batch.unpersist()
 
