@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vigilake.operators import detect as d
 from vigilake.plans import blocked as b
+from vigilake.plans import ranges as rg
 from vigilake.sources.rules import Rule
 
 START = datetime(2024, 1, 1)
@@ -27,13 +28,13 @@ def frame(spark, rows):
 
 
 def test_rolling_count(spark, rows):
-    got = {r.i: r.n for r in b.rolling_count(frame(spark, rows), ["k"], "t", 3600, "n").collect()}
+    got = {r.i: r.n for r in rg.rolling_count(frame(spark, rows), ["k"], "t", 3600, "n").collect()}
     for k, t, i in rows:
         assert got[i] == sum(1 for k2, t2, _ in rows if k2 == k and t - timedelta(hours=1) <= t2 <= t)
 
 
 def test_sessions(spark, rows):
-    got = sorted((r.k, r.session_start, r.session_end, r.rows) for r in b.sessionize(frame(spark, rows), ["k"], "t", 600).collect())
+    got = sorted((r.k, r.session_start, r.session_end, r.rows) for r in rg.sessionize(frame(spark, rows), ["k"], "t", 600).collect())
     want = []
     for k in sorted({r[0] for r in rows}):
         times = sorted(r[1] for r in rows if r[0] == k)
@@ -51,7 +52,7 @@ def test_sessions(spark, rows):
 def test_last_before(spark, rows):
     left, right = [r for r in rows if r[2] % 2], [r for r in rows if not r[2] % 2]
     r_df = frame(spark, right).withColumnRenamed("i", "j")
-    got = {r.i: (r.matched_ts, r.j) for r in b.last_before(frame(spark, left), r_df, ["k"], "t", 1800, ["j"]).collect()}
+    got = {r.i: (r.matched_ts, r.j) for r in rg.last_before(frame(spark, left), r_df, ["k"], "t", 1800, ["j"]).collect()}
     want = {}
     for k, t, i in left:
         near = [(t2, -j) for k2, t2, j in right if k2 == k and t2 <= t and (t - t2).total_seconds() <= 1800]

@@ -159,6 +159,9 @@ _DEAD_SQL = f"""act AS (SELECT count(*) AS n FROM ev WHERE source = 'gcp_audit'
 
 ROLL = Rule(alert_name="roll", criteria="category IN ('error', 'click')", aggregation_key="details.user", lookback_minutes=DAY)
 
+# all events, in three groups, over the whole retention
+EVERY = Rule(alert_name="every", criteria="utctimestamp IS NOT NULL", aggregation_key="source", lookback_minutes=425 * DAY)
+
 
 def _rolling(spark, sf):
     e = events(spark, sf)
@@ -377,6 +380,11 @@ SELECT d.alert_name, coalesce(o.hits, 0) + count(*) AS deadman_hits, o.hits IS N
   CAST(CASE d.alert_name WHEN 'dead_other' THEN 2 ELSE 1 END AS BIGINT) AS kept_events,
   {ts()} AS last_triggered_at
 FROM dead d LEFT JOIN old o ON o.alert_name = d.alert_name GROUP BY d.alert_name, o.hits, o.created_at"""),
+    ),
+    "rolling_count_long": (
+        lambda s, p: flat(d.rolling_rule_counts(events(s, p), d.watches_of([EVERY])[0]).select("eventid", "utctimestamp", "value", "n")),
+        duck("""SELECT eventid, utctimestamp, source AS value, count(*) OVER (
+  PARTITION BY source ORDER BY utctimestamp RANGE BETWEEN INTERVAL 425 DAY PRECEDING AND CURRENT ROW) AS n FROM ev"""),
     ),
     "rolling_count": (
         _rolling,

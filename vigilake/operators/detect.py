@@ -436,7 +436,7 @@ def evaluate_rules(
 
 def rolling_rule_counts(events: DataFrame, watch: Watch, path: str = "") -> DataFrame:
     """Trailing count per value at every matching event: a rule's lookback slid over the data."""
-    from vigilake.plans.blocked import rolling_count
+    from vigilake.plans.ranges import rolling_count
 
     value = key_value(events, watch.spec)
     rows = events.filter(criteria_column(events, watch.spec.criteria) & value.isNotNull()).select(

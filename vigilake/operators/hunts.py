@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigilake.plans.blocked import last_before, sessionize
+from vigilake.plans.ranges import last_before, sessionize
 from vigilake.sources.tables import ts_lit, within
 
 PRIVILEGED_ROLE = r"^roles/(owner|editor|.*serviceAccountTokenCreator)$"

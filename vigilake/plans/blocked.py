@@ -1,8 +1,6 @@
-"""Ordered work on groups that may hold a third of the table.
+"""Picking rows of groups that may hold a third of the table: the first ones, the newest one, ranks.
 
-A plain window over `PARTITION BY key` sorts one key's rows in one task. The helpers here split a key
-by time blocks first. What crosses a block is either a bounded carry-over (at most one block back) or a
-per-block summary whose number depends on the time span, not on the number of rows.
+Running values, as-of matches and sessions are in `plans.ranges`.
 """
 
 from __future__ import annotations
@@ -11,123 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def block_of(ts: Column, seconds: int) -> Column:
-    """Number of the time block of `seconds` length that `ts` falls in."""
-    return F.floor(F.unix_micros(ts) / F.lit(seconds * 1_000_000)).cast("long")
-
-
-def sessionize(
-    df: DataFrame,
-    keys: list[str],
-    ts: str,
-    gap_seconds: int,
-    sums: dict[str, Column] | None = None,
-    mins: dict[str, Column] | None = None,
-    maxs: dict[str, Column] | None = None,
-    block_seconds: int = 86_400,
-) -> DataFrame:
-    """Gap sessions per key: a new session starts when more than `gap_seconds` pass without a row.
-
-    First the sessions inside each (key, block) are found and summed up. These partial sessions number
-    at most block/gap per block, so joining them up over the whole key is small work even for a key
-    that holds most rows. Returns keys, session_start, session_end, rows and the named aggregates.
-    """
-    sums, mins, maxs = sums or {}, mins or {}, maxs or {}
-    gap = gap_seconds * 1_000_000
-    micros = F.unix_micros(F.col(ts))
-    flat = df.select(
-        *keys,
-        F.col(ts).alias("_ts"),
-        block_of(F.col(ts), block_seconds).alias("_block"),
-        *[c.alias(n) for n, c in {**sums, **mins, **maxs}.items()],
-    )
-    # equal timestamps are one point: combine them before anything is sorted
-    merged = [F.sum(n).alias(n) for n in sums] + [F.min(n).alias(n) for n in mins]
-    merged += [F.max(n).alias(n) for n in maxs]
-    points = flat.groupBy(*keys, "_block", "_ts").agg(F.count(F.lit(1)).alias("rows"), *merged)
-
-    inner = Window.partitionBy(*keys, "_block").orderBy("_ts")
-    micros = F.unix_micros("_ts")
-    prev = F.lag(micros).over(inner)
-    marked = points.withColumn("_new", F.when(micros - prev <= gap, 0).otherwise(1))
-    numbered = marked.withColumn("_part", F.sum("_new").over(inner))
-    totals = [F.sum("rows").alias("rows"), *merged]
-    parts = numbered.groupBy(*keys, "_block", "_part").agg(
-        F.min("_ts").alias("_start"), F.max("_ts").alias("_end"), *totals
-    )
-
-    outer = Window.partitionBy(*keys).orderBy("_start")
-    before = F.lag(F.unix_micros("_end")).over(outer)
-    starts = parts.withColumn("_new", F.when(F.unix_micros("_start") - before <= gap, 0).otherwise(1))
-    return (
-        starts.withColumn("_session", F.sum("_new").over(outer))
-        .groupBy(*keys, "_session")
-        .agg(F.min("_start").alias("session_start"), F.max("_end").alias("session_end"), *totals)
-        .drop("_session")
-    )
-
-
-def rolling_count(df: DataFrame, keys: list[str], ts: str, seconds: int, name: str) -> DataFrame:
-    """For each row: rows of the same key in the `seconds` up to and including it.
-
-    Rows go to their own block of `seconds` length and, as carry-over, to the next one; the range
-    window then runs inside one block. Equal timestamps of a key are counted once beforehand, and each
-    row picks the count of its own timestamp up from there.
-    """
-    points = df.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_n"))
-    own = block_of(F.col(ts), seconds)
-    spread = points.withColumn("_own", own).withColumn("_block", F.explode(F.array(F.col("_own"), F.col("_own") + 1)))
-    frame = (
-        Window.partitionBy(*keys, "_block")
-        .orderBy(F.unix_micros(F.col(ts)))
-        .rangeBetween(-seconds * 1_000_000, Window.currentRow)
-    )
-    counted = (
-        spread.withColumn(name, F.sum("_n").over(frame))
-        .filter(F.col("_block") == F.col("_own"))
-        .select(*keys, ts, name)
-    )
-    return df.join(counted, [*keys, ts])
-
-
-def last_before(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    ts: str,
-    within_seconds: int,
-    carry: list[str],
-) -> DataFrame:
-    """As-of join: each left row gets the latest right row of its key at or before it, if close enough.
-
-    One match per left row, never all pairs. Both sides are laid into blocks of `within_seconds`; right
-    rows also enter the following block, so the match is always inside one (key, block). Adds
-    `matched_ts` and the columns named in `carry`; left rows without a match are dropped.
-    """
-    # keep one right row per (key, instant): the smallest by the carried columns
-    reduced = right.groupBy(*keys, ts).agg(F.min(F.struct(*carry)).alias("_carry"))
-    block = block_of(F.col(ts), within_seconds)
-    r = reduced.select(
-        *keys,
-        F.col(ts),
-        F.explode(F.array(block, block + 1)).alias("_block"),
-        F.struct(F.col(ts).alias("ts"), F.col("_carry").alias("c")).alias("_right"),
-        F.lit(0).alias("_side"),
-    )
-    l = left.select(*keys, F.col(ts), block.alias("_block"), F.struct(*left.columns).alias("_left"), F.lit(1).alias("_side"))
-    both = r.unionByName(l, allowMissingColumns=True)
-    order = Window.partitionBy(*keys, "_block").orderBy(ts, "_side").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    found = both.withColumn("_match", F.last("_right", ignorenulls=True).over(order)).filter(F.col("_side") == 1)
-    near = F.unix_micros(F.col(ts)) - F.unix_micros("_match.ts") <= within_seconds * 1_000_000
-    return found.filter(near).select(
-        "_left.*",
-        F.col("_match.ts").alias("matched_ts"),
-        *[F.col(f"_match.c.{c}").alias(c) for c in carry],
-    )
-
-
 def first_n(df: DataFrame, keys: list[str], order: list[Column], n: int | Column, ceiling: int) -> DataFrame:
     """The first `n` rows of each group, marked `rn`.
 
