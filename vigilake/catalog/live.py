@@ -8,6 +8,7 @@ from vigilake.catalog import normalise as n
 from vigilake.catalog.base import duck, events, flat, ts
 from vigilake.catalog.detection import FEEDS, KEY_THEN_ERRORS, LOGIN
 from vigilake.functions.jsonfn import jv
+from vigilake.operators import ordered
 from vigilake.operators.tick import StateFolder, run_tick
 from vigilake.session import run_dir
 from vigilake.sources import sample
@@ -16,6 +17,7 @@ from vigilake.sources.rules import Rule
 from vigilake.sources.tables import read_events
 from vigilake.streaming.detect import sliding_alerts
 from vigilake.streaming.ingest import drop_repeats, ingest
+from vigilake.streaming.sequences import ordered_stream
 
 DAY = 1440
 ONCE = {"availableNow": True}
@@ -136,7 +138,87 @@ def _outbox(spark, sf):
     return sent.select("webhook_url", "payload")
 
 
+# --- slots in order of time
+
+_BY_USER = {"aggregation_key": "details.user"}
+THEN = Rule(alert_name="click_then_error", alert_type="sequence", severity="HIGH", category="order", lifespan="3 days", tags=("order",),
+            summary="{{metadata.value}}: {{steps.0.eventid}} then {{steps.1.eventid}}",
+            slots=(Rule("click", criteria="category = 'click'", **_BY_USER), Rule("error", criteria="category = 'error'", **_BY_USER)))
+TWICE = Rule(alert_name="signup_two_views_purchase", alert_type="sequence", lifespan="10 days", summary="{{metadata.count}} steps by {{metadata.value}}",
+             slots=(Rule("signup", criteria="category IN ('signup', 'click')", **_BY_USER), Rule("views", criteria="category = 'view'", threshold=2, **_BY_USER),
+                    Rule("purchase", criteria="category = 'purchase' OR category = 'signup'", **_BY_USER)))
+_ORDER_SQL = """o AS (SELECT identity AS value, utctimestamp AS ts, eventid, category FROM ev WHERE identity IS NOT NULL),
+{}
+first AS (SELECT value, s, arg_min(steps, (ts, eventid)) AS steps, min(ts) AS ended FROM last WHERE s IS NOT NULL GROUP BY value, s),
+done AS (SELECT value, s.ts AS started, ended, steps FROM first WHERE ended - s.ts <= INTERVAL {} DAY)"""
+_LAST = "last_value({} IGNORE NULLS) OVER (PARTITION BY value ORDER BY ts, eventid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+
+def _order_sql(slots: list[str], days: int) -> str:
+    """One table per state; a state is the last one before it, with this event as a further step."""
+    out = [f"""t0 AS (SELECT *, CASE WHEN {slots[0]} THEN {{'ts': ts, 'id': eventid}} END AS s, CASE WHEN {slots[0]} THEN eventid END AS steps FROM o)"""]
+    for i, slot in enumerate(slots[1:], 1):
+        out.append(f"""p{i} AS (SELECT *, {_LAST.format('s')} AS ps, {_LAST.format('steps')} AS psteps FROM t{i - 1}),
+t{i} AS (SELECT value, ts, eventid, category, CASE WHEN {slot} THEN ps END AS s, CASE WHEN {slot} THEN psteps || ',' || eventid END AS steps FROM p{i})""")
+    out.append(f"last AS (SELECT * FROM t{len(slots) - 1}),")
+    return _ORDER_SQL.format(",\n".join(out), days)
+
+
+_THEN_SQL = _order_sql(["category = 'click'", "category = 'error'"], 3)
+_TWICE_SQL = _order_sql(["category IN ('signup', 'click')", "category = 'view'", "category = 'view'", "category IN ('purchase', 'signup')"], 10)
+
+
+def _ordered(rule):
+    """All matches of a rule over the table as alerts."""
+
+    def run(spark, sf):
+        found = ordered.ordered_sequences(events(spark, sf), [rule], "2024-12-31 00:00:00", 425 * DAY)
+        ids = F.array_join(F.transform("events", lambda x: x["eventid"]), ",")
+        return flat(found.select("alert_name", "value", "summary", "created_at", "event_count", ids.alias("steps")))
+
+    return run
+
+
+def _ordered_stream(spark, sf):
+    """The same rule on a stream: the table in eight files of its time order, one a batch, each a little out of order."""
+    events(spark, sf)
+    raw = spark.read.parquet(f"{sf}/events.parquet")
+    path = run_dir(spark, "ordered")
+    lo, hi = raw.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp"))), F.max(F.unix_micros(F.col("ts").cast("timestamp")))).first()
+    # an hour's jitter: events of a batch come up to an hour before or after their turn
+    jitter = (F.pmod(F.xxhash64("event_id"), F.lit(7_200)) - 3_600) * 1_000_000
+    turn = F.greatest(F.lit(0), F.least(F.lit(7), F.floor((F.unix_micros(F.col("ts").cast("timestamp")) + jitter - lo) * 8 / (hi - lo + 1)))).cast("int")
+    for i in range(8):
+        raw.filter(turn == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
+    live = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    found = _to_table(ordered_stream(sample.canonical(live), THEN, "3 hours"), spark, "matches")
+    alerts = ordered.alerts_of(found, THEN)
+    ids = F.array_join(F.transform("events", lambda x: x["eventid"]), ",")
+    return flat(alerts.select("alert_name", "value", "summary", "created_at", "event_count", ids.alias("steps")))
+
+
 QUERIES = {
+    "ordered_sequence": (
+        _ordered(THEN),
+        duck(_THEN_SQL + """
+---
+SELECT 'click_then_error' AS alert_name, value, value || ': ' || split_part(steps, ',', 1) || ' then ' || split_part(steps, ',', 2) AS summary,
+  ended AS created_at, CAST(2 AS BIGINT) AS event_count, steps FROM done"""),
+    ),
+    "ordered_sequence_thresholds": (
+        _ordered(TWICE),
+        duck(_TWICE_SQL + """
+---
+SELECT 'signup_two_views_purchase' AS alert_name, value, '4 steps by ' || value AS summary, ended AS created_at, CAST(4 AS BIGINT) AS event_count, steps FROM done"""),
+    ),
+    "ordered_sequence_stream": (
+        _ordered_stream,
+        duck(_THEN_SQL + """
+---
+SELECT 'click_then_error' AS alert_name, value, value || ': ' || split_part(steps, ',', 1) || ' then ' || split_part(steps, ',', 2) AS summary,
+  ended AS created_at, CAST(2 AS BIGINT) AS event_count, steps FROM done
+WHERE ended <= (SELECT max(ts) FROM o WHERE category IN ('click', 'error')) - INTERVAL 3 HOUR"""),
+    ),
     "stream_ingest": (
         _ingested,
         duck("""c AS (SELECT *, CASE event_id % 4 WHEN 1 THEN source_ip WHEN 3 THEN '172.16.0.' || (user_id % 200)
