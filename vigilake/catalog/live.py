@@ -9,12 +9,15 @@ from vigilake.catalog.base import duck, events, flat, ts
 from vigilake.catalog.detection import FEEDS, KEY_THEN_ERRORS, LOGIN
 from vigilake.functions.jsonfn import jv
 from vigilake.operators import ordered
+from vigilake.operators import ruleindex as ri
+from vigilake.operators.absence import absences
 from vigilake.operators.tick import StateFolder, run_tick
 from vigilake.session import run_dir
 from vigilake.sources import sample
 from vigilake.sources.outbox import notification_outbox
 from vigilake.sources.rules import Rule
 from vigilake.sources.tables import read_events
+from vigilake.streaming.absence import absence_stream
 from vigilake.streaming.detect import sliding_alerts
 from vigilake.streaming.ingest import drop_repeats, ingest
 from vigilake.streaming.sequences import ordered_stream
@@ -179,8 +182,8 @@ def _ordered(rule):
     return run
 
 
-def _ordered_stream(spark, sf):
-    """The same rule on a stream: the table in eight files of its time order, one a batch, each a little out of order."""
+def _in_turns(spark, sf):
+    """The events as a stream: eight files in order of time, one a batch, each a little out of order."""
     events(spark, sf)
     raw = spark.read.parquet(f"{sf}/events.parquet")
     path = run_dir(spark, "ordered")
@@ -190,14 +193,66 @@ def _ordered_stream(spark, sf):
     turn = F.greatest(F.lit(0), F.least(F.lit(7), F.floor((F.unix_micros(F.col("ts").cast("timestamp")) + jitter - lo) * 8 / (hi - lo + 1)))).cast("int")
     for i in range(8):
         raw.filter(turn == i).coalesce(1).write.mode("append").parquet(f"{path}/in")
-    live = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+    return spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+
+
+def _ordered_stream(spark, sf):
+    """The same rule on a stream of several batches."""
+    live = _in_turns(spark, sf)
     found = _to_table(ordered_stream(sample.canonical(live), THEN, "3 hours"), spark, "matches")
     alerts = ordered.alerts_of(found, THEN)
     ids = F.array_join(F.transform("events", lambda x: x["eventid"]), ",")
     return flat(alerts.select("alert_name", "value", "summary", "created_at", "event_count", ids.alias("steps")))
 
 
+# --- groups that fall silent
+
+# the proxies: some of them send errors, user1000 to user1004 never do anything
+MISSED = Rule(alert_name="missed", alert_type="deadman", criteria="category = 'error'", aggregation_key="details.user", lookback_minutes=8 * DAY,
+              expected_values=tuple(f"user{i}@example.com" for i in (*range(0, 40), *range(1000, 1005))))
+_SINCE, _UNTIL = "2024-01-01 00:00:00", "2024-01-31 00:00:00"
+
+
+def _absent(spark, sf):
+    return flat(absences(events(spark, sf), MISSED, _SINCE, _UNTIL))
+
+
+def _absent_stream(spark, sf):
+    """The same silences on a stream of several batches, as far as its watermark comes."""
+    return flat(_to_table(absence_stream(sample.canonical(_in_turns(spark, sf)), MISSED, _SINCE, delay="3 hours"), spark, "absent"))
+
+
+def _absent_now(spark, sf):
+    """One cycle of a deadman rule with expected groups: those absent from its window fire beside others that report."""
+    e = events(spark, sf)
+    return flat(ri.evaluate(e, [MISSED], "2024-01-20 00:00:00", closed=True).alerts.select("alert_name", "value", "event_count"))
+
+
+_NAMES = "names AS (SELECT DISTINCT 'user' || i || '@example.com' AS value FROM (SELECT unnest(range(0, 40)) AS i UNION ALL SELECT unnest(range(1000, 1005))))"
+
+
+def _absent_sql(until: str, calls: str) -> str:
+    return duck(f"""{_NAMES},
+heard AS (SELECT DISTINCT identity AS value, utctimestamp AS t FROM ev WHERE category = 'error' AND identity IS NOT NULL AND utctimestamp >= {ts(_SINCE)} AND utctimestamp <= {calls}
+  UNION SELECT value, {ts(_SINCE)} FROM names),
+step AS (SELECT value, t AS last_heard, coalesce(lead(t) OVER (PARTITION BY value ORDER BY t), {until}) AS next FROM heard)
+---
+SELECT value, last_heard, last_heard + INTERVAL 8 DAY AS absent_at, value IN (SELECT value FROM names) AS expected FROM step
+WHERE last_heard + INTERVAL 8 DAY < next AND last_heard + INTERVAL 8 DAY < {until}""")
+
+
+_MARK = "(SELECT date_trunc('millisecond', max(utctimestamp)) - INTERVAL 3 HOUR FROM ev WHERE category = 'error' AND identity IS NOT NULL)"
+
 QUERIES = {
+    "absence_per_group": (_absent, _absent_sql(ts(_UNTIL), ts(_UNTIL))),
+    "absence_per_group_stream": (_absent_stream, _absent_sql(_MARK, _MARK)),
+    "absence_expected_groups": (
+        _absent_now,
+        duck(f"""{_NAMES}, win AS (SELECT identity AS value FROM ev WHERE category = 'error' AND identity IS NOT NULL
+  AND utctimestamp BETWEEN TIMESTAMP '2024-01-12 00:00:00' AND TIMESTAMP '2024-01-20 00:00:00')
+---
+SELECT 'missed' AS alert_name, value, CAST(0 AS BIGINT) AS event_count FROM names WHERE value NOT IN (SELECT value FROM win)"""),
+    ),
     "ordered_sequence": (
         _ordered(THEN),
         duck(_THEN_SQL + """

@@ -17,6 +17,7 @@ slots, or wait for absence, are refused.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.functions.jsonfn import render, template_fields
-from vigilake.functions.scalars import lifespan_seconds, stable_id
+from vigilake.functions.scalars import stable_id
 from vigilake.operators import detect as d
 from vigilake.operators.query import InvalidCriteria, criteria_expr
 from vigilake.plans.ranges import carried, laid_out
@@ -58,8 +59,14 @@ def steps(events: DataFrame, rule: Rule) -> DataFrame:
     return found.groupBy(F.col("f.value").alias("value"), F.col("utctimestamp").alias("ts"), "eventid").agg(F.collect_set("f.slot").alias("slots"))
 
 
-def life_of(rule: Rule) -> Column:
-    return lifespan_seconds(F.lit(rule.lifespan or ""))
+def life_seconds(rule: Rule) -> int:
+    """The rule's lifespan, read as `functions.scalars.lifespan_seconds` does."""
+    m = re.match(r"\s*(\d+)\s*(day|hour|min)", (rule.lifespan or "").lower())
+    return int(m.group(1)) * {"day": 86_400, "hour": 3_600, "min": 60}[m.group(2)] if m else 3 * 86_400
+
+
+def life_minutes(rule: Rule) -> int:
+    return max(1, -(-life_seconds(rule) // 60))
 
 
 def matches(events: DataFrame, rule: Rule, ranges: int | None = None) -> DataFrame:
@@ -78,7 +85,7 @@ def matches(events: DataFrame, rule: Rule, ranges: int | None = None) -> DataFra
     ended = rows.filter("state IS NOT NULL").select("value", "ts", "eventid", "state.*")
     first = F.min_by(F.struct(F.col("ts").alias("ended_at"), "steps"), F.struct("ts", "eventid"))
     out = ended.groupBy("value", "started_at", "first").agg(first.alias("e")).select("value", "started_at", "e.ended_at", "e.steps")
-    return out.filter(F.unix_micros("ended_at") - F.unix_micros("started_at") <= life_of(rule) * 1_000_000)
+    return out.filter(F.unix_micros("ended_at") - F.unix_micros("started_at") <= life_seconds(rule) * 1_000_000)
 
 
 def alerts_of(found: DataFrame, rule: Rule) -> DataFrame:
@@ -115,4 +122,4 @@ def ordered_sequences(events: DataFrame, rules: Sequence[Rule], as_of: datetime
     return out
 
 
-__all__ = ["alerts_of", "matches", "ordered_sequences", "states_of", "steps"]
+__all__ = ["alerts_of", "life_minutes", "life_seconds", "matches", "ordered_sequences", "states_of", "steps"]

@@ -364,13 +364,19 @@ def threshold(
 
 
 def deadman(events: DataFrame, watches: Sequence[d.Watch], as_of: datetime | str, closed: bool = False) -> DataFrame:
-    """Alert rows (with `watch_no`) of all deadman watches, as `detect.deadman`."""
+    """Alert rows (with `watch_no`) of all deadman watches, as `detect.deadman`, and of expected groups that are absent."""
     ws = [d.Watch(i, w.rule, w.spec, w.slot_no) for i, w in enumerate(w for w in watches if w.spec.alert_type == "deadman")]
     index, rules = RuleIndex.build(events, ws), RuleTable(ws)
     group = ["watch_no", "value"]
     counts = materialise(d.count_hits(hits(events, index, as_of, closed, whole=False)), "counts")
     every = events.sparkSession.range(len(ws)).select(F.col("id").cast("int").alias("watch_no"))
     silent = every.join(counts.select("watch_no").distinct(), "watch_no", "left_anti").select("watch_no", rules.of("silent").alias("value"), F.lit(0).cast("long").alias("event_count"))
+    named = [(w.no, v) for w in ws if w.spec.keyed for v in dict.fromkeys(w.spec.expected_values)]
+    if named:
+        # an expected group that is absent counts 0, whatever the others do; it stands in for the rule as a whole
+        expected = events.sparkSession.createDataFrame(named, "watch_no int, value string")
+        absent = expected.join(counts.select(*group), group, "left_anti").withColumn("event_count", F.lit(0).cast("long"))
+        silent = silent.join(expected.select("watch_no").distinct(), "watch_no", "left_anti").unionByName(absent)
     fired = counts.filter(F.col("event_count") <= rules.of("bound")).unionByName(silent)
     # every event of a firing group is kept: there are at most `bound` of them
     seen = samples(hits(events, index, as_of, closed).join(fired.select(*group), group), rules, least=max([w.spec.limit for w in ws], default=1) or 1)

@@ -20,8 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigilake.operators import detect as d
+from vigilake.operators import ordered
 from vigilake.operators import ruleindex as ri
 from vigilake.operators import sequence as sq
+from vigilake.operators.query import InvalidCriteria
 from vigilake.plans.blocked import latest
 from vigilake.schema import ALERT_SCHEMA, INFLIGHT_SCHEMA, RETENTION_DAYS
 from vigilake.sources.messages import heartbeat_events
@@ -110,6 +112,8 @@ def run_tick(
     good, failed = d.check_rules(events, rules)
     good, unbound = _bindable(events, good)
     failed += unbound
+    strict = [r for r in good if r.alert_type == "sequence" and r.strict_order]
+    published, good = len(good), [r for r in good if r not in strict]
     longest = max([clamp_minutes(s.lookback_minutes) for r in good for s in (r.slots or (r,))], default=5)
     horizon = ts_lit(as_datetime(as_of) - timedelta(minutes=longest))
     # an event outside every window cannot be claimed again: older claims need not be read
@@ -146,6 +150,11 @@ def run_tick(
     used = processed.select("eventid").unionByName(claims.select("eventid"))
     step = sq.sequence_advance(events, alive, good, as_of, used, scope, closed, lambda df, name: state.write(df, name, cycle))
     changes = changes.unionByName(step.alerts.withColumn("notify", F.lit(True)))
+    for rule in strict:
+        # a match is known by its steps, so cycles may look at the same events again
+        found = ordered.ordered_sequences(events, [rule], as_of, 2 * ordered.life_minutes(rule), closed)
+        told = state.log("alerts", CHANGE, last).select("alert_id")
+        changes = changes.unionByName(found.join(told, "alert_id", "left_anti").withColumn("notify", F.lit(True)))
     changes = state.write(changes.withColumn("cycle", F.lit(cycle)), "alerts", cycle)
     state.write(step.inflight.unionByName(born), "inflight", cycle)
     everything = claims.unionByName(step.claimed.withColumnRenamed("owner", "alert_id"))
@@ -156,12 +165,18 @@ def run_tick(
         state.compact(cycle, ts_lit(as_datetime(as_of) - timedelta(days=RETENTION_DAYS)))
     state.finish(cycle)
 
-    metrics = d.fanout_metrics(len(good), len(failed))
+    metrics = d.fanout_metrics(published, len(failed))
     beat = heartbeat_events(spark, metrics["published"], metrics["failed"], len(rules))
     return {**metrics, "cycle": cycle, "reasons": failed, "heartbeat": beat}
 
 
 def _bindable(events: DataFrame, rules: Sequence[Rule]) -> tuple[list[Rule], list[tuple[str, str]]]:
     sequences, failed = sq.check_sequences(events, [r for r in rules if r.alert_type == "sequence"])
+    for rule in [r for r in sequences if r.strict_order]:
+        try:
+            ordered.states_of(rule)
+        except InvalidCriteria as e:
+            sequences.remove(rule)
+            failed.append((rule.alert_name, str(e)))
     kept = {id(r) for r in sequences}
     return [r for r in rules if r.alert_type != "sequence" or id(r) in kept], failed

@@ -36,6 +36,8 @@ class Rule:
     lookback_minutes: int = DEFAULT_LOOKBACK_MINUTES
     lifespan: str | None = None
     slots: tuple["Rule", ...] = field(default=())
+    strict_order: bool = False  # of a sequence: its slots follow each other in time
+    expected_values: tuple[str, ...] = ()  # of a keyed deadman: groups that are missed even if none of their events came
 
     @property
     def keyed(self) -> bool:
@@ -60,6 +62,8 @@ def rule_from_dict(doc: dict) -> Rule:
     """A rule out of a parsed YAML or JSON document; unknown keys are ignored."""
     known = {k: v for k, v in doc.items() if k in Rule.__dataclass_fields__ and v is not None}
     known["tags"] = tuple(str(t) for t in known.get("tags") or ())
+    known["expected_values"] = tuple(str(v) for v in known.get("expected_values") or ())
+    known["strict_order"] = known.get("strict_order") is True
     known["lookback_minutes"] = clamp_minutes(known.get("lookback_minutes", DEFAULT_LOOKBACK_MINUTES))
     slots = []
     for i, slot in enumerate(known.get("slots") or ()):

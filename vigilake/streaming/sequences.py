@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from vigilake.operators import detect as d
-from vigilake.operators.ordered import states_of
+from vigilake.operators.ordered import life_seconds, states_of
 from vigilake.operators.query import criteria_expr
 from vigilake.sources.rules import Rule
 
@@ -86,13 +85,6 @@ class Automaton(StatefulProcessor):
         pass
 
 
-def life_micros(rule: Rule) -> int:
-    """The rule's lifespan, read as `functions.scalars.lifespan_seconds` does."""
-    words = (rule.lifespan or "").lower().split()
-    unit = {"day": 86_400, "hou": 3_600, "min": 60}.get(words[1][:3] if len(words) > 1 else "")
-    return int(timedelta(seconds=int(words[0]) * unit if unit and words[0].isdigit() else 3 * 86_400) / timedelta(microseconds=1))
-
-
 def _fits(events: DataFrame, rule: Rule) -> Column:
     fits = []
     for k, slot in enumerate(rule.slots):
@@ -108,7 +100,7 @@ def ordered_stream(events: DataFrame, rule: Rule, delay: str = "5 minutes") -> D
     found = events.select("utctimestamp", "eventid", _fits(events, rule).alias("f")).filter(F.coalesce("eventid", F.lit("")) != "")
     rows = found.select(F.col("f.value").alias("value"), "utctimestamp", F.unix_micros("utctimestamp").alias("at"), "eventid", F.col("f.slot").alias("slot"))
     keyed = rows.withWatermark("utctimestamp", delay).groupBy("value")
-    out = keyed.transformWithState(statefulProcessor=Automaton(states, life_micros(rule)), outputStructType=FOUND, outputMode="Append", timeMode="EventTime")
+    out = keyed.transformWithState(statefulProcessor=Automaton(states, life_seconds(rule) * 1_000_000), outputStructType=FOUND, outputMode="Append", timeMode="EventTime")
     pairs = F.from_json("steps", "array<array<string>>")
     return out.select(
         "value", F.timestamp_micros("started_at").alias("started_at"), F.timestamp_micros("ended_at").alias("ended_at"),
