@@ -68,6 +68,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete tables that `materialise` has written and nothing reads any more."""
+    for df in frames:
+        spark, files = df.sparkSession, df.inputFiles()
+        if files:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Use all cores for input that comes in fewer partitions than there are cores, such as one small file.
 
