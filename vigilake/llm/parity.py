@@ -7,10 +7,12 @@ sketch has `d + 1 + 2 s` wide, sparse blocks for its largest d. By the pigeonhol
 agree in `1 + 2 s` blocks; each document leaves out its own `s` emptiest blocks (those say the least), so at least one common block
 is left to meet in. Every pair that meets is verified on the sets themselves.
 
-Equal sets are one representative (the smallest document id) from the start. In a block with many members
-each first meets the smallest only; after the verified links have been joined up, members of one star that
-still lie in different components are compared by sketches of their whole sets, whose Hamming distance bounds
-the difference from below, and only close ones go on to be verified. So no link between components is missed.
+Equal sets are one node from the start, told by a hash of the set; the few sets whose hashes collide are found
+and named anew. In a block with many members each first meets the smallest node only; after the verified links
+have been joined up, members of one star that still lie in different components are compared by sketches of
+their whole sets, whose Hamming distance bounds the difference from below, and only close ones go on to be
+verified. So no link between components is missed. For verifying, the text behind each node is read once; a
+star's centre is sent once per tile of its members.
 
 Defined cases: null and empty texts, and texts of white space only, have an empty set and link with nothing;
 with fewer words than n the whole sequence is the one element; rows of one document id are separate texts
@@ -20,6 +22,8 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,7 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigilake.llm.components import components
-from vigilake.session import materialise
+from vigilake.plans.sieve import hashed, maybe_among
+from vigilake.session import discard, materialise
 
 PIECE = 1 << 20  # bytes hashed at once
 _rng = np.random.Generator(np.random.PCG64(20_240_229))
@@ -177,52 +182,102 @@ def folded(bits: bytes, size: int) -> np.ndarray:
     return x
 
 
-def sketches(docs: DataFrame, width: int, bands: Bands, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n (set size), same (digest of the set, null for an empty one), keys, bits (the whole sketch)."""
+def narrowed(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, row (digest of the text), text."""
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return docs.select(F.col(doc).cast("long").alias("doc_id"), F.md5(whole.cast("binary")).alias("row"), whole.alias("text"))
+
+
+def node_of(same: bytes, renamed: dict[bytes, int], bits: int) -> int:
+    """The number of a set, from the digest of its elements."""
+    return renamed[same] if same in renamed else int.from_bytes(same[:8], "little") >> (64 - bits)
+
+
+def sketches(docs: DataFrame, width: int, bands: Bands, doc: str = "doc_id", text: str = "text", bits: int = 63) -> DataFrame:
+    """doc_id, row, n (set size), same (digest of the set, null for an empty one), node (its number), bits (the whole sketch)."""
 
     def run(batches):
         for b in batches:
             found = sets_of(b["text"].to_pylist(), width)
+            same = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found]
             yield pa.RecordBatch.from_arrays(
                 [
-                    b["doc_id"],
-                    pa.array([len(s) for s in found], pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in found], pa.binary()),
-                    pa.array([block_keys(s, bands) for s in found], pa.list_(pa.int64())),
-                    pa.array([sketch_bits(s) for s in found], pa.binary()),
+                    b["doc_id"], b["row"], pa.array([len(s) for s in found], pa.int64()), pa.array(same, pa.binary()),
+                    pa.array([None if x is None else node_of(x, {}, bits) for x in same], pa.int64()), pa.array([sketch_bits(s) for s in found], pa.binary()),
                 ],
-                names=["doc_id", "n", "same", "keys", "bits"],
+                names=["doc_id", "row", "n", "same", "node", "bits"],
             )
 
-    narrow = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, n long, same binary, keys array<long>, bits binary")
+    return narrowed(docs, doc, text).mapInArrow(run, "doc_id long, row string, n long, same binary, node long, bits binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, bands: Bands, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """Of the pairs (a, b) those whose sets reach the similarity. Only documents in a pair are read out."""
+def keyed(texts: DataFrame, width: int, bands: Bands, renamed: dict[bytes, int], bits: int = 63) -> DataFrame:
+    """doc_id (the set's node), keys of every text with a set. Made from the texts again: the keys are many times what is kept of them."""
 
-    @F.arrow_udf("binary")
-    def packed(texts: pa.Array) -> pa.Array:
-        return pa.array([s.tobytes() for s in sets_of(texts.to_pylist(), width)], pa.binary())
+    def run(batches):
+        for b in batches:
+            found = [s for s in sets_of(b["text"].to_pylist(), width) if len(s)]
+            node = [node_of(xxhash.xxh3_128_digest(s.tobytes()), renamed, bits) for s in found]
+            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([block_keys(s, bands) for s in found], pa.list_(pa.int64()))], names=["doc_id", "keys"])
 
-    num, den = bands.num, bands.den
+    return texts.select("text").mapInArrow(run, "doc_id long, keys array<long>")
 
-    @F.arrow_udf("boolean")
-    def linked(xs: pa.Array, ys: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(xs.to_pylist(), ys.to_pylist()):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(den * common >= num * (len(x) + len(y) - common))
-        return pa.array(out, pa.bool_())
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    # one text per document id: rows of one id have been told apart by their set only where it is the smallest
-    texts = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).join(needed, "doc_id", "left_semi")
-    sets = materialise(texts.select("doc_id", packed("text").alias("s")), "sets")
-    met = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("s").alias("_x")), "a")
-    met = met.join(sets.select(F.col("doc_id").alias("b"), F.col("s").alias("_y")), "b")
-    return met.filter(linked("_x", "_y")).select("a", "b").distinct()
+def renamed_nodes(nodes: DataFrame, bits: int) -> dict[bytes, int]:
+    """New numbers for sets whose numbers collide; of 2 ** 63 numbers hardly any ever do."""
+    renamed: dict[bytes, int] = {}
+    twice = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("node")
+    for r in nodes.join(twice, "node", "left_semi").select("same").collect():
+        renamed[bytes(r["same"])] = 2**62 + (int.from_bytes(hashlib.blake2b(r["same"], digest_size=8).digest(), "little") >> 2)
+    if len(set(renamed.values())) < len(renamed):
+        raise RuntimeError("two sets have one number")
+    return renamed
+
+
+def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, width: int, bands: Bands, renamed: dict[bytes, int], bits: int = 63, tile: int = 256) -> DataFrame:
+    """Of the pairs of nodes (a, b) those whose sets reach the similarity.
+
+    `nodes` names a text for each; only texts of nodes in a pair are read out. Pairs are dealt by centre and tile
+    of at most about `tile` members, so a centre's set is sent once a tile and a member's once a pair.
+    """
+
+    def packed(batches):
+        for b in batches:
+            found = sets_of(b["text"].to_pylist(), width)
+            good = [i for i, (s, node) in enumerate(zip(found, b["node"].to_pylist())) if len(s) and node_of(xxhash.xxh3_128_digest(s.tobytes()), renamed, bits) == node]
+            yield pa.RecordBatch.from_arrays([b["node"].take(pa.array(good, pa.int64())), pa.array([found[i].tobytes() for i in good], pa.binary())], names=["node", "s"])
+
+    pairs = materialise(pairs, "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    needed = materialise(nodes.join(ends, "node").select("node", "row"), "needed")
+    among = maybe_among(needed, hashed("row"), needed.count())
+    near = texts.filter(among(hashed("row"))).join(needed, "row").dropDuplicates(["node"])
+    sets = materialise(near.select("node", "text").mapInArrow(packed, "node long, s binary"), "sets")
+
+    num, den = bands.num, bands.den
+    tiles = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
+    dealt = pairs.join(tiles, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("tiles")).alias("tile"))
+    members = dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "tile", "b", "s")
+    centres = dealt.select("a", "tile").distinct().join(sets.withColumnRenamed("node", "a"), "a").select("a", "tile", F.lit(None).cast("long").alias("b"), "s")
+
+    def run(batches):
+        centre = np.zeros(0, np.uint64)
+        for b in batches:
+            out = []
+            for x, y, s in zip(b["a"].to_pylist(), b["b"].to_pylist(), b["s"].to_pylist()):
+                s = np.frombuffer(s, np.uint64)
+                if y is None:  # ahead of its members
+                    centre = s
+                    continue
+                common = len(np.intersect1d(centre, s, assume_unique=True))
+                if den * common >= num * (len(centre) + len(s) - common):
+                    out.append((x, y))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
+
+    by_tile = centres.unionByName(members).repartition("a", "tile").sortWithinPartitions("a", "tile", F.col("b").asc_nulls_first())
+    found = materialise(by_tile.mapInArrow(run, "a long, b long").distinct(), "links")
+    discard(sets, needed, pairs)
+    return found
 
 
 def entries(own: DataFrame, doc: str = "doc_id", keys: str = "keys", chunk: int = 4_000_000) -> DataFrame:
@@ -236,6 +291,8 @@ def entries(own: DataFrame, doc: str = "doc_id", keys: str = "keys", chunk: int
     def combined(key: np.ndarray, doc_id: np.ndarray):
         order = np.lexsort((doc_id, key))
         key, doc_id = key[order], doc_id[order]
+        once = np.concatenate([[True], (key[1:] != key[:-1]) | (doc_id[1:] != doc_id[:-1])])
+        key, doc_id = key[once], doc_id[once]
         start = np.concatenate([[True], key[1:] != key[:-1]])
         lead = np.flatnonzero(start)
         more = np.diff(np.append(lead, len(key))) - 1
@@ -364,24 +421,44 @@ def apart(stars: DataFrame, grouped: DataFrame, whole: DataFrame, bands: Bands,
     return row.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of `docs`."""
-    bands = Bands(num, den)
-    sketched = materialise(sketches(docs, width, bands, doc, text), "sketches")
-    alone = sketched.filter("same IS NOT NULL AND doc_id IS NOT NULL")
-    firsts = alone.groupBy("same").agg(F.min("doc_id").alias("rep"))
-    own = alone.filter(F.size("keys") > 0).join(firsts.select(F.col("rep").alias("doc_id"), "same"), ["doc_id", "same"], "left_semi")
-    met = shared_keys(entries(own)).filter("doc_id > least")
-    stars = met.select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
-    stars = materialise(stars, "stars")
-    # rows of one id with different sets: every one of their sketches is tried
-    whole = sketched.filter("n > 0").select("doc_id", "n", "bits")
-    links = materialise(verified(close(stars, whole, bands), docs, width, bands, doc, text), "links")
+def linked(docs: DataFrame, width: int, bands: Bands, doc: str = "doc_id", text: str = "text", nulls: bool = False, bits: int = 63) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, links, components): doc_id, row, n, node of every row; a, b of links that join nodes up; node, component.
+
+    With `nulls` texts without an id take part like any other.
+    """
+    sketched = materialise(sketches(docs, width, bands, doc, text, bits), "sketches")
+    part = sketched.filter("same IS NOT NULL" if nulls else "same IS NOT NULL AND doc_id IS NOT NULL")
+    nodes = materialise(part.groupBy("node", "same").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("bits").alias("bits")), "nodes")
+    renamed = renamed_nodes(nodes, bits)
+    rows = sketched.select("doc_id", "row", "n", "same", "node")
+    if renamed:
+        other = F.coalesce(*[F.when(F.col("same") == F.lit(bytearray(k)), F.lit(v)) for k, v in renamed.items()], F.col("node"))
+        rows, nodes = rows.withColumn("node", other), nodes.withColumn("node", other)
+
+    texts = narrowed(docs, doc, text)
+    met = shared_keys(entries(keyed(texts if nulls else texts.filter("doc_id IS NOT NULL"), width, bands, renamed, bits))).filter("doc_id > least")
+    stars = materialise(met.select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
+    whole = nodes.select(F.col("node").alias("doc_id"), "n", "bits")
+    links = verified(close(stars, whole, bands), texts, nodes, width, bands, renamed, bits)
     grouped = components(links)
     rest = materialise(apart(stars, grouped, whole, bands).join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        grouped = components(links.unionByName(materialise(verified(rest, docs, width, bands, doc, text), "links")))
+        links = links.unionByName(verified(rest, texts, nodes, width, bands, renamed, bits))
+        grouped = components(links)
+    discard(stars)
+    return rows, links, grouped
+
 
-    of_set = firsts.join(grouped, F.col("rep") == F.col("node"), "left").select("same", F.coalesce("component", "rep").alias("_c"))
-    of_doc = sketched.select("doc_id", "n", "same").join(of_set, "same", "left")
-    return of_doc.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_c", "doc_id").alias("component_id"))
+def join(docs: DataFrame, width: int = 3, num: int = 90, den: int = 100, doc: str = "doc_id", text: str = "text", bits: int = 63) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of `docs`."""
+    rows, links, grouped = linked(docs, width, Bands(num, den), doc, text, bits=bits)
+    named = rows.filter("node IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "node").distinct()
+    ids = named.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a < b")
+    shared = materialise(named.join(ids.select("doc_id", "a"), "doc_id").filter("node > a").select("a", F.col("node").alias("b")), "shared")
+    if not shared.isEmpty():
+        grouped = components(links.unionByName(shared))
+    of_node = named.join(grouped, "node", "left").select("doc_id", "node", F.coalesce("component", "node").alias("c"))
+    least = of_node.groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    of_node = of_node.select("node", "c").distinct().join(least, "c").select("node", "component_id")
+    found = rows.join(of_node, "node", "left")
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -1,7 +1,7 @@
 """Stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns a DataFrame.
 
-All but the last return the columns they are given. Rows without a document id pass the stages that work by
-id; of rows with one id, as of near copies, one stays.
+All but the last return the columns they are given, whatever their names. What leaves a stage is told by a
+bitmap first, so that the texts that stay are not shuffled.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from vigilake.llm import bpe, cotrain, mixing, parity, pii
 from vigilake.llm.queries import MIX_LEVELS, MIX_WEIGHTS, WORD_BPE, table, with_domain
+from vigilake.plans.sieve import hashed, maybe_among
 from vigilake.session import materialise
 
 
@@ -23,17 +24,32 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return cotrain.accepted(docs, table(spark, sf_dir, "labels"))
 
 
+def among(docs: DataFrame, marks: DataFrame, columns: list) -> tuple[DataFrame, DataFrame]:
+    """(rows that cannot be in `marks`, the others), told by a bitmap of the marks' keys: only the others go through a join."""
+    held = maybe_among(marks, F.col("key"), marks.count())
+    return docs.filter(~held(hashed(*columns))), docs.filter(held(hashed(*columns)))
+
+
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies (five-word shingles, similarity 0.8) the smallest id stays."""
-    found = materialise(parity.join(docs, width=5, num=80), "near")
-    copies = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.join(copies, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
-    # several rows of one id: the least row of them
-    again = materialise(found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_again")), "again")
-    same = F.col("doc_id").cast("long") == F.col("_again")
-    single = rest.join(again, same, "left_anti")
-    least = rest.join(again, same, "left_semi").groupBy(F.col("doc_id").alias("_id")).agg(F.min(F.struct(*docs.columns)).alias("_row"))
-    return single.unionByName(least.select("_row.*"))
+    """Of each group of near copies (five-word shingles, similarity 0.8) the row of the smallest id stays.
+
+    Groups are of texts, whatever their ids: different texts of one id are no copies and all stay, copies without
+    an id go like others (an id comes before none). Of equal texts of one id the least row stays. Texts without
+    words are no copies of each other.
+    """
+    rows, _, grouped = parity.linked(docs, 5, parity.Bands(80), nulls=True)
+    own = rows.filter("node IS NOT NULL").join(grouped, "node", "left").select("doc_id", "row", F.coalesce("component", "node").alias("c"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    first = own.groupBy("c").agg(F.min(order).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # of a group's rows all but the first go; of the first's own id and text there may be several rows
+    told = own.join(first, "c").withColumn("keep", order == F.col("f")).groupBy("doc_id", "row").agg(F.max("keep").alias("keep"), F.count(F.lit(1)).alias("n"))
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    marks = materialise(told.filter("NOT keep OR n > 1").select("doc_id", "row", "keep", hashed("doc_id", "row").alias("key")), "marks")
+    free, near = among(docs, marks, [F.col("doc_id").cast("long"), text])
+    x, y = near.select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("_id"), text.alias("_row")), marks.select(F.col("doc_id").alias("_of"), F.col("row").alias("_text"), "keep")
+    met = x.join(y, F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_row") == F.col("_text")), "left").filter("keep IS NULL OR keep")
+    again = met.filter("keep").groupBy("_id", "_row").agg(F.min("whole").alias("whole"))
+    return free.unionByName(met.filter("keep IS NULL").select("whole.*")).unionByName(again.select("whole.*"))
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +61,12 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Four fifths of the tokens by the weights of domain, language and source; a document stays whole, and once."""
     taken = mixing.mix(with_domain(docs), MIX_LEVELS, MIX_WEIGHTS, percent=80, max_epochs=1)
-    ids = taken.select(F.col("doc_id").alias("_taken")).distinct()
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("_taken")), "left_semi")
+    rest = docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct().join(taken.select("doc_id").distinct().withColumnRenamed("doc_id", "t"), F.col("doc_id").eqNullSafe(F.col("t")), "left_anti")
+    marks = materialise(rest.select("doc_id", hashed("doc_id").alias("key")), "left")
+    free, near = among(docs, marks, [F.col("doc_id").cast("long")])
+    whole = near.select(F.struct(*docs.columns).alias("whole"), F.col("doc_id").cast("long").alias("_id"))
+    kept = whole.join(marks.select(F.col("doc_id").alias("_of")), F.col("_id").eqNullSafe(F.col("_of")), "left_anti")
+    return free.unionByName(kept.select("whole.*"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,10 +79,10 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         digests = [hashlib.sha256(t.as_py().encode()).hexdigest() for t in bpe.decode_array(ids, path)]
         return pa.StructArray.from_arrays([ids, pa.array(digests, pa.string())], ["ids", "decoded_sha256"])
 
-    taken = ("ids", "decoded_sha256", "n_tokens")
-    own = [c for c in docs.columns if c not in taken]
-    both = docs.select(*own, coded("text").alias("_coded")).select(*own, "_coded.*")
-    return both.withColumn("n_tokens", F.size("ids").cast("long"))
+    # columns of these names, in any case, give way
+    own = [c for c in docs.columns if c.lower() not in ("ids", "decoded_sha256", "n_tokens")]
+    both = docs.select(F.struct(*own).alias("whole"), coded("text").alias("coded"))
+    return both.select("whole.*", "coded.*", F.size("coded.ids").cast("long").alias("n_tokens"))
 
 
 STAGES = [
