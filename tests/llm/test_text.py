@@ -5,6 +5,7 @@ import hashlib
 import html
 import os
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -212,3 +213,28 @@ def test_rows_of_one_id_do_not_come_together(spark):
     mail = [(None, f"please write to user{i}@mail.example.org today") for i in range(20)] + [(None, f"please write to x{i} (at) mail (dot) example (dot) org today") for i in range(5)]
     docs = spark.createDataFrame([*mail, (None, None)], "doc_id long, text string")
     assert sorted((r.text or "") for r in pii.redacted(docs).collect()) == ["", *["please write to <EMAIL> today"] * 25]
+
+
+def test_tags_are_read_as_html_has_them():
+    learnt = {"word": {}, "tag": {}}
+    for page, want in (
+        ("<article><a title=don't>x</a> y</article>", "x y"), ('<article><p title="5" wide">hello</article>', "hello"),
+        ('<article><p data-x=\'"\' b = "c>d">in</p></article>', "in"), ('<article><a href="u>text</article>', "text"),
+        ("<article>a < b <3 c</article>", "a < b <3 c"), ("<article>a<a href=/x/>b</a>c<br/>d</article>", "abc d"),
+        ("<article>x<!-->y<!-- a --!>z</ q>w<script>s</scripty></script >v</article>", "xyzw\nv"), ("<article><p =x class=sidebar>no</p>yes</article>", "yes"),
+        ("<ARTICLE><P CLASS='Sidebar'>no</P>yes<b<i>no tag</i></ARTICLE>", "yesno tag"),
+    ):
+        assert article.extract(page, learnt) == want, page
+
+
+def test_long_pages_take_time_in_proportion():
+    learnt = {"word": {}, "tag": {}}
+    n = 60_000
+    for part in ("<a ", "<div>", "<p>", "<a =", '<a b="', "<", "<!--", "</", "<a b = ", "<select>", "&"):
+        begun = time.perf_counter()
+        article.extract(part * n, learnt)
+        assert time.perf_counter() - begun < 10, part
+    for page in ("<div>" * n + "</x>" * n, "<a>" + "<div>" * n + "</a>" * n, "<i><div>" + "<b>" * n + "</i>" * n, "<a " + "x" * 1_000_000, "<article>" + "w " * n + "</article>"):
+        begun = time.perf_counter()
+        article.extract(page, learnt)
+        assert time.perf_counter() - begun < 10, page[:20]

@@ -31,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|svg|iframe|select|math|object|canvas)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<\Z|(?P<text>[^<]+|<)",
-    re.S | re.I,
-)
-ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+#: a tag's begin; its attributes one by one: quotes count only after an equals sign, as in HTML
+TAG = re.compile(r"<(?P<end>/?)(?P<name>[a-zA-Z][^\s/><]*)")
+ATTRIBUTE = re.compile(r"[\s/]*+(?:(?P<name>[^\s/><=]=?[^\s/><=]*+)(?:\s*+=\s*+(?:\"(?P<a>[^\"]*+)\"|'(?P<b>[^']*+)'|(?P<c>[^\s><]*+)))?+)?+")
+COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?:[!?]|/(?![a-zA-Z]))[^>]*(?:>|\Z)", re.S)
+# Elements whose content is no text of the page.
+RAW = frozenset("script style noscript template textarea svg iframe select math object canvas".split())
+CLOSE = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I) for name in RAW}
+NAMING = frozenset(("class", "id", "role"))
 PART = re.compile(r"[a-z]+")
 
 # Element names of the HTML standard and usual names of page parts.
@@ -109,41 +109,111 @@ def tokens(page: str) -> list[tuple[str, str, Place]]:
     return out
 
 
-def read(page: str, places: list[Place]):
-    stack = places[:]
-    for m in TOKEN.finditer(page):
-        if m["text"]:
-            stack[-1].words += len(m["text"].split())
-            yield "text", m["text"], stack[-1]
-            continue
-        if m["name"] is None:
-            if m["raw"]:
-                yield "tag", m["raw"].lower(), stack[-1]
-            continue
-        name = m["name"].lower()
-        if m["end"]:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name), 0)
-            # an inline end tag does not reach over the block it stands in
-            if at and (name not in INLINE or all(p.name in INLINE for p in stack[at:])):
-                key = stack[at].key
-                del stack[at:]
-                yield "tag", "/" + key, stack[-1]
-            else:
-                yield "tag", "/" + name, stack[-1]
+def pieces(page: str):
+    """("text", text), ("raw", name) and ("start" or "end", name, class, id and role, whether it closes itself).
+
+    One pass: a tag ends at `>`, or before the next `<` where that is missing; what is opened and not closed
+    (comments, scripts) goes to the end of the page.
+    """
+    at, n = 0, len(page)
+    while at < n:
+        if page[at] != "<":
+            to = page.find("<", at)
+            to = n if to < 0 else to
+            yield "text", page[at:to]
+            at = to
             continue
-        named = [v.lower().strip("\"'") for a, v in ATTRIBUTE.findall(m["attrs"]) if name not in HEADINGS or a.lower() != "id"] if m["attrs"] else []
-        key = " ".join([name, *sorted({p for v in named for p in PART.findall(v)})])
-        marked = any(x in HINTS for v in named for x in v.split())
-        if name in CLOSES_P:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == "p"), 0)
-            if at and all(p.name in INLINE or p.name == "p" for p in stack[at:]):
-                del stack[at:]
-        if name in VOID or m["attrs"].endswith("/"):
-            yield "tag", key, stack[-1]
+        m = TAG.match(page, at)
+        if not m:
+            m = COMMENT.match(page, at)
+            if not m and at + 1 < n:
+                yield "text", "<"
+            at = m.end() if m else at + 1
             continue
-        stack.append(Place(name, key, stack[-1], marked))
-        places.append(stack[-1])
-        yield "tag", key, stack[-1]
+        name, at, named, last = m["name"].lower(), m.end(), [], ""
+        while at < n and page[at] not in "<>":
+            found = ATTRIBUTE.match(page, at)
+            if found.end() == at:  # an equals sign without a name
+                at += 1
+                continue
+            at, last = found.end(), "" if found["name"] else page[found.end() - 1]
+            if found["name"] and found["name"].lower() in NAMING:
+                value = next((found[g] for g in "abc" if found[g] is not None), "")
+                if found["name"].lower() != "id" or name not in HEADINGS:
+                    named.append(value.lower())
+        at += page[at : at + 1] == ">"
+        if not m["end"] and name in RAW:
+            closed = CLOSE[name].search(page, at)
+            at = closed.end() if closed else n
+            yield "raw", name
+        else:
+            yield "end" if m["end"] else "start", name, named, last == "/"
+
+
+class Open:
+    """The open elements. Counts of names, and of those above each block, say what an end tag can reach without a search."""
+
+    def __init__(self, body: Place):
+        self.stack, self.names, self.blocks, self.above = [body], Counter(), [0], [Counter()]
+
+    def push(self, place: Place) -> None:
+        self.stack.append(place)
+        self.names[place.name] += 1
+        if place.name in INLINE:
+            self.above[-1][place.name] += 1
+        else:
+            self.blocks.append(len(self.stack) - 1)
+            self.above.append(Counter())
+
+    def pop(self) -> Place:
+        place = self.stack.pop()
+        self.names[place.name] -= 1
+        if place.name in INLINE:
+            self.above[-1][place.name] -= 1
+        else:
+            self.blocks.pop()
+            self.above.pop()
+        return place
+
+    def close(self, name: str) -> str | None:
+        """Close the nearest element of this name; an inline end tag does not reach over the block it stands in."""
+        if not (self.above[-1] if name in INLINE else self.names)[name]:
+            return None
+        while True:
+            place = self.pop()
+            if place.name == name:
+                return place.key
+
+    def close_p(self) -> None:
+        if self.stack[self.blocks[-1]].name == "p":
+            self.close("p")
+
+
+def read(page: str, places: list[Place]):
+    open_ = Open(places[0])
+    for kind, name, *more in pieces(page):
+        top = open_.stack[-1]
+        if kind == "text":
+            top.words += len(name.split())
+            yield "text", name, top
+        elif kind == "raw":
+            yield "tag", name, top
+        elif kind == "end":
+            key = open_.close(name)
+            yield "tag", "/" + (name if key is None else key), open_.stack[-1]
+        else:
+            named, empty = more
+            key = " ".join([name, *sorted({p for v in named for p in PART.findall(v)})])
+            marked = any(x in HINTS for v in named for x in v.split())
+            if name in CLOSES_P:
+                open_.close_p()
+            if name in VOID or empty:
+                yield "tag", key, open_.stack[-1]
+                continue
+            place = Place(name, key, open_.stack[-1], marked)
+            open_.push(place)
+            places.append(place)
+            yield "tag", key, place
 
 
 def counts_of(page: str) -> Counter:
