@@ -161,8 +161,8 @@ def test_large_buckets_are_dealt_anew(spark, odd_docs, monkeypatch):
     assert sorted(map(tuple, suffixes.repeats(odd_docs, most=200).collect()), key=repr) == removed(TEXTS)
     # no task orders more than `most` bytes
     parts = [f"{i:04d} {phrase} {i:04d}".encode() for i in range(100)]
-    shape = "bucket long, segment long, bytes binary, windows int, doc_id long"
-    table = spark.createDataFrame([(1, i, p, len(p) - 49, i) for i, p in enumerate(parts)], shape)
+    shape = "bucket long, segment binary, bytes binary, windows int, anchor int, doc_id long"
+    table = spark.createDataFrame([(1, b"%d" % i, p, len(p) - 49, -1, i) for i, p in enumerate(parts)], shape)
     assert suffixes.owned(table, 50, 5000).filter("owners IS NULL").count() == len(parts) and suffixes.owned(table, 50, 50_000).filter("owners IS NULL").count() == 0
 
 
@@ -180,3 +180,44 @@ def test_a_stray_member_moves_few_rows(spark):
     two = spark.createDataFrame([(i, i % 2) for i in range(200)], "node long, component long")
     got = {tuple(r) for r in parity.apart(stars, two, whole, bands, 8).collect()}
     assert got == {(i, j) for i in range(1, 200) for j in range(i + 1, 200) if (i + j) % 2}
+
+
+def test_segments_set_apart_share_no_window(spark):
+    rng = random.Random(9)
+    gram = b"sixteen bytes ab"
+    parts = []
+    for _ in range(300):
+        left, right = (bytes(rng.choice(b"ab") for _ in range(rng.randrange(34))) for _ in range(2))
+        raw = left[-34:] + gram + right[:34]
+        if len(raw) >= 50:
+            parts.append((raw, len(raw) - 49, 0, len(left[-34:])))
+    windows = [{p[0][i : i + 50] for i in range(p[1])} for p in parts]
+    alone = suffixes.apart(parts, 50)
+    assert any(alone) and all(not any(windows[i] & w for j, w in enumerate(windows) if j != i and parts[j][0] != parts[i][0]) for i, x in enumerate(alone) if x)
+    assert not any(suffixes.apart([*parts, (b"x" * 60, 11, 0, -1)], 50))
+
+
+def test_places_of_anchors():
+    rng = np.random.default_rng(2)
+    for raw in (b"ab" * 200, rng.integers(97, 122, 700, dtype=np.uint8).tobytes(), b"x" * 49, b""):
+        x = np.frombuffer(raw, np.uint8)
+        bucket, first, n, at = suffixes.anchored_runs(x, 50)
+        again = suffixes.runs(x, 50)
+        assert all((p == q).all() for p, q in zip((bucket, first, n), again))
+        h = suffixes.gram_hashes(x) if len(x) >= 16 else []
+        for b, f, k, a in zip(bucket, first, n, at):
+            places = {int(np.argmin(h[w : w + 35])) + w for w in range(f, f + k)}
+            assert a == (places.pop() - f if len(places) == 1 else -1) and (a < 0 or h[f + a] == b)
+
+
+def test_repeated_ids_and_colliding_nodes(spark):
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(60)]
+    rows = [(i % 5, edited(rng, base, 1) if i % 2 else " ".join(f"v{rng.randrange(99)}" for _ in range(40))) for i in range(60)]
+    rows += [(None, " ".join(base)), (None, " ".join(base))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = classes(rows, 3, 90)
+    for bits in (63, 4):
+        got = sorted(map(tuple, parity.join(docs, bits=bits).collect()), key=repr)
+        assert [g[:2] for g in got] == [w[:2] for w in want]
+        assert [g for g in got if g[0] is not None] == [w for w in want if w[0] is not None]

@@ -9,9 +9,10 @@ of at the head of their group. Nothing is renamed and no smaller problem is solv
 
 To spread the work, every window of `width` bytes belongs to the bucket of its smallest 16-byte hash, which
 equal windows share. Neighbouring windows of one bucket travel as one segment. Only buckets that several
-documents reach are gathered; equal segments are combined before and after the shuffle. In a bucket the
-suffix array of its segments brings equal windows together, and each learns the smallest document that has
-it. A bucket of a single segment has one owner and nothing to order.
+documents reach are gathered; equal segments are combined before and after the shuffle. In a bucket, segments
+whose bytes next to the common ones are nobody else's on either side share no window and are set apart. The
+suffix array of the others brings equal windows together, and each learns the smallest document that has it.
+A bucket of a single segment has one owner and nothing to order.
 
 A bucket whose distinct segments have more than MOST bytes together is not ordered in one task: the task
 hands its segments on, their windows are dealt anew by their next-smallest hash as well, which equal windows
@@ -26,6 +27,7 @@ rows with a null id neither lose nor take; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -190,6 +192,24 @@ def runs(raw: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return same_runs(np.concatenate(parts))
 
 
+def anchored_runs(raw: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As `runs`, and where in each run its smallest hash stands, counted from the run's first byte; -1 if its windows differ in that."""
+    bucket, first, n = runs(raw, width)
+    place = np.full(len(raw), -1, np.int32)  # of each window, the leftmost of equal hashes
+    for a in range(0, max(0, len(raw) - width + 1), PIECE):
+        h = gram_hashes(raw[a : min(a + PIECE, len(raw) - width + 1) + width - 1])
+        at, step, span = np.arange(len(h), dtype=np.int32), 1, width - GRAM + 1
+        while step < span:
+            by = min(step, span - step)  # the last step overlaps
+            later = h[by:] < h[: len(h) - by]
+            at = np.where(later, at[by:], at[: len(at) - by])
+            h = np.where(later, h[by:], h[: len(h) - by])
+            step += by
+        place[a : a + len(at)] = at + a
+    last = first + n - 1
+    return bucket, first, n, np.where(place[first] == place[last], place[first] - first, -1)
+
+
 def same_runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], first, np.diff(np.append(first, len(keys)))
@@ -218,9 +238,9 @@ def unpack(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
-def text_key(raw: bytes) -> int:
-    """64 bits that tell texts apart; together with the length they name a copy."""
-    return xxhash.xxh3_64_intdigest(raw) - 2**63
+def text_key(raw: bytes) -> bytes:
+    """128 bits that tell texts apart; together with the length they name a copy."""
+    return xxhash.xxh3_128_digest(raw)
 
 
 def described(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -229,11 +249,11 @@ def described(docs: DataFrame, doc: str, text: str) -> DataFrame:
     def run(batches):
         for b in batches:
             raws = [(t or "").encode() for t in b["text"].to_pylist()]
-            columns = [pa.array([text_key(r) for r in raws], pa.int64()), pa.array([len(r) for r in raws], pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raws])]
+            columns = [pa.array([text_key(r) for r in raws], pa.binary()), pa.array([len(r) for r in raws], pa.int64()), pa.array([hashlib.sha256(r).hexdigest() for r in raws])]
             yield pa.RecordBatch.from_arrays([b["doc_id"], *columns], names=["doc_id", "same", "n_bytes", "whole_sha256"])
 
     narrow = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, same long, n_bytes long, whole_sha256 string")
+    return narrow.mapInArrow(run, "doc_id long, same binary, n_bytes long, whole_sha256 string")
 
 
 def packed(docs: DataFrame, doc: str, text: str) -> DataFrame:
@@ -242,11 +262,11 @@ def packed(docs: DataFrame, doc: str, text: str) -> DataFrame:
     def run(batches):
         for b in batches:
             raws = [(t or "").encode() for t in b["text"].to_pylist()]
-            columns = [pa.array([text_key(r) for r in raws], pa.int64()), pa.array([pack(r) for r in raws], pa.binary())]
+            columns = [pa.array([text_key(r) for r in raws], pa.binary()), pa.array([pack(r) for r in raws], pa.binary())]
             yield pa.RecordBatch.from_arrays([b["doc_id"], *columns], names=["doc_id", "same", "z"])
 
     narrow = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    return narrow.mapInArrow(run, "doc_id long, same long, z binary")
+    return narrow.mapInArrow(run, "doc_id long, same binary, z binary")
 
 
 def buckets_of(docs: DataFrame, width: int, doc: str, text: str) -> DataFrame:
@@ -261,38 +281,38 @@ def buckets_of(docs: DataFrame, width: int, doc: str, text: str) -> DataFrame:
     return narrow.mapInArrow(run, "doc_id long, keys array<long>")
 
 
-SEGMENT = "bucket long, segment long, bytes binary, windows int, doc_id long, same long, first_window int"
+SEGMENT = "bucket long, segment binary, bytes binary, windows int, anchor int, doc_id long, same binary, first_window int"
 
 
 def segments_of(texts: DataFrame, width: int) -> DataFrame:
     """From (doc_id, same, z, keys) the segments of the named buckets; a task gives a segment's `bytes` again only for a smaller document."""
 
     def run(batches):
-        seen: dict[int, int] = {}  # of this task's partition
+        seen: dict[bytes, int] = {}  # of this task's partition
         for b in batches:
             rows = []
             for d, same, z, keys in zip(*(b[c].to_pylist() for c in ("doc_id", "same", "z", "keys"))):
                 raw = unpack(z)
-                bucket, first, n = runs(np.frombuffer(raw, np.uint8), width)
+                bucket, first, n, at = anchored_runs(np.frombuffer(raw, np.uint8), width)
                 bucket = bucket.view(np.int64)
                 for i in np.flatnonzero(np.isin(bucket, np.array(keys, np.int64))).tolist():
                     a, w = int(first[i]), int(n[i])
                     part = raw[a : a + w + width - 1]
-                    segment = xxhash.xxh3_64_intdigest(part) - 2**63
+                    segment = xxhash.xxh3_128_digest(part)
                     # the smallest document so far stands for the segment; the others only take part in the marking
                     if seen.get(segment, d + 1) > d:
                         seen[segment] = d
-                        rows.append((int(bucket[i]), segment, part, w, d, same, a))
+                        rows.append((int(bucket[i]), segment, part, w, int(at[i]), d, same, a))
                     else:
-                        rows.append((int(bucket[i]), segment, None, w, d, same, a))
+                        rows.append((int(bucket[i]), segment, None, w, -1, d, same, a))
                 if len(rows) > 50_000:
                     yield batch(rows)
                     rows = []
             if rows:
                 yield batch(rows)
 
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
-    names = ["bucket", "segment", "bytes", "windows", "doc_id", "same", "first_window"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32()]
+    names = ["bucket", "segment", "bytes", "windows", "anchor", "doc_id", "same", "first_window"]
 
     def batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -300,6 +320,22 @@ def segments_of(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(run, SEGMENT)
 
 
+def apart(parts: list[tuple[bytes, int, int, int]], width: int) -> list[bool]:
+    """Which segments of a bucket cannot share a window with another one of it.
+
+    A window holds the bucket's bytes and `width - GRAM` more, so half as many at least on one side of them:
+    who shares one has the same bytes there as the other. Where the bucket's bytes stand is not known of all
+    segments, nobody is set apart.
+    """
+    half = (width - GRAM + 1) // 2
+    if any(at < 0 for _, _, _, at in parts):
+        return [False] * len(parts)
+    left = [raw[at - half : at + GRAM] if at >= half else None for raw, _, _, at in parts]
+    right = [raw[at : at + GRAM + half] if at + GRAM + half <= len(raw) else None for raw, _, _, at in parts]
+    n_left, n_right = Counter(left), Counter(right)
+    return [(x is None or n_left[x] < 2) and (y is None or n_right[y] < 2) for x, y in zip(left, right)]
+
+
 def owned(segments: DataFrame, width: int, most: int | None) -> DataFrame:
     """(segment, owners) with owners as runs (first, last window, smallest document), bucket by bucket in sorted partitions.
 
@@ -312,19 +348,23 @@ def owned(segments: DataFrame, width: int, most: int | None) -> DataFrame:
 
         def solve():
             keys = sorted(held)
+            alone = apart([held[k] for k in keys], width)
+            for k in (k for k, x in zip(keys, alone) if x):
+                out.append((k, [{"a": 0, "b": held[k][1] - 1, "doc": held[k][2]}], None, None))
+            keys = [k for k, x in zip(keys, alone) if not x]
             parts = [held[k] for k in keys]
             for k, own in zip(keys, owners([p[0] for p in parts], [p[1] for p in parts], [p[2] for p in parts], width)):
                 cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])).tolist()
                 out.append((k, [{"a": a, "b": b - 1, "doc": int(own[a])} for a, b in zip(cut, [*cut[1:], len(own)])], None, None))
 
         def batch(rows):
-            kinds = [pa.int64(), spans, pa.binary(), pa.int64()]
+            kinds = [pa.binary(), spans, pa.binary(), pa.int64()]
             made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["segment", "owners", "bytes", "doc_id"])
             rows.clear()
             return made
 
         for b in batches:
-            for bucket, segment, raw, windows, doc in zip(*(b[c].to_pylist() for c in ("bucket", "segment", "bytes", "windows", "doc_id"))):
+            for bucket, segment, raw, windows, anchor, doc in zip(*(b[c].to_pylist() for c in ("bucket", "segment", "bytes", "windows", "anchor", "doc_id"))):
                 if bucket != now:
                     solve()
                     held, now, size = {}, bucket, 0
@@ -332,10 +372,10 @@ def owned(segments: DataFrame, width: int, most: int | None) -> DataFrame:
                         yield batch(out)
                 known = held.get(segment)
                 if size >= 0:
-                    held[segment] = (raw, windows, doc if known is None else min(doc, known[2]))
+                    held[segment] = (raw, windows, doc if known is None else min(doc, known[2]), anchor)
                     size += len(raw) + 1 if known is None else 0
                     if most is not None and size > most and len(held) > 1:
-                        on += [(k, None, raw, doc) for k, (raw, _, doc) in held.items()]
+                        on += [(k, None, raw, doc) for k, (raw, _, doc, _) in held.items()]
                         held, size = {}, -1
                 else:  # too large a bucket
                     on.append((segment, None, raw, doc))
@@ -346,8 +386,8 @@ def owned(segments: DataFrame, width: int, most: int | None) -> DataFrame:
             if rows:
                 yield batch(rows)
 
-    whole = segments.filter("bytes IS NOT NULL").select("bucket", "segment", "bytes", "windows", "doc_id")
-    shape = "segment long, owners array<struct<a: int, b: int, doc: long>>, bytes binary, doc_id long"
+    whole = segments.filter("bytes IS NOT NULL").select("bucket", "segment", "bytes", "windows", "anchor", "doc_id")
+    shape = "segment binary, owners array<struct<a: int, b: int, doc: long>>, bytes binary, doc_id long"
     return whole.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, shape)
 
 
@@ -355,7 +395,7 @@ def pieces_of(large: DataFrame, width: int, last: bool) -> DataFrame:
     """The segments handed on, dealt anew: `segment` is a piece of `root` from window `start` on; of the last ones each stands for `times` windows."""
 
     def run(batches):
-        seen: dict[int, int] = {}
+        seen: dict[bytes, int] = {}
         for b in batches:
             rows = []
             for root, raw, d in zip(*(b[c].to_pylist() for c in ("segment", "bytes", "doc_id"))):
@@ -363,28 +403,28 @@ def pieces_of(large: DataFrame, width: int, last: bool) -> DataFrame:
                 for k, a, w in zip(bucket.view(np.int64).tolist(), first.tolist(), n.tolist()):
                     times, w = (w, 1) if last else (1, w)
                     part = raw[a : a + w + width - 1]
-                    segment = xxhash.xxh3_64_intdigest(part) - 2**63
+                    segment = xxhash.xxh3_128_digest(part)
                     fresh = seen.get(segment, d + 1) > d
                     if fresh:
                         seen[segment] = d
-                    rows.append((root, a, times, k, segment, part if fresh else None, w, d))
+                    rows.append((root, a, times, k, segment, part if fresh else None, w, -1, d))
                 if len(rows) > 50_000:
                     yield batch(rows)
                     rows = []
             if rows:
                 yield batch(rows)
 
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int64()]
-    names = ["root", "start", "times", "bucket", "segment", "bytes", "windows", "doc_id"]
+    kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64()]
+    names = ["root", "start", "times", "bucket", "segment", "bytes", "windows", "anchor", "doc_id"]
 
     def batch(rows):
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    return large.repartition("segment").mapInArrow(run, "root long, start int, times int, bucket long, segment long, bytes binary, windows int, doc_id long")
+    return large.repartition("segment").mapInArrow(run, "root binary, start int, times int, bucket long, segment binary, bytes binary, windows int, anchor int, doc_id long")
 
 
 def all_owned(segments: DataFrame, width: int, most: int = MOST, level: int = 0) -> DataFrame:
-    """(segment, owners) of all segments, in buckets of at most `most` bytes; a segment may have several rows."""
+    """(segment, owners) of all segments, one row each, in buckets of at most `most` bytes."""
     table = materialise(owned(segments, width, most if level < 2 else None), "owners")
     known, large = table.filter("owners IS NOT NULL").select("segment", "owners"), table.filter("owners IS NULL")
     if level == 2 or large.isEmpty():
@@ -393,7 +433,7 @@ def all_owned(segments: DataFrame, width: int, most: int = MOST, level: int = 0)
     below = all_owned(pieces, width, most, level + 1).select("segment", F.explode("owners").alias("o"))
     back = pieces.select("root", "start", "times", "segment").distinct().join(below, "segment")
     span = F.struct((F.col("start") + F.col("o.a")).alias("a"), (F.col("start") + F.col("o.b") + F.col("times") - 1).alias("b"), F.col("o.doc").alias("doc"))
-    return known.unionByName(back.select(F.col("root").alias("segment"), F.array(span).alias("owners")))
+    return known.unionByName(back.groupBy(F.col("root").alias("segment")).agg(F.collect_list(span).alias("owners")))
 
 
 def cut(texts: DataFrame) -> DataFrame:
@@ -412,11 +452,11 @@ def cut(texts: DataFrame) -> DataFrame:
                     at = max(at, s[1])
                 kept.append(raw[at:])
                 rows.append((d, same, removed, n, hashlib.sha256(b"".join(kept)).hexdigest()))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "same", "n_removed", "n_spans", "kept_sha256"])
 
-    return texts.mapInArrow(run, "doc_id long, same long, n_removed long, n_spans long, kept_sha256 string")
+    return texts.mapInArrow(run, "doc_id long, same binary, n_removed long, n_spans long, kept_sha256 string")
 
 
 def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "text", most: int = MOST) -> DataFrame:
@@ -435,10 +475,11 @@ def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "
     chosen = reps.select(F.col("rep").alias("doc_id"), "same").join(keys, "doc_id")
     segments = materialise(segments_of(texts.join(chosen, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]), width), "segments")
     known = all_owned(segments, width, most)
-    marks = segments.select("segment", "doc_id", "same", "first_window").join(known.select("segment", F.explode("owners").alias("o")), "segment").filter("o.doc < doc_id")
+    met = segments.select("segment", "doc_id", "same", "first_window").join(known, "segment")
     # windows a to b cover the bytes a to b + width - 1
-    span = F.struct((F.col("first_window") + F.col("o.a")).alias("a"), (F.col("first_window") + F.col("o.b") + width).alias("b"))
-    spans = materialise(marks.select("doc_id", "same", span.alias("s")).groupBy("doc_id", "same").agg(F.collect_list("s").alias("spans")), "spans")
+    mine = F.expr(f"transform(filter(owners, o -> o.doc < doc_id), o -> struct(first_window + o.a AS a, first_window + o.b + {width} AS b))")
+    marks = met.select("doc_id", "same", mine.alias("s")).filter("size(s) > 0")
+    spans = materialise(marks.groupBy("doc_id", "same").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
     changed = cut(texts.join(spans, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]))
 
     all_rows = base.join(firsts, ["same", "n_bytes"], "left")
