@@ -211,16 +211,23 @@ def sketches(docs: DataFrame, width: int, bands: Bands, doc: str = "doc_id", tex
     return narrowed(docs, doc, text).mapInArrow(run, "doc_id long, row string, n long, same binary, node long, bits binary")
 
 
-def keyed(texts: DataFrame, width: int, bands: Bands, renamed: dict[bytes, int], bits: int = 63) -> DataFrame:
-    """doc_id (the set's node), keys of every text with a set. Made from the texts again: the keys are many times what is kept of them."""
+def keyed_entries(texts: DataFrame, width: int, bands: Bands, renamed: dict[bytes, int], bits: int = 63) -> DataFrame:
+    """The nodes under each key, of all texts with a set.
+
+    Made from the texts again, as the keys are many times what is kept of them, and put together in the same worker.
+    """
 
     def run(batches):
-        for b in batches:
-            found = [s for s in sets_of(b["text"].to_pylist(), width) if len(s)]
-            node = [node_of(xxhash.xxh3_128_digest(s.tobytes()), renamed, bits) for s in found]
-            yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array([block_keys(s, bands) for s in found], pa.list_(pa.int64()))], names=["doc_id", "keys"])
+        def keyed():
+            for b in batches:
+                found = [s for s in sets_of(b["text"].to_pylist(), width) if len(s)]
+                keys = [block_keys(s, bands) for s in found]
+                node = np.array([node_of(xxhash.xxh3_128_digest(s.tobytes()), renamed, bits) for s in found], np.int64)
+                yield np.concatenate([np.zeros(0, np.int64), *keys]), np.repeat(node, [len(k) for k in keys])
 
-    return texts.select("text").mapInArrow(run, "doc_id long, keys array<long>")
+        yield from together(keyed())
+
+    return texts.select("text").mapInArrow(run, ENTRY)
 
 
 def renamed_nodes(nodes: DataFrame, bits: int) -> dict[bytes, int]:
@@ -280,8 +287,11 @@ def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, width: int, b
     return found
 
 
-def entries(own: DataFrame, doc: str = "doc_id", keys: str = "keys", chunk: int = 4_000_000) -> DataFrame:
-    """(key, doc_id, others): the documents under each key, combined for up to `chunk` entries at a time.
+ENTRY = "key long, doc_id long, others array<long>"
+
+
+def together(found, chunk: int = 2_000_000):
+    """Arrow batches of ENTRY from (keys, documents) arrays, combined for about `chunk` entries at a time.
 
     The smallest document a chunk has under a key carries the rest in `others` (null: none). So a key that a
     third of all documents have is a few rows wherever keys are brought together.
@@ -304,24 +314,19 @@ def entries(own: DataFrame, doc: str = "doc_id", keys: str = "keys", chunk: int
             lists = pa.ListArray.from_arrays(pa.array((part - part[0]).astype(np.int32)), pa.array(rest[part[0] : part[-1]]), mask=pa.array(more[to] == 0))
             yield pa.RecordBatch.from_arrays([pa.array(key[lead[to]]), pa.array(doc_id[lead[to]]), lists], schema=shape)
 
-    def run(batches):
-        held, n = [], 0
-        for b in batches:
-            lists = b["keys"]
-            flat = np.asarray(lists.flatten())
-            held.append((flat, np.repeat(np.asarray(b["doc_id"]), np.asarray(lists.value_lengths().fill_null(0)))))
-            n += len(flat)
-            if n >= chunk:
-                yield from combined(*map(np.concatenate, zip(*held)))
-                held, n = [], 0
-        if n:
+    held, n = [], 0
+    for keys, docs in found:
+        held.append((keys, docs))
+        n += len(keys)
+        if n >= chunk:
             yield from combined(*map(np.concatenate, zip(*held)))
-
-    return own.select(F.col(doc).alias("doc_id"), F.col(keys).alias("keys")).mapInArrow(run, "key long, doc_id long, others array<long>")
+            held, n = [], 0
+    if n:
+        yield from combined(*map(np.concatenate, zip(*held)))
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """(key, doc_id, least) of every document under a key that several have, from the rows of `entries`.
+    """(key, doc_id, least) of every document under a key that several have, from rows that `together` has made.
 
     One row per key and chunk meets, so no group grows with the number of documents under a key.
     """
@@ -436,7 +441,7 @@ def linked(docs: DataFrame, width: int, bands: Bands, doc: str = "doc_id", text:
         rows, nodes = rows.withColumn("node", other), nodes.withColumn("node", other)
 
     texts = narrowed(docs, doc, text)
-    met = shared_keys(entries(keyed(texts if nulls else texts.filter("doc_id IS NOT NULL"), width, bands, renamed, bits))).filter("doc_id > least")
+    met = shared_keys(keyed_entries(texts if nulls else texts.filter("doc_id IS NOT NULL"), width, bands, renamed, bits)).filter("doc_id > least")
     stars = materialise(met.select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
     whole = nodes.select(F.col("node").alias("doc_id"), "n", "bits")
     links = verified(close(stars, whole, bands), texts, nodes, width, bands, renamed, bits)

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilake.llm.parity import BYTE, PIECE, R, R_INV, entries, mix, powers, shared_keys
+from vigilake.llm.parity import BYTE, ENTRY, PIECE, R, R_INV, mix, powers, shared_keys, together
 from vigilake.session import materialise
 
 GRAM = 16
@@ -270,15 +270,19 @@ def packed(docs: DataFrame, doc: str, text: str) -> DataFrame:
 
 
 def buckets_of(docs: DataFrame, width: int, doc: str, text: str) -> DataFrame:
-    """doc_id, keys: the distinct buckets each text reaches."""
+    """key, doc_id, others: the distinct buckets each text reaches, as `parity.together` combines them."""
 
     def run(batches):
-        for b in batches:
-            found = [np.unique(runs(np.frombuffer((t or "").encode(), np.uint8), width)[0]).view(np.int64) for t in b["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(found, pa.list_(pa.int64()))], names=["doc_id", "keys"])
+        def keyed():
+            for b in batches:
+                for d, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
+                    keys = np.unique(runs(np.frombuffer((t or "").encode(), np.uint8), width)[0]).view(np.int64)
+                    yield keys, np.full(len(keys), d, np.int64)
+
+        yield from together(keyed())
 
     narrow = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    return narrow.mapInArrow(run, "doc_id long, keys array<long>")
+    return narrow.mapInArrow(run, ENTRY)
 
 
 SEGMENT = "bucket long, segment binary, bytes binary, windows int, anchor int, doc_id long, same binary, first_window int"
@@ -466,7 +470,7 @@ def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "
     reps = base.filter(f"n_bytes >= {width}").select(F.col("doc_id").alias("rep"), "same", "n_bytes").distinct().join(firsts, ["same", "n_bytes", "rep"])
 
     # buckets that at least two texts reach
-    reached = shared_keys(entries(buckets_of(docs, width, doc, text))).select("key", "doc_id")
+    reached = shared_keys(buckets_of(docs, width, doc, text)).select("key", "doc_id")
     reached = materialise(reached.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "reached")
     shared = reached.groupBy("key").agg(F.min("doc_id").alias("_l"), F.max("doc_id").alias("_h")).filter("_l < _h").select("key")
     keys = reached.join(shared, "key", "left_semi").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
