@@ -33,12 +33,15 @@ SKETCH_BITS = 12
 
 @dataclass(frozen=True)
 class ViewKind:
-    """How a view is summed up: the rows to group, the keys, the aggregates of rows and those of partials."""
+    """How a view is summed up: the rows to group, the keys, the aggregates of rows and those of partials.
+
+    Without `again` partials cannot be added up: joined folders are read like new ones.
+    """
 
     rows: Callable[[DataFrame], DataFrame]
     keys: tuple[str, ...]
     first: Callable[[], dict[str, Column]]
-    again: Callable[[], dict[str, Column]]
+    again: Callable[[], dict[str, Column]] | None
     merged: Callable[["ViewKind", DataFrame], DataFrame] = lambda kind, partials: kind.added(partials)
 
     def partial(self, events: DataFrame) -> DataFrame:
@@ -101,7 +104,7 @@ class KeptView:
         """Bring the partials in line with the event table; says how many folders were read, added up and dropped."""
         wanted, have = self.events.state().live, {e.batch: e for e in self.own.state().live.values()}
         new = [e for f, e in wanted.items() if f not in have]
-        joined = [e for e in new if e.parents and all(p in have for p in e.parents)]
+        joined = [e for e in new if e.parents and all(p in have for p in e.parents)] if self.kind.again else []
         fresh = [e for e in new if e not in joined]
         parts = []
         if fresh:
