@@ -117,3 +117,18 @@ def test_compacted_logs_say_the_same(events, spark, monkeypatch):
     alerts = {r.alert_name: r for r in state.alerts().collect()}
     assert alerts["dead"].deadman_hits == 3 and len(alerts) == 2
     assert alerts["click"].new_count == state.log("processed", tick.CLAIM, 3).count()
+
+
+def test_folders_of_the_state_are_bounded(events, spark, monkeypatch):
+    from vigilake.operators import tick
+
+    monkeypatch.setattr(tick, "COMPACT_EVERY", 2)
+    monkeypatch.setattr(tick, "KEEP_OUTBOX", 3)
+    state = StateFolder(spark, run_dir(spark, "b"))
+    rules = [Rule("dead", "deadman", criteria="source = 'x'", summary="gone"), Rule("click", criteria="category = 'click'", lookback_minutes=MONTH)]
+    for minute in range(8):
+        run_tick(events, rules, state, f"2024-01-31 00:0{minute}:00", notify={"enabled": True, "webhook_url": "u"})
+    assert state.done() == 8 and state._cycles("base_alerts") == [6, 8]
+    assert sorted(state._cycles("alerts")) == sorted(state._cycles("done")) == [7, 8] and sorted(state._cycles("outbox")) == [6, 7, 8]
+    alerts = {r.alert_name: r for r in state.alerts().collect()}
+    assert alerts["dead"].deadman_hits == 8 and alerts["click"].new_count == state.alert_events().filter(F.col("alert_id") == alerts["click"].alert_id).count()

@@ -9,10 +9,13 @@ from vigilake.functions import jsonfn as j
 from vigilake.functions import scalars as sc
 from vigilake.functions.walk import merge
 from vigilake.operators import query as q
+from vigilake.operators.textindex import TextIndex
+from vigilake.plans.ranges import places
 from vigilake.sources.rules import rule_quality
 from vigilake.sources.sample import raw_table
 from vigilake.sources.tables import scan_window
-from vigilake.session import configure
+from vigilake.session import configure, run_dir
+from vigilake.sources.manifest import Manifest
 
 DAY = 1440
 BRIEF = ("utctimestamp", "eventid", "severity", "source", "category", "summary")
@@ -63,6 +66,31 @@ def _sorted(spark, sf):
     return flat(q.sort_any(e.select(*BRIEF, "source_ip", "details"), "source_ip", True, "eventid").limit(50).select("eventid", "source_ip"))
 
 
+def _sorted_whole(spark, sf):
+    """Every row with its position in a sort by a nested path, missing last."""
+    e = events(spark, sf).select(*BRIEF, "source_ip", "details")
+    return flat(places(q.sort_any(e, "source_ip", True, "eventid")).select("eventid", "source_ip", "position"))
+
+
+def _sorted_numbers(spark, sf):
+    """Every row with its position in a sort by a number inside the details."""
+    e = events(spark, sf).select(*BRIEF, "details")
+    return flat(places(q.sort_any(e, "utctimestamp", False, "eventid")).select("eventid", "position"))
+
+
+def _indexed_search(spark, sf):
+    """Text search through the trigram index of a table written in batches, the last of which the index does not know yet."""
+    e = events(spark, sf)
+    base = e.select("utctimestamp", "eventid", "severity", "summary", "category", "source", "tags", "plugins", "details", "event_date")
+    path = run_dir(spark, "search")
+    log, index = Manifest(spark, f"{path}/events"), TextIndex(spark, f"{path}/events", f"{path}/index")
+    for i, cond in enumerate(("category IN ('click', 'view')", "category = 'error'", "category NOT IN ('click', 'view', 'error')")):
+        log.write_batch(base.filter(cond), "s", i)
+        if i == 1:
+            index.refresh()
+    return _brief(index.search("SIGNIN", "2024-01-03 00:00:00", "2024-01-20 00:00:00", "cloudtrail"))
+
+
 def _rule_quality(spark, sf):
     configure(spark)
     p = raw_table(spark, sf, "part")
@@ -249,6 +277,16 @@ ORDER BY utctimestamp DESC, eventid LIMIT 5000"""),
         duck("""SELECT eventid, CAST(user_id AS VARCHAR) AS nested_id, tags[2] AS second_tag,
   split_part(members_csv, ',', 1) AS first_member, CAST(NULL AS VARCHAR) AS nope FROM ev"""),
     ),
+    "log_search_indexed": (
+        _indexed_search,
+        duck(f"""SELECT {_BRIEF} FROM ev WHERE source = 'cloudtrail' AND eventsource LIKE '%signin%'
+  AND utctimestamp >= TIMESTAMP '2024-01-03 00:00:00' AND utctimestamp < TIMESTAMP '2024-01-20 00:00:00'"""),
+    ),
+    "sort_any_whole": (
+        _sorted_whole,
+        duck("SELECT eventid, source_ip, row_number() OVER (ORDER BY source_ip DESC NULLS LAST, eventid) AS position FROM ev"),
+    ),
+    "sort_any_times": (_sorted_numbers, duck("SELECT eventid, row_number() OVER (ORDER BY utctimestamp, eventid) AS position FROM ev")),
     "sort_any": (
         _sorted,
         duck("SELECT eventid, source_ip FROM ev ORDER BY source_ip DESC NULLS LAST, eventid LIMIT 50"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vigilake.catalog.base import flat
 from vigilake.operators import query as q
 from vigilake.operators import triage as t
+from vigilake.plans.ranges import places
 from vigilake.session import configure
 from vigilake.sources.sample import raw_table
 
@@ -120,6 +121,39 @@ _TIME_SQL = """ent AS (SELECT 't' || (event_id % 300) AS id, 'incident-' || (eve
     HAVING count(*) FILTER (WHERE event_type = 'error') = 0)"""
 
 
+def _all_entries(s, p):
+    """Three actions per entry, deletions among them: about half of the entries are left."""
+    configure(s)
+    e = raw_table(s, p, "events")
+    action = F.when(F.col("event_type") == "error", "delete").when(F.col("event_type") == "view", "edit").otherwise("add")
+    no = F.expr("event_id div 3")
+    return e.select(
+        F.concat(F.lit("t"), no).alias("id"), F.concat(F.lit("incident-"), no % 150).alias("context_id"),
+        action.alias("action"), F.concat(F.lit("u"), F.col("user_id") % 4).alias("actor_id"), F.concat(F.lit("note "), "event_id").alias("message"),
+        F.col("ts").cast("timestamp").alias("timestamp"), F.when(F.col("event_id") % 9 == 0, F.col("event_id") % 100).alias("sort_order"),
+        F.col("ts").cast("timestamp").alias("at"),
+    )
+
+
+_ALL_TIME_SQL = """ent AS (SELECT 't' || (event_id // 3) AS id, 'incident-' || (event_id // 3 % 150) AS context_id, event_type, 'u' || (user_id % 4) AS actor_id,
+    'note ' || event_id AS message, ts AS at_, CASE WHEN event_id % 9 = 0 THEN event_id % 100 END AS sort_order FROM events),
+  tl AS (SELECT context_id, id, arg_max(actor_id, at_) AS actor_id, arg_max(message, at_) AS message, max(at_) AS timestamp,
+    arg_max(sort_order, at_) AS sort_order, max(at_) FILTER (WHERE event_type = 'view') AS edited_at FROM ent GROUP BY context_id, id
+    HAVING count(*) FILTER (WHERE event_type = 'error') = 0)"""
+_SHOWN = "coalesce(sort_order::DOUBLE, epoch_ms(timestamp)::DOUBLE), timestamp, id"
+
+
+def _whole_timeline(s, p):
+    """All entries, with the place of each in the whole of the display order."""
+    return flat(places(t.timeline_of(_all_entries(s, p))).withColumn("sort_order", F.coalesce("sort_order", F.lit(-1).cast("long"))))
+
+
+def _reports(s, p):
+    inc = _incidents(s, p)
+    shown = t.timeline_of(_all_entries(s, p)).join(inc.select(F.col("incident_id").alias("context_id")), "context_id", "left_semi")
+    return t.incident_reports(t.incident_markdown(inc, t.fold_incident_items(_items(s, p)), shown, _links(s, p), "2024-01-31 00:00:00"))
+
+
 def _markdown(s, p):
     return flat(t.incident_markdown(
         _incidents(s, p), t.fold_incident_items(_items(s, p)), t.timeline_of(_entries(s, p)).join(
@@ -143,6 +177,24 @@ UNION ALL SELECT incident_id, 2, '- ' || text || ' (Completed by: ' || toggler |
 UNION ALL SELECT incident_id, 3, '- [ ] ' || text FROM it WHERE kind = 'task' AND NOT done
 UNION ALL SELECT context_id, 4, '- `' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '` **' || actor_id || '**: ' || message FROM vis"""
 
+_REPORT_SQL = f"""WITH {_ITEM_SQL}, {_ALL_TIME_SQL}, inc AS (SELECT DISTINCT user_id, 'incident-' || user_id AS incident_id FROM events),
+  st AS (SELECT i.incident_id, i.user_id, count(*) FILTER (WHERE kind = 'task' AND done) AS d, count(*) FILTER (WHERE kind = 'task' AND NOT done) AS t,
+    count(*) FILTER (WHERE kind = 'theory') AS h FROM inc i LEFT JOIN it USING (incident_id) GROUP BY ALL),
+  vis AS (SELECT * FROM tl WHERE context_id IN (SELECT incident_id FROM inc)),
+  line AS (SELECT incident_id, 0 AS section, unnest(range(0, 9)) AS a, NULL::TIMESTAMP AS b, '' AS c, unnest(['# Incident Summary: Case ' || user_id,
+    '**Generated At:** 2024-01-31 00:00:00', '**Incident ID:** ' || user_id, '', '## Status Overview', '- **Theories:** ' || h || ' active hypotheses',
+    '- **Actions Taken:** ' || d || ' tasks completed', '- **Pending Tasks:** ' || t || ' tasks remaining', '']) AS line FROM st
+  UNION ALL SELECT incident_id, 1, unnest([0, 2]), NULL, '', unnest(['## Active Theories', '']) FROM st WHERE h > 0
+  UNION ALL SELECT incident_id, 2, unnest([0, 2]), NULL, '', unnest(['## Actions Taken (HAVEDONE)', '']) FROM st WHERE d > 0
+  UNION ALL SELECT incident_id, 3, unnest([0, 2]), NULL, '', unnest(['## Next Steps (TODO)', '']) FROM st WHERE t > 0
+  UNION ALL SELECT DISTINCT context_id, 4, -1, NULL::TIMESTAMP, '', '## Key Timeline Events' FROM vis
+  UNION ALL SELECT incident_id, 1, 1, added_at, item_id, '- [' || upper(likelihood) || '] ' || text FROM it WHERE kind = 'theory'
+  UNION ALL SELECT incident_id, 2, 1, added_at, item_id, '- ' || text || ' (Completed by: ' || toggler || ')' FROM it WHERE done
+  UNION ALL SELECT incident_id, 3, 1, added_at, item_id, '- [ ] ' || text FROM it WHERE kind = 'task' AND NOT done
+  UNION ALL SELECT context_id, 4, coalesce(sort_order, epoch_ms(timestamp)), timestamp, id,
+    '- `' || strftime(timestamp, '%Y-%m-%d %H:%M:%S') || '` **' || actor_id || '**: ' || message FROM vis)
+SELECT incident_id, string_agg(line, chr(10) ORDER BY section, a, b NULLS FIRST, c) AS report FROM line GROUP BY incident_id"""
+
 QUERIES = {
     "alert_lifecycle": (
         lambda s, p: flat(_triaged(s, p).drop("o_orderkey", "assignee_name")),
@@ -195,6 +247,11 @@ SELECT i.incident_id, 'Case ' || user_id AS title, count(*) FILTER (WHERE kind =
         f"WITH {_TIME_SQL} SELECT * REPLACE (coalesce(sort_order, -1) AS sort_order) FROM tl",
     ),
     "incident_markdown": (_markdown, _MD_SQL),
+    "timeline_whole": (
+        _whole_timeline,
+        f"""WITH {_ALL_TIME_SQL} SELECT * REPLACE (coalesce(sort_order, -1) AS sort_order), row_number() OVER (ORDER BY context_id, {_SHOWN}) AS position FROM tl""",
+    ),
+    "incident_reports": (_reports, _REPORT_SQL),
     "rule_toggle": (
         lambda s, p: t.rule_toggle(
             raw_table(configure(s), p, "part").select(F.col("p_partkey").cast("string").alias("name"), F.lit(True).alias("enabled")),

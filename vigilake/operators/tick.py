@@ -1,12 +1,14 @@
 """One detection cycle over the event table, with its state in plain tables.
 
 Every `COMPACT_EVERY` cycles the logs that are read back are written together, so a cycle reads one base
-folder and few small ones however long the system runs.
-
-Layout below the state folder, one sub-folder per cycle number: `alerts` and `alert_events` and
-`processed` and `outbox` are logs of what the cycle added or changed, `inflight` is the whole (small, short-lived)
-state after it. A cycle counts only once its marker in `done` is written, so a cycle that died half-way
-is simply run again under the same number.
+folder and few small ones however long the system runs. What the base before the last one covers is deleted
+then, the outbox after `KEEP_OUTBOX` cycles, so the number of folders is bounded too; readers have a whole
+compaction's time to finish.
+
+Layout below the state folder, one sub-folder per cycle number: `alerts`, `processed` (which is also the list of
+every alert's events) and `outbox` are logs of what the cycle added or changed, `inflight` is the whole (small,
+short-lived) state after it. A cycle counts only once its marker in `done` is written, so a cycle that died
+half-way is simply run again under the same number.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from vigilake.sources.tables import as_datetime, clamp_minutes, ts_lit
 log = logging.getLogger(__name__)
 
 COMPACT_EVERY = 60
+KEEP_OUTBOX = 1_440  # cycles: a day of minutes
 CLAIM = "alert_id string, eventid string, utctimestamp timestamp, processed_at timestamp"
 CHANGE = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ALERT_SCHEMA) + ", notify boolean, cycle int"
 
@@ -47,7 +50,8 @@ class StateFolder:
         jvm = self.spark.sparkContext._jvm
         where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{table}")
         fs = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return [int(s.getPath().getName()[1:]) for s in fs.listStatus(where)] if fs.exists(where) else []
+        names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+        return [int(n[1:]) for n in names if n[:1] == "c" and n[1:].isdigit()]
 
     def done(self) -> int:
         """Number of the last finished cycle, 0 when there is none."""
@@ -80,6 +84,32 @@ class StateFolder:
         self.write(latest(self.log("alerts", CHANGE, cycle), ["alert_id"], ["cycle"]).select(*ALERT_SCHEMA.names, "notify", "cycle"), "base_alerts", cycle)
         self.write(self.log("processed", CLAIM, cycle).filter(F.col("utctimestamp") >= oldest), "base_processed", cycle)
 
+        self.trim(cycle)
+
+    def trim(self, cycle: int) -> int:
+        """Delete what the base before the last one covers; returns the number of folders."""
+        bases = sorted(self._cycles("base_alerts"))
+        if len(bases) < 2:
+            return 0
+        covered, jvm, gone = bases[-2], self.spark.sparkContext._jvm, 0
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.listStatus(root):
+            table = status.getPath().getName()
+            if not status.isDirectory() or table == "outbox" and cycle <= KEEP_OUTBOX:
+                continue
+            # the base itself stays, and of all others what it covers goes
+            limit = covered if table.startswith("base_") else cycle - KEEP_OUTBOX + 1 if table == "outbox" else covered + 1
+            for c in self._cycles(table):
+                if c < limit:
+                    fs.delete(jvm.org.apache.hadoop.fs.Path(self._at(table, c)), True)
+                    gone += 1
+        return gone
+
+    def alert_events(self, upto: int | None = None) -> DataFrame:
+        """alert_id, eventid, utctimestamp of every event an alert has claimed, within retention."""
+        return self.log("processed", CLAIM, self.done() if upto is None else upto).select("alert_id", "eventid", "utctimestamp")
+
     def inflight(self, upto: int) -> DataFrame:
         if not upto:
             return self.spark.createDataFrame([], INFLIGHT_SCHEMA)

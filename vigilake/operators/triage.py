@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vigilake.functions.scalars import display_incident_id
 from vigilake.plans.blocked import latest
+from vigilake.session import materialise
 from vigilake.sources.tables import ts_lit
 
 # The first tasks of an incident made from an alert, and of one opened by hand.
@@ -163,7 +164,10 @@ def incident_markdown(
     Read in the order of these columns the lines of one incident are its Markdown text. Lines, not one
     string per incident, keep a report with very many entries spread over the cluster.
     """
-    stats = incident_task_stats(incidents, items, incident_alerts)
+    # the fold and the counts are used by every part of the report
+    items, timeline = materialise(items, "items"), materialise(timeline, "timeline")
+    stats = materialise(incident_task_stats(incidents, items, incident_alerts), "stats")
+    # The headings of the report.
     heads = [
         ("0", F.concat(F.lit("# Incident Summary: "), "title")),
         ("1", F.concat(F.lit("**Generated At:** "), F.date_format(ts_lit(generated_at), "yyyy-MM-dd HH:mm:ss"))),
@@ -200,3 +204,9 @@ def incident_markdown(
     entry = F.concat(F.lit("- `"), F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), F.lit("` **"), "actor_id", F.lit("**: "), "message")
     parts.append(lines(shown, 4, at, entry))
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def incident_reports(lines: DataFrame) -> DataFrame:
+    """The report of each incident as one text, from the lines of `incident_markdown`; for incidents of a size that is read."""
+    one = F.array_sort(F.collect_list(F.struct("section", "place", "line")))
+    return lines.groupBy("incident_id").agg(F.array_join(F.transform(one, lambda x: x["line"]), "\n").alias("report"))

@@ -30,6 +30,16 @@ def laid_out(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: i
     return materialise(placed.withColumn(RANGE, F.shiftrightunsigned(AT, 33)), "ranges")
 
 
+def places(ordered: DataFrame, name: str = "position") -> DataFrame:
+    """The place of each row of a table that is in order already, from 1."""
+    laid = materialise(ordered.withColumn(AT, F.monotonically_increasing_id()).withColumn(RANGE, F.shiftrightunsigned(AT, 33)), "ranges")
+    sizes = laid.groupBy(RANGE).agg(F.count(F.lit(1)).alias("_n"), F.min(AT).alias("_low"))
+    # as many rows as there are ranges
+    before = F.coalesce(F.sum("_n").over(Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shifts = sizes.select(RANGE, (before - F.col("_low") + 1).alias("_shift"))
+    return laid.join(shifts, RANGE).withColumn(name, F.col(AT) + F.col("_shift")).drop(AT, RANGE, "_shift")
+
+
 def _equal(a: DataFrame, b: DataFrame, names: Sequence[str]) -> Column:
     return reduce(lambda x, y: x & y, [a[n].eqNullSafe(b[n]) for n in names])
 
