@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vigilake.catalog.base import AS_OF, duck, events, flat, ts
 from vigilake.functions import jsonfn as j
 from vigilake.functions import scalars as sc
+from vigilake.functions.templates import render_document
 from vigilake.functions.walk import merge
 from vigilake.operators import query as q
 from vigilake.operators.textindex import TextIndex
@@ -66,6 +67,16 @@ def _sorted(spark, sf):
     return flat(q.sort_any(e.select(*BRIEF, "source_ip", "details"), "source_ip", True, "eventid").limit(50).select("eventid", "source_ip"))
 
 
+_TAGGED = ("{{summary}}{{#tags}} #{{.}}{{/tags}}{{#details.policy_members}} <{{.}}>{{/details.policy_members}}"
+           "{{^details.user}} nobody{{/details.user}}{{#details.events}} {{name}}/{{{source}}}{{/details.events}}{{! no remark }}")
+
+
+def _sections(spark, sf):
+    """A template with sections over every event."""
+    e = events(spark, sf)
+    return e.select("eventid", render_document(_TAGGED, F.try_parse_json(j.record_json(e))).alias("line"))
+
+
 def _sorted_whole(spark, sf):
     """Every row with its position in a sort by a nested path, missing last."""
     e = events(spark, sf).select(*BRIEF, "source_ip", "details")
@@ -276,6 +287,12 @@ ORDER BY utctimestamp DESC, eventid LIMIT 5000"""),
         _columns,
         duck("""SELECT eventid, CAST(user_id AS VARCHAR) AS nested_id, tags[2] AS second_tag,
   split_part(members_csv, ',', 1) AS first_member, CAST(NULL AS VARCHAR) AS nope FROM ev"""),
+    ),
+    "template_sections": (
+        _sections,
+        duck("""SELECT eventid, summary || array_to_string(list_transform(tags, lambda x: ' #' || x), '')
+  || coalesce(array_to_string(list_transform(string_split(members_csv, ','), lambda x: ' <' || x || '>'), ''), '')
+  || CASE WHEN identity IS NULL THEN ' nobody' ELSE '' END || coalesce(' ' || workspace_event || '/' || source, '') AS line FROM ev"""),
     ),
     "log_search_indexed": (
         _indexed_search,

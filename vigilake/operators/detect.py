@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 from collections.abc import Sequence
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vigilake.functions.jsonfn import field, record_json, record_lookup, render, template_fields
 from vigilake.functions.scalars import stable_id
+from vigilake.functions.templates import has_sections, render_document
 from vigilake.operators.query import InvalidCriteria, criteria_column, criteria_expr
 from vigilake.plans.blocked import first_n
 from vigilake.schema import ALERT_SCHEMA, SHELL_FIELDS
@@ -278,10 +280,30 @@ def _snippet(template: str):
     return lambda event: render(template, record_lookup(event["record"]))
 
 
+def sectioned(spec: Rule) -> bool:
+    return has_sections(spec.summary) or has_sections(spec.event_snippet)
+
+
+def render_sections(spec: Rule) -> Column:
+    """Summary and snippets of one rule by the full template syntax; lists are of the events an alert shows."""
+    own = {k: v for k, v in vars(spec).items() if isinstance(v, (str, int))}
+    parts = F.to_json(F.struct(F.col("value"), F.col("event_count").alias("count")))
+    records = F.array_join(F.transform("events", lambda e: e["record"]), ",")
+    document = F.concat(F.lit(json.dumps(own)[:-1] + ', "metadata": '), parts, F.lit(', "events": ['), records, F.lit("]}"))
+    text = render_document(spec.summary, F.try_parse_json(document))
+    if not (spec.event_snippet and spec.samples):
+        return text
+    shots = F.transform(F.slice("events", 1, spec.samples), lambda e: render_document(spec.event_snippet, F.try_parse_json(e["record"])))
+    return F.concat_ws(" ", text, F.when(F.size(shots) > 0, F.concat_ws(" ", shots)))
+
+
 def render_summary(watches: Sequence[Watch]) -> Column:
     """Summary plus one rendered snippet per sampled event, each watch with its own templates."""
     out = F.lit("")
     for w in watches:
+        if sectioned(w.spec):
+            out = F.when(F.col("watch_no") == w.no, render_sections(w.spec)).otherwise(out)
+            continue
         text = render(w.spec.summary, alert_lookup(w.spec))
         if w.spec.event_snippet and w.spec.samples:
             shots = F.transform(F.slice("events", 1, w.spec.samples), _snippet(w.spec.event_snippet))

@@ -8,7 +8,8 @@ themselves are evaluated, one CASE over the rule's number. So an event costs wha
 one lookup per column, one expression per distinct key and one per criteria with a rest.
 
 Everything else a rule brings (threshold, names, tags, templates) is a constant table looked up by its number. Templates
-are lists of parts; the values they name are taken once per distinct path. The alerts are those of
+are lists of parts; the values they name are taken once per distinct path (templates with sections are
+expressions of their own). The alerts are those of
 `detect.threshold` and `detect.deadman`.
 
 Claims are settled on ids alone; whole events are read for the few that an alert shows. What is used more
@@ -248,6 +249,7 @@ class RuleTable:
     def __init__(self, watches: Sequence[d.Watch]):
         self.events: list[tuple[int, str]] = []  # (event, path) the summaries name
         self.paths: list[str] = []  # paths the snippets name
+        self.sections = [w for w in watches if d.sectioned(w.spec)]  # rendered each by an expression of its own
         rows = []
         for w in watches:
             rule, spec = w.rule, w.spec
@@ -255,7 +257,8 @@ class RuleTable:
                 "alert_name": rule.alert_name, "alert_type": rule.alert_type, "severity": rule.severity, "category": rule.category,
                 "tags": list(rule.tags), "kind": spec.alert_type, "bound": spec.limit, "samples": spec.samples, "needed": d._samples_needed(w),
                 "silent": spec.aggregation_key if spec.keyed else d.ALL,
-                "summary": self._summary(spec), "snippet": self._snippet(spec) if spec.event_snippet and spec.samples else None,
+                "summary": self._summary(spec) if w not in self.sections else [],
+                "snippet": self._snippet(spec) if spec.event_snippet and spec.samples and w not in self.sections else None,
             })
         self.needed = max([r["needed"] for r in rows], default=0)
         self.table = constant(rows, _ROW)
@@ -307,7 +310,10 @@ class RuleTable:
             shots = F.transform(F.slice("events", 1, self.of("samples")), lambda _: put(bare, F.array().cast("array<string>")))
         else:
             shots = F.transform(F.slice("events", 1, self.of("samples")), lambda e: put(self.of("snippet"), F.array(*[jtext(doc(e), dotted(p)) for p in self.paths])))
-        return F.when(self.of("snippet").isNull() | (F.size(shots) == 0), text).otherwise(F.concat_ws(" ", text, F.concat_ws(" ", shots)))
+        out = F.when(self.of("snippet").isNull() | (F.size(shots) == 0), text).otherwise(F.concat_ws(" ", text, F.concat_ws(" ", shots)))
+        for w in self.sections:
+            out = F.when(F.col("watch_no") == w.no, d.render_sections(w.spec)).otherwise(out)
+        return out
 
     def alert_rows(self, triggers: DataFrame, as_of: datetime | str) -> DataFrame:
         """Triggers (watch_no, value, event_count, new_count, summary, events) as alert records with `watch_no`."""
