@@ -7,6 +7,7 @@ looked up again, until no pair has a rank. For short words this beats any heap;
 
 Texts are cut at white space first. What the vocabulary's own rules do (NFC, lower case, split pattern, byte
 symbols) never looks across white space, so a chunk's ids are cached per worker; `CACHE` bounds that memory.
+When a generation is full it becomes the old one, from which what is met again moves on, and the older one goes.
 
 Defined cases: null counts as empty, an empty text has no ids, special tokens in a text become their ids (as
 in the library the vocabulary comes from), ids outside the vocabulary are left out when decoding. Letters and
@@ -18,6 +19,7 @@ from __future__ import annotations
 import heapq
 import json
 import unicodedata
+from array import array
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONG = 256
-CACHE = 250_000  # chunks kept per worker; about 100 MB with their words
+CACHE = 150_000  # chunks, and words, of a generation; a worker keeps two, about 100 MB
 NONE = 1 << 60
 
 
@@ -114,6 +116,12 @@ class Vocabulary:
 
     def pieces(self, chunk: str) -> list[str]:
         """The words of a chunk in byte symbols."""
+        # plain letters, perhaps with a mark of punctuation behind them, need no rules
+        if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk.lower()]
+            if chunk[-1] in MARKS and chunk[:-1].isalpha():
+                return [chunk[:-1].lower(), chunk[-1]]
         # per character, so a sigma at the end of a word is lowered like any other
         low = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         symbols = self.symbols
@@ -134,6 +142,7 @@ class Vocabulary:
         return out + [i for w in self.pieces(chunk[at:]) for i in merge(w)]
 
 
+MARKS = frozenset(".,;:!?")
 ODD = regex.compile("[\x1c-\x1f]")  # str.split() takes these for white space, the split pattern does not
 SOLID = regex.compile(r"[^\p{White_Space}]+")
 
@@ -150,38 +159,64 @@ class Encoder:
         self.merge, self.cache = merge or v.merge, cache
         self.seen: dict[str, bytes] = {}
         self.words: dict[str, list[int]] = {}
+        self.old_seen: dict[str, bytes] = {}
+        self.old_words: dict[str, list[int]] = {}
 
     def _word(self, word: str) -> list[int]:
         found = self.words.get(word)
         if found is None:
-            found = self.merge(word)
+            found = self.old_words.get(word) or self.merge(word)
             if len(word) < LONG:
                 self.words[word] = found
         return found
 
     def _new(self, chunk: str) -> bytes:
-        ids = np.array(self.vocabulary.chunk(chunk, self._word), dtype="<i4").tobytes()
+        ids = self.old_seen.get(chunk)
+        if ids is None:
+            ids = array("i", self.vocabulary.chunk(chunk, self._word)).tobytes()
         if len(chunk) < LONG:
             self.seen[chunk] = ids
         return ids
 
     def one(self, text: str | None) -> bytes:
         """Ids of a text as little-endian 32-bit integers."""
-        get, new = self.seen.get, self._new
-        out = b"".join([get(c) or new(c) for c in chunks(text or "")])
-        if len(self.seen) > self.cache or len(self.words) > self.cache:
-            self.seen.clear()
-            self.words.clear()
-        return out
+        return b"".join(self.distinct(chunks(text or "")))
+
+    def _age(self) -> None:
+        if len(self.seen) > self.cache:
+            self.old_seen, self.seen = self.seen, {}
+        if len(self.words) > self.cache:
+            self.old_words, self.words = self.words, {}
 
     def array(self, texts: pa.Array) -> pa.Array:
-        """list<int32> of a string array."""
-        each = [self.one(t) for t in texts.to_pylist()]
-        ends = np.cumsum([0, *map(len, each)], dtype=np.int64) // 4
-        values = pa.array(np.frombuffer(b"".join(each), dtype="<i4"))
-        if ends[-1] < 2**31:
-            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
-        return pa.LargeListArray.from_arrays(pa.array(ends), values)
+        """list<int32> of a string array. Each distinct chunk of the array is looked up once."""
+        if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
+            each = [self.one(t) for t in texts.to_pylist()]
+            ends = np.cumsum([0, *map(len, each)], dtype=np.int64) // 4
+            return lists(ends, np.frombuffer(b"".join(each), dtype="<i4"))
+        cut = pc.utf8_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
+        words = cut.flatten().dictionary_encode()
+        ids = self.distinct(words.dictionary.to_pylist())
+        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        index = np.asarray(words.indices)
+        flat = np.frombuffer(b"".join(ids), dtype="<i4")
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[index]  # ids of each occurrence
+        before = np.cumsum(n) - n
+        at = np.arange(int(n.sum()), dtype=np.int64) + np.repeat(starts[index] - before, n)
+        ends = np.concatenate([[0], np.cumsum(n)])[np.asarray(cut.offsets) - cut.offsets[0].as_py()]
+        return lists(ends, flat[at])
+
+    def distinct(self, chunks: list[str]) -> list[bytes]:
+        out = [b"" if not c else self.seen.get(c) or self._new(c) for c in chunks]
+        self._age()
+        return out
+
+
+def lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+    if ends[-1] < 2**31:
+        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
+    return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(values))
 
 
 @lru_cache(maxsize=4)
