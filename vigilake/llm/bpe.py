@@ -117,7 +117,7 @@ class Vocabulary:
     def pieces(self, chunk: str) -> list[str]:
         """The words of a chunk in byte symbols."""
         # plain letters, perhaps with a mark of punctuation behind them, need no rules
-        if chunk.isascii():
+        if chunk and chunk.isascii():
             if chunk.isalpha():
                 return [chunk.lower()]
             if chunk[-1] in MARKS and chunk[:-1].isalpha():
