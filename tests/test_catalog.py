@@ -12,7 +12,9 @@ from tools.check import rows_of
 SF = "/root/testdata/sf0.001"
 PICK = ("entity_daily_activity", "first_seens", "feed_coverage", "iam_changes", "query_events", "record_match", "claimed_alerts",
         "deadman_fold", "sequence_two_slot", "normalize_gcp_audit", "create_then_grant", "correlated_chains", "technique_checks",
-        "score_hunt", "alert_lifecycle", "incident_markdown", "sliding_window_stream", "stream_ingest")
+        "score_hunt", "alert_lifecycle", "incident_markdown", "sliding_window_stream", "stream_ingest",
+        "rule_index_deadman", "first_seens_kept", "ordered_sequence", "absence_per_group", "sort_any_whole", "incident_reports",
+        "template_sections", "keyed_state", "bounded_results", "log_search_indexed")
 
 
 @pytest.fixture(scope="module")

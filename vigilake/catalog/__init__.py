@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("views", "adhoc", "detection", "hunting", "normalise", "triage", "live")
+MODULES = ("views", "adhoc", "detection", "hunting", "normalise", "triage", "live", "storage")
 
 
 def registry() -> dict:

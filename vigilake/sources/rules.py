@@ -15,8 +15,6 @@ from vigilake.sources.tables import clamp_minutes
 
 log = logging.getLogger(__name__)
 
-MAX_TABLE_RULES = 20_000  # rules are configuration; a larger table is a mistake and is refused
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -85,7 +83,8 @@ def _parse(text: str) -> dict | None:
 def load_rules(paths: str | None = None, table: DataFrame | None = None) -> tuple[list[Rule], list[tuple[str, str]]]:
     """Rules from files and from a rules table (`name`, `yaml`, `enabled`), plus what was refused.
 
-    A bad document is put aside with its reason and never stops the others.
+    A bad document is put aside with its reason and never stops the others. Rules are plans in the making, so
+    all of them come to the driver, a partition of the table at a time.
     """
     rules: list[Rule] = []
     refused: list[tuple[str, str]] = []
@@ -95,10 +94,7 @@ def load_rules(paths: str | None = None, table: DataFrame | None = None) -> tupl
             texts.append((path, f.read()))
     if table is not None:
         live = table.filter(F.coalesce(F.col("enabled"), F.lit(True))).select("name", "yaml")
-        rows = live.limit(MAX_TABLE_RULES + 1).collect()
-        if len(rows) > MAX_TABLE_RULES:
-            raise ValueError(f"rules table holds more than {MAX_TABLE_RULES} enabled rules")
-        texts += [(r["name"], r["yaml"] or "") for r in sorted(rows, key=lambda r: str(r["name"]))]
+        texts += sorted(((str(r["name"]), r["yaml"] or "") for r in live.toLocalIterator()), key=lambda x: x[0])
     for origin, text in texts:
         try:
             doc = _parse(text)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+import warnings
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,9 +52,14 @@ def within(df: DataFrame, since: datetime | str, until: datetime | str | None =
 
 
 def scan_events(df: DataFrame, as_of: datetime | str, minutes: object = DEFAULT_LOOKBACK_MINUTES, closed: bool = False) -> DataFrame:
-    """The trailing window a rule or ad-hoc query reads; `closed` also hides rows later than `as_of`."""
-    end = as_datetime(as_of)
-    since = end - timedelta(minutes=clamp_minutes(minutes))
+    """The trailing window a rule or ad-hoc query reads; `closed` also hides rows later than `as_of`.
+
+    It is no longer than the table's retention; a longer one asked for is warned about.
+    """
+    end, used = as_datetime(as_of), clamp_minutes(minutes)
+    if isinstance(minutes, int) and minutes > used:
+        warnings.warn(f"a window of {minutes} minutes was asked for, the retention holds {used}", stacklevel=2)
+    since = end - timedelta(minutes=used)
     return within(df, since, end if closed else None, closed=closed)
 
 
