@@ -8,8 +8,9 @@ agree in `1 + 2 s` blocks; each document leaves out its own `s` emptiest blocks
 is left to meet in. Every pair that meets is verified on the sets themselves.
 
 Equal sets are one node from the start, told by a hash of the set; the few sets whose hashes collide are found
-and named anew. In a block with many members each first meets the smallest node only; after the verified links
-have been joined up, members of one star that still lie in different components are compared by sketches of
+and named anew. In a block with many members each first meets the smallest node only, and of all smallest nodes a
+member has the one with the most members first: the other pairs count only while their ends lie in different
+components. After the verified links have been joined up, members of one star that still lie in different components are compared by sketches of
 their whole sets, whose Hamming distance bounds the difference from below, and only close ones go on to be
 verified. So no link between components is missed. For verifying, the text behind each node is read once; a
 star's centre is sent once per tile of its members.
@@ -444,8 +445,18 @@ def linked(docs: DataFrame, width: int, bands: Bands, doc: str = "doc_id", text:
     met = shared_keys(keyed_entries(texts if nulls else texts.filter("doc_id IS NOT NULL"), width, bands, renamed, bits)).filter("doc_id > least")
     stars = materialise(met.select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
     whole = nodes.select(F.col("node").alias("doc_id"), "n", "bits")
-    links = verified(close(stars, whole, bands), texts, nodes, width, bands, renamed, bits)
+    # first each member with its largest star only; then what that has not joined up already
+    sizes = stars.groupBy("a").agg(F.count(F.lit(1)).alias("size"))
+    best = stars.join(sizes, "a").groupBy("b").agg(F.max_by("a", F.struct("size", "a")).alias("a")).select("a", "b")
+    best = materialise(best, "best")
+    links = verified(close(best, whole, bands), texts, nodes, width, bands, renamed, bits)
     grouped = components(links)
+    of = lambda end: grouped.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+    left = stars.join(best, ["a", "b"], "left_anti").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    left = materialise(left.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "apart")
+    if not left.isEmpty():
+        links = links.unionByName(verified(close(left, whole, bands), texts, nodes, width, bands, renamed, bits))
+        grouped = components(links)
     rest = materialise(apart(stars, grouped, whole, bands).join(stars, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         links = links.unionByName(verified(rest, texts, nodes, width, bands, renamed, bits))
