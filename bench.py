@@ -24,6 +24,7 @@ HEADLINE = (
     "new_events_anti", "create_then_grant", "correlated_chains", "technique_checks", "score_hunt",
     "normalize_gcp_audit", "normalize_generic",
     "alert_lifecycle", "incident_items",
+    "rule_index", "first_seens_kept", "ordered_sequence", "rolling_count_long", "absence_per_group", "sort_any_whole",
 )
 
 
