@@ -238,3 +238,25 @@ def test_long_pages_take_time_in_proportion():
         begun = time.perf_counter()
         article.extract(page, learnt)
         assert time.perf_counter() - begun < 10, page[:20]
+
+
+def test_cutoffs_at_the_edge_of_the_bound(spark):
+    """Two rules certified in one language; one good document fewer, and none is in the other."""
+    tests = sum(len(cuts) for _, _, cuts in rules.RULES.values()) * 2
+    least = next(n for n in range(1, 10_000) if (1 - 0.02 / len(rules.RULES)) ** n * tests <= 0.05)
+    rows = spark.range(2 * least + 199).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") < least + 100, "aa").otherwise("bb").alias("lang"), (F.col("id") % (least + 100) >= 100).cast("int").alias("quality"))
+    bad = F.col("quality") == 0
+    count = lambda name, n: F.when(bad, n).otherwise(0).cast("long").alias(name)
+    measured = rows.select(
+        "doc_id", "lang", F.lit(100).cast("long").alias("n_words"), F.lit(500).cast("long").alias("word_chars"), count("n_symbols", 60), count("n_dup_lines", 3),
+        F.lit(0).cast("long").alias("n_repeat_words"), F.lit(10).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_marks"))
+    labels = rows.select("doc_id", "quality")
+    assert rows.filter("quality = 1").groupBy("lang").count().orderBy("lang").collect() == [("aa", least), ("bb", least - 1)]
+    cuts = rules.certify(measured, labels).collect()
+    assert [(r["_s"], r.cut_symbols, r.cut_lines, r.cut_repeats, r.cut_marks, r.cut_length) for r in cuts] == [("aa", 50, 20, None, None, None)]
+    judged = rules.judge(measured, rules.certify(measured, labels)).filter("NOT kept").groupBy("lang").count().collect()
+    assert judged == [("aa", 100)]
+    # one good document rejected in the first language: its cutoffs are certified no more
+    spoilt = measured.withColumn("n_symbols", F.when(F.col("doc_id") == 150, 60).otherwise(F.col("n_symbols"))).withColumn("n_dup_lines", F.when(F.col("doc_id") == 150, 3).otherwise(F.col("n_dup_lines")))
+    assert rules.certify(spoilt, labels).count() == 0
