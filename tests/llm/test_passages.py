@@ -61,13 +61,11 @@ def test_odd_passages(odd_docs, no_docs):
     assert found(no_docs) == []
 
 
-@pytest.mark.parametrize("most", [passages.MOST, 2])
-def test_passages_in_other_surroundings(spark, most):
-    for seed in range(3):
-        rows = shared_texts(seed)
-        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-        for width in (16, 50):
-            assert found(docs, width=width, most=most) == removed(rows, width)
+@pytest.mark.parametrize("most,width", [(passages.MOST, 50), (passages.MOST, 16), (2, 50)])
+def test_passages_in_other_surroundings(spark, most, width):
+    rows = [(d, t) for seed in range(3) for d, t in shared_texts(seed)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert found(docs, width=width, most=most) == removed(rows, width)
 
 
 def test_normal_texts():
