@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigilake.catalog.base import AS_OF, duck, events, flat, ts
-from vigilake.catalog.views import IAM_FILTER
+from vigilake.catalog.views import IAM_FILTER, kept_seens
 from vigilake.operators import hunts as h
 from vigilake.operators import score as sc
 from vigilake.operators import views as v
@@ -132,6 +132,11 @@ _LAB = f"""lab AS (SELECT eventid, identity, source, {_LABEL} AS label FROM ev
 _SUSPECTS = f"""{_IAM}, {_ROLES}, sus AS (SELECT DISTINCT identity FROM rol WHERE utctimestamp >= TIMESTAMP '2024-01-28 00:00:00'
   AND regexp_matches(role, '{_PRIV}') AND identity IS NOT NULL)"""
 
+_NOVELTY_SQL = duck(_SUSPECTS + ", fs AS (" + "\nUNION ALL\n".join(
+            f"SELECT identity, '{d}' AS dimension, {d} AS value, min(utctimestamp) AS first_seen_at, max(utctimestamp) AS last_seen_at, "
+            f"count(*) AS event_count FROM ev WHERE {d} IS NOT NULL GROUP BY identity, {d}" for d in v.FIRST_SEEN_DIMENSIONS
+        ) + ")\n---\nSELECT * FROM fs WHERE identity IN (SELECT identity FROM sus) AND first_seen_at >= TIMESTAMP '2024-01-10 00:00:00'")
+
 QUERIES = {
     "external_grants": (
         lambda s, p: flat(h.external_grants(_iam(s, p), ["example.com"], SINCE)),
@@ -175,10 +180,11 @@ SELECT eventid, identity, utctimestamp FROM ev WHERE identity IN (SELECT identit
     ),
     "novelty": (
         lambda s, p: flat(h.novelty(_suspects(s, p), v.first_seens(events(s, p)), "2024-01-10 00:00:00")),
-        duck(_SUSPECTS + ", fs AS (" + "\nUNION ALL\n".join(
-            f"SELECT identity, '{d}' AS dimension, {d} AS value, min(utctimestamp) AS first_seen_at, max(utctimestamp) AS last_seen_at, "
-            f"count(*) AS event_count FROM ev WHERE {d} IS NOT NULL GROUP BY identity, {d}" for d in v.FIRST_SEEN_DIMENSIONS
-        ) + ")\n---\nSELECT * FROM fs WHERE identity IN (SELECT identity FROM sus) AND first_seen_at >= TIMESTAMP '2024-01-10 00:00:00'"),
+        _NOVELTY_SQL,
+    ),
+    "novelty_kept": (
+        lambda s, p: flat(h.novelty(_suspects(s, p), kept_seens(s, p).read(), "2024-01-10 00:00:00")),
+        _NOVELTY_SQL,
     ),
     "create_then_grant": (
         lambda s, p: flat(h.create_then_grant(_iam(s, p), DAY)),

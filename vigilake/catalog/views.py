@@ -77,7 +77,7 @@ def _kept(kind, name):
     return run
 
 
-_seens, _daily, _sketches = _kept(kept.FIRST_SEENS, "seens"), _kept(kept.DAILY_ACTIVITY, "daily"), _kept(kept.IDENTITY_SKETCHES, "sketches")
+kept_seens, _daily, _sketches = _kept(kept.FIRST_SEENS, "seens"), _kept(kept.DAILY_ACTIVITY, "daily"), _kept(kept.IDENTITY_SKETCHES, "sketches")
 
 
 def _sketched_window(spark, sf):
@@ -91,9 +91,9 @@ def _sketched_window(spark, sf):
 
 
 QUERIES = {
-    "first_seens_kept": (lambda s, d: flat(_seens(s, d).read()), duck(FIRST_SEENS_SQL)),
+    "first_seens_kept": (lambda s, d: flat(kept_seens(s, d).read()), duck(FIRST_SEENS_SQL)),
     "first_seens_kept_window": (
-        lambda s, d: flat(_seens(s, d).read("2024-01-10", "2024-01-20")),
+        lambda s, d: flat(kept_seens(s, d).read("2024-01-10", "2024-01-20")),
         duck(FIRST_SEENS_SQL.replace("WHERE", "WHERE utctimestamp >= '2024-01-10' AND utctimestamp < '2024-01-20' AND")),
     ),
     "daily_activity_kept": (lambda s, d: flat(_daily(s, d).read()), duck(DAILY_SQL)),
