@@ -41,3 +41,16 @@ def test_odd_documents(spark, odd_docs, no_docs):
         assert {*odd_docs.columns} <= {*out.columns}, name
         out.collect()
         assert stage(spark, no_docs, SF).count() == 0, name
+
+
+def test_clashing_columns(spark):
+    """Columns named like those the stages use themselves, in any case."""
+    names = ("_of", "_digest", "_more", "_gone", "_again", "_taken", "_coded", "IDS", "N_Tokens", "whole", "_id", "_row", "key", "row", "node", "keep", "tree", "domain", "_text")
+    rows = [(i, f"some words of text number {i % 3} for a.b{i}@example.org and more of them to read", "en", f"src{i}", 60, *["x"] * len(names)) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        assert all(r["_more"] == r["whole"] == r["key"] == "x" for r in out.collect()), name
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert {"ids", "decoded_sha256", "n_tokens"} <= {*last.columns} and last.count() == 6

@@ -245,5 +245,8 @@ def redacted(docs: DataFrame, doc: str = "doc_id", text: str = "text", least: fl
     def run(texts: pa.Array, lists: pa.Array) -> pa.Array:
         return pa.array([redact(t, m) for t, m in zip(texts.to_pylist(), lists.to_pylist())], pa.string())
 
-    met = docs.join(materialise(more, "more"), F.col(doc).cast("long").eqNullSafe(F.col("_of")) & (F.xxhash64(text) == F.col("_digest")), "left")
-    return met.withColumn(text, run(F.col(text), "_more")).select(*docs.columns)
+    # the row travels as one column, whatever its own are called
+    whole = docs.select(F.struct(*docs.columns).alias("whole"), F.col(doc).cast("long").alias("_id"), F.xxhash64(text).alias("_text"))
+    met = whole.join(materialise(more, "more"), F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_text") == F.col("_digest")), "left")
+    own = {c: F.col("whole").getField(c) for c in docs.columns}
+    return met.select(*[(run(x, F.col("_more")) if c == text else x).alias(c) for c, x in own.items()])
