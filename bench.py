@@ -24,8 +24,9 @@ HEADLINE = (
     "new_events_anti", "create_then_grant", "correlated_chains", "technique_checks", "score_hunt",
     "normalize_gcp_audit", "normalize_generic",
     "alert_lifecycle", "incident_items",
-    "rule_index", "first_seens_kept", "ordered_sequence", "rolling_count_long", "absence_per_group", "sort_any_whole",
 )
+# timed as well; the total stays that of the queries above, so that rounds compare
+MORE = ("rule_index", "first_seens_kept", "ordered_sequence", "rolling_count_long", "absence_per_group", "sort_any_whole")
 
 
 def main() -> None:
@@ -38,7 +39,7 @@ def main() -> None:
     known = registry()
     times: dict[str, float] = {}
     failed: dict[str, str] = {}
-    for name in HEADLINE:
+    for name in (*HEADLINE, *MORE):
         try:
             for _ in range(2):
                 begun = time.perf_counter()
@@ -49,7 +50,7 @@ def main() -> None:
             times.pop(name, None)
             failed[name] = str(e).splitlines()[0][:200]
     out = {
-        "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
+        "metric": "headline_queries_total", "value": round(sum(times[n] for n in HEADLINE if n in times), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(sf.rstrip("/")),
     }
     if failed:
