@@ -31,7 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LONG = 256
-CACHE = 150_000  # chunks, and words, of a generation; a worker keeps two, about 100 MB
+CACHE = 120_000  # chunks, and words, of a generation; a worker keeps two, about 100 MB
+PART = 800  # texts looked up together
 NONE = 1 << 60
 
 
@@ -189,23 +190,29 @@ class Encoder:
             self.old_words, self.words = self.words, {}
 
     def array(self, texts: pa.Array) -> pa.Array:
-        """list<int32> of a string array. Each distinct chunk of the array is looked up once."""
+        """list<int32> of a string array, some texts at a time."""
+        parts = [self._part(texts.slice(a, PART)) for a in range(0, max(1, len(texts)), PART)]
+        ends = np.concatenate([[0], np.cumsum(np.concatenate([n for n, _ in parts]))]).astype(np.int64)
+        values = pa.array(np.concatenate([ids for _, ids in parts]))
+        if ends[-1] < 2**31:
+            return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), values)
+        return pa.LargeListArray.from_arrays(pa.array(ends), values)
+
+    def _part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, all ids). Each distinct chunk of the texts is looked up once."""
         if pc.any(pc.match_substring_regex(texts, "[\x1c-\x1f]")).as_py():
             each = [self.one(t) for t in texts.to_pylist()]
-            ends = np.cumsum([0, *map(len, each)], dtype=np.int64) // 4
-            return lists(ends, np.frombuffer(b"".join(each), dtype="<i4"))
+            return np.array([len(x) // 4 for x in each], np.int64), np.frombuffer(b"".join(each), dtype="<i4")
         cut = pc.utf8_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         words = cut.flatten().dictionary_encode()
         ids = self.distinct(words.dictionary.to_pylist())
         sizes = np.array([len(x) // 4 for x in ids], np.int64)
         index = np.asarray(words.indices)
         flat = np.frombuffer(b"".join(ids), dtype="<i4")
-        starts = np.cumsum(sizes) - sizes
         n = sizes[index]  # ids of each occurrence
-        before = np.cumsum(n) - n
-        at = np.arange(int(n.sum()), dtype=np.int64) + np.repeat(starts[index] - before, n)
-        ends = np.concatenate([[0], np.cumsum(n)])[np.asarray(cut.offsets) - cut.offsets[0].as_py()]
-        return lists(ends, flat[at])
+        total = np.concatenate([[0], np.cumsum(n)])
+        at = np.arange(int(total[-1]), dtype=np.int64) + np.repeat((np.cumsum(sizes) - sizes)[index] - total[:-1], n)
+        return np.diff(total[np.asarray(cut.offsets) - cut.offsets[0].as_py()]), flat[at]
 
     def distinct(self, chunks: list[str]) -> list[bytes]:
         out = [b"" if not c else self.seen.get(c) or self._new(c) for c in chunks]
@@ -213,12 +220,6 @@ class Encoder:
         return out
 
 
-def lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
-    if ends[-1] < 2**31:
-        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
-    return pa.LargeListArray.from_arrays(pa.array(ends), pa.array(values))
-
-
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
