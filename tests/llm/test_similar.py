@@ -221,3 +221,22 @@ def test_repeated_ids_and_colliding_nodes(spark):
         got = sorted(map(tuple, parity.join(docs, bits=bits).collect()), key=repr)
         assert [g[:2] for g in got] == [w[:2] for w in want]
         assert [g for g in got if g[0] is not None] == [w for w in want if w[0] is not None]
+
+
+def test_windows_are_counted_where_queries_end():
+    """Few radii are counted for a query, and none of its candidates comes from a wider window than its own."""
+    rng = np.random.default_rng(5)
+    vectors, ids = rng.standard_normal((3000, 32)), np.arange(3000)
+    shard, counted = collide.Shard(ids, vectors, 5, 160, 11), []
+    plain = shard.collisions
+    shard.collisions = lambda left, right: counted.append(1) or plain(left, right)
+    asked = np.arange(0, 3000, 50)
+    got = list(shard.search(vectors[asked], asked))
+    assert len(counted) <= 5 * len(asked)
+    alone = [x for q in asked for x in shard.search(vectors[[q]], asked[asked == q])]
+    assert got == alone
+    # the counts are those of the projections themselves
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    apart = np.abs(shard.unit @ shard.lines - unit[0] @ shard.lines)
+    left, right = shard.windows(unit[:1] @ shard.lines, 0.9)
+    assert np.array_equal(plain(left[:, 0], right[:, 0]), (apart <= 0.9).sum(axis=1))

@@ -2,7 +2,8 @@
 
 Every hash function is one random projection, and the vectors of a shard are kept as one sorted array per
 function. A query opens a window around its own projection in each array; a vector collides once for each
-window it lies in. Virtual rehashing widens all windows step by step for growing radii. Vectors whose
+window it lies in. Virtual rehashing widens all windows step by step for growing radii; a query starts at the
+radius at which the one before it was done and goes down or up from there. Vectors whose
 collisions reach the threshold are verified with the exact measure. A query is done in a shard once its
 k-th nearest verified vector is within the current radius: a nearer one would have passed the threshold at
 this radius, but for the chance that `miss_z` standard deviations leave.
@@ -28,7 +29,6 @@ from pyspark.sql import functions as F
 
 from vigilake.session import materialise
 
-
 class Shard:
     """The sorted projection arrays of some vectors, searched by windows."""
 
@@ -44,8 +44,11 @@ class Shard:
         self.unit = self.vectors / np.linalg.norm(self.vectors, axis=1, keepdims=True)
         self.lines = np.random.default_rng(seed).standard_normal((vectors.shape[1], functions))
         where = self.unit @ self.lines
-        self.order = np.argsort(where, axis=0, kind="stable").T.astype(np.int32).copy()
-        self.sorted = np.take_along_axis(where.T, self.order, axis=1).copy()
+        order = np.argsort(where, axis=0, kind="stable").T
+        self.sorted = np.take_along_axis(where.T, order, axis=1).copy()
+        # where each vector stands in each array
+        self.place = np.empty(order.shape, np.uint16 if len(lead) < 1 << 16 else np.uint32)
+        np.put_along_axis(self.place, order, np.arange(len(lead), dtype=self.place.dtype)[None, :], axis=1)
         # a vector at distance r lies within r of the query's projection with probability p; the threshold is that mean less some deviations
         p = 0.6826894921370859
         self.threshold = int(np.floor(functions * p - miss_z * np.sqrt(functions * p * (1 - p))))
@@ -56,39 +59,58 @@ class Shard:
             out.append(out[-1] * self.growth)
         return out
 
-    def windows(self, queries: np.ndarray) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
-        """(radius, left ends, right ends) of the windows of all queries in each array, radius by radius."""
-        here = (queries / np.linalg.norm(queries, axis=1, keepdims=True)) @ self.lines
-        for radius in [0.0, *self.radii()]:
-            left = np.stack([np.searchsorted(line, x) for line, x in zip(self.sorted, (here - radius).T)])
-            right = left if not radius else np.stack([np.searchsorted(line, x, "right") for line, x in zip(self.sorted, (here + radius).T)])
-            yield radius, left, right
+    def windows(self, here: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+        """(left ends, right ends) of the windows around the projections `here`, by array and query."""
+        left = np.stack([np.searchsorted(line, x) for line, x in zip(self.sorted, (here - radius).T)])
+        right = np.stack([np.searchsorted(line, x, "right") for line, x in zip(self.sorted, (here + radius).T)])
+        return left, right
+
+    def collisions(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """In how many of the windows each vector lies."""
+        low, size = left.astype(self.place.dtype)[:, None], (right - left).astype(self.place.dtype)[:, None]
+        # places left of the window wrap around and are beyond its size too
+        inside = (self.place - low < size).view(np.uint8)
+        return np.add.reduce(inside, axis=0, dtype=np.uint8 if len(inside) < 256 else np.int32)
 
     def search(self, queries: np.ndarray, query_ids: np.ndarray) -> Iterator[tuple[int, int, float]]:
         """(query id, id, cosine) of the nearest entries found, at most k a query."""
         n = len(self.vectors)
-        bounds = list(self.windows(queries))
         unit = queries / np.linalg.norm(queries, axis=1, keepdims=True)
+        here, radii = unit @ self.lines, self.radii()
+        bounds: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # of all queries, for the radii that one of them came to
+        step = 0  # where the query before was done: the next one is done near it
         for q, query_id in enumerate(query_ids.tolist()):
-            hits = np.zeros(n, np.int32)
             cosines = np.full(n, -2.0)
             checked = np.zeros(n, bool)
-            low = high = bounds[0][1][:, q]
-            for radius, lefts, rights in bounds[1:]:
-                left, right = lefts[:, q], rights[:, q]
-                # windows only grow: count what is new on both sides
-                new = [part for i, line in enumerate(self.order) for part in (line[left[i] : low[i]], line[high[i] : right[i]])]
-                hits += np.bincount(np.concatenate(new), minlength=n)
-                low, high = left, right
-                found = np.flatnonzero((hits >= self.threshold) & ~checked)
+            passed: dict[int, np.ndarray] = {}
+
+            def done(i: int) -> bool:
+                """Whether the query is done at the i-th radius; windows only grow, so it is then done at all later ones."""
+                if i not in bounds:
+                    bounds[i] = self.windows(here, radii[i])
+                lefts, rights = bounds[i]
+                passed[i] = near = self.collisions(lefts[:, q], rights[:, q]) >= self.threshold
+                found = np.flatnonzero(near & ~checked)
                 checked[found] = True
                 cosines[found] = self.unit[found] @ unit[q]
-                if checked.sum() > self.k:
-                    # one entry may be the query's own, so the next one has to be near too
-                    worst = np.partition(cosines, n - self.k - 1)[n - self.k - 1]
-                    if 2 - 2 * worst <= radius * radius:
+                if near.sum() <= self.k:
+                    return False
+                # one entry may be the query's own, so the next one has to be near too
+                seen = cosines[near]
+                worst = np.partition(seen, len(seen) - self.k - 1)[len(seen) - self.k - 1]
+                return 2 - 2 * worst <= radii[i] ** 2
+
+            # the smallest radius at which it is done, or the last one
+            if done(step):
+                while step and done(step - 1):
+                    step -= 1
+            else:
+                while step < len(radii) - 1:
+                    step += 1
+                    if done(step):
                         break
-            if checked.sum() <= self.k:  # fewer entries than asked for
+            cosines[~passed[step]] = -2.0  # what only a wider window has shown
+            if passed[step].sum() <= self.k:  # fewer entries than asked for
                 cosines = self.unit @ unit[q]
             yield from ((query_id, i, s) for i, s in self._best(cosines, queries[q], query_id))
 
