@@ -29,6 +29,14 @@ def test_encoding_as_the_library(text):
     assert np.frombuffer(bpe.encoder(PATH).one(text), "<i4").tolist() == library(text)
 
 
+def test_spellings_of_a_word_are_looked_up_once():
+    e = bpe.Encoder(PATH)
+    texts = ["Haus haus, HAUS. Élan élan!", "ÉLAN haus? ÿ ß. Ÿ ×a. aé1. don't. <|endoftext|>. e\u0301a, 42! a$$$", None, "", "x" * 300 + "."]
+    assert e.array(pa.array(texts)).to_pylist() == [library(t) for t in texts]
+    assert sorted(w for w in e.seen if w.lower().startswith(("haus", "élan"))) == ["haus", "élan"]
+    assert e.array(pa.array(texts).slice(1, 2)).to_pylist() == [library(t) for t in texts[1:3]]
+
+
 def test_long_words_take_the_heap_and_agree():
     v = bpe.encoder(PATH).vocabulary
     for word in ("a" * 1000, "ab" * 700, "thequickbrownfox" * 40):

@@ -64,6 +64,7 @@ class Vocabulary:
         self.words = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.symbols = dict(enumerate(byte_symbols()))
+        self.latin = {c: "".join(self.symbols[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
     def merge(self, text: str) -> list[int]:
         """Ids of one word, given as byte symbols."""
@@ -144,6 +145,7 @@ class Vocabulary:
 
 
 MARKS = frozenset(".,;:!?")
+PLAIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+[.,;:!?]?$"  # as in `Vocabulary.pieces`, and letters that NFC leaves and that have one lower case
 ODD = regex.compile("[\x1c-\x1f]")  # str.split() takes these for white space, the split pattern does not
 SOLID = regex.compile(r"[^\p{White_Space}]+")
 
@@ -205,15 +207,57 @@ class Encoder:
             return np.array([len(x) // 4 for x in each], np.int64), np.frombuffer(b"".join(each), dtype="<i4")
         cut = pc.utf8_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
         words = cut.flatten().dictionary_encode()
-        ids = self.distinct(words.dictionary.to_pylist())
-        sizes = np.array([len(x) // 4 for x in ids], np.int64)
+        flat, starts, sizes = self._looked_up(words.dictionary)
         index = np.asarray(words.indices)
-        flat = np.frombuffer(b"".join(ids), dtype="<i4")
         n = sizes[index]  # ids of each occurrence
         total = np.concatenate([[0], np.cumsum(n)])
-        at = np.arange(int(total[-1]), dtype=np.int64) + np.repeat((np.cumsum(sizes) - sizes)[index] - total[:-1], n)
+        at = np.arange(int(total[-1]), dtype=np.int64) + np.repeat(starts[index] - total[:-1], n)
         return np.diff(total[np.asarray(cut.offsets) - cut.offsets[0].as_py()]), flat[at]
 
+    def _looked_up(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, number of ids) of distinct chunks; plain letters are looked up once in lower case and without the mark behind them."""
+        plain = np.asarray(pc.match_substring_regex(chunks, PLAIN).cast(pa.uint8())).view(bool)
+        mine = chunks.filter(pa.array(plain))
+        marked = np.asarray(pc.match_substring_regex(mine, "[.,;:!?]$").cast(pa.uint8())).view(bool)
+        ends = np.zeros(len(mine), np.uint8)
+        if marked.any():
+            raw, offsets = np.frombuffer(mine.buffers()[2], np.uint8), np.frombuffer(mine.buffers()[1], np.int64)[mine.offset :][: len(mine) + 1]
+            ends[marked] = raw[offsets[1:][marked] - 1]
+        stems = pc.utf8_lower(pc.utf8_rtrim(mine, characters=".,;:!?")).dictionary_encode()
+        marks = np.unique(ends[marked])
+        others = chunks.filter(pa.array(~plain)).to_pylist()
+        ids = [*self._stems(stems.dictionary.to_pylist()), *self.distinct([chr(m) for m in marks]), *self.distinct(others)]
+        found = np.frombuffer(b"".join(ids), dtype="<i4")
+        n = np.array([len(x) // 4 for x in ids], np.int64)
+        first = np.cumsum(n) - n
+        k = len(stems.dictionary)
+        # where a chunk's ids are: those of its stem and then of its mark, or its own
+        stem, mark = np.zeros(len(chunks), np.int64), np.full(len(chunks), -1, np.int64)
+        stem[plain] = np.asarray(stems.indices)
+        stem[~plain] = k + len(marks) + np.arange(len(others))
+        mark[plain] = np.where(marked, k + np.searchsorted(marks, ends), -1)
+        sizes = n[stem] + np.where(mark < 0, 0, n[mark])
+        starts = np.cumsum(sizes) - sizes
+        out = np.empty(int(sizes.sum()), "<i4")
+        for part, to in ((stem, starts), (mark[mark >= 0], (starts + n[stem])[mark >= 0])):
+            many = n[part]
+            step = np.arange(int(many.sum()), dtype=np.int64) - np.repeat(np.cumsum(many) - many, many)
+            out[np.repeat(to, many) + step] = found[np.repeat(first[part], many) + step]
+        return out, starts, sizes
+
+    def _stems(self, words: list[str]) -> list[bytes]:
+        """Ids of words of lower-case letters, which hold no special token and are not cut."""
+        seen, old, merge, latin, out = self.seen, self.old_seen, self.merge, self.vocabulary.latin, []
+        for word in words:
+            ids = seen.get(word)
+            if ids is None:
+                ids = old.get(word) or array("i", merge(word if word.isascii() else word.translate(latin))).tobytes()
+                if len(word) < LONG:
+                    seen[word] = ids
+            out.append(ids)
+        self._age()
+        return out
+
     def distinct(self, chunks: list[str]) -> list[bytes]:
         out = [b"" if not c else self.seen.get(c) or self._new(c) for c in chunks]
         self._age()
