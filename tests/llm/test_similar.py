@@ -240,3 +240,20 @@ def test_windows_are_counted_where_queries_end():
     apart = np.abs(shard.unit @ shard.lines - unit[0] @ shard.lines)
     left, right = shard.windows(unit[:1] @ shard.lines, 0.9)
     assert np.array_equal(plain(left[:, 0], right[:, 0]), (apart <= 0.9).sum(axis=1))
+
+
+def test_repeats_leaves_no_shuffle_files_of_its_steps(spark):
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv
+
+    def files():
+        every = env.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in every.mkString("|").split("|") if "shuffle_" in f}
+
+    passage = " ".join(f"word{i}" for i in range(40))
+    docs = spark.createDataFrame([(i, f"{i * 7919} {passage} {i * 104729}") for i in range(40)], "doc_id long, text string")
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(name)
+    found = suffixes.repeats(docs)
+    assert not files() - before
+    assert spark.conf.get(name) == setting
+    assert found.filter("n_removed >= 50").count() == 39

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.llm.parity import BYTE, ENTRY, PIECE, R, R_INV, mix, powers, shared_keys, together
-from vigilake.session import materialise
+from vigilake.session import discard, materialise
 
 GRAM = 16
 MOST = 1 << 20  # bytes ordered at once; the lists of the suffix array take a few hundred bytes for each
@@ -429,11 +429,11 @@ def pieces_of(large: DataFrame, width: int, last: bool) -> DataFrame:
 
 def all_owned(segments: DataFrame, width: int, most: int = MOST, level: int = 0) -> DataFrame:
     """(segment, owners) of all segments, one row each, in buckets of at most `most` bytes."""
-    table = materialise(owned(segments, width, most if level < 2 else None), "owners")
+    table = materialise(owned(segments, width, most if level < 2 else None), "owners", free=True)
     known, large = table.filter("owners IS NOT NULL").select("segment", "owners"), table.filter("owners IS NULL")
     if level == 2 or large.isEmpty():
         return known
-    pieces = materialise(pieces_of(large.select("segment", "bytes", "doc_id"), width, level == 1), "pieces")
+    pieces = materialise(pieces_of(large.select("segment", "bytes", "doc_id"), width, level == 1), "pieces", free=True)
     below = all_owned(pieces, width, most, level + 1).select("segment", F.explode("owners").alias("o"))
     back = pieces.select("root", "start", "times", "segment").distinct().join(below, "segment")
     span = F.struct((F.col("start") + F.col("o.a")).alias("a"), (F.col("start") + F.col("o.b") + F.col("times") - 1).alias("b"), F.col("o.doc").alias("doc"))
@@ -465,25 +465,26 @@ def cut(texts: DataFrame) -> DataFrame:
 
 def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "text", most: int = MOST) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row: bytes of windows that a smaller document has go."""
-    base = materialise(described(docs, doc, text), "described")
+    base = materialise(described(docs, doc, text), "described", free=True)
     firsts = base.filter("doc_id IS NOT NULL").groupBy("same", "n_bytes").agg(F.min("doc_id").alias("rep"))
     reps = base.filter(f"n_bytes >= {width}").select(F.col("doc_id").alias("rep"), "same", "n_bytes").distinct().join(firsts, ["same", "n_bytes", "rep"])
 
     # buckets that at least two texts reach
     reached = shared_keys(buckets_of(docs, width, doc, text)).select("key", "doc_id")
-    reached = materialise(reached.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "reached")
+    reached = materialise(reached.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "reached", free=True)
     shared = reached.groupBy("key").agg(F.min("doc_id").alias("_l"), F.max("doc_id").alias("_h")).filter("_l < _h").select("key")
     keys = reached.join(shared, "key", "left_semi").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
 
     texts = packed(docs, doc, text)
     chosen = reps.select(F.col("rep").alias("doc_id"), "same").join(keys, "doc_id")
-    segments = materialise(segments_of(texts.join(chosen, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]), width), "segments")
+    segments = materialise(segments_of(texts.join(chosen, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]), width), "segments", free=True)
+    discard(reached)
     known = all_owned(segments, width, most)
     met = segments.select("segment", "doc_id", "same", "first_window").join(known, "segment")
     # windows a to b cover the bytes a to b + width - 1
     mine = F.expr(f"transform(filter(owners, o -> o.doc < doc_id), o -> struct(first_window + o.a AS a, first_window + o.b + {width} AS b))")
     marks = met.select("doc_id", "same", mine.alias("s")).filter("size(s) > 0")
-    spans = materialise(marks.groupBy("doc_id", "same").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans")
+    spans = materialise(marks.groupBy("doc_id", "same").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans", free=True)
     changed = cut(texts.join(spans, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]))
 
     all_rows = base.join(firsts, ["same", "n_bytes"], "left")

@@ -60,11 +60,25 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write a result to the shared folder and go on from the file: cuts the plan and survives lost executors."""
+FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """Write a result to the shared folder and go on from the file: cuts the plan and survives lost executors.
+
+    With `free` the files of its shuffles go as soon as it is written, and it is packed more closely.
+    """
     spark = df.sparkSession
     path = run_dir(spark, name)
-    df.write.parquet(path)
+    if not free:
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+    before = spark.conf.get(FREE)
+    spark.conf.set(FREE, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE, before)
     return spark.read.parquet(path)
 
 
