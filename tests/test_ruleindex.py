@@ -78,3 +78,13 @@ def test_a_thousand_rules_are_planned_in_seconds(events):
     got = {r.alert_name: r.event_count for r in out.alerts.collect()}
     few = [r for r in rules if int(r.alert_name[1:]) < 15]
     assert {k: v for k, v in got.items() if int(k[1:]) < 15} == {r.alert_name: r.event_count for r in d.evaluate_rules(events, few, AS_OF, scope="rule").alerts.collect()}
+
+
+def test_events_are_not_read_again_when_nothing_is_new(events, monkeypatch):
+    read, plain = [], ri.hits
+    monkeypatch.setattr(ri, "hits", lambda ev, *a, **k: read.append((k.get("whole", True), ev.isEmpty())) or plain(ev, *a, **k))
+    watches = d.watches_of([r for r in ODD if r.alert_name == "every"])
+    claimed = events.select(F.lit("a").alias("alert_id"), "eventid", "utctimestamp")
+    assert ri.threshold(events, watches, AS_OF, claimed).alerts.count() == 0
+    assert read == [(False, False), (True, True)]
+    assert ri.threshold(events, watches, AS_OF).alerts.count() > 0

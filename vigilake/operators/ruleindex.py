@@ -354,11 +354,13 @@ def threshold(
 
     # the summary shows the first events of the window, the alert embeds its first new ones; both are read together
     order, needed = [F.col("utctimestamp"), F.col("eventid")], max(1, rules.needed)
-    one = first_n(members, group, order, rules.of("needed"), needed).withColumn("use", F.lit(1))
+    # a group without a new event makes no alert: nothing is read for it, and where none has any the events are not searched again
+    telling = members.join(fresh.select(*group), group, "left_semi")
+    one = first_n(telling, group, order, rules.of("needed"), needed).withColumn("use", F.lit(1))
     two = first_n(mine, group, order, F.greatest(rules.of("needed"), F.lit(1)), needed).withColumn("use", F.lit(2))
     same = {"_id": F.coalesce("eventid", F.lit("")), "_of": F.when(_blank(), F.coalesce("summary", F.lit(""))).otherwise("")}
     picks = one.unionByName(two).withColumns(same).groupBy(*group, "utctimestamp", *same).agg(F.collect_set("use").alias("uses"))
-    whole = hits(events, index, as_of, closed)
+    whole = hits(events if not mine.isEmpty() else events.filter(F.lit(False)), index, as_of, closed)
     read = materialise(whole.withColumns(same).join(picks, [*group, "utctimestamp", *same]).select(*whole.columns, "uses"), "samples")
     shown = samples(read.filter(F.array_contains("uses", 1)), rules)
     embedded = samples(read.filter(F.array_contains("uses", 2)), rules, least=1)
