@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from vigilake.session import materialise
 
+
 class Shard:
     """The sorted projection arrays of some vectors, searched by windows."""
 
