@@ -27,7 +27,6 @@ rows with a null id neither lose nor take; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +39,9 @@ from vigilake.llm.parity import BYTE, ENTRY, PIECE, R, R_INV, mix, powers, share
 from vigilake.session import discard, materialise
 
 GRAM = 16
-MOST = 1 << 20  # bytes ordered at once; the lists of the suffix array take a few hundred bytes for each
+MOST = 1 << 20  # bytes of a bucket ordered at once; the lists of its suffix array take a few hundred bytes for each
+BLOCK = 1 << 21  # bytes of segments brought together to be ordered in the same steps
+JOINED = 1 << 17  # bytes of short texts whose windows are hashed together
 
 
 def suffix_array(text: bytes | list[int]) -> list[int]:
@@ -56,8 +57,13 @@ def suffix_array(text: bytes | list[int]) -> list[int]:
             start = r
         at[i], head[i] = r, start
         size[start] += 1
-    before, length, done = [-1] * n, [1] * n, bytearray(n)
-    end = n
+    length = [1] * n
+    group(sa, at, head, size, [-1] * n, length, bytearray(n), n)
+    return emit(head, length)
+
+
+def group(sa: list[int], at: list[int], head: list[int], size: list[int], before: list[int], length: list[int], done: bytearray, end: int) -> None:
+    """The first pass, from the groups before place `end` on."""
     while end:
         start = head[sa[end - 1]]
         members = sorted(sa[start:end])
@@ -103,7 +109,6 @@ def suffix_array(text: bytes | list[int]) -> list[int]:
                     for p in fresh:
                         head[p] = g
                     break
-    return emit(head, length)
 
 
 def emit(head: list[int], length: list[int]) -> list[int]:
@@ -129,42 +134,145 @@ def emit(head: list[int], length: list[int]) -> list[int]:
     return out
 
 
-def owners(segments: list[bytes], windows: list[int], firsts: list[int], width: int) -> list[np.ndarray]:
-    """For each segment the smallest document of each of its windows, over all segments of a bucket.
+def heads(*keys: np.ndarray) -> np.ndarray:
+    """Where a run of equal keys begins."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return new.nonzero()[0]
+
 
-    Segment i starts `windows[i]` windows and is found first in document `firsts[i]`. A zero byte, which no
-    segment holds after all bytes are shifted by one, closes each of them.
+def counting(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... (n numbers) of each, one after the other."""
+    ends = np.cumsum(n)
+    return np.repeat(start - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def suffix_arrays(text: np.ndarray, ends: np.ndarray, few: int = 12, long: int = 32) -> np.ndarray:
+    """Suffix arrays of the strings that end at `ends` of `text`, one behind the other.
+
+    As `suffix_array`, but every string takes its next group in the same step, so that a step is a few array
+    operations for all. The last `few` strings with groups left, and the `long` longest ones when suffixes are
+    emitted, go on for themselves.
     """
-    found = [np.full(n, d, np.int64) for n, d in zip(windows, firsts)]
-    if len(segments) < 2:
-        return found
-    text: list[int] = []
-    of, offset = [], []
-    for i, s in enumerate(segments):
-        text += [b + 1 for b in s]
-        text.append(0)
-        of += [i] * (len(s) + 1)
-        offset += range(len(s) + 1)
-    joined = b"\0".join(segments) + b"\0"
-    run: list[int] = []
-
-    def settle() -> None:
-        if len(run) > 1:
-            least = min(firsts[of[p]] for p in run)
-            for p in run:
-                found[of[p]][offset[p]] = least
-
-    last = b""
-    for p in suffix_array(text):
-        if offset[p] >= windows[of[p]]:
-            continue  # no whole window begins here, and so none of the equal ones lies between
-        window = joined[p : p + width]
-        if window != last:
-            settle()
-            run, last = [], window
-        run.append(p)
-    settle()
-    return found
+    n = len(text)
+    starts = np.concatenate([[0], ends[:-1]])
+    key = np.repeat(np.arange(len(ends)), ends - starts) * (int(text.max(initial=0)) + 1) + text
+    sa = np.argsort(key)
+    at = np.empty(n, np.int64)
+    at[sa] = np.arange(n)
+    lead = heads(key[sa])
+    size = np.zeros(n, np.int64)
+    size[lead] = np.diff(np.append(lead, n))
+    head = np.repeat(lead, size[lead])[at]
+    before, length, done, mark = np.arange(-1, n - 1), np.ones(n, np.int64), np.zeros(n + 1, bool), np.zeros(n, bool)
+    before[starts[ends > starts]] = -1  # where done has a place that stays free
+    end, live = ends.copy(), np.flatnonzero(ends > starts)
+    while len(live) > few:
+        start = head[sa[end[live] - 1]]
+        count = end[live] - start
+        members = sa[counting(start, count)]
+        prefix = np.repeat(length[members[np.cumsum(count) - count]], count)
+        end[live] = start
+        live = live[start > starts[live]]
+        done[members] = True
+        p = before[members]
+        on = np.flatnonzero(done[p])
+        while len(on):
+            p[on] = before[members[on]] = before[p[on]]
+            on = on[done[p[on]]]
+        some = p >= 0
+        p, prefix = p[some], prefix[some]
+        if not len(p):
+            continue
+        order = np.argsort(p)
+        p, prefix = p[order], prefix[order]
+        lead = heads(p)
+        p, prefix, times = p[lead], prefix[lead], np.diff(np.append(lead, len(p)))
+        g = head[p]
+        order = np.argsort(g * (n + 1) + times)
+        p, prefix, times, g = p[order], prefix[order], times[order], g[order]
+        lead = heads(g)
+        moved, lowest = np.diff(np.append(lead, len(p))), g[lead]
+        place = np.arange(len(p)) + np.repeat(lowest + size[lowest] - moved - lead, moved)
+        # who stands there and has not moved takes the places left
+        old = at[p]
+        mark[place] = True
+        left = np.sort(old[~mark[old]])
+        mark[place] = False
+        mark[old] = True
+        other = sa[place[~mark[place]]]
+        mark[old] = False
+        sa[left], at[other] = other, left
+        sa[place], at[p] = p, place
+        part = heads(g, times)
+        n_part = np.diff(np.append(part, len(p)))
+        size[lowest] -= moved
+        size[place[part]] = n_part
+        head[p] = np.repeat(place[part], n_part)
+        length[p] += times * prefix
+    for a, b, e in zip(starts[live].tolist(), ends[live].tolist(), end[live].tolist()):
+        lists = [x.tolist() for x in (sa[a:b] - a, at[a:b] - a, head[a:b] - a, size[a:b], np.maximum(before[a:b] - a, -1), length[a:b])]
+        group(*lists, bytearray(done[a:b]), e - a)
+        head[a:b], length[a:b] = np.array(lists[2]) + a, lists[5]
+    return emit_all(head, length, starts, ends, long)
+
+
+def emit_all(head: np.ndarray, length: np.ndarray, starts: np.ndarray, ends: np.ndarray, long: int) -> np.ndarray:
+    out, free = np.empty(len(head), np.int64), np.arange(len(head))
+    by_size = np.argsort(starts - ends)  # the longest ones first, empty ones left out
+    by_size = by_size[: np.count_nonzero(ends > starts)]
+    for a, b in zip(starts[by_size[:long]].tolist(), ends[by_size[:long]].tolist()):
+        out[a:b] = np.array(emit((head[a:b] - a).tolist(), length[a:b].tolist()), np.int64) + a
+    begin, n = starts[by_size[long:]], (ends - starts)[by_size[long:]]
+    # every string has a place more, behind its last suffix
+    shift = np.repeat(np.arange(len(ends)), ends - starts)
+    until = np.arange(len(head)) + length + shift
+    order, many = np.argsort(until), np.bincount(until, minlength=len(head) + len(ends))
+    first = np.cumsum(many) - many
+    s = begin + n + by_size[long:]
+    for r in range(int(n.max(initial=-1)) + 1):
+        ended = order[counting(first[s], many[s])]
+        h = head[ended]  # of those one suffix ends no two are of one group
+        out[free[h]] = ended
+        free[h] += 1
+        s = out[begin[: np.searchsorted(-n, -r)] + r]
+        s = s + shift[s]
+    return out
+
+
+def smallest(raw: np.ndarray, first: np.ndarray, n_bytes: np.ndarray, windows: np.ndarray, docs: np.ndarray, bucket: np.ndarray, width: int):
+    """(number of runs per segment, first window, last window, smallest document) of runs of the windows of segments.
+
+    Segment i is the `n_bytes[i]` bytes of `raw` from `first[i]` on, starts `windows[i]` windows and is found first
+    in document `docs[i]`; segments of a bucket stand together. A zero, which no segment holds after all bytes
+    are shifted by one, closes each of them.
+    """
+    flat = raw[np.minimum(counting(first, n_bytes + 1), len(raw) - 1)]
+    stop = np.cumsum(n_bytes + 1)
+    of = np.repeat(np.arange(len(first)), n_bytes + 1)
+    offset = np.arange(len(flat)) - (stop - n_bytes - 1)[of]
+    text = flat.astype(np.int64) + 1
+    text[stop - 1] = 0
+    lead = heads(bucket)
+    order = suffix_arrays(text, stop[np.append(lead[1:], len(first)) - 1])
+    # between suffixes that begin with equal windows only those stand in which no whole window begins
+    whole = offset < windows[of]
+    order = order[whole[order]]
+    new = np.ones(len(order), bool)
+    views = np.lib.stride_tricks.sliding_window_view(flat, width)
+    for a in range(0, len(order) - 1, 100_000):
+        some = views[order[a : a + 100_001]]
+        new[a + 1 : a + len(some)] = (some[1:] != some[:-1]).any(axis=1)
+    new[1:] |= bucket[of[order[1:]]] != bucket[of[order[:-1]]]
+    begin = np.flatnonzero(new)
+    owner = np.zeros(len(flat), np.int64)
+    owner[order] = np.repeat(np.minimum.reduceat(docs[of[order]], begin), np.diff(np.append(begin, len(order))))
+    at = np.flatnonzero(whole)
+    cut = heads(of[at], owner[at])
+    last = np.append(cut[1:], len(at)) - 1
+    return np.bincount(of[at[cut]], minlength=len(first)), offset[at[cut]], offset[at[last]], owner[at[cut]]
 
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
@@ -210,6 +318,40 @@ def anchored_runs(raw: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray,
     return bucket, first, n, np.where(place[first] == place[last], place[first] - first, -1)
 
 
+def joined_runs(raws: list[bytes], width: int, anchored: bool = False):
+    """(texts, text, bucket, first window, number of windows, anchor) for some of the texts after the other: runs as
+    `anchored_runs` finds them (without anchors as `runs` does), `text` counted from the first of `texts`.
+
+    Short texts are put together, since each array operation costs more than their few bytes.
+    """
+    none = np.zeros(0, np.int64)
+    a = 0
+    while a < len(raws):
+        b, size = a + 1, len(raws[a])
+        while b < len(raws) and size + len(raws[b]) <= JOINED:
+            size += len(raws[b])
+            b += 1
+        if b == a + 1:
+            raw = np.frombuffer(raws[a], np.uint8)
+            bucket, first, n, *at = anchored_runs(raw, width) if anchored else runs(raw, width)
+            yield slice(a, b), np.zeros(len(bucket), np.int64), bucket, first, n, at[0] if at else none
+        elif size >= width:
+            n_bytes = np.array([len(r) for r in raws[a:b]])
+            starts = np.cumsum(n_bytes) - n_bytes
+            h = gram_hashes(np.frombuffer(b"".join(raws[a:b]), np.uint8))
+            n_windows = np.maximum(n_bytes - width + 1, 0)
+            window = counting(starts, n_windows)
+            keys, of = least(h, width - GRAM + 1)[window], np.repeat(np.arange(b - a), n_windows)
+            cut = heads(keys, of)
+            n, first, of, bucket, at = np.diff(np.append(cut, len(window))), window[cut], of[cut], keys[cut], none
+            if anchored:
+                views = np.lib.stride_tricks.sliding_window_view(h, width - GRAM + 1)
+                place, last = ((views[w] == bucket[:, None]).argmax(axis=1) + w for w in (first, first + n - 1))
+                at = np.where(place == last, place - first, -1)
+            yield slice(a, b), of, bucket, first - starts[of], n, at
+        a = b
+
+
 def same_runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     return keys[first], first, np.diff(np.append(first, len(keys)))
@@ -275,9 +417,9 @@ def buckets_of(docs: DataFrame, width: int, doc: str, text: str) -> DataFrame:
     def run(batches):
         def keyed():
             for b in batches:
-                for d, t in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
-                    keys = np.unique(runs(np.frombuffer((t or "").encode(), np.uint8), width)[0]).view(np.int64)
-                    yield keys, np.full(len(keys), d, np.int64)
+                docs_of = b["doc_id"].to_numpy()
+                for some, of, bucket, *_ in joined_runs([(t or "").encode() for t in b["text"].to_pylist()], width):
+                    yield bucket.view(np.int64), docs_of[some][of]
 
         yield from together(keyed())
 
@@ -294,101 +436,157 @@ def segments_of(texts: DataFrame, width: int) -> DataFrame:
     def run(batches):
         seen: dict[bytes, int] = {}  # of this task's partition
         for b in batches:
-            rows = []
-            for d, same, z, keys in zip(*(b[c].to_pylist() for c in ("doc_id", "same", "z", "keys"))):
-                raw = unpack(z)
-                bucket, first, n, at = anchored_runs(np.frombuffer(raw, np.uint8), width)
-                bucket = bucket.view(np.int64)
-                for i in np.flatnonzero(np.isin(bucket, np.array(keys, np.int64))).tolist():
-                    a, w = int(first[i]), int(n[i])
-                    part = raw[a : a + w + width - 1]
+            raws, docs_of = [unpack(z) for z in b["z"].to_pylist()], b["doc_id"].to_numpy()
+            keys, n_keys = b["keys"].flatten().to_numpy().view(np.uint64), b["keys"].value_lengths().to_numpy()
+            ends = np.cumsum(n_keys)
+            for some, of, bucket, first, n, at in joined_runs(raws, width, anchored=True):
+                row = np.arange(some.start, some.stop, dtype=np.uint64)
+                # a run more by chance would do no harm
+                named = mix(keys[ends[some.start] - n_keys[some.start] : ends[some.stop - 1]] ^ mix(np.repeat(row, n_keys[some])))
+                chosen = np.flatnonzero(np.isin(mix(bucket ^ mix(row[of])), named))
+                of, bucket, first, n, at = (x[chosen] for x in (of + some.start, bucket, first, n, at))
+                docs, parts, segments = docs_of[of], [], []
+                for i, start, stop, d in zip(of.tolist(), first.tolist(), (first + n + width - 1).tolist(), docs.tolist()):
+                    part = raws[i][start:stop]
                     segment = xxhash.xxh3_128_digest(part)
+                    segments.append(segment)
                     # the smallest document so far stands for the segment; the others only take part in the marking
                     if seen.get(segment, d + 1) > d:
                         seen[segment] = d
-                        rows.append((int(bucket[i]), segment, part, w, int(at[i]), d, same, a))
+                        parts.append(part)
                     else:
-                        rows.append((int(bucket[i]), segment, None, w, -1, d, same, a))
-                if len(rows) > 50_000:
-                    yield batch(rows)
-                    rows = []
-            if rows:
-                yield batch(rows)
+                        parts.append(None)
+                columns = [bucket.view(np.int64), pa.array(segments, pa.binary()), pa.array(parts, pa.binary()), n, at, docs, b["same"].take(pa.array(of)), first]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32()]
     names = ["bucket", "segment", "bytes", "windows", "anchor", "doc_id", "same", "first_window"]
 
-    def batch(rows):
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
-
     return texts.mapInArrow(run, SEGMENT)
 
 
 def apart(parts: list[tuple[bytes, int, int, int]], width: int) -> list[bool]:
-    """Which segments of a bucket cannot share a window with another one of it.
+    """Which segments (bytes, windows, document, anchor) of a bucket cannot share a window with another one of it."""
+    n_bytes = np.array([len(p[0]) for p in parts])
+    raw = np.frombuffer(b"".join(p[0] for p in parts), np.uint8)
+    return apart_of(raw, np.cumsum(n_bytes) - n_bytes, n_bytes, np.array([p[3] for p in parts]), np.zeros(len(parts), np.int64), width).tolist()
+
+
+def apart_of(raw: np.ndarray, first: np.ndarray, n_bytes: np.ndarray, anchor: np.ndarray, bucket: np.ndarray, width: int) -> np.ndarray:
+    """Which segments cannot share a window with another one of their bucket (numbered from 0).
 
     A window holds the bucket's bytes and `width - GRAM` more, so half as many at least on one side of them:
-    who shares one has the same bytes there as the other. Where the bucket's bytes stand is not known of all
-    segments, nobody is set apart.
+    who shares one has the same bytes there as the other. They are told by a hash, which may only keep more
+    together. Where the bucket's bytes stand is not known of all segments, nobody is set apart.
     """
     half = (width - GRAM + 1) // 2
-    if any(at < 0 for _, _, _, at in parts):
-        return [False] * len(parts)
-    left = [raw[at - half : at + GRAM] if at >= half else None for raw, _, _, at in parts]
-    right = [raw[at : at + GRAM + half] if at + GRAM + half <= len(raw) else None for raw, _, _, at in parts]
-    n_left, n_right = Counter(left), Counter(right)
-    return [(x is None or n_left[x] < 2) and (y is None or n_right[y] < 2) for x, y in zip(left, right)]
+    span = GRAM + half
+    factors = powers("up", R, span)
+
+    def met(has: np.ndarray, start: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(first), bool)
+        h = (BYTE[raw[(first + start)[has][:, None] + np.arange(span)]] * factors).sum(axis=1, dtype=np.uint64)
+        _, which, n = np.unique(mix(h ^ mix(bucket[has].astype(np.uint64))), return_inverse=True, return_counts=True)
+        out[has] = n[which] > 1
+        return out
+
+    known = anchor >= 0
+    unknown = np.zeros(int(bucket.max(initial=-1)) + 1, bool)
+    unknown[bucket[~known]] = True
+    return ~(unknown[bucket] | met(known & (anchor >= half), anchor - half) | met(known & (anchor + span <= n_bytes), anchor))
+
+
+OWNERS = pa.schema([("segment", pa.binary()), ("owners", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("doc", pa.int64())]))), ("bytes", pa.binary()), ("doc_id", pa.int64())])
+
+
+def once(rows: pa.Table) -> pa.Table:
+    """Each segment of a bucket once, with its smallest document, in the order of buckets."""
+    bucket, doc = rows["bucket"].to_numpy(), rows["doc_id"].to_numpy()
+    code = rows["segment"].combine_chunks().dictionary_encode().indices.to_numpy()
+    order = np.lexsort((doc, code, bucket))
+    return rows.take(pa.array(order[heads(bucket[order], code[order])]))
+
+
+def handed_on(rows: pa.Table) -> pa.RecordBatch:
+    columns = [rows["segment"].combine_chunks(), pa.nulls(len(rows), OWNERS.field("owners").type), rows["bytes"].combine_chunks(), rows["doc_id"].combine_chunks()]
+    return pa.RecordBatch.from_arrays(columns, schema=OWNERS)
+
+
+def solved(rows: pa.Table, width: int, most: int | None):
+    """Batches of OWNERS from the rows of whole buckets."""
+    rows = once(rows)
+    keys, windows, anchor, docs = (rows[c].to_numpy() for c in ("bucket", "windows", "anchor", "doc_id"))
+    packed_bytes = rows["bytes"].combine_chunks()
+    edges = np.frombuffer(packed_bytes.buffers()[1], np.int32)[packed_bytes.offset :][: len(rows) + 1].astype(np.int64)
+    raw = np.frombuffer(packed_bytes.buffers()[2], np.uint8)
+    first, n_bytes = edges[:-1], np.diff(edges)
+    lead = heads(keys)
+    n = np.diff(np.append(lead, len(keys)))
+    bucket = np.repeat(np.arange(len(lead)), n)
+    large = ((np.add.reduceat(n_bytes + 1, lead) > most) & (n > 1))[bucket] if most is not None else np.zeros(len(keys), bool)
+    if large.any():
+        yield handed_on(rows.filter(pa.array(large)))
+    # a run of all windows, unless the windows are ordered
+    runs_of, a, b, doc = np.ones(len(keys), np.int64), np.zeros(len(keys), np.int64), windows - 1, docs
+    some = np.flatnonzero((n > 1)[bucket] & ~large)
+    if len(some):
+        some = some[~apart_of(raw, first[some], n_bytes[some], anchor[some], bucket[some], width)]
+        some = some[np.bincount(bucket[some], minlength=len(lead))[bucket[some]] > 1]
+    if len(some):
+        n_runs, *found = smallest(raw, first[some], n_bytes[some], windows[some], docs[some], bucket[some], width)
+        runs_of[some] = n_runs
+        ordered = np.zeros(len(keys), bool)
+        ordered[some] = True
+        into = np.repeat(ordered, runs_of)
+        plain = [a, b, doc]
+        a, b, doc = (np.empty(len(into), np.int64) for _ in range(3))
+        for to, whole, ran in zip((a, b, doc), plain, found):
+            to[into], to[~into] = ran, whole[~ordered]
+    ends = np.concatenate([[0], np.cumsum(runs_of)])
+    spans = pa.StructArray.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(doc, pa.int64())], names=["a", "b", "doc"])
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), spans)
+    columns = [rows["segment"].combine_chunks(), lists, pa.nulls(len(rows), pa.binary()), pa.nulls(len(rows), pa.int64())]
+    made = pa.RecordBatch.from_arrays(columns, schema=OWNERS)
+    yield made.filter(pa.array(~large)) if large.any() else made
 
 
 def owned(segments: DataFrame, width: int, most: int | None) -> DataFrame:
-    """(segment, owners) with owners as runs (first, last window, smallest document), bucket by bucket in sorted partitions.
+    """(segment, owners) with owners as runs (first, last window, smallest document), whole buckets of sorted partitions at a time.
 
     Segments of a bucket with more than `most` bytes are handed on instead: bytes and doc_id, no owners.
     """
-    spans = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("doc", pa.int64())]))
 
     def run(batches):
-        held, now, size, out, on = {}, None, 0, [], []
-
-        def solve():
-            keys = sorted(held)
-            alone = apart([held[k] for k in keys], width)
-            for k in (k for k, x in zip(keys, alone) if x):
-                out.append((k, [{"a": 0, "b": held[k][1] - 1, "doc": held[k][2]}], None, None))
-            keys = [k for k, x in zip(keys, alone) if not x]
-            parts = [held[k] for k in keys]
-            for k, own in zip(keys, owners([p[0] for p in parts], [p[1] for p in parts], [p[2] for p in parts], width)):
-                cut = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])).tolist()
-                out.append((k, [{"a": a, "b": b - 1, "doc": int(own[a])} for a, b in zip(cut, [*cut[1:], len(own)])], None, None))
-
-        def batch(rows):
-            kinds = [pa.binary(), spans, pa.binary(), pa.int64()]
-            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["segment", "owners", "bytes", "doc_id"])
-            rows.clear()
-            return made
+        held, size, over = [], 0, None
+
+        def settled(rows: pa.Table, last: bool):
+            """What of the rows ends here; the others are held."""
+            nonlocal held, size, over
+            bucket = rows["bucket"].to_numpy()
+            if over is not None:  # more of a bucket that was too large before
+                k = int(np.searchsorted(bucket, over, "right"))
+                if k:
+                    yield handed_on(once(rows[:k]))
+                rows, bucket = rows[k:], bucket[k:]
+            k = len(rows) if last or not len(rows) else int(np.searchsorted(bucket, bucket[-1]))
+            if k:
+                yield from solved(rows[:k], width, most)
+            rows = rows[k:]
+            if rows["bytes"].nbytes >= BLOCK:
+                rows = once(rows)
+                if most is not None and rows["bytes"].nbytes > most and len(rows) > 1:
+                    yield handed_on(rows)
+                    over, rows = rows["bucket"][0].as_py(), rows[:0]
+            held = rows.to_batches()
+            size = rows["bytes"].nbytes
 
         for b in batches:
-            for bucket, segment, raw, windows, anchor, doc in zip(*(b[c].to_pylist() for c in ("bucket", "segment", "bytes", "windows", "anchor", "doc_id"))):
-                if bucket != now:
-                    solve()
-                    held, now, size = {}, bucket, 0
-                    if len(out) > 20_000:
-                        yield batch(out)
-                known = held.get(segment)
-                if size >= 0:
-                    held[segment] = (raw, windows, doc if known is None else min(doc, known[2]), anchor)
-                    size += len(raw) + 1 if known is None else 0
-                    if most is not None and size > most and len(held) > 1:
-                        on += [(k, None, raw, doc) for k, (raw, _, doc, _) in held.items()]
-                        held, size = {}, -1
-                else:  # too large a bucket
-                    on.append((segment, None, raw, doc))
-                if len(on) > 20_000:
-                    yield batch(on)
-        solve()
-        for rows in (out, on):
-            if rows:
-                yield batch(rows)
+            held.append(b)
+            size += b["bytes"].nbytes
+            if size >= BLOCK:
+                yield from settled(pa.Table.from_batches(held), False)
+        if held:
+            yield from settled(pa.Table.from_batches(held), True)
 
     whole = segments.filter("bytes IS NOT NULL").select("bucket", "segment", "bytes", "windows", "anchor", "doc_id")
     shape = "segment binary, owners array<struct<a: int, b: int, doc: long>>, bytes binary, doc_id long"
