@@ -27,6 +27,7 @@ rows with a null id neither lose nor take; an empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigilake.llm.parity import BYTE, ENTRY, PIECE, R, R_INV, mix, powers, shared_keys, together
-from vigilake.session import discard, materialise
+from vigilake.plans.sieve import hashed, maybe_among
+from vigilake.session import materialise
 
 GRAM = 16
 MOST = 1 << 20  # bytes of a bucket ordered at once; the lists of its suffix array take a few hundred bytes for each
@@ -318,38 +320,45 @@ def anchored_runs(raw: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray,
     return bucket, first, n, np.where(place[first] == place[last], place[first] - first, -1)
 
 
-def joined_runs(raws: list[bytes], width: int, anchored: bool = False):
-    """(texts, text, bucket, first window, number of windows, anchor) for some of the texts after the other: runs as
-    `anchored_runs` finds them (without anchors as `runs` does), `text` counted from the first of `texts`.
+def joined_runs(raws: Iterable[bytes], width: int, anchored: bool = False):
+    """(number of the first text, texts, text, bucket, first window, number of windows, anchor) for some texts after the
+    other: runs as `anchored_runs` finds them (without anchors as `runs` does), `text` counted from that first one.
 
     Short texts are put together, since each array operation costs more than their few bytes.
     """
-    none = np.zeros(0, np.int64)
-    a = 0
-    while a < len(raws):
-        b, size = a + 1, len(raws[a])
-        while b < len(raws) and size + len(raws[b]) <= JOINED:
-            size += len(raws[b])
-            b += 1
-        if b == a + 1:
-            raw = np.frombuffer(raws[a], np.uint8)
-            bucket, first, n, *at = anchored_runs(raw, width) if anchored else runs(raw, width)
-            yield slice(a, b), np.zeros(len(bucket), np.int64), bucket, first, n, at[0] if at else none
-        elif size >= width:
-            n_bytes = np.array([len(r) for r in raws[a:b]])
-            starts = np.cumsum(n_bytes) - n_bytes
-            h = gram_hashes(np.frombuffer(b"".join(raws[a:b]), np.uint8))
-            n_windows = np.maximum(n_bytes - width + 1, 0)
-            window = counting(starts, n_windows)
-            keys, of = least(h, width - GRAM + 1)[window], np.repeat(np.arange(b - a), n_windows)
-            cut = heads(keys, of)
-            n, first, of, bucket, at = np.diff(np.append(cut, len(window))), window[cut], of[cut], keys[cut], none
-            if anchored:
-                views = np.lib.stride_tricks.sliding_window_view(h, width - GRAM + 1)
-                place, last = ((views[w] == bucket[:, None]).argmax(axis=1) + w for w in (first, first + n - 1))
-                at = np.where(place == last, place - first, -1)
-            yield slice(a, b), of, bucket, first - starts[of], n, at
-        a = b
+    a, held, size = 0, [], 0
+    for raw in raws:
+        if held and size + len(raw) > JOINED:
+            yield a, held, *runs_together(held, width, anchored)
+            a, held, size = a + len(held), [], 0
+        held.append(raw)
+        size += len(raw)
+    if held:
+        yield a, held, *runs_together(held, width, anchored)
+
+
+def runs_together(raws: list[bytes], width: int, anchored: bool):
+    if len(raws) == 1:
+        raw = np.frombuffer(raws[0], np.uint8)
+        bucket, first, n, *at = anchored_runs(raw, width) if anchored else runs(raw, width)
+        return np.zeros(len(bucket), np.int64), bucket, first, n, at[0] if at else first
+    n_bytes = np.array([len(r) for r in raws])
+    starts = np.cumsum(n_bytes) - n_bytes
+    n_windows = np.maximum(n_bytes - width + 1, 0)
+    if not n_windows.any():
+        none = np.zeros(0, np.int64)
+        return none, none.view(np.uint64), none, none, none
+    h = gram_hashes(np.frombuffer(b"".join(raws), np.uint8))
+    window, of = counting(starts, n_windows), np.repeat(np.arange(len(raws)), n_windows)
+    keys = least(h, width - GRAM + 1)[window]
+    cut = heads(keys, of)
+    n, first, of, bucket = np.diff(np.append(cut, len(window))), window[cut], of[cut], keys[cut]
+    at = first
+    if anchored:
+        views = np.lib.stride_tricks.sliding_window_view(h, width - GRAM + 1)
+        place, last = ((views[w] == bucket[:, None]).argmax(axis=1) + w for w in (first, first + n - 1))
+        at = np.where(place == last, place - first, -1)
+    return of, bucket, first - starts[of], n, at
 
 
 def same_runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -418,8 +427,8 @@ def buckets_of(docs: DataFrame, width: int, doc: str, text: str) -> DataFrame:
         def keyed():
             for b in batches:
                 docs_of = b["doc_id"].to_numpy()
-                for some, of, bucket, *_ in joined_runs([(t or "").encode() for t in b["text"].to_pylist()], width):
-                    yield bucket.view(np.int64), docs_of[some][of]
+                for a, _, of, bucket, *_ in joined_runs(((t or "").encode() for t in b["text"].to_pylist()), width):
+                    yield bucket.view(np.int64), docs_of[a + of]
 
         yield from together(keyed())
 
@@ -436,16 +445,16 @@ def segments_of(texts: DataFrame, width: int) -> DataFrame:
     def run(batches):
         seen: dict[bytes, int] = {}  # of this task's partition
         for b in batches:
-            raws, docs_of = [unpack(z) for z in b["z"].to_pylist()], b["doc_id"].to_numpy()
+            docs_of = b["doc_id"].to_numpy()
             keys, n_keys = b["keys"].flatten().to_numpy().view(np.uint64), b["keys"].value_lengths().to_numpy()
-            ends = np.cumsum(n_keys)
-            for some, of, bucket, first, n, at in joined_runs(raws, width, anchored=True):
-                row = np.arange(some.start, some.stop, dtype=np.uint64)
+            begin = np.concatenate([[0], np.cumsum(n_keys)])
+            for a, raws, of, bucket, first, n, at in joined_runs(map(unpack, b["z"].to_pylist()), width, anchored=True):
+                row = np.arange(len(raws), dtype=np.uint64)
                 # a run more by chance would do no harm
-                named = mix(keys[ends[some.start] - n_keys[some.start] : ends[some.stop - 1]] ^ mix(np.repeat(row, n_keys[some])))
+                named = mix(keys[begin[a] : begin[a + len(raws)]] ^ mix(np.repeat(row, n_keys[a : a + len(raws)])))
                 chosen = np.flatnonzero(np.isin(mix(bucket ^ mix(row[of])), named))
-                of, bucket, first, n, at = (x[chosen] for x in (of + some.start, bucket, first, n, at))
-                docs, parts, segments = docs_of[of], [], []
+                of, bucket, first, n, at = (x[chosen] for x in (of, bucket, first, n, at))
+                docs, parts, segments = docs_of[a + of], [], []
                 for i, start, stop, d in zip(of.tolist(), first.tolist(), (first + n + width - 1).tolist(), docs.tolist()):
                     part = raws[i][start:stop]
                     segment = xxhash.xxh3_128_digest(part)
@@ -456,7 +465,7 @@ def segments_of(texts: DataFrame, width: int) -> DataFrame:
                         parts.append(part)
                     else:
                         parts.append(None)
-                columns = [bucket.view(np.int64), pa.array(segments, pa.binary()), pa.array(parts, pa.binary()), n, at, docs, b["same"].take(pa.array(of)), first]
+                columns = [bucket.view(np.int64), pa.array(segments, pa.binary()), pa.array(parts, pa.binary()), n, at, docs, b["same"].take(pa.array(a + of)), first]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32()]
@@ -664,19 +673,18 @@ def cut(texts: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "text", most: int = MOST) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row: bytes of windows that a smaller document has go."""
     base = materialise(described(docs, doc, text), "described", free=True)
-    firsts = base.filter("doc_id IS NOT NULL").groupBy("same", "n_bytes").agg(F.min("doc_id").alias("rep"))
-    reps = base.filter(f"n_bytes >= {width}").select(F.col("doc_id").alias("rep"), "same", "n_bytes").distinct().join(firsts, ["same", "n_bytes", "rep"])
+    firsts = materialise(base.filter("doc_id IS NOT NULL").groupBy("same", "n_bytes").agg(F.min("doc_id").alias("rep")), "firsts", free=True)
+    reps = firsts.filter(f"n_bytes >= {width}").select(F.col("rep").alias("doc_id"), "same")
 
+    # whole copies stay out; the few that the bitmap lets through go in the joins with `reps`
+    among = maybe_among(reps.select(hashed("doc_id").alias("id")), F.col("id"), reps.count())
+    docs = docs.filter(among(hashed(F.col(doc).cast("long"))))
     # buckets that at least two texts reach
-    reached = shared_keys(buckets_of(docs, width, doc, text)).select("key", "doc_id")
-    reached = materialise(reached.join(reps.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi"), "reached", free=True)
-    shared = reached.groupBy("key").agg(F.min("doc_id").alias("_l"), F.max("doc_id").alias("_h")).filter("_l < _h").select("key")
-    keys = reached.join(shared, "key", "left_semi").groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    keys = shared_keys(buckets_of(docs, width, doc, text)).groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
     texts = packed(docs, doc, text)
-    chosen = reps.select(F.col("rep").alias("doc_id"), "same").join(keys, "doc_id")
+    chosen = reps.join(keys, "doc_id")
     segments = materialise(segments_of(texts.join(chosen, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]), width), "segments", free=True)
-    discard(reached)
     known = all_owned(segments, width, most)
     met = segments.select("segment", "doc_id", "same", "first_window").join(known, "segment")
     # windows a to b cover the bytes a to b + width - 1
