@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from vigilake.llm import collide, components, parity, queries, suffixes
@@ -257,3 +258,71 @@ def test_repeats_leaves_no_shuffle_files_of_its_steps(spark):
     assert not files() - before
     assert spark.conf.get(name) == setting
     assert found.filter("n_removed >= 50").count() == 39
+
+
+def test_suffix_arrays_of_many_strings(monkeypatch):
+    """Many strings go in the same steps; only the last few with groups left are ordered for themselves."""
+    rng, alone = random.Random(6), []
+    plain = suffixes.group
+    monkeypatch.setattr(suffixes, "group", lambda *state: alone.append(1) or plain(*state))
+    for few, long in ((12, 32), (0, 0), (3, 5)):
+        for _ in range(40):
+            texts = [bytes(rng.randrange(97, 97 + rng.choice([1, 2, 3, 20])) for _ in range(rng.randrange(60))) * rng.choice([1, 3]) for _ in range(rng.randrange(1, 40))]
+            ends = np.cumsum([len(t) for t in texts])
+            alone.clear()
+            got = suffixes.suffix_arrays(np.frombuffer(b"".join(texts), np.uint8), ends, few, long).tolist()
+            assert len(alone) <= few
+            assert got == [e - len(t) + i for t, e in zip(texts, ends.tolist()) for i in sorted(range(len(t)), key=lambda i: t[i:])]
+
+
+def test_owners_of_a_block_of_buckets():
+    """Runs of windows of many buckets at once, handed-on buckets among them, against a table of all windows."""
+    rng = random.Random(8)
+    gram, rows = b"sixteen bytes ab", []
+    for bucket in range(60):
+        for _ in range(rng.choice([1, 2, 2, 3, 12])):
+            left, right = (bytes(rng.choice(b"ab") for _ in range(rng.randrange(20, 35))) for _ in range(2))
+            raw = (b"%02d" % bucket + left)[-34:] + gram + right if rng.random() < 0.5 else b"a" * 20 + gram + right + b"a" * 14
+            at = -1 if bucket % 7 == 3 else raw.index(gram)
+            rows.append((bucket, hashlib.md5(raw).digest(), raw, len(raw) - 49, at, rng.randrange(1000)))
+    names = ["bucket", "segment", "bytes", "windows", "anchor", "doc_id"]
+    table = pa.table({n: pa.array(c, k) for n, c, k in zip(names, zip(*rows), [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64()])})
+    least, segments, size = {}, {}, {}
+    for b, s, raw, n, _, d in rows:
+        segments[b, s] = raw
+        for i in range(n):
+            least[b, raw[i : i + 50]] = min(d, least.get((b, raw[i : i + 50]), d))
+    for (b, _), raw in segments.items():
+        size.setdefault(b, []).append(len(raw) + 1)
+    for most in (None, 400):
+        got = [r for made in suffixes.solved(table, 50, most) for r in made.to_pylist()]
+        on = {b for b, n in size.items() if most is not None and len(n) > 1 and sum(n) > most}
+        assert bool(on) == (most is not None)
+        assert sorted(r["segment"] for r in got if r["owners"] is None) == sorted(s for b, s in segments if b in on)
+        found = {r["segment"]: [o["doc"] for o in r["owners"] for _ in range(o["a"], o["b"] + 1)] for r in got if r["owners"] is not None}
+        assert found == {s: [least[b, raw[i : i + 50]] for i in range(len(raw) - 49)] for (b, s), raw in segments.items() if b not in on}
+
+
+def test_runs_of_texts_together():
+    rng = np.random.default_rng(3)
+    raws = [rng.integers(97, 100 + i % 20, int(n), dtype=np.uint8).tobytes() for i, n in enumerate(rng.integers(0, 400, 300))] + [b"x" * 200_000, b"", b"ab" * 40]
+    for anchored in (True, False):
+        seen = 0
+        for a, texts, of, bucket, first, n, at in suffixes.joined_runs(iter(raws), 50, anchored):
+            assert a == seen and texts == raws[a : a + len(texts)]
+            seen += len(texts)
+            for i, raw in enumerate(texts):
+                want = suffixes.anchored_runs(np.frombuffer(raw, np.uint8), 50)
+                got = [x[of == i] for x in (bucket, first, n, at)]
+                assert all((p == q).all() for p, q in list(zip(got, want))[: 4 if anchored else 3]) and len(got[0]) == len(want[0])
+        assert seen == len(raws)
+
+
+def test_copies_reach_no_bucket(spark, monkeypatch):
+    text = " ".join(f"word{i}" for i in range(30))
+    rows = [(i, text) for i in range(200)] + [(200 + i, f"{text[:120]} and {i * 7919} more") for i in range(3)]
+    hashed, plain = [], suffixes.buckets_of
+    monkeypatch.setattr(suffixes, "buckets_of", lambda docs, *more: hashed.append(docs.count()) or plain(docs, *more))
+    got = suffixes.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got), key=repr) == removed(rows)
+    assert hashed[0] <= 14  # the four distinct texts, and what the bitmap lets through by chance

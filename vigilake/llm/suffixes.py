@@ -10,9 +10,10 @@ of at the head of their group. Nothing is renamed and no smaller problem is solv
 To spread the work, every window of `width` bytes belongs to the bucket of its smallest 16-byte hash, which
 equal windows share. Neighbouring windows of one bucket travel as one segment. Only buckets that several
 documents reach are gathered; equal segments are combined before and after the shuffle. In a bucket, segments
-whose bytes next to the common ones are nobody else's on either side share no window and are set apart. The
+whose bytes around the common ones are nobody else's share no window and are set apart. The
 suffix array of the others brings equal windows together, and each learns the smallest document that has it.
-A bucket of a single segment has one owner and nothing to order.
+A bucket of a single segment has one owner and nothing to order. Buckets are many and small: those of a block
+take their groups in the same steps, each a few array operations for all.
 
 A bucket whose distinct segments have more than MOST bytes together is not ordered in one task: the task
 hands its segments on, their windows are dealt anew by their next-smallest hash as well, which equal windows
@@ -38,11 +39,12 @@ from pyspark.sql import functions as F
 
 from vigilake.llm.parity import BYTE, ENTRY, PIECE, R, R_INV, mix, powers, shared_keys, together
 from vigilake.plans.sieve import hashed, maybe_among
-from vigilake.session import materialise
+from vigilake.session import freeing, materialise
 
 GRAM = 16
 MOST = 1 << 20  # bytes of a bucket ordered at once; the lists of its suffix array take a few hundred bytes for each
-BLOCK = 1 << 21  # bytes of segments brought together to be ordered in the same steps
+BLOCK = 1 << 22  # bytes of segments brought together to be ordered in the same steps
+PARTS = 9  # ranges of the places of a bucket's bytes in a window
 JOINED = 1 << 17  # bytes of short texts whose windows are hashed together
 
 
@@ -168,6 +170,7 @@ def suffix_arrays(text: np.ndarray, ends: np.ndarray, few: int = 12, long: int =
     size = np.zeros(n, np.int64)
     size[lead] = np.diff(np.append(lead, n))
     head = np.repeat(lead, size[lead])[at]
+    del key
     before, length, done, mark = np.arange(-1, n - 1), np.ones(n, np.int64), np.zeros(n + 1, bool), np.zeros(n, bool)
     before[starts[ends > starts]] = -1  # where done has a place that stays free
     end, live = ends.copy(), np.flatnonzero(ends > starts)
@@ -255,7 +258,7 @@ def smallest(raw: np.ndarray, first: np.ndarray, n_bytes: np.ndarray, windows: n
     stop = np.cumsum(n_bytes + 1)
     of = np.repeat(np.arange(len(first)), n_bytes + 1)
     offset = np.arange(len(flat)) - (stop - n_bytes - 1)[of]
-    text = flat.astype(np.int64) + 1
+    text = flat.astype(np.int16) + 1
     text[stop - 1] = 0
     lead = heads(bucket)
     order = suffix_arrays(text, stop[np.append(lead[1:], len(first)) - 1])
@@ -430,7 +433,7 @@ def buckets_of(docs: DataFrame, width: int, doc: str, text: str) -> DataFrame:
                 for a, _, of, bucket, *_ in joined_runs(((t or "").encode() for t in b["text"].to_pylist()), width):
                     yield bucket.view(np.int64), docs_of[a + of]
 
-        yield from together(keyed())
+        yield from together(keyed(), 1_000_000)
 
     narrow = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
     return narrow.mapInArrow(run, ENTRY)
@@ -484,25 +487,29 @@ def apart(parts: list[tuple[bytes, int, int, int]], width: int) -> list[bool]:
 def apart_of(raw: np.ndarray, first: np.ndarray, n_bytes: np.ndarray, anchor: np.ndarray, bucket: np.ndarray, width: int) -> np.ndarray:
     """Which segments cannot share a window with another one of their bucket (numbered from 0).
 
-    A window holds the bucket's bytes and `width - GRAM` more, so half as many at least on one side of them:
-    who shares one has the same bytes there as the other. They are told by a hash, which may only keep more
+    A window holds the bucket's bytes and `width - GRAM` more. Where these are at least `lo` and at most `hi` on
+    the left, who shares it has the same `lo` bytes on the left and `width - GRAM - hi` on the right. All places are
+    gone through in PARTS such ranges (in two at first). The bytes are told by a hash, which may only keep more
     together. Where the bucket's bytes stand is not known of all segments, nobody is set apart.
     """
-    half = (width - GRAM + 1) // 2
-    span = GRAM + half
-    factors = powers("up", R, span)
+    more = width - GRAM
 
-    def met(has: np.ndarray, start: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(first), bool)
-        h = (BYTE[raw[(first + start)[has][:, None] + np.arange(span)]] * factors).sum(axis=1, dtype=np.uint64)
+    def met(some: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        span = width - hi + lo
+        has = some[(anchor[some] >= lo) & (anchor[some] + width - hi <= n_bytes[some])]
+        h = (BYTE[raw[(first + anchor - lo)[has][:, None] + np.arange(span)]] * powers("up", R, span)).sum(axis=1, dtype=np.uint64)
         _, which, n = np.unique(mix(h ^ mix(bucket[has].astype(np.uint64))), return_inverse=True, return_counts=True)
-        out[has] = n[which] > 1
-        return out
+        return has[n[which] > 1]
 
-    known = anchor >= 0
     unknown = np.zeros(int(bucket.max(initial=-1)) + 1, bool)
-    unknown[bucket[~known]] = True
-    return ~(unknown[bucket] | met(known & (anchor >= half), anchor - half) | met(known & (anchor + span <= n_bytes), anchor))
+    unknown[bucket[anchor < 0]] = True
+    some = np.flatnonzero(~unknown[bucket])
+    for parts in (2, PARTS):
+        edges = np.linspace(0, more + 1, min(parts, more + 1) + 1).astype(int).tolist()
+        some = np.unique(np.concatenate([met(some, lo, hi - 1) for lo, hi in zip(edges, edges[1:])]))
+    alone = ~unknown[bucket]
+    alone[some] = False
+    return alone
 
 
 OWNERS = pa.schema([("segment", pa.binary()), ("owners", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("doc", pa.int64())]))), ("bytes", pa.binary()), ("doc_id", pa.int64())])
@@ -677,7 +684,8 @@ def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "
     reps = firsts.filter(f"n_bytes >= {width}").select(F.col("rep").alias("doc_id"), "same")
 
     # whole copies stay out; the few that the bitmap lets through go in the joins with `reps`
-    among = maybe_among(reps.select(hashed("doc_id").alias("id")), F.col("id"), reps.count())
+    with freeing(docs.sparkSession):
+        among = maybe_among(reps.select(hashed("doc_id").alias("id")), F.col("id"), reps.count())
     docs = docs.filter(among(hashed(F.col(doc).cast("long"))))
     # buckets that at least two texts reach
     keys = shared_keys(buckets_of(docs, width, doc, text)).groupBy("doc_id").agg(F.collect_list("key").alias("keys"))

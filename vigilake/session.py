@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,17 @@ def run_dir(spark: SparkSession, name: str) -> str:
 FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def freeing(spark: SparkSession):
+    """The files of the shuffles of what is run meanwhile go as soon as it has ended."""
+    before = spark.conf.get(FREE)
+    spark.conf.set(FREE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE, before)
+
+
 def materialise(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write a result to the shared folder and go on from the file: cuts the plan and survives lost executors.
 
@@ -73,12 +85,8 @@ def materialise(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     if not free:
         df.write.parquet(path)
         return spark.read.parquet(path)
-    before = spark.conf.get(FREE)
-    spark.conf.set(FREE, "true")
-    try:
+    with freeing(spark):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(FREE, before)
     return spark.read.parquet(path)
 
 
