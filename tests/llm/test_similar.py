@@ -326,3 +326,52 @@ def test_copies_reach_no_bucket(spark, monkeypatch):
     got = suffixes.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got), key=repr) == removed(rows)
     assert hashed[0] <= 14  # the four distinct texts, and what the bitmap lets through by chance
+
+
+def test_words_shared_by_chance_are_not_gathered(spark, monkeypatch):
+    """Windows are gathered for a key of the bytes around their anchor that several documents have, a document's equal segments once."""
+    rng = random.Random(3)
+    other = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    phrase, line = "twenty bytes of them", other(60)
+    rows = [(i, "".join(f"{other(60)}{phrase}" for _ in range(5)) + other(60)) for i in range(40)]
+    gathered, plain = [], suffixes.all_owned
+    monkeypatch.setattr(suffixes, "all_owned", lambda segments, *more: gathered.append(segments.count()) or plain(segments, *more))
+    for some in (rows, [*rows, (50, line * 30), (51, other(80) + line * 30)]):
+        got = suffixes.repeats(spark.createDataFrame(some, "doc_id long, text string"))
+        assert sorted(map(tuple, got.collect()), key=repr) == removed(some)
+    assert gathered[0] == 0 and 0 < gathered[1] <= 60
+
+
+def test_keys_of_several_documents(spark):
+    """Keys come back with each document that has them, from packed rows of several chunks; a key of all documents is an entry a chunk."""
+    rng = np.random.default_rng(1)
+    chunks, have = [], {}
+    for c in range(4):
+        key, doc = rng.integers(0, 2**64, 400, dtype=np.uint64), rng.integers(0, 30, 400) + c * 20
+        key[::3] = key[0] if c == 0 else chunks[0][0][0]
+        key[1::3] = rng.integers(0, 2**64, 60, dtype=np.uint64)[rng.integers(0, 60, len(key[1::3]))]
+        key[2::9] = (chunks[0][0] if chunks else key)[2::9]
+        chunks.append((key, doc))
+        for k, d in zip(key.view(np.int64).tolist(), doc.tolist()):
+            have.setdefault(k, set()).add(d)
+    rows = [tuple(r.values()) for key, doc in chunks for r in suffixes.packed_keys(key, doc, 8).to_pylist()]
+    assert len(rows) == 32 and sum(r[1].count(chunks[0][0][:1].tobytes()) for r in rows) == 4
+    got = suffixes.met_keys(spark.createDataFrame(rows, suffixes.KEYS)).collect()
+    assert {tuple(r) for r in got} == {(k, d) for k, of in have.items() if len(of) > 1 for d in of}
+
+
+def test_runs_on_each_side_of_an_anchor():
+    """Equal windows have equal buckets and keys wherever they stand, in texts put together and in one of several pieces."""
+    rng = np.random.default_rng(7)
+    common = rng.integers(97, 122, 300, dtype=np.uint8).tobytes()
+    long = rng.integers(97, 122, 1_200_000, dtype=np.uint8).tobytes()
+    keys, shared = {}, 0
+    for raws in ([b"", b"x" * 30, common, b"a" * 120 + common + b"b" * 70, b"ab" * 60, b"x" * 49], [long[:1_048_000] + common + long[1_048_000:] + b"ab" * 90]):
+        of, bucket, first, n, at, key = suffixes.sided_runs(raws, 50)
+        windows = [(i, w) for i, f, k in zip(of.tolist(), first.tolist(), n.tolist()) for w in range(f, f + k)]
+        assert windows == [(i, w) for i, r in enumerate(raws) for w in range(max(0, len(r) - 49))]
+        for i, f, k, *names in zip(*(x.tolist() for x in (of, first, n, bucket, key))):
+            for w in range(f, f + k):
+                shared += (window := raws[i][w : w + 50]) in keys
+                assert keys.setdefault(window, names) == names
+    assert shared > 700

@@ -7,9 +7,11 @@ extended by the group's prefix (as often as members share the pointer) and split
 group. The second pass emits the suffixes in ascending order: each one places those it ends the Lyndon prefix
 of at the head of their group. Nothing is renamed and no smaller problem is solved on the way.
 
-To spread the work, every window of `width` bytes belongs to the bucket of its smallest 16-byte hash, which
-equal windows share. Neighbouring windows of one bucket travel as one segment. Only buckets that several
-documents reach are gathered; equal segments are combined before and after the shuffle. In a bucket, segments
+To spread the work, every window of `width` bytes belongs to the bucket of its smallest 16-byte hash (the leftmost of
+equal ones is its anchor), which equal windows share. They also share a key of the bytes that all windows with the anchor
+on that side of their middle hold around it (33 or 34 of 50). Only windows whose key several documents have are gathered;
+the keys travel as packed arrays, a row per range of keys. Neighbouring windows of one anchor travel as one segment, equal
+segments of a document as one row; they are combined before and after the shuffle. In a bucket, segments
 whose bytes around the common ones are nobody else's share no window and are set apart. The
 suffix array of the others brings equal windows together, and each learns the smallest document that has it.
 A bucket of a single segment has one owner and nothing to order. Buckets are many and small: those of a block
@@ -37,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigilake.llm.parity import BYTE, ENTRY, PIECE, R, R_INV, mix, powers, shared_keys, together
+from vigilake.llm.parity import BYTE, PIECE, R, R_INV, mix, powers
 from vigilake.plans.sieve import hashed, maybe_among
 from vigilake.session import freeing, materialise
 
@@ -46,6 +48,8 @@ MOST = 1 << 20  # bytes of a bucket ordered at once; the lists of its suffix arr
 BLOCK = 1 << 21  # bytes of segments brought together to be ordered in the same steps
 PARTS = 9  # ranges of the places of a bucket's bytes in a window
 JOINED = 1 << 17  # bytes of short texts whose windows are hashed together
+LOW = np.uint64((1 << 21) - 1)  # of a hash and its place in one number, the place: it is below PIECE and a window's width
+CHUNK = 1_000_000  # keys of a task combined at once
 
 
 def suffix_array(text: bytes | list[int]) -> list[int]:
@@ -323,21 +327,58 @@ def anchored_runs(raw: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray,
     return bucket, first, n, np.where(place[first] == place[last], place[first] - first, -1)
 
 
-def joined_runs(raws: Iterable[bytes], width: int, anchored: bool = False):
+def joined_runs(raws: Iterable[bytes], width: int, anchored: bool = False, sided: bool = False):
     """(number of the first text, texts, text, bucket, first window, number of windows, anchor) for some texts after the
-    other: runs as `anchored_runs` finds them (without anchors as `runs` does), `text` counted from that first one.
+    other: runs as `anchored_runs` finds them (without anchors as `runs` does; `sided` as `sided_runs` does, with their keys),
+    `text` counted from that first one.
 
     Short texts are put together, since each array operation costs more than their few bytes.
     """
+    def found(held: list[bytes]):
+        return sided_runs(held, width) if sided else runs_together(held, width, anchored)
+
     a, held, size = 0, [], 0
     for raw in raws:
         if held and size + len(raw) > JOINED:
-            yield a, held, *runs_together(held, width, anchored)
+            yield a, held, *found(held)
             a, held, size = a + len(held), [], 0
         held.append(raw)
         size += len(raw)
     if held:
-        yield a, held, *runs_together(held, width, anchored)
+        yield a, held, *found(held)
+
+
+def sided_runs(raws: list[bytes], width: int):
+    """(text, bucket, first window, number of windows, anchor, key) of the runs of windows with one anchor on one side of their middle.
+
+    The anchor is the leftmost of a window's smallest hashes (without their LOW bits), the key one of the bytes around
+    it that all such windows hold: of those with it on the left more bytes on the right, of the others more on the left.
+    """
+    n_bytes = np.array([len(r) for r in raws])
+    starts = np.cumsum(n_bytes) - n_bytes
+    n_windows = np.maximum(n_bytes - width + 1, 0)
+    window, of = counting(starts, n_windows), np.repeat(np.arange(len(raws)), n_windows)
+    joined = np.frombuffer(b"".join(raws), np.uint8)
+    half, parts = (width - GRAM + 1) // 2, []
+    for a in range(0, len(window), PIECE):
+        some, text = window[a : a + PIECE], of[a : a + PIECE]
+        begin = int(some[0])
+        raw, some = joined[begin : int(some[-1]) + width], some - begin
+        total = np.concatenate([[np.uint64(0)], np.cumsum(BYTE[raw] * powers("up", R, len(raw)), dtype=np.uint64)])
+        down = powers("down", R_INV, len(raw) + 1)
+        h = mix((total[GRAM:] - total[:-GRAM]) * down[: len(raw) - GRAM + 1])  # as gram_hashes
+        place = (least((h & ~LOW) | np.arange(len(h), dtype=np.uint64), width - GRAM + 1)[some] & LOW).astype(np.int64)
+        right = place - some >= half
+        cut = heads(text, place, right)
+        at, side = place[cut], right[cut]
+        lo, hi = at - half * side, np.where(side, at + GRAM, at + width - half + 1)
+        key = mix((total[hi] - total[lo]) * down[lo] ^ side.astype(np.uint64))
+        first = some[cut]
+        parts.append((text[cut], h[at], first + begin - starts[text[cut]], np.diff(np.append(cut, len(some))), at - first, key))
+    if not parts:
+        none = np.zeros(0, np.int64)
+        return none, none.view(np.uint64), none, none, none, none.view(np.uint64)
+    return tuple(map(np.concatenate, zip(*parts)))
 
 
 def runs_together(raws: list[bytes], width: int, anchored: bool):
@@ -374,7 +415,7 @@ def next_keys(part: bytes, width: int) -> np.ndarray:
     raw, span, out = np.frombuffer(part, np.uint8), width - GRAM + 1, []
     n = len(raw) - width + 1
     for a in range(0, n, PIECE):
-        h = gram_hashes(raw[a : min(a + PIECE, n) + width - 1])
+        h = gram_hashes(raw[a : min(a + PIECE, n) + width - 1]) & ~LOW
         low = least(h, span)  # the same for all windows of a segment
         out.append(mix(low ^ mix(least(np.where(h == low[0], ~np.uint64(0), h), span))))
     return np.concatenate(out)
@@ -423,27 +464,94 @@ def packed(docs: DataFrame, doc: str, text: str) -> DataFrame:
     return narrow.mapInArrow(run, "doc_id long, same binary, z binary")
 
 
-def buckets_of(docs: DataFrame, width: int, doc: str, text: str) -> DataFrame:
-    """key, doc_id, others: the distinct buckets each text reaches, as `parity.together` combines them."""
+KEY_COLUMNS = ["part", "keys", "docs", "sure", "others", "their_docs"]
+KEYS = "part int, keys binary, docs binary, sure binary, others binary, their_docs binary"
+
+
+def buckets_of(docs: DataFrame, width: int, doc: str, text: str, parts: int) -> DataFrame:
+    """The keys of each text's windows, packed for each of `parts` ranges of them as `packed_keys` does."""
 
     def run(batches):
         def keyed():
             for b in batches:
                 docs_of = b["doc_id"].to_numpy()
-                for a, _, of, bucket, *_ in joined_runs(((t or "").encode() for t in b["text"].to_pylist()), width):
-                    yield bucket.view(np.int64), docs_of[a + of]
-
-        yield from together(keyed(), 1_000_000)
+                for a, _, of, *_, key in joined_runs(((t or "").encode() for t in b["text"].to_pylist()), width, sided=True):
+                    yield key, docs_of[a + of]
+
+        held, n = [], 0
+        for found in keyed():
+            held.append(found)
+            n += len(found[0])
+            if n >= CHUNK:
+                yield packed_keys(*map(np.concatenate, zip(*held)), parts)
+                held, n = [], 0
+        if n:
+            yield packed_keys(*map(np.concatenate, zip(*held)), parts)
 
     narrow = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")).filter("doc_id IS NOT NULL")
-    return narrow.mapInArrow(run, ENTRY)
+    return narrow.mapInArrow(run, KEYS)
+
+
+def met_in(key: np.ndarray, doc: np.ndarray):
+    """The order by key, where each key begins there, its number of entries, smallest document and whether it has several."""
+    order = np.argsort(key)
+    lead = heads(key[order])
+    least_doc = np.minimum.reduceat(doc[order], lead)
+    return order, lead, np.diff(np.append(lead, len(key))), least_doc, least_doc != np.maximum.reduceat(doc[order], lead)
+
+
+def packed_keys(key: np.ndarray, doc: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row per range of keys: its keys, each with one document and whether it is `sure` that others have it.
+
+    The other documents of a key are known to meet it here. They are spread over the rows (others, their_docs), so a
+    key of very many documents is an entry per chunk wherever keys are brought together.
+    """
+    order, lead, n, least_doc, several = met_in(key, doc)
+    key, doc = key[order], doc[order]
+    more = np.repeat(several, n) & (doc != np.repeat(least_doc, n))
+    others, their_docs, key = key[more], doc[more], key[lead]
+    bounds = (np.arange(1, parts, dtype=np.float64) * (2.0**64 / parts)).astype(np.uint64)
+    edges = np.concatenate([[0], np.searchsorted(key, bounds), [len(key)]])
+    spread = np.arange(parts + 1) * len(others) // parts
+
+    def binary(x: np.ndarray, at: np.ndarray) -> pa.Array:
+        return pa.BinaryArray.from_buffers(pa.binary(), parts, [None, pa.py_buffer((at * x.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(x))])
+
+    columns = [pa.array(np.arange(parts, dtype=np.int32)), binary(key, edges), binary(least_doc, edges), binary(several, edges), binary(others, spread), binary(their_docs, spread)]
+    return pa.RecordBatch.from_arrays(columns, names=KEY_COLUMNS)
+
+
+def met_keys(rows: DataFrame) -> DataFrame:
+    """(key, doc_id) of every document under a key that several have, from rows of `packed_keys`."""
+
+    def settled(held: list[tuple[bytes, ...]]) -> pa.RecordBatch:
+        keys, docs, sure, others, their_docs = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*held), (np.uint64, np.int64, bool, np.int64, np.int64)))
+        if len(keys):
+            order, lead, n, _, several = met_in(keys, docs)
+            stay = order[np.repeat(several | np.logical_or.reduceat(sure[order], lead), n)]
+            others, their_docs = np.concatenate([others, keys[stay].view(np.int64)]), np.concatenate([their_docs, docs[stay]])
+        return pa.RecordBatch.from_arrays([pa.array(others), pa.array(their_docs)], names=["key", "doc_id"])
+
+    def run(batches):
+        held, now = [], None
+        for b in batches:
+            for part, *row in zip(*(b[c].to_pylist() for c in KEY_COLUMNS)):
+                if part != now and held:
+                    yield settled(held)
+                    held = []
+                now = part
+                held.append(row)
+        if held:
+            yield settled(held)
+
+    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(run, "key long, doc_id long")
 
 
-SEGMENT = "bucket long, segment binary, bytes binary, windows int, anchor int, doc_id long, same binary, first_window int"
+SEGMENT = "bucket long, segment binary, bytes binary, windows int, anchor int, doc_id long, same binary, first_windows array<int>"
 
 
 def segments_of(texts: DataFrame, width: int) -> DataFrame:
-    """From (doc_id, same, z, keys) the segments of the named buckets; a task gives a segment's `bytes` again only for a smaller document."""
+    """From (doc_id, same, z, keys) the segments of the named windows; a task gives a segment's `bytes` again only for a smaller document."""
 
     def run(batches):
         seen: dict[bytes, int] = {}  # of this task's partition
@@ -451,12 +559,20 @@ def segments_of(texts: DataFrame, width: int) -> DataFrame:
             docs_of = b["doc_id"].to_numpy()
             keys, n_keys = b["keys"].flatten().to_numpy().view(np.uint64), b["keys"].value_lengths().to_numpy()
             begin = np.concatenate([[0], np.cumsum(n_keys)])
-            for a, raws, of, bucket, first, n, at in joined_runs(map(unpack, b["z"].to_pylist()), width, anchored=True):
+            for a, raws, of, bucket, first, n, at, key in joined_runs(map(unpack, b["z"].to_pylist()), width, sided=True):
                 row = np.arange(len(raws), dtype=np.uint64)
                 # a run more by chance would do no harm
                 named = mix(keys[begin[a] : begin[a + len(raws)]] ^ mix(np.repeat(row, n_keys[a : a + len(raws)])))
-                chosen = np.flatnonzero(np.isin(mix(bucket ^ mix(row[of])), named))
-                of, bucket, first, n, at = (x[chosen] for x in (of, bucket, first, n, at))
+                chosen = np.flatnonzero(np.isin(mix(key ^ mix(row[of])), named))
+                # both sides of an anchor go together
+                lead = heads(of[chosen], (first + at)[chosen], chosen - np.arange(len(chosen)))
+                if not len(lead):
+                    continue
+                n = np.add.reduceat(n[chosen], lead)
+                of, bucket, first, at = (x[chosen[lead]] for x in (of, bucket, first, at))
+                lead, order = same_segments(raws, of, bucket, first, n, at, width)
+                firsts = pa.ListArray.from_arrays(pa.array(np.append(lead, len(order)), pa.int32()), pa.array(first[order], pa.int32()))
+                of, bucket, first, n, at = (x[order[lead]] for x in (of, bucket, first, n, at))
                 docs, parts, segments = docs_of[a + of], [], []
                 for i, start, stop, d in zip(of.tolist(), first.tolist(), (first + n + width - 1).tolist(), docs.tolist()):
                     part = raws[i][start:stop]
@@ -468,15 +584,40 @@ def segments_of(texts: DataFrame, width: int) -> DataFrame:
                         parts.append(part)
                     else:
                         parts.append(None)
-                columns = [bucket.view(np.int64), pa.array(segments, pa.binary()), pa.array(parts, pa.binary()), n, at, docs, b["same"].take(pa.array(a + of)), first]
+                columns = [bucket.view(np.int64), pa.array(segments, pa.binary()), pa.array(parts, pa.binary()), n, at, docs, b["same"].take(pa.array(a + of)), firsts]
                 yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.int32()]
-    names = ["bucket", "segment", "bytes", "windows", "anchor", "doc_id", "same", "first_window"]
+    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.int32())]
+    names = ["bucket", "segment", "bytes", "windows", "anchor", "doc_id", "same", "first_windows"]
 
     return texts.mapInArrow(run, SEGMENT)
 
 
+def same_segments(raws: list[bytes], of: np.ndarray, bucket: np.ndarray, first: np.ndarray, n: np.ndarray, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the segments of some texts and where in it a new one begins: those of one text with the same bytes stand together.
+
+    Told by their bytes; where different ones of a text alternate under one number, equal ones may stay apart.
+    """
+    code = mix(bucket ^ mix(((of * width + n) * width + at).astype(np.uint64)))
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    new = np.ones(len(order), bool)
+    new[1:] = code[1:] != code[:-1]
+    again = np.flatnonzero(~new)
+    if len(again):
+        n_bytes = np.array([len(r) for r in raws])
+        views = np.lib.stride_tricks.sliding_window_view(np.frombuffer(b"".join(raws), np.uint8), width)
+        one, two = order[again - 1], order[again]
+        begin = (np.cumsum(n_bytes) - n_bytes)[of] + first
+        # the first and the last window hold all bytes of a segment, as all its windows hold its anchor
+        same = (of[one] == of[two]) & (n[one] == n[two]) & (at[one] == at[two]) & (views[begin[one]] == views[begin[two]]).all(axis=1)
+        more = np.flatnonzero(same)
+        last = begin + n - 1
+        same[more] = (views[last[one[more]]] == views[last[two[more]]]).all(axis=1)
+        new[again] = ~same
+    return np.flatnonzero(new), order
+
+
 def apart(parts: list[tuple[bytes, int, int, int]], width: int) -> list[bool]:
     """Which segments (bytes, windows, document, anchor) of a bucket cannot share a window with another one of it."""
     n_bytes = np.array([len(p[0]) for p in parts])
@@ -659,20 +800,26 @@ def cut(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            rows = []
-            for d, same, z, spans in zip(*(b[c].to_pylist() for c in ("doc_id", "same", "z", "spans"))):
-                raw, kept, at, removed, n = unpack(z), [], 0, 0, 0
-                for s in sorted((x["a"], x["b"]) for x in spans):
-                    if n == 0 or s[0] > at:
-                        kept.append(raw[at : s[0]])
-                        n += 1
-                    removed += max(0, s[1] - max(at, s[0]))
-                    at = max(at, s[1])
-                kept.append(raw[at:])
-                rows.append((d, same, removed, n, hashlib.sha256(b"".join(kept)).hexdigest()))
-            kinds = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string()]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["doc_id", "same", "n_removed", "n_spans", "kept_sha256"])
+            if not len(b):
+                continue
+            spans, n = b["spans"].flatten(), b["spans"].value_lengths().to_numpy()
+            a, e = (spans.field(k).to_numpy().astype(np.int64) for k in (0, 1))
+            row = np.repeat(np.arange(len(n)), n)
+            order = np.lexsort((a, row))
+            # as rows of their own, so that what overlaps or touches is joined within a text only
+            shift = int(e.max(initial=0)) + 1
+            a, e, row = a[order] + row * shift, np.maximum.accumulate(e[order] + row * shift), row[order]
+            fresh = np.ones(len(a), bool)
+            fresh[1:] = a[1:] > e[:-1]
+            lead = np.flatnonzero(fresh)
+            of = row[lead]
+            a, e = a[lead] - of * shift, e[np.append(lead[1:], len(row)) - 1] - of * shift
+            removed, n = (np.bincount(of, w, len(n)).astype(np.int64) for w in (e - a, None))
+            ends, a, e, kept = np.cumsum(n).tolist(), a.tolist(), e.tolist(), []
+            for i, z in enumerate(b["z"].to_pylist()):
+                raw, to = unpack(z), slice(ends[i - 1] if i else 0, ends[i])
+                kept.append(hashlib.sha256(b"".join([raw[x:y] for x, y in zip([0, *e[to]], [*a[to], len(raw)])])).hexdigest())
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["same"], pa.array(removed), pa.array(n), pa.array(kept, pa.string())], names=["doc_id", "same", "n_removed", "n_spans", "kept_sha256"])
 
     return texts.mapInArrow(run, "doc_id long, same binary, n_removed long, n_spans long, kept_sha256 string")
 
@@ -687,16 +834,17 @@ def repeats(docs: DataFrame, width: int = 50, doc: str = "doc_id", text: str = "
     with freeing(docs.sparkSession):
         among = maybe_among(reps.select(hashed("doc_id").alias("id")), F.col("id"), reps.count())
     docs = docs.filter(among(hashed(F.col(doc).cast("long"))))
-    # buckets that at least two texts reach
-    keys = shared_keys(buckets_of(docs, width, doc, text)).groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
+    # keys that at least two texts have; twice as many ranges of keys as partitions, as some of these get several
+    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = met_keys(buckets_of(docs, width, doc, text, parts)).groupBy("doc_id").agg(F.collect_list("key").alias("keys"))
 
     texts = packed(docs, doc, text)
     chosen = reps.join(keys, "doc_id")
     segments = materialise(segments_of(texts.join(chosen, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]), width), "segments", free=True)
     known = all_owned(segments, width, most)
-    met = segments.select("segment", "doc_id", "same", "first_window").join(known, "segment")
+    met = segments.select("segment", "doc_id", "same", "first_windows").join(known, "segment")
     # windows a to b cover the bytes a to b + width - 1
-    mine = F.expr(f"transform(filter(owners, o -> o.doc < doc_id), o -> struct(first_window + o.a AS a, first_window + o.b + {width} AS b))")
+    mine = F.expr(f"flatten(transform(filter(owners, o -> o.doc < doc_id), o -> transform(first_windows, f -> struct(f + o.a AS a, f + o.b + {width} AS b))))")
     marks = met.select("doc_id", "same", mine.alias("s")).filter("size(s) > 0")
     spans = materialise(marks.groupBy("doc_id", "same").agg(F.flatten(F.collect_list("s")).alias("spans")), "spans", free=True)
     changed = cut(texts.join(spans, ["doc_id", "same"]).dropDuplicates(["doc_id", "same"]))
