@@ -1,3 +1,4 @@
+import json
 import time
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from vigilake.catalog.detection import FEEDS, RULES
 from vigilake.operators import detect as d
 from vigilake.operators import ruleindex as ri
-from vigilake.sources.rules import Rule
+from vigilake.sources.rules import Rule, load_rules
 from vigilake.sources.sample import AS_OF
 
 MONTH = 43200
@@ -88,3 +89,49 @@ def test_events_are_not_read_again_when_nothing_is_new(events, monkeypatch):
     assert ri.threshold(events, watches, AS_OF, claimed).alerts.count() == 0
     assert read == [(False, False), (True, True)]
     assert ri.threshold(events, watches, AS_OF).alerts.count() > 0
+
+
+def documents(spark, rules, bad=()):
+    docs = [(f"{i:05d}", json.dumps(vars(r))) for i, r in enumerate(rules)]
+    return spark.createDataFrame([*docs, *bad], "name string, yaml string").withColumn("enabled", F.lit(None).cast("boolean")).repartition(3)
+
+
+@pytest.mark.parametrize("scope", ["global", "rule"])
+def test_rules_that_stay_a_table(spark, events, scope, monkeypatch):
+    """The same alerts and claims as with all rules in the plan, rules among them that are no data."""
+    plain = [*RULES, *ODD, *FEEDS, Rule("bad", criteria="nope = 'x'"), Rule("typo", criteria="category = 'click' AND nope = 1"), Rule("told", criteria="drop 'x'")]
+    rules = [Rule(f"u{i}", criteria=f"category = '{'click' if i % 2 else 'view'}' AND JSON_VALUE(details.user) = 'user{i}@example.com'" + " AND severity <> 'HIGH'" * (i % 3 == 0),
+                  lookback_minutes=MONTH if i % 5 else 9000, threshold=1 + i % 2, aggregation_key="source" if i % 4 == 0 else "", summary=f"{i} {{{{alert_name}}}} {{{{events.0.details.user}}}} {{{{metadata.count}}}}",
+                  event_snippet="{{eventid}};" if i % 2 else "", tags=("t", f"{i}")) for i in range(15)] + [r for r in plain if r.alert_type != "sequence"]
+    monkeypatch.setattr(ri, "FEW", 3)
+    seen = []
+    inner = ri.TableRules
+    monkeypatch.setattr(ri, "TableRules", lambda rows, ws, numbers: seen.append((rows.count(), len(ws))) or inner(rows, ws, numbers))
+    spent = events.filter(F.col("eventid").endswith("5")).select("eventid")
+    held, refused = load_rules(table=documents(spark, rules, [("99999", "no rule"), (None, ": [")]))
+    one, two = ri.evaluate(events, rules, AS_OF, spent, scope), ri.evaluate(events, held, AS_OF, spent, scope)
+    assert seen[0][0] >= 15 and 0 < seen[0][1] < len(rules) - 15
+    assert alerts(two.alerts) == alerts(one.alerts) and len(alerts(one.alerts)) > 20
+    claims = lambda ev: sorted(map(tuple, ev.claimed.select("alert_id", "eventid").collect()))
+    assert claims(one) == claims(two) and two.failed == one.failed and {"bad", "typo", "told"} <= {n for n, _ in two.failed}
+    assert len(held) == len(rules) and len(refused) == 2
+
+
+def test_many_rules_do_not_come_to_the_driver(spark, events, monkeypatch):
+    rules = [Rule(f"r{i}", criteria=f"category = 'click' AND JSON_VALUE(details.user) = 'user{i}@example.com'", lookback_minutes=MONTH, summary="{{metadata.count}}") for i in range(3000)]
+    held, _ = load_rules(table=documents(spark, rules))
+    monkeypatch.setattr(ri.Documents, "read", lambda self: pytest.fail("rules were read as a list"))
+    out = ri.evaluate(events, held, AS_OF)
+    plan = out.alerts._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 200_000 and "user2999@" not in plan
+    got = {r.alert_name: r.event_count for r in out.alerts.collect()}
+    want = events.filter("category = 'click' AND identity LIKE 'user%' AND utctimestamp >= timestamp '2024-01-31 00:00:00' - INTERVAL 30 DAY").groupBy("identity").count().collect()
+    assert got == {"r" + r.identity[4:].split("@")[0]: r["count"] for r in want} and got
+
+
+def test_parts_of_a_condition():
+    strings = {"category", "identity"}
+    assert ri.equal_parts("category = 'a' AND 'u' = Identity AND (x OR y) AND n > 1", strings) == (["category", "identity"], ["a", "u"], "((x OR y)) AND (n > 1)")
+    assert ri.equal_parts("category = 'a AND b'", strings) == (["category"], ["a AND b"], "")
+    for text in ("category = 'a' OR x", "NOT category = 'a'", "category = 'it''s'", "category = 'a\\'b'", "n = 'a'", "category = 'a' AND n BETWEEN 1 AND 2", "category = 'a' = true", "", "(category = 'a' AND x)"):
+        assert ri.equal_parts(text, strings) is None

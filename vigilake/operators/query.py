@@ -102,12 +102,16 @@ def adapt_spelling(criteria: str, columns: Sequence[str] = ()) -> str:
 
 def criteria_expr(columns: Sequence[str], criteria: str) -> Column:
     """The criteria in parentheses, so an OR cannot escape the window; not yet checked against a table."""
+    text = criteria_text(columns, criteria)
+    return F.expr(f"({text})") if text else F.lit(True)
+
+
+def criteria_text(columns: Sequence[str], criteria: str) -> str:
+    """The criteria as Spark reads them, or InvalidCriteria; needs no session."""
     text = validate_criteria(criteria)
-    if not text:
-        return F.lit(True)
     if re.search(r"\(\s*(select|with)\b", text, re.IGNORECASE):
         raise InvalidCriteria("criteria must not contain a query")
-    return F.expr(f"({adapt_spelling(text, columns)})")
+    return adapt_spelling(text, columns)
 
 
 def criteria_column(events: DataFrame, criteria: str) -> Column:

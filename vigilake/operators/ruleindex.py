@@ -7,6 +7,12 @@ may match. Only for those the other parts are checked, and only for what is no s
 themselves are evaluated, one CASE over the rule's number. So an event costs what its candidates cost, and the plan has
 one lookup per column, one expression per distinct key and one per criteria with a rest.
 
+More than FEW rules of a table never come together in one plan. They are read where they are (`TableRules`): of each
+document the parts `column = 'text'` that must all hold become a join key, and what is left (the rest of the criteria, the
+grouping path) makes a family. An event offers its own texts once per family and is joined with the rules by them;
+constants and templates are joined by the rule's number. Rules that are no such data (deadman, sequences, templates with
+sections, no such part, families beyond FAMILIES) are evaluated as before beside them; claims are settled over all.
+
 Everything else a rule brings (threshold, names, tags, templates) is a constant table looked up by its number. Templates
 are lists of parts; the values they name are taken once per distinct path (templates with sections are
 expressions of their own). The alerts are those of
@@ -23,6 +29,7 @@ rule list gives no rows; a null never equals a text; tags that repeat in one eve
 from __future__ import annotations
 
 import json
+import logging
 import re
 import zlib
 from collections import Counter
@@ -31,19 +38,27 @@ from dataclasses import dataclass, field as dc_field
 from datetime import datetime, timedelta
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from vigilake.functions.jsonfn import dotted, jtext, record_json, template_fields
 from vigilake.functions.scalars import stable_id
 from vigilake.operators import detect as d
-from vigilake.operators.query import adapt_spelling, validate_criteria
+from vigilake.operators.query import adapt_spelling, criteria_text, validate_criteria
 from vigilake.plans.blocked import first_n
 from vigilake.schema import ALERT_SCHEMA, SHELL_FIELDS
 from vigilake.session import materialise
-from vigilake.sources.rules import Rule
+from vigilake.sources.rules import Documents, Rule, read_rule
 from vigilake.sources.tables import as_datetime, clamp_minutes, scan_events, ts_lit
 
+log = logging.getLogger(__name__)
+
+FEW = 1_000  # rules of a table that are still put into the plan
+FAMILIES = 100  # kinds of rules an event is offered to, each an expression of the plan
+
 # --- what of a condition is data ---------------------------------------------
 
 
@@ -243,6 +258,20 @@ _ROW = (
 )
 
 
+def pieces(template: str, ref) -> list[dict]:
+    """A template as texts and what `ref` says to the paths it names."""
+    out, at = [], 0
+    for m in re.finditer(r"\{\{\s*([\w@.\-]+)\s*\}\}", template or ""):
+        out += [{"text": template[at : m.start()]}, ref(m.group(1))]
+        at = m.end()
+    return [p for p in [*out, {"text": (template or "")[at:]}] if p != {"text": ""}]
+
+
+def own_text(spec: Rule, path: str) -> str:
+    own = getattr(spec, path, None)
+    return "" if own is None or isinstance(own, tuple) else str(own)
+
+
 class RuleTable:
     """The constants of the watches, looked up by `watch_no`, and their templates."""
 
@@ -263,16 +292,13 @@ class RuleTable:
         self.needed = max([r["needed"] for r in rows], default=0)
         self.table = constant(rows, _ROW)
 
+    def on(self, df: DataFrame) -> DataFrame:
+        """`df` (watch_no) with what `of` reads."""
+        return df
+
     def of(self, name: str) -> Column:
         return F.element_at(self.table, F.col("watch_no") + 1)[name]
 
-    def _pieces(self, template: str, ref) -> list[dict]:
-        out, at = [], 0
-        for m in re.finditer(r"\{\{\s*([\w@.\-]+)\s*\}\}", template or ""):
-            out += [{"text": template[at : m.start()]}, ref(m.group(1))]
-            at = m.end()
-        return [p for p in [*out, {"text": (template or "")[at:]}] if p != {"text": ""}]
-
     def _place(self, items: list, item) -> int:
         if item not in items:
             items.append(item)
@@ -285,13 +311,12 @@ class RuleTable:
             m = re.match(r"events\.(\d+)\.(.+)", path)
             if m:
                 return {"ref": 2 + self._place(self.events, (int(m.group(1)), m.group(2)))}
-            own = getattr(spec, path, None)
-            return {"text": "" if own is None or isinstance(own, tuple) else str(own)}
+            return {"text": own_text(spec, path)}
 
-        return self._pieces(spec.summary, ref)
+        return pieces(spec.summary, ref)
 
     def _snippet(self, spec: Rule) -> list[dict]:
-        return self._pieces(spec.event_snippet, lambda path: {"ref": self._place(self.paths, path)})
+        return pieces(spec.event_snippet, lambda path: {"ref": self._place(self.paths, path)})
 
     def rendered(self) -> Column:
         """Summary and snippets from the columns watch_no, value, event_count and events."""
@@ -329,7 +354,7 @@ class RuleTable:
 def samples(found: DataFrame, rules: RuleTable, least: int = 0) -> DataFrame:
     """(watch_no, value, events): the first events of each group by (time, id), as many as the rule needs."""
     n = F.greatest(rules.of("needed"), F.lit(least))
-    kept = first_n(found, ["watch_no", "value"], [F.col("utctimestamp"), F.col("eventid")], n, max(least, rules.needed, 1))
+    kept = first_n(rules.on(found), ["watch_no", "value"], [F.col("utctimestamp"), F.col("eventid")], n, max(least, rules.needed, 1))
     one = F.struct("rn", "utctimestamp", "eventid", record_json(found).alias("record"))
     shots = F.transform("_s", lambda s: F.struct(s["utctimestamp"].alias("utctimestamp"), s["eventid"].alias("eventid"), s["record"].alias("record")))
     return kept.groupBy("watch_no", "value").agg(F.sort_array(F.collect_list(one)).alias("_s")).select("watch_no", "value", shots.alias("events"))
@@ -343,11 +368,19 @@ def threshold(
 ) -> d.Evaluation:
     """All threshold watches, as `detect.threshold`: alerts (with `watch_no`), claims, and the watches as numbered."""
     ws = [d.Watch(i, w.rule, w.spec, w.slot_no) for i, w in enumerate(w for w in watches if w.spec.alert_type != "deadman")]
-    index, rules = RuleIndex.build(events, ws), RuleTable(ws)
+    index = RuleIndex.build(events, ws)
+    out = settled(events, RuleTable(ws), lambda e, picks, whole: hits(e, index, as_of, closed, whole=whole), as_of, processed, scope)
+    out.watches = ws
+    return out
+
+
+def settled(events: DataFrame, rules: RuleTable, search, as_of: datetime | str, processed: DataFrame | None, scope: str) -> d.Evaluation:
+    """Alerts and claims of the threshold rules whose matches `search(events, picks, whole)` finds, where there are picks at least theirs."""
     group = ["watch_no", "value"]
     # the window is searched once; counts, claims and samples are settled on ids and times
-    found = materialise(hits(events, index, as_of, closed, whole=False), "hits")
-    fired = materialise(d.count_hits(found).filter(F.col("event_count") >= rules.of("bound")), "fired")
+    found = materialise(search(events, None, False), "hits")
+    counts = d.count_hits(found)
+    fired = materialise(rules.on(counts).filter(F.col("event_count") >= rules.of("bound")).select(*counts.columns), "fired")
     members = found.join(fired.select(*group), group)
     mine = materialise(d.claim_events(d.new_events(members, processed), scope), "claims")
     fresh = mine.groupBy(*group).agg(F.count(F.lit(1)).alias("new_count"))
@@ -356,19 +389,19 @@ def threshold(
     order, needed = [F.col("utctimestamp"), F.col("eventid")], max(1, rules.needed)
     # a group without a new event makes no alert: nothing is read for it, and where none has any the events are not searched again
     telling = members.join(fresh.select(*group), group, "left_semi")
-    one = first_n(telling, group, order, rules.of("needed"), needed).withColumn("use", F.lit(1))
-    two = first_n(mine, group, order, F.greatest(rules.of("needed"), F.lit(1)), needed).withColumn("use", F.lit(2))
+    one = first_n(rules.on(telling), group, order, rules.of("needed"), needed).select(*members.columns, F.lit(1).alias("use"))
+    two = first_n(rules.on(mine), group, order, F.greatest(rules.of("needed"), F.lit(1)), needed).select(*members.columns, F.lit(2).alias("use"))
     same = {"_id": F.coalesce("eventid", F.lit("")), "_of": F.when(_blank(), F.coalesce("summary", F.lit(""))).otherwise("")}
     picks = one.unionByName(two).withColumns(same).groupBy(*group, "utctimestamp", *same).agg(F.collect_set("use").alias("uses"))
-    whole = hits(events if not mine.isEmpty() else events.filter(F.lit(False)), index, as_of, closed)
+    whole = search(events if not mine.isEmpty() else events.filter(F.lit(False)), picks, True)
     read = materialise(whole.withColumns(same).join(picks, [*group, "utctimestamp", *same]).select(*whole.columns, "uses"), "samples")
     shown = samples(read.filter(F.array_contains("uses", 1)), rules)
     embedded = samples(read.filter(F.array_contains("uses", 2)), rules, least=1)
 
-    told = fired.join(shown, group).withColumn("summary", rules.rendered()).drop("events")
+    told = rules.on(fired.join(shown, group)).withColumn("summary", rules.rendered()).drop("events")
     alerts = rules.alert_rows(told.join(fresh, group).join(embedded, group), as_of)
     claimed = mine.join(alerts.select("alert_id", *group), group).select("alert_id", "watch_no", "eventid", "utctimestamp")
-    return d.Evaluation(alerts, claimed, watches=ws)
+    return d.Evaluation(alerts, claimed)
 
 
 def deadman(events: DataFrame, watches: Sequence[d.Watch], as_of: datetime | str, closed: bool = False) -> DataFrame:
@@ -396,6 +429,8 @@ def evaluate(
     events: DataFrame, rules: Sequence[Rule], as_of: datetime | str, processed: DataFrame | None = None, scope: str = "global", closed: bool = False
 ) -> d.Evaluation:
     """Threshold and deadman rules together, as `detect.evaluate_rules`, however many there are."""
+    if isinstance(rules, Documents) and rules.table is not None and rules.table.limit(FEW + 1).count() > FEW:
+        return evaluate_table(events, rules, as_of, processed, scope, closed)
     good, failed = d.check_rules(events, rules)
     watches = d.watches_of([r for r in good if r.alert_type != "sequence"])
     out = d.Evaluation(events.sparkSession.createDataFrame([], ALERT_SCHEMA), None, failed)
@@ -407,4 +442,188 @@ def evaluate(
     return out
 
 
-__all__ = ["Part", "RuleIndex", "RuleTable", "deadman", "evaluate", "hits", "split_criteria", "template_fields", "threshold"]
+# --- rules that stay a table -------------------------------------------------
+
+_LEX = re.compile(r"'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|[()\[\]]|->|\b(?:and|or|xor|between|case)\b", re.IGNORECASE)
+_EQUAL = re.compile(r"(?P<c1>[a-z_]\w*)\s*={1,2}\s*'(?P<t1>[^'\\]*)'|'(?P<t2>[^'\\]*)'\s*={1,2}\s*(?P<c2>[a-z_]\w*)", re.IGNORECASE)
+
+
+def equal_parts(text: str, strings: set[str]) -> tuple[list[str], list[str], str] | None:
+    """(columns, texts, rest) of a condition as Spark reads it: its parts `column = 'text'` that must all hold, and the others.
+
+    None where there is no such part or the condition is not plainly one AND after the other.
+    """
+    parts, depth, at = [], 0, 0
+    for m in _LEX.finditer(text):
+        token = m.group().lower()
+        depth += (token in ("(", "[")) - (token in (")", "]"))
+        if depth == 0 and token == "and":
+            parts.append(text[at : m.start()])
+            at = m.end()
+        elif depth == 0 and token in ("or", "xor", "between", "case", "->"):
+            return None
+    found, rest = [], []
+    for part in [*parts, text[at:]]:
+        m = _EQUAL.fullmatch(part.strip())
+        column = m and (m["c1"] or m["c2"]).lower()
+        if column in strings:
+            found.append((column, m["t1"] if m["c1"] else m["t2"]))
+        else:
+            rest.append(part.strip())
+    found.sort(key=lambda x: x[0])
+    return ([c for c, _ in found], [t for _, t in found], " AND ".join(f"({r})" for r in rest)) if found else None
+
+
+_TEXTS, _PIECES = pa.list_(pa.string()), pa.list_(pa.struct([("text", pa.string()), ("path", pa.string())]))
+_DATA = pa.schema([
+    ("name", pa.string()), ("yaml", pa.string()), ("error", pa.string()), ("data", pa.bool_()), ("columns", _TEXTS), ("texts", _TEXTS), ("rest", pa.string()), ("key", pa.string()),
+    ("minutes", pa.int32()), ("alert_name", pa.string()), ("alert_type", pa.string()), ("severity", pa.string()), ("category", pa.string()), ("tags", _TEXTS),
+    ("bound", pa.int64()), ("samples", pa.int32()), ("needed", pa.int32()), ("summary", _PIECES), ("snippet", _PIECES),
+])
+
+
+def data_of(name: str, text: str, columns: list[str], strings: set[str]) -> dict:
+    """One document as a row of _DATA: `error` where it is none, not `data` where only a plan of its own can say what it means."""
+    row = {"name": name, "yaml": text, "data": False}
+    try:
+        rule = read_rule(text)
+    except Exception as e:  # noqa: BLE001 - any defect of one document stays with that document
+        log.error("rule %s refused: %s", name, e)
+        return row | {"error": str(e)}
+    try:
+        found = equal_parts(criteria_text(columns, rule.criteria), strings)
+    except ValueError:  # it is refused where it is evaluated
+        return row
+    watch = d.Watch(0, rule, rule)
+    if rule.alert_type in ("deadman", "sequence") or found is None or template_fields(rule.criteria) or d.sectioned(rule):
+        return row
+
+    def ref(path: str) -> dict:
+        return {"path": path} if path in ("metadata.value", "metadata.count") or re.match(r"events\.(\d+)\.(.+)", path) else {"text": own_text(rule, path)}
+
+    return row | {
+        "data": True, "columns": found[0], "texts": found[1], "rest": found[2], "key": rule.aggregation_key if rule.keyed else "", "minutes": clamp_minutes(rule.lookback_minutes),
+        "alert_name": rule.alert_name, "alert_type": rule.alert_type, "severity": rule.severity, "category": rule.category, "tags": list(rule.tags), "bound": rule.limit,
+        "samples": rule.samples, "needed": d._samples_needed(watch), "summary": pieces(rule.summary, ref),
+        "snippet": pieces(rule.event_snippet, lambda path: {"path": path}) if rule.event_snippet and rule.samples else None,
+    }
+
+
+def rule_rows(table: DataFrame, events: DataFrame) -> DataFrame:
+    """The documents of a rules table (name, yaml) in the order of names, as rows of _DATA with `watch_no`, which grows in that order."""
+    columns, strings = events.columns, {f.name.lower() for f in events.schema.fields if f.dataType.simpleString() == "string"}
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pylist([data_of(n, t or "", columns, strings) for n, t in zip(*(b[c].to_pylist() for c in ("name", "yaml")))], schema=_DATA)
+
+    named = table.select(F.coalesce(F.col("name").cast("string"), F.lit("None")).alias("name"), "yaml")
+    rows = named.mapInArrow(run, from_arrow_schema(_DATA)).orderBy("name")
+    return materialise(rows.withColumn("watch_no", F.monotonically_increasing_id()), "rules")
+
+
+class TableRules(RuleTable):
+    """Many rules with their constants as a table, and few that are evaluated as `watches` beside it, numbered as `numbers` says."""
+
+    def __init__(self, rows: DataFrame, watches: Sequence[d.Watch], numbers: Sequence[int]):
+        super().__init__(watches)
+        own, numbered = self.table, F.array(*map(F.lit, numbers)).cast("array<long>")
+        self.sections = [d.Watch(numbers[w.no], w.rule, w.spec, w.slot_no) for w in self.sections]
+        used = rows.select(F.explode("summary").alias("p")).select("p.path").distinct().filter("path LIKE 'events.%'")
+        for path in sorted(r["path"] for r in used.collect()):
+            m = re.match(r"events\.(\d+)\.(.+)", path)
+            self._place(self.events, (int(m.group(1)), m.group(2)))
+        for r in sorted(r["path"] for r in rows.select(F.explode("snippet").alias("p")).select("p.path").distinct().filter("path IS NOT NULL").collect()):
+            self._place(self.paths, r)
+        summary = {"metadata.value": 0, "metadata.count": 1} | {f"events.{n}.{p}": 2 + i for i, (n, p) in enumerate(self.events)}
+        parts = {"summary": summary, "snippet": {p: i for i, p in enumerate(self.paths)}}
+
+        def placed(name: str) -> Column:
+            places = F.from_json(F.lit(json.dumps(parts[name])), "map<string, int>")
+            return F.transform(name, lambda p: F.struct(p["text"].alias("text"), F.when(p["path"].isNotNull(), F.try_element_at(places, p["path"])).alias("ref")))
+
+        cols = {"kind": F.col("alert_type"), "silent": F.lit(d.ALL)} | {n: placed(n) for n in parts}
+        kind = T.DataType.fromDDL(_ROW).elementType
+        whole = rows.select("watch_no", F.struct(*[cols.get(n, F.col(n)).alias(n) for n in kind.names]).cast(kind).alias("_rule"))
+        if watches:
+            few = rows.sparkSession.range(len(watches)).select(F.element_at(numbered, (F.col("id") + 1).cast("int")).alias("watch_no"), F.element_at(own, (F.col("id") + 1).cast("int")).alias("_rule"))
+            whole = whole.unionByName(few)
+        self.rules = materialise(whole, "constants")
+        self.needed = max(self.needed, rows.agg(F.max("needed")).first()[0] or 0)
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.join(self.rules, "watch_no")
+
+    def of(self, name: str) -> Column:
+        return F.col("_rule")[name]
+
+
+def families_of(rows: DataFrame, events: DataFrame) -> list[dict]:
+    """The kinds of rules an event is offered to, the most frequent ones; what Spark does not accept is left out."""
+    out = []
+    kinds = rows.filter("data").groupBy("columns", "rest", "key").agg(F.count(F.lit(1)).alias("n"))
+    for r in kinds.orderBy(F.desc("n"), "columns", "rest", "key").limit(FAMILIES).collect():
+        cond = F.expr(r["rest"]) if r["rest"] else F.lit(True)
+        try:
+            if events.select(cond.alias("c"), d.key_value(events, Rule("key", aggregation_key=r["key"])).alias("v")).schema["c"].dataType.simpleString() == "boolean":
+                out.append(r.asDict() | {"cond": cond})
+        except Exception:  # noqa: BLE001 - its rules are refused one by one
+            continue
+    return out
+
+
+def table_hits(events: DataFrame, rows: DataFrame, families: list[dict], as_of: datetime | str, closed: bool, minutes: int, whole: bool) -> DataFrame:
+    """As `hits`, of rules that stay a table: an event offers its texts to each family and meets the rules that ask for them."""
+    slim = ["utctimestamp", "eventid", F.when(_blank(), F.col("summary")).alias("summary")]
+    keep = [c for c in SHELL_FIELDS if c in events.columns] if whole else slim
+    offers = []
+    for i, f in enumerate(families):
+        texts, value = [F.col(c) for c in f["columns"]], d.key_value(events, Rule("key", aggregation_key=f["key"]))
+        ready = reduce(lambda a, b: a & b, [*[t.isNotNull() for t in texts], value.isNotNull(), f["cond"]])
+        offers.append(F.when(ready, F.struct(F.lit(i).alias("family"), F.array(*texts).alias("texts"), value.alias("value"))))
+    recent = scan_events(events, as_of, minutes, closed)
+    offered = recent.select(*keep, F.explode_outer(F.array_compact(F.array(*offers))).alias("_o")).filter(F.col("_o").isNotNull())
+    end = round((as_datetime(as_of) - datetime(1970, 1, 1)) / timedelta(microseconds=1))
+    asked = rows.select(F.struct("family", "texts").alias("_k"), "watch_no", (F.lit(end) - F.col("minutes").cast("long") * 60_000_000).alias("_since"))
+    met = offered.withColumn("_k", F.struct("_o.family", "_o.texts")).join(asked, "_k").filter(F.unix_micros("utctimestamp") >= F.col("_since"))
+    return met.select(*[c if isinstance(c, str) else F.col("summary") for c in keep], "watch_no", F.col("_o.value").alias("value"))
+
+
+def evaluate_table(events: DataFrame, rules: Documents, as_of: datetime | str, processed: DataFrame | None, scope: str, closed: bool) -> d.Evaluation:
+    """`evaluate` for more rules than a plan can hold; `watches` of the outcome is empty, as `watch_no` numbers rows of a table."""
+    rows = rule_rows(rules.table, events)
+    families = families_of(rows, events)
+    known = [{"family": i, **{c: f[c] for c in ("columns", "rest", "key")}} for i, f in enumerate(families)]
+    held = events.sparkSession.createDataFrame(known, "family int, columns array<string>, rest string, key string")
+    named = rows.join(held, ["columns", "rest", "key"], "left")
+    data = named.filter("data AND family IS NOT NULL")
+    lone = named.filter("error IS NULL AND NOT (data AND family IS NOT NULL)").select("watch_no", "yaml").orderBy("watch_no").collect()
+    # files come first
+    from_files = rules.parsed(rules.texts)
+    numbered = [(i - len(from_files), r) for i, r in enumerate(from_files)] + [(r["watch_no"], read_rule(r["yaml"])) for r in lone]
+    good, failed = d.check_rules(events, [r for _, r in numbered])
+    number = {id(r): n for n, r in numbered}
+    watches = d.watches_of([r for r in good if r.alert_type != "sequence"])
+    ws = [d.Watch(i, w.rule, w.spec, w.slot_no) for i, w in enumerate(w for w in watches if w.spec.alert_type != "deadman")]
+    numbers = [number[id(w.rule)] for w in ws]
+    index, table = RuleIndex.build(events, ws), TableRules(data, ws, numbers)
+    minutes = data.agg(F.max("minutes")).first()[0] or 1
+
+    def search(e: DataFrame, picks: DataFrame | None, whole: bool) -> DataFrame:
+        if picks is not None:
+            # what is shown is read whole: only events that may be among it meet the rules again
+            near = picks.select(F.col("utctimestamp").alias("_at"), "_id").distinct()
+            e = e.join(near, (F.col("utctimestamp") == F.col("_at")) & (F.coalesce("eventid", F.lit("")) == F.col("_id")), "left_semi")
+        found = [table_hits(e, data, families, as_of, closed, minutes, whole)] if families else []
+        if ws or not families:
+            each = F.array(*map(F.lit, numbers)).cast("array<long>")
+            found.append(hits(e, index, as_of, closed, whole=whole).withColumn("watch_no", F.element_at(each, F.col("watch_no") + 1)))
+        return reduce(DataFrame.unionByName, found)
+
+    out = settled(events, table, search, as_of, processed, scope)
+    out.alerts, out.failed = out.alerts.drop("watch_no"), failed
+    if any(w.spec.alert_type == "deadman" for w in watches):
+        out.alerts = out.alerts.unionByName(deadman(events, watches, as_of, closed).drop("watch_no"))
+    return out
+
+
+__all__ = ["Part", "RuleIndex", "RuleTable", "TableRules", "deadman", "evaluate", "hits", "split_criteria", "template_fields", "threshold"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import glob
 import logging
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
@@ -80,31 +80,75 @@ def _parse(text: str) -> dict | None:
     return yaml.safe_load(text)
 
 
-def load_rules(paths: str | None = None, table: DataFrame | None = None) -> tuple[list[Rule], list[tuple[str, str]]]:
+def read_rule(text: str) -> Rule:
+    """The rule of one YAML or JSON document; raises when there is none in it."""
+    doc = _parse(text)
+    if not isinstance(doc, dict) or not doc.get("alert_name"):
+        raise ValueError("not a rule document with a name")
+    return rule_from_dict(doc)
+
+
+class Documents(Sequence):
+    """Rules from documents in files and in a table, in the order of files and then of names.
+
+    `table` (name, yaml) stays a table: `ruleindex.evaluate` reads many rules from it where they are. They come to the
+    driver only when they are looked at as a list, a partition at a time.
+    """
+
+    def __init__(self, texts: list[tuple[str, str]], table: DataFrame | None):
+        self.texts, self.table = texts, table
+        self.rules: list[Rule] | None = None
+        self.bad: list[tuple[str, str]] = []
+
+    def read(self) -> "Documents":
+        if self.rules is None:
+            rows = self.table.toLocalIterator() if self.table is not None else ()
+            self.rules = self.parsed([*self.texts, *sorted(((str(r["name"]), r["yaml"] or "") for r in rows), key=lambda x: x[0])])
+        return self
+
+    def parsed(self, texts: Iterable[tuple[str, str]]) -> list[Rule]:
+        """The rules of some documents; a bad one is put aside in `bad`."""
+        rules: list[Rule] = []
+        for origin, text in texts:
+            try:
+                rules.append(read_rule(text))
+            except Exception as e:  # noqa: BLE001 - any defect of one document stays with that document
+                log.error("rule %s refused: %s", origin, e)
+                self.bad.append((origin, str(e)))
+        return rules
+
+    def __len__(self) -> int:
+        return len(self.read().rules)
+
+    def __getitem__(self, i):
+        return self.read().rules[i]
+
+
+class Refused(Sequence):
+    """(origin, reason) of the documents put aside, read when they are looked at."""
+
+    def __init__(self, documents: Documents):
+        self.documents = documents
+
+    def __len__(self) -> int:
+        return len(self.documents.read().bad)
+
+    def __getitem__(self, i):
+        return self.documents.read().bad[i]
+
+
+def load_rules(paths: str | None = None, table: DataFrame | None = None) -> tuple[Documents, Refused]:
     """Rules from files and from a rules table (`name`, `yaml`, `enabled`), plus what was refused.
 
-    A bad document is put aside with its reason and never stops the others. Rules are plans in the making, so
-    all of them come to the driver, a partition of the table at a time.
+    A bad document is put aside with its reason and never stops the others. Nothing of the table is read yet.
     """
-    rules: list[Rule] = []
-    refused: list[tuple[str, str]] = []
     texts: list[tuple[str, str]] = []
     for path in sorted(glob.glob(paths)) if paths else []:
         with open(path, encoding="utf-8") as f:
             texts.append((path, f.read()))
-    if table is not None:
-        live = table.filter(F.coalesce(F.col("enabled"), F.lit(True))).select("name", "yaml")
-        texts += sorted(((str(r["name"]), r["yaml"] or "") for r in live.toLocalIterator()), key=lambda x: x[0])
-    for origin, text in texts:
-        try:
-            doc = _parse(text)
-            if not isinstance(doc, dict) or not doc.get("alert_name"):
-                raise ValueError("not a rule document with a name")
-            rules.append(rule_from_dict(doc))
-        except Exception as e:  # noqa: BLE001 - any defect of one document stays with that document
-            log.error("rule %s refused: %s", origin, e)
-            refused.append((origin, str(e)))
-    return rules, refused
+    live = table.filter(F.coalesce(F.col("enabled"), F.lit(True))).select("name", "yaml") if table is not None else None
+    found = Documents(texts, live)
+    return found, Refused(found)
 
 
 def rule_problems() -> Column:
