@@ -49,7 +49,7 @@ BLOCK = 1 << 21  # bytes of segments brought together to be ordered in the same
 PARTS = 9  # ranges of the places of a bucket's bytes in a window
 JOINED = 1 << 17  # bytes of short texts whose windows are hashed together
 LOW = np.uint64((1 << 21) - 1)  # of a hash and its place in one number, the place: it is below PIECE and a window's width
-CHUNK = 1_000_000  # keys of a task combined at once
+CHUNK = 500_000  # keys of a task combined at once
 
 
 def suffix_array(text: bytes | list[int]) -> list[int]:
