@@ -99,7 +99,8 @@ def documents(spark, rules, bad=()):
 @pytest.mark.parametrize("scope", ["global", "rule"])
 def test_rules_that_stay_a_table(spark, events, scope, monkeypatch):
     """The same alerts and claims as with all rules in the plan, rules among them that are no data."""
-    plain = [*RULES, *ODD, *FEEDS, Rule("bad", criteria="nope = 'x'"), Rule("typo", criteria="category = 'click' AND nope = 1"), Rule("told", criteria="drop 'x'")]
+    plain = [*RULES, *ODD, *FEEDS, Rule("bad", criteria="nope = 'x'"), Rule("typo", criteria="category = 'click' AND nope = 1"), Rule("told", criteria="drop 'x'"),
+             Rule("guarded", criteria="category = 'nothing' AND 10 / length(replace(category, 'click', '')) > 1", lookback_minutes=MONTH)]
     rules = [Rule(f"u{i}", criteria=f"category = '{'click' if i % 2 else 'view'}' AND JSON_VALUE(details.user) = 'user{i}@example.com'" + " AND severity <> 'HIGH'" * (i % 3 == 0),
                   lookback_minutes=MONTH if i % 5 else 9000, threshold=1 + i % 2, aggregation_key="source" if i % 4 == 0 else "", summary=f"{i} {{{{alert_name}}}} {{{{events.0.details.user}}}} {{{{metadata.count}}}}",
                   event_snippet="{{eventid}};" if i % 2 else "", tags=("t", f"{i}")) for i in range(15)] + [r for r in plain if r.alert_type != "sequence"]

@@ -578,14 +578,17 @@ def table_hits(events: DataFrame, rows: DataFrame, families: list[dict], as_of:
     offers = []
     for i, f in enumerate(families):
         texts, value = [F.col(c) for c in f["columns"]], d.key_value(events, Rule("key", aggregation_key=f["key"]))
-        ready = reduce(lambda a, b: a & b, [*[t.isNotNull() for t in texts], value.isNotNull(), f["cond"]])
+        ready = reduce(lambda a, b: a & b, [*[t.isNotNull() for t in texts], value.isNotNull()])
         offers.append(F.when(ready, F.struct(F.lit(i).alias("family"), F.array(*texts).alias("texts"), value.alias("value"))))
     recent = scan_events(events, as_of, minutes, closed)
-    offered = recent.select(*keep, F.explode_outer(F.array_compact(F.array(*offers))).alias("_o")).filter(F.col("_o").isNotNull())
+    offered = recent.withColumn("_o", F.explode_outer(F.array_compact(F.array(*offers)))).filter(F.col("_o").isNotNull())
     end = round((as_datetime(as_of) - datetime(1970, 1, 1)) / timedelta(microseconds=1))
-    asked = rows.select(F.struct("family", "texts").alias("_k"), "watch_no", (F.lit(end) - F.col("minutes").cast("long") * 60_000_000).alias("_since"))
+    asked = rows.select(F.struct("family", "texts").alias("_k"), F.col("family").alias("_f"), "watch_no", (F.lit(end) - F.col("minutes").cast("long") * 60_000_000).alias("_since"))
     met = offered.withColumn("_k", F.struct("_o.family", "_o.texts")).join(asked, "_k").filter(F.unix_micros("utctimestamp") >= F.col("_since"))
-    return met.select(*[c if isinstance(c, str) else F.col("summary") for c in keep], "watch_no", F.col("_o.value").alias("value"))
+    if any(f["rest"] for f in families):
+        # by the rule's family, so that it is asked of events with the rule's texts only: what guards it stands among these
+        met = met.filter(reduce(lambda a, i: F.when(F.col("_f") == i, families[i]["cond"]).otherwise(a), range(len(families)), F.lit(False)))
+    return met.select(*keep, "watch_no", F.col("_o.value").alias("value"))
 
 
 def evaluate_table(events: DataFrame, rules: Documents, as_of: datetime | str, processed: DataFrame | None, scope: str, closed: bool) -> d.Evaluation:
